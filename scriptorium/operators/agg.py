@@ -45,14 +45,14 @@ def column_distribution(df: DataFrame, cols: list[str]) -> DataFrame:
     ``distribution_report`` only for a bounded top-k.
     """
     pieces = [df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("value"))
-                .agg(F.count(F.lit(1)).alias("count")).withColumn("column", F.lit(c))
+                .agg(F.count(F.lit(1)).alias("count")).withColumn("column_name", F.lit(c))
               for c in cols]
     counts = reduce(DataFrame.unionByName, pieces)
     totals = df.agg(F.count(F.lit(1)).alias("total_rows"))       # one row: a bounded broadcast
-    uniq = counts.groupBy("column").agg(F.count(F.lit(1)).alias("unique_values"))  # one row per column
-    return (counts.join(F.broadcast(uniq), "column").crossJoin(F.broadcast(totals))
+    uniq = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("unique_values"))  # one row per column
+    return (counts.join(F.broadcast(uniq), "column_name").crossJoin(F.broadcast(totals))
                   .withColumn("repetition_rate", repetition_rate(F.col("unique_values"), F.col("total_rows")))
-                  .select("column", "value", "count", "unique_values", "total_rows", "repetition_rate"))
+                  .select("column_name", "value", "count", "unique_values", "total_rows", "repetition_rate"))
 
 
 def distribution_report(df: DataFrame, cols: list[str], top_k: int | None = 10) -> DataFrame:
@@ -62,11 +62,11 @@ def distribution_report(df: DataFrame, cols: list[str], top_k: int | None = 10)
     whose cardinality is known to be small)."""
     long = column_distribution(df, cols)
     if top_k is not None:
-        w = Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value"))
+        w = Window.partitionBy("column_name").orderBy(F.desc("count"), F.asc("value"))
         long = long.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top_k)
-    return (long.groupBy("column", "unique_values", "total_rows", "repetition_rate")
+    return (long.groupBy("column_name", "unique_values", "total_rows", "repetition_rate")
                 .agg(F.map_from_entries(F.collect_list(F.struct("value", "count"))).alias("most_common"))
-                .select("column", "unique_values", "total_rows", "most_common", "repetition_rate"))
+                .select("column_name", "unique_values", "total_rows", "most_common", "repetition_rate"))
 
 
 def word_count_summary(df: DataFrame, wc_col: str = "word_count", label_col: str = "is_target",

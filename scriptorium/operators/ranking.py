@@ -11,10 +11,13 @@ range-partitioned on ``(g, k)`` instead, so a hot group is cut across many tasks
    each (partition, group) its offset;
 5. join the offsets back; rank = offset + (running id - first id) + 1.
 
-The offsets table is broadcast when its row bound (P + number of groups) is under
-``BROADCAST_ROWS``; otherwise it is joined with a shuffle on (partition, group), which spreads
-a hot group over its partitions. The order keys must end with a unique key so the ranks are
-the same when a task is recomputed after an executor is lost.
+The tagged, range-sorted rows are written once as a table under ``spark.checkpoint.dir``
+(``session.materialize``) and both the offsets and the rows are read from it: two separate
+range exchanges would sample different partition boundaries, and the written table also
+makes the ranks survive a lost executor. The offsets table (at most P + G rows) is counted
+and broadcast when under ``BROADCAST_ROWS``; otherwise it is joined with a shuffle on
+(partition, group), which spreads a hot group over its partitions. The order keys must end
+with a unique key so ties cannot reorder rows.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from scriptorium.session import shuffle_partitions
+from scriptorium.session import materialize, shuffle_partitions
 
 BROADCAST_ROWS = 2_000_000
 
@@ -37,17 +40,17 @@ def rank_within(df: DataFrame, by: list[str], order: list[Column | str], *,
                 num_partitions: int | None = None, groups_bound: int | None = None) -> DataFrame:
     """Add a 1-based rank of each row inside its ``by`` group in ``order`` (and the group size).
 
-    ``groups_bound``: a known upper bound on the number of groups; when None it is counted
-    with one distinct aggregate over the ``by`` columns.
+    ``groups_bound``: a known upper bound on the number of groups; when None the offsets
+    table is counted (a small job over three columns of the written table).
     """
     by = list(by)
     parts = num_partitions or shuffle_partitions(df.sparkSession)
     keys = _cols(by) + _cols(order)
     # explicit partition count: AQE leaves it alone, so partition ids agree in every branch
-    srt = (df.repartitionByRange(parts, *keys)
-             .sortWithinPartitions(*keys)
-             .withColumn("_pid", F.spark_partition_id())
-             .withColumn("_rp", F.monotonically_increasing_id()))
+    srt = materialize(df.repartitionByRange(parts, *keys)
+                        .sortWithinPartitions(*keys)
+                        .withColumn("_pid", F.spark_partition_id())
+                        .withColumn("_rp", F.monotonically_increasing_id()), "ranked")
     stats = srt.groupBy("_pid", *by).agg(F.min("_rp").alias("_r0"), F.count(F.lit(1)).alias("_c"))
     # group-level window over the small stats table (at most P + G rows)
     w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -56,11 +59,7 @@ def rank_within(df: DataFrame, by: list[str], order: list[Column | str], *,
                            F.lit(0)))
     if size_col:
         stats = stats.withColumn(size_col, F.sum("_c").over(w))
-    if not by:
-        bound = parts
-    else:
-        groups = groups_bound if groups_bound is not None else df.select(*by).distinct().count()
-        bound = parts + groups
+    bound = parts if not by else (parts + groups_bound if groups_bound is not None else stats.count())
     right = F.broadcast(stats) if bound <= BROADCAST_ROWS else stats
     l, r = srt.alias("_l"), right.alias("_r")
     cond = [F.col("_l._pid") == F.col("_r._pid")]

@@ -52,3 +52,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def materialize(df, tag: str = "table"):
+    """Write ``df`` as Parquet under the session's checkpoint folder and read it back.
+
+    Used where two branches of a plan must see exactly the same rows in the same
+    partitions (e.g. the range-partitioned ranks): the written table cuts the lineage, so a
+    lost executor re-reads files instead of re-deriving partition boundaries.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/scriptorium-{tag}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
