@@ -68,3 +68,10 @@ def materialize(df, tag: str = "table"):
     path = f"{base}/scriptorium-{tag}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def scratch_path(spark, tag: str) -> str:
+    """A fresh folder name under the session's checkpoint folder (shared on a cluster)."""
+    import uuid
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/scriptorium-{tag}-{uuid.uuid4().hex}"
