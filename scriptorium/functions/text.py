@@ -155,15 +155,19 @@ def sorted_run_counts(tokens: Column | str, presorted: bool = False) -> Column:
     nb = _neighbours(s)
     starts = F.filter(F.transform(nb, lambda x, i: F.struct(i.alias("pos"), x["cur"].alias("token"),
                                                               x["prev"].alias("prev"))),
-                      lambda x: x["prev"].isNull() | (x["token"] != x["prev"]))
+                      lambda x: x["token"].isNotNull() & (x["prev"].isNull() | (x["token"] != x["prev"])))
     ends = F.concat(F.slice(F.transform(starts, lambda x: x["pos"]), 2, F.size(s)), F.array(F.size(s)))
-    return F.zip_with(starts, ends, lambda a, b: F.struct(a["token"].alias("token"), (b - a["pos"]).alias("n")))
+    runs = F.zip_with(starts, ends, lambda a, b: F.struct(a["token"].alias("token"), (b - a["pos"]).alias("n")))
+    # zip_with pads to the longer input: an empty array would give one NULL pair
+    return F.when(F.size(s) > 0, runs).otherwise(F.array().cast("array<struct<token:string,n:int>>"))
 
 
 def hapax_count(tokens: Column | str, presorted: bool = False) -> Column:
     """Number of values that occur exactly once (row-local, sort based)."""
     nb = _neighbours(_c(tokens) if presorted else F.sort_array(_c(tokens)))
-    return F.size(F.filter(nb, lambda x: F.coalesce(x["cur"] != x["prev"], F.lit(True))
+    # arrays_zip pads to the longest input: an empty array zips to one all-NULL element
+    return F.size(F.filter(nb, lambda x: x["cur"].isNotNull()
+                           & F.coalesce(x["cur"] != x["prev"], F.lit(True))
                            & F.coalesce(x["cur"] != x["next"], F.lit(True))))
 
 

@@ -26,6 +26,8 @@ def scan_text_corpus(spark: SparkSession, base: str, *, glob: str = "*.txt", max
     (``max_depth=1``), fully recursive (None), one level per category folder (filter
     ``depth == 1``). Whole files are single rows, so a few huge files would sit on few
     tasks: ``min_partitions`` spreads the rows round-robin when the listing is small.
+    Zero-length files are skipped by Spark's file scan: they give no row (an empty file
+    has no chunks either way; it has no all-zero statistics row here).
     """
     df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
           .option("recursiveFileLookup", "true").load(base))
