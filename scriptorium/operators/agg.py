@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from scriptorium.functions.text import explode_rows
 from scriptorium.operators.ranking import rank_within
 
 
@@ -44,13 +45,15 @@ def column_distribution(df: DataFrame, cols: list[str]) -> DataFrame:
     Long form keeps a high-cardinality column (e.g. the text) distributed; nest it with
     ``distribution_report`` only for a bounded top-k.
     """
-    pieces = [df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("value"))
-                .agg(F.count(F.lit(1)).alias("count")).withColumn("column_name", F.lit(c))
-              for c in cols]
-    counts = reduce(DataFrame.unionByName, pieces)
-    totals = df.agg(F.count(F.lit(1)).alias("total_rows"))       # one row: a bounded broadcast
-    uniq = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("unique_values"))  # one row per column
-    return (counts.join(F.broadcast(uniq), "column_name").crossJoin(F.broadcast(totals))
+    # one scan: every row becomes one (column, value) pair per column; one partial
+    # aggregation counts them (NULL values too, for the total), one row per column after
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+                      for c in cols])
+    stacked = explode_rows(df, [], pairs, ("_kv",)).select("_kv.column_name", "_kv.value")
+    counts = stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+    summary = counts.groupBy("column_name").agg(F.sum("count").alias("total_rows"),
+                                                 F.count("value").alias("unique_values"))
+    return (counts.where(F.col("value").isNotNull()).join(F.broadcast(summary), "column_name")
                   .withColumn("repetition_rate", repetition_rate(F.col("unique_values"), F.col("total_rows")))
                   .select("column_name", "value", "count", "unique_values", "total_rows", "repetition_rate"))
 
@@ -62,8 +65,9 @@ def distribution_report(df: DataFrame, cols: list[str], top_k: int | None = 10)
     whose cardinality is known to be small)."""
     long = column_distribution(df, cols)
     if top_k is not None:
-        w = Window.partitionBy("column_name").orderBy(F.desc("count"), F.asc("value"))
-        long = long.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top_k)
+        # range-partitioned ranks: a column with millions of distinct values is not one task
+        long = rank_within(long, ["column_name"], [F.desc("count"), F.asc("value")], rank_col="_r",
+                           groups_bound=len(cols)).where(F.col("_r") <= top_k).drop("_r")
     return (long.groupBy("column_name", "unique_values", "total_rows", "repetition_rate")
                 .agg(F.map_from_entries(F.collect_list(F.struct("value", "count"))).alias("most_common"))
                 .select("column_name", "unique_values", "total_rows", "most_common", "repetition_rate"))
@@ -144,45 +148,53 @@ def split_sizes(df: DataFrame, split_col: str = "split") -> DataFrame:
     return df.groupBy(split_col).agg(F.count(F.lit(1)).alias("count"))
 
 
-def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs: list[float], *,
-                    key_cols: list[str], groups_bound: int | None = None) -> DataFrame:
-    """Exact linear-interpolation quantiles per group (pandas / ``quantile_cont``).
-
-    Ranks come from a range-partitioned sort, so a group of any size is spread over tasks;
-    then only the two rows around each quantile position are kept and aggregated.
-    Returns one row per group: ``n`` and ``q_<i>`` per probability.
-    """
+def _ranked_values(df: DataFrame, group_col: str, value_col: str, key_cols: list[str],
+                   groups_bound: int | None) -> DataFrame:
     base = df.where(F.col(value_col).isNotNull()).select(group_col, value_col, *key_cols)
-    ranked = rank_within(base, [group_col], [F.col(value_col), *[F.col(k) for k in key_cols]],
-                         rank_col="_rank", size_col="_n", groups_bound=groups_bound)
+    return rank_within(base, [group_col], [F.col(value_col), *[F.col(k) for k in key_cols]],
+                       rank_col="_rank", size_col="_n", groups_bound=groups_bound)
+
+
+def _quantiles_from_ranked(ranked: DataFrame, group_col: str, value_col: str, probs: list[float]) -> DataFrame:
     conds, aggs = [], []
+    v = F.col(value_col)
     for i, p in enumerate(probs):
         pos = F.lit(1.0) + F.lit(p) * (F.col("_n") - 1)
         lo, hi = F.floor(pos), F.ceil(pos)
         conds.append((F.col("_rank") == lo) | (F.col("_rank") == hi))
-        frac = pos - lo
-        aggs.append((F.max(F.when(F.col("_rank") == lo, F.col(value_col)))
-                     + F.max(F.when(F.col("_rank") == lo, frac))
-                     * (F.max(F.when(F.col("_rank") == hi, F.col(value_col)))
-                        - F.max(F.when(F.col("_rank") == lo, F.col(value_col))))).alias(f"q_{i}"))
+        at_lo = F.max(F.when(F.col("_rank") == lo, v))
+        at_hi = F.max(F.when(F.col("_rank") == hi, v))
+        aggs.append((at_lo + F.max(F.when(F.col("_rank") == lo, pos - lo)) * (at_hi - at_lo)).alias(f"q_{i}"))
     picked = ranked.where(reduce(lambda a, b: a | b, conds))
     return picked.groupBy(group_col).agg(F.max("_n").alias("n"), *aggs)
 
 
+def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs: list[float], *,
+                    key_cols: list[str], groups_bound: int | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles per group (pandas / ``quantile_cont``).
+
+    Ranks come from a range-partitioned sort, so a group of any size is spread over tasks;
+    then only the two rows around each quantile position are kept and aggregated.
+    Returns one row per group: ``n`` and ``q_<i>`` per probability.
+    """
+    ranked = _ranked_values(df, group_col, value_col, key_cols, groups_bound)
+    return _quantiles_from_ranked(ranked, group_col, value_col, probs)
+
+
 def boxplot_summary(df: DataFrame, group_col: str, value_col: str, *, key_cols: list[str],
                     whisker: float = 1.5, groups_bound: int | None = None) -> DataFrame:
     """Quartiles, 1.5-IQR whiskers (the most extreme values inside the fences) and
-    the number of outliers per group. Fences are joined back to the rows by group (the
-    per-group table is bounded by the number of groups)."""
-    q = exact_quantiles(df, group_col, value_col, [0.25, 0.5, 0.75], key_cols=key_cols,
-                        groups_bound=groups_bound) \
-        .select(group_col, "n", F.col("q_0").alias("q1"), F.col("q_1").alias("median"),
-                F.col("q_2").alias("q3"))
+    the number of outliers per group. The values are ranked once (written table); the
+    quartiles and the whiskers both read that table, and the per-group fences (one row per
+    group) are broadcast back to it."""
+    ranked = _ranked_values(df, group_col, value_col, key_cols, groups_bound)
+    q = _quantiles_from_ranked(ranked, group_col, value_col, [0.25, 0.5, 0.75]) \
+        .select(group_col, "n", F.col("q_0").alias("q1"), F.col("q_1").alias("median"), F.col("q_2").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lower_fence", F.col("q1") - whisker * F.col("iqr")) \
          .withColumn("upper_fence", F.col("q3") + whisker * F.col("iqr"))
     v = F.col(value_col)
-    joined = df.where(v.isNotNull()).select(group_col, value_col).join(F.broadcast(q), group_col)
+    joined = ranked.select(group_col, value_col).join(F.broadcast(q), group_col)
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
     ext = joined.groupBy(group_col).agg(
         F.min(F.when(inside, v)).alias("lower_whisker"),

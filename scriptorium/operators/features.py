@@ -224,9 +224,10 @@ def mlm_mask(df: DataFrame, *, vocab_size: int, seed: int = 42, prob: float = ML
     key = [F.col(c) for c in key_cols]
 
     def one(x, i):
-        u = fast_uniform(*key, i, F.lit(seed), F.lit(1))
-        v = fast_uniform(*key, i, F.lit(seed), F.lit(2))
-        w = fast_uniform(*key, i, F.lit(seed), F.lit(3))
+        # one 64-bit hash per position, cut into three 20-bit uniforms
+        h = F.xxhash64(*key, i, F.lit(seed))
+        mask = F.lit((1 << 20) - 1)
+        u, v, w = [(F.shiftright(h, sh).bitwiseAND(mask)).cast("double") / float(1 << 20) for sh in (0, 20, 40)]
         special = x.isin(PAD, CLS, SEP)
         chosen = (~special) & (u < prob)
         rnd = (F.lit(len(SPECIAL_TOKENS)) + F.floor(w * (vocab_size - len(SPECIAL_TOKENS)))).cast("int")

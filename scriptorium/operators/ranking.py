@@ -43,18 +43,29 @@ def rank_within(df: DataFrame, by: list[str], order: list[Column | str], *,
     ``groups_bound``: a known upper bound on the number of groups; when None the offsets
     table is counted (a small job over three columns of the written table).
     """
+    return rank_within_stats(df, by, order, rank_col=rank_col, size_col=size_col,
+                             num_partitions=num_partitions, groups_bound=groups_bound)[0]
+
+
+def rank_within_stats(df: DataFrame, by: list[str], order: list[Column | str], *,
+                      rank_col: str = "rank", size_col: str | None = None,
+                      num_partitions: int | None = None, groups_bound: int | None = None,
+                      keep_partition: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``rank_within`` plus the group sizes (``by`` columns and ``_n``: one row per group,
+    derived from the small offsets table, not from another pass over the rows).
+    ``keep_partition`` keeps ``_pid`` (the range partition of the row) in the output."""
     by = list(by)
     parts = num_partitions or shuffle_partitions(df.sparkSession)
     keys = _cols(by) + _cols(order)
-    # explicit partition count: AQE leaves it alone, so partition ids agree in every branch
+    # explicit partition count: AQE leaves it alone; the written table fixes the partitions
     srt = materialize(df.repartitionByRange(parts, *keys)
                         .sortWithinPartitions(*keys)
                         .withColumn("_pid", F.spark_partition_id())
                         .withColumn("_rp", F.monotonically_increasing_id()), "ranked")
-    stats = srt.groupBy("_pid", *by).agg(F.min("_rp").alias("_r0"), F.count(F.lit(1)).alias("_c"))
+    counts = srt.groupBy("_pid", *by).agg(F.min("_rp").alias("_r0"), F.count(F.lit(1)).alias("_c"))
     # group-level window over the small stats table (at most P + G rows)
     w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    stats = stats.withColumn(
+    stats = counts.withColumn(
         "_off", F.coalesce(F.sum("_c").over(w.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                            F.lit(0)))
     if size_col:
@@ -68,7 +79,9 @@ def rank_within(df: DataFrame, by: list[str], order: list[Column | str], *,
     out = (l.join(r, reduce(lambda a, b: a & b, cond))
             .select("_l.*", (F.col("_r._off") + F.col("_l._rp") - F.col("_r._r0") + 1).alias(rank_col),
                     *extra))
-    return out.drop("_pid", "_rp")
+    out = out.drop("_rp") if keep_partition else out.drop("_pid", "_rp")
+    sizes = counts.groupBy(*by).agg(F.sum("_c").alias("_n")) if by else counts.agg(F.sum("_c").alias("_n"))
+    return out, sizes
 
 
 def global_rank(df: DataFrame, order: list[Column | str], *, rank_col: str = "rank",
@@ -76,3 +89,31 @@ def global_rank(df: DataFrame, order: list[Column | str], *, rank_col: str = "ra
     """Dense 1..n rank over the whole table by ``order`` (a distributed ``zipWithIndex``)."""
     return rank_within(df, [], order, rank_col=rank_col, size_col=size_col,
                        num_partitions=num_partitions)
+
+
+def prefix_extreme(ranked: DataFrame, by: list[str], rank_col: str, value: Column, *, fn: str = "min",
+                   inclusive: bool = False, out: str = "prefix") -> DataFrame:
+    """Running min / max of ``value`` inside each ``by`` group in rank order, on the output
+    of ``rank_within_stats(..., keep_partition=True)`` (rows carry their range partition
+    ``_pid``).
+
+    A distributed scan: each (partition, group) piece is scanned by a window keyed by
+    (``_pid``, group) - a piece is never larger than one range partition, so a hot group is
+    spread over many tasks - and the result is combined with the extreme of all earlier
+    partitions of the group (a small table: at most P + G rows, broadcast back).
+    ``inclusive`` includes the row itself; otherwise only the rows before it.
+    """
+    agg = F.min if fn == "min" else F.max
+    pick = F.least if fn == "min" else F.greatest
+    staged = ranked.withColumn("_v", value)
+    pieces = staged.groupBy("_pid", *by).agg(agg("_v").alias("_pe"))
+    w_small = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("_pid")
+    carry = pieces.select("_pid", *by, agg("_pe").over(w_small.rowsBetween(Window.unboundedPreceding, -1))
+                          .alias("_carry"))
+    w = Window.partitionBy("_pid", *by).orderBy(rank_col)
+    frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    local = staged.withColumn("_loc", agg("_v").over(frame))
+    # P + G rows: broadcast when the counted size is under the bound, else a shuffle join
+    right = F.broadcast(carry) if (not by or carry.count() <= BROADCAST_ROWS) else carry
+    joined = local.join(right, ["_pid", *by], "left")
+    return joined.withColumn(out, pick(F.col("_carry"), F.col("_loc"))).drop("_v", "_loc", "_carry")

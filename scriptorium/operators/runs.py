@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from scriptorium.operators.ranking import rank_within
+from scriptorium.operators.ranking import prefix_extreme, rank_within, rank_within_stats
 
 
 def row_position(df: DataFrame, by: list[str], order: list[str], out: str = "position",
@@ -67,20 +67,20 @@ def early_stop_epoch(log: DataFrame, *, patience: int = 2, threshold: float = 0.
     where ``patience`` evaluations in a row did not beat the best value so far by more than
     ``threshold``. Runs that never stop get NULL.
 
-    Gaps and islands over the evaluation rows: best-so-far is a running min (max) over
-    the rows before; an improvement opens a new island; the counter is the position inside
-    the island.
+    Gaps and islands without a per-run window: evaluations are ranked inside their run
+    (range partitioned); the best value before each evaluation is a distributed prefix
+    min (max); the counter is the distance to the last improving evaluation, a prefix max
+    of the improving ranks. A run of any length is spread over many tasks.
     """
     ev = log.where(F.col(metric).isNotNull()).select(run, step, metric)
-    w = Window.partitionBy(run).orderBy(step)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    best = (F.max if greater_is_better else F.min)(metric).over(before)
-    gain = (F.col(metric) - best) if greater_is_better else (best - F.col(metric))
-    improved = best.isNull() | (gain > threshold)
-    marked = ev.withColumn("_imp", improved.cast("int")) \
-               .withColumn("_island", F.sum("_imp").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    counted = marked.withColumn("_k", F.row_number().over(Window.partitionBy(run, "_island").orderBy(step)) - 1)
-    stops = counted.where(F.col("_k") >= patience).groupBy(run).agg(F.min(step).alias("stop_step"))
+    ranked, _ = rank_within_stats(ev, [run], [step], rank_col="_k", keep_partition=True)
+    best = prefix_extreme(ranked, [run], "_k", F.col(metric), fn="max" if greater_is_better else "min",
+                          inclusive=False, out="_best")
+    gain = (F.col(metric) - F.col("_best")) if greater_is_better else (F.col("_best") - F.col(metric))
+    marked = best.withColumn("_imp", F.when(F.col("_best").isNull() | (gain > threshold), F.col("_k")))
+    last = prefix_extreme(marked, [run], "_k", F.col("_imp"), fn="max", inclusive=True, out="_last")
+    stops = (last.where(F.col("_k") - F.col("_last") >= patience)
+                 .groupBy(run).agg(F.min(step).alias("stop_step")))
     runs = log.select(run).distinct()
     return runs.join(stops, run, "left")
 

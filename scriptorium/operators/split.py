@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scriptorium.functions.hashing import hash_order
-from scriptorium.operators.ranking import global_rank, rank_within
+from scriptorium.operators.ranking import global_rank, rank_within, rank_within_stats
 
 
 def _order(key: str, seed: int) -> list[Column]:
@@ -64,14 +64,14 @@ def authorship_split(df: DataFrame, *, label: str = "is_target", strata: str = "
     a table bounded by the number of strata (J6: the group shares are joined back).
     """
     base = df.where(F.col(label).isin(0, 1) & F.col(strata).isNotNull())
-    r = rank_within(base, [label, strata], _order(key, seed), rank_col="_rank", size_col="_n",
-                    groups_bound=groups_bound)
-    shares = group_share(base, label=label, strata=strata, target_test_frac=target_test_frac)
+    r, sizes = rank_within_stats(base, [label, strata], _order(key, seed), rank_col="_rank",
+                                 groups_bound=groups_bound)
+    shares = _shares(sizes, label, strata, target_test_frac)
     j = r.join(F.broadcast(shares), [label, strata])  # one row per stratum: bounded by strata
     split = (F.when(F.col("_rank") <= F.col("_test_n"), F.lit("test"))
               .when(F.col("_rank") <= F.col("_test_n") + F.col("_train_n"), F.lit("supervised"))
               .otherwise(F.lit("unsupervised")))
-    return j.withColumn("split", split).drop("_rank", "_n", "_test_n", "_train_n")
+    return j.withColumn("split", split).drop("_rank", "_test_n", "_train_n")
 
 
 def group_share(df: DataFrame, *, label: str = "is_target", strata: str = "source_file",
@@ -81,6 +81,11 @@ def group_share(df: DataFrame, *, label: str = "is_target", strata: str = "sourc
     Counts come from a partial aggregation (one row per stratum); the totals are a one-row
     aggregate of that, cross joined (bounded: one row)."""
     counts = df.groupBy(label, strata).agg(F.count(F.lit(1)).alias("_n"))
+    return _shares(counts, label, strata, target_test_frac)
+
+
+def _shares(counts: DataFrame, label: str, strata: str, target_test_frac: float) -> DataFrame:
+    """Split sizes per (label, stratum) from the per-stratum counts ``_n``."""
     t_test = F.bround(F.lit(target_test_frac) * F.col("_n"), 0)
     totals = counts.agg(
         F.sum(F.when(F.col(label) == 1, t_test)).alias("_tt"),
