@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scriptorium.functions.text import explode_rows
 from scriptorium.operators.ranking import rank_within
+from scriptorium.session import materialize
 
 
 def value_counts(df: DataFrame, col: str, *, count_col: str = "count") -> DataFrame:
@@ -50,7 +51,10 @@ def column_distribution(df: DataFrame, cols: list[str]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
                       for c in cols])
     stacked = explode_rows(df, [], pairs, ("_kv",)).select("_kv.column_name", "_kv.value")
-    counts = stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+    # written once: the counts feed two branches, and Spark does not reuse an exchange whose
+    # subtree holds lambda functions, so the upstream text work would otherwise run twice
+    counts = materialize(stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count")),
+                         "value-counts")
     summary = counts.groupBy("column_name").agg(F.sum("count").alias("total_rows"),
                                                  F.count("value").alias("unique_values"))
     return (counts.where(F.col("value").isNotNull()).join(F.broadcast(summary), "column_name")

@@ -19,15 +19,18 @@ def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "pre
 
 
 def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """class, tp, support (true count), predicted count, precision, recall, f1."""
+    """class, tp, support (true count), predicted count, precision, recall, f1.
+
+    One pass over the confusion counts: each (label, prediction, n) feeds its true class
+    and its predicted class, so classes seen on either side are present."""
     cc = confusion_counts(df, label, prediction)
-    true_n = cc.groupBy(F.col("label").alias("class")).agg(F.sum("count").alias("support"))
-    pred_n = cc.groupBy(F.col("prediction").alias("class")).agg(F.sum("count").alias("predicted"))
-    tp = cc.where(F.col("label") == F.col("prediction")).select(F.col("label").alias("class"),
-                                                                 F.col("count").alias("tp"))
-    t = (true_n.join(pred_n, "class", "full").join(tp, "class", "left")
-               .select("class", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-                                  for c in ("tp", "support", "predicted")]))
+    sides = F.array(F.struct(F.col("label").alias("class"), F.col("count").alias("t"), F.lit(0).cast("bigint").alias("p"),
+                             F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(F.lit(0)).alias("tp")),
+                    F.struct(F.col("prediction").alias("class"), F.lit(0).cast("bigint").alias("t"), F.col("count").alias("p"),
+                             F.lit(0).cast("bigint").alias("tp")))
+    t = (cc.select(F.explode(sides).alias("_s")).select("_s.*")
+           .groupBy("class").agg(F.sum("tp").cast("bigint").alias("tp"), F.sum("t").cast("bigint").alias("support"),
+                                 F.sum("p").cast("bigint").alias("predicted")))
     prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("predicted").cast("double")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support").cast("double")), F.lit(0.0))
     t = t.withColumns({"precision": prec, "recall": rec})
@@ -80,19 +83,22 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
     rows = pc.select(name.alias("row"), "precision", "recall", F.col("f1").alias("f1_score"),
                      F.col("support").cast("bigint").alias("support"))
     tot = F.sum("support").cast("double")
-    acc = pc.agg(F.lit("accuracy").alias("row"), F.lit(None).cast("double").alias("precision"),
-                 F.lit(None).cast("double").alias("recall"),
-                 (F.sum("tp").cast("double") / tot).alias("f1_score"),
-                 F.sum("support").cast("bigint").alias("support"))
-    macro = pc.agg(F.lit("macro avg").alias("row"), F.avg("precision").alias("precision"),
-                   F.avg("recall").alias("recall"), F.avg("f1").alias("f1_score"),
-                   F.sum("support").cast("bigint").alias("support"))
-    weighted = pc.agg(F.lit("weighted avg").alias("row"),
-                      (F.sum(F.col("precision") * F.col("support")) / tot).alias("precision"),
-                      (F.sum(F.col("recall") * F.col("support")) / tot).alias("recall"),
-                      (F.sum(F.col("f1") * F.col("support")) / tot).alias("f1_score"),
-                      F.sum("support").cast("bigint").alias("support"))
-    return rows.unionByName(acc).unionByName(macro).unionByName(weighted)
+    # the three summary rows from one aggregate of the per-class table
+    summ = pc.agg(
+        (F.sum("tp").cast("double") / tot).alias("_acc"), F.sum("support").cast("bigint").alias("_n"),
+        F.avg("precision").alias("_mp"), F.avg("recall").alias("_mr"), F.avg("f1").alias("_mf"),
+        (F.sum(F.col("precision") * F.col("support")) / tot).alias("_wp"),
+        (F.sum(F.col("recall") * F.col("support")) / tot).alias("_wr"),
+        (F.sum(F.col("f1") * F.col("support")) / tot).alias("_wf"))
+    none = F.lit(None).cast("double")
+    summary = summ.select(F.explode(F.array(
+        F.struct(F.lit("accuracy").alias("row"), none.alias("precision"), none.alias("recall"),
+                 F.col("_acc").alias("f1_score"), F.col("_n").alias("support")),
+        F.struct(F.lit("macro avg").alias("row"), F.col("_mp").alias("precision"), F.col("_mr").alias("recall"),
+                 F.col("_mf").alias("f1_score"), F.col("_n").alias("support")),
+        F.struct(F.lit("weighted avg").alias("row"), F.col("_wp").alias("precision"), F.col("_wr").alias("recall"),
+                 F.col("_wf").alias("f1_score"), F.col("_n").alias("support")))).alias("_r")).select("_r.*")
+    return rows.unionByName(summary)
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction",
