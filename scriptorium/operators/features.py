@@ -24,6 +24,7 @@ from scriptorium.functions import text as TX
 from scriptorium.functions.hashing import uniform, uniform_int
 from scriptorium.operators import project as P
 from scriptorium.operators.ranking import global_rank
+from scriptorium.session import materialize
 
 # fixed values: special tokens and their ids, sequence sizes
 PAD, UNK, CLS, SEP, MASK = 0, 1, 2, 3, 4
@@ -247,11 +248,14 @@ def nsp_examples(docs: DataFrame, vocab: DataFrame, *, id_col: str = "doc_id", t
     clean = P.drop_empty_documents(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     st = sentence_table(clean, vocab)
     ds = document_sentences(st, clean)
+    # the ranked sentence table is written once (inside global_rank) and the packed
+    # examples once: both feed several branches (packing, positive / negative pairs, the
+    # partner join), and Spark does not reuse exchanges whose subtree holds lambdas
     ranked = global_rank(ds, ["doc_id"], rank_col="_r", size_col="_n")
     ds = ranked.select("doc_id", (F.col("_r") - 1).alias("doc_ord"), "sentences")
     n_docs = ranked.agg(F.max("_n").alias("_n"))
-    packed = pack_segments(ds, seed=seed, nsp_prob=nsp_prob, short_seq_prob=short_seq_prob,
-                           block_size=block_size)
+    packed = materialize(pack_segments(ds, seed=seed, nsp_prob=nsp_prob, short_seq_prob=short_seq_prob,
+                                       block_size=block_size), "packed")
     pos = packed.where(F.col("is_random_next") == 0)
     neg = negative_next(packed, ds, n_docs)
     cols = ["doc_id", "example_id", "tokens_a", "tokens_b", "is_random_next"]
