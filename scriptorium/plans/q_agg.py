@@ -62,7 +62,7 @@ def q_top_values(spark, sf):
 
 
 @query("chunk_summary", CHUNKS_SQL + """
-SELECT count(*) AS total_chunks, count_if(is_target = 1) AS target_chunks, count_if(is_target = 0) AS other_chunks,
+SELECT count(*) AS total_chunks, CAST(count_if(is_target = 1) AS BIGINT) AS target_chunks, CAST(count_if(is_target = 0) AS BIGINT) AS other_chunks,
        count(DISTINCT author) AS unique_authors, round(avg(word_count), 6) AS avg_words_per_chunk,
        round(stddev_samp(word_count), 6) AS std_words_per_chunk,
        round(quantile_cont(word_count, 0.5), 6) AS median_words_per_chunk,
@@ -112,7 +112,7 @@ def q_average_words_per_chunk(spark, sf):
 
 
 @query("count_by_label", CHUNKS_SQL + """
-SELECT count(*) AS total_chunks, count_if(is_target = 1) AS target_chunks, count_if(is_target = 0) AS other_chunks FROM chunks""")
+SELECT count(*) AS total_chunks, CAST(count_if(is_target = 1) AS BIGINT) AS target_chunks, CAST(count_if(is_target = 0) AS BIGINT) AS other_chunks FROM chunks""")
 def q_count_by_label(spark, sf):
     return finish(A.count_by_label(chunks(spark, sf)))
 

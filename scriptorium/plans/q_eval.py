@@ -23,9 +23,9 @@ def _per_class_sql(pairs: str) -> str:
     return f"""WITH {pairs},
 cc AS (SELECT label, prediction, count(*) AS n FROM pairs GROUP BY label, prediction),
 cls AS (SELECT label AS c FROM cc UNION SELECT prediction FROM cc),
-pc AS (SELECT c, coalesce(sum(n) FILTER (WHERE label = c AND prediction = c), 0) AS tp,
-              coalesce(sum(n) FILTER (WHERE label = c), 0) AS support,
-              coalesce(sum(n) FILTER (WHERE prediction = c), 0) AS predicted
+pc AS (SELECT c, CAST(coalesce(sum(n) FILTER (WHERE label = c AND prediction = c), 0) AS BIGINT) AS tp,
+              CAST(coalesce(sum(n) FILTER (WHERE label = c), 0) AS BIGINT) AS support,
+              CAST(coalesce(sum(n) FILTER (WHERE prediction = c), 0) AS BIGINT) AS predicted
        FROM cls CROSS JOIN cc GROUP BY c),
 m AS (SELECT *, CASE WHEN predicted = 0 THEN 0.0 ELSE tp::DOUBLE / predicted END AS precision,
                 CASE WHEN support = 0 THEN 0.0 ELSE tp::DOUBLE / support END AS recall FROM pc),
@@ -79,10 +79,10 @@ def q_compute_metrics(spark, sf):
 @query("classification_report", _per_class_sql(BIN_PAIRS_SQL) + """
 SELECT CASE c WHEN 0 THEN 'Not target' WHEN 1 THEN 'Target' ELSE CAST(c AS VARCHAR) END AS row,
        round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1_score, support FROM f
-UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp)::DOUBLE / sum(support), 6), sum(support) FROM f
-UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support) FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp)::DOUBLE / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM f
 UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
-                 round(sum(f1 * support) / sum(support), 6), sum(support) FROM f""")
+                 round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f""")
 def q_classification_report(spark, sf):
     return finish(E.classification_report(bin_pairs(spark, sf), names={0: "Not target", 1: "Target"}))
 
@@ -90,7 +90,7 @@ def q_classification_report(spark, sf):
 @query("confusion_matrix", "WITH " + BIN_PAIRS_SQL + """,
 cc AS (SELECT label, prediction, count(*) AS n FROM pairs GROUP BY label, prediction),
 cls AS (SELECT label AS c FROM cc UNION SELECT prediction FROM cc)
-SELECT a.c AS label, b.c AS prediction, CAST(coalesce(cc.n, 0) AS BIGINT) AS count
+SELECT CAST(a.c AS BIGINT) AS label, CAST(b.c AS BIGINT) AS prediction, CAST(coalesce(cc.n, 0) AS BIGINT) AS count
 FROM cls a CROSS JOIN cls b LEFT JOIN cc ON cc.label = a.c AND cc.prediction = b.c""")
 def q_confusion_matrix(spark, sf):
     return finish(E.confusion_matrix(bin_pairs(spark, sf)))

@@ -88,10 +88,10 @@ def q_write_json_report(spark, sf):
 @query("write_eval_report", _per_class_sql(BIN_PAIRS_SQL) + """
 SELECT CASE c WHEN 0 THEN 'Not target' WHEN 1 THEN 'Target' ELSE CAST(c AS VARCHAR) END AS row,
        round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1_score, support FROM f
-UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp)::DOUBLE / sum(support), 6), sum(support) FROM f
-UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support) FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp)::DOUBLE / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM f
 UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
-                 round(sum(f1 * support) / sum(support), 6), sum(support) FROM f""")
+                 round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f""")
 def q_write_eval_report(spark, sf):
     path = scratch_path(spark, "eval")
     pairs = bin_pairs(spark, sf)

@@ -16,7 +16,7 @@ from scriptorium.tables import TARGET_AUTHOR, corpus_documents, table
 # ---- shared SQL fragments (oracle side) -------------------------------------------------
 CORPUS_SQL = """corpus AS (
   SELECT doc_id, text, lang, source AS source_file,
-         CAST(lang = 'fr' AS INTEGER) AS is_target,
+         CAST(lang = 'fr' AS BIGINT) AS is_target,
          CASE WHEN lang = 'fr' THEN 'Target' ELSE 'Others' END AS author
   FROM documents)"""
 

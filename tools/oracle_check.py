@@ -36,6 +36,23 @@ def canon(v):
     return str(v)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE"}
+
+
+def type_diffs(df, rel):
+    """Columns whose Spark type does not map to the DuckDB type of the oracle."""
+    duck = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for name, t in df.dtypes:
+        want = SPARK_TO_DUCK.get(t)
+        got = duck.get(name)
+        if want is not None and got is not None and got != want:
+            out.append(f"{name}: spark {t} / duckdb {got}")
+    return out
+
+
 def rows_hash(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     lines = sorted("|".join(canon(r[i]) for i in order) for r in rows)
@@ -87,8 +104,9 @@ def main():
         hs, ls = rows_hash(cols, srows)
         ho, lo = rows_hash(ocols, orows)
         same_cols = sorted(cols) == sorted(ocols)
+        tdiff = type_diffs(df, rel)
         if same_cols and hs == ho:
-            print(f"OK         {name}: {len(srows)} rows  {ts:.1f}s")
+            print(f"OK         {name}: {len(srows)} rows  {ts:.1f}s" + (f"   TYPES {tdiff}" if tdiff else ""))
             ok += 1
         else:
             bad += 1
