@@ -78,9 +78,10 @@ def split_sentences(col: Column | str) -> Column:
 
     Pieces are trimmed and blank pieces dropped. Row-local.
     """
-    marked = F.regexp_replace(_c(col), SENTENCE_BREAK, "$1" + SENTINEL)
-    pieces = F.transform(F.split(marked, SENTINEL), lambda s: trim_space(s))
-    return F.filter(pieces, lambda s: F.length(s) > 0)
+    # the break pattern consumes the white space after each end mark, so only the text's
+    # own edges can carry white space: trim once, not once per sentence
+    marked = F.regexp_replace(trim_space(col), SENTENCE_BREAK, "$1" + SENTINEL)
+    return F.filter(F.split(marked, SENTINEL), lambda s: F.length(s) > 0)
 
 
 def tokenise_words(col: Column | str) -> Column:
@@ -94,6 +95,17 @@ def alnum_filter(tokens: Column | str) -> Column:
     return F.filter(_c(tokens), lambda w: w.rlike(ALNUM_TOKEN))
 
 
+def word_token_alnum_filter(tokens: Column | str) -> Column:
+    """T7 for arrays produced by ``tokenise_words``: a token longer than one character is a
+    word run, so it is letters/digits exactly when it holds no '_', '-' or "'"; only
+    one-character tokens need the pattern. Same result as ``alnum_filter`` on such arrays,
+    without a regular expression per token."""
+    def keep(w):
+        plain = ~(w.contains("_") | w.contains("-") | w.contains("'"))
+        return F.when(F.length(w) > 1, plain).otherwise(w.rlike(ALNUM_TOKEN))
+    return F.filter(_c(tokens), keep)
+
+
 def remove_stopwords(tokens: Column | str, stopwords: Column) -> Column:
     """Tokens not in the stop list; duplicates are kept (unlike ``array_except``)."""
     return F.filter(_c(tokens), lambda w: ~F.array_contains(stopwords, w))

@@ -39,7 +39,7 @@ def text_stats(df: DataFrame, text_col: str = "text", *, stopwords: str | Column
     staged = df.withColumns({
         "_toks": T.tokenise_words(low),
         "_nsent": F.size(T.split_sentences(low)),
-    }).withColumn("_alnum", T.alnum_filter("_toks"))
+    }).withColumn("_alnum", T.word_token_alnum_filter("_toks"))
     stop = _stoplist(stopwords, lang_col)
     n_alnum = F.size("_alnum")
     n_unique = F.size(F.array_distinct("_alnum"))
