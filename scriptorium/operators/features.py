@@ -223,21 +223,26 @@ def mlm_mask(df: DataFrame, *, vocab_size: int, seed: int = 42, prob: float = ML
     a random token, 10 % stay. ``labels`` keeps the original id at chosen positions and
     -100 elsewhere. A new ``seed`` per epoch gives dynamic masking."""
     key = [F.col(c) for c in key_cols]
-
-    def one(x, i):
-        # one 64-bit hash per position, cut into three 20-bit uniforms
-        h = F.xxhash64(*key, i, F.lit(seed))
-        mask = F.lit((1 << 20) - 1)
-        u, v, w = [(F.shiftright(h, sh).bitwiseAND(mask)).cast("double") / float(1 << 20) for sh in (0, 20, 40)]
-        special = x.isin(PAD, CLS, SEP)
-        chosen = (~special) & (u < prob)
-        rnd = (F.lit(len(SPECIAL_TOKENS)) + F.floor(w * (vocab_size - len(SPECIAL_TOKENS)))).cast("int")
-        new = F.when(~chosen, x).when(v < 0.8, F.lit(MASK)).when(v < 0.9, rnd).otherwise(x)
-        return F.struct(new.cast("int").alias("id"), F.when(chosen, x).otherwise(F.lit(IGNORE)).cast("int").alias("label"))
-
-    staged = df.withColumn("_m", F.transform(F.col(ids_col), one))
-    return staged.withColumn("labels", F.transform("_m", lambda s: s["label"])) \
-                 .withColumn(ids_col, F.transform("_m", lambda s: s["id"])).drop("_m")
+    mask20 = (1 << 20) - 1
+
+    def part(h, shift):
+        # three independent 20-bit uniforms from one 64-bit hash
+        return F.shiftright(h, shift).bitwiseAND(F.lit(mask20)).cast("double") / float(1 << 20)
+
+    def special(x):
+        return x.isin(PAD, CLS, SEP)
+
+    # one hash per real position (lambdas run without common-subexpression elimination, so
+    # the hash is computed once here and read twice below); special positions are not hashed
+    staged = df.withColumn("_h", F.transform(F.col(ids_col), lambda x, i: F.when(
+        special(x), F.lit(0).cast("long")).otherwise(F.xxhash64(*key, i, F.lit(seed)))))
+    chosen = lambda x, h: (~special(x)) & (part(h, 0) < prob)
+    rnd = lambda h: (F.lit(len(SPECIAL_TOKENS))
+                     + F.floor(part(h, 40) * (vocab_size - len(SPECIAL_TOKENS)))).cast("int")
+    labels = F.zip_with(ids_col, "_h", lambda x, h: F.when(chosen(x, h), x).otherwise(F.lit(IGNORE)).cast("int"))
+    new_ids = F.zip_with(ids_col, "_h", lambda x, h: F.when(~chosen(x, h), x)
+                         .when(part(h, 20) < 0.8, F.lit(MASK)).when(part(h, 20) < 0.9, rnd(h)).otherwise(x).cast("int"))
+    return staged.withColumn("labels", labels).withColumn(ids_col, new_ids).drop("_h")
 
 
 def nsp_examples(docs: DataFrame, vocab: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
