@@ -155,8 +155,10 @@ def split_sizes(df: DataFrame, split_col: str = "split") -> DataFrame:
 def _ranked_values(df: DataFrame, group_col: str, value_col: str, key_cols: list[str],
                    groups_bound: int | None) -> DataFrame:
     base = df.where(F.col(value_col).isNotNull()).select(group_col, value_col, *key_cols)
+    # the base is narrow (group, value, keys): writing it once is cheaper than deriving the
+    # values twice (range sampling pass + shuffle)
     return rank_within(base, [group_col], [F.col(value_col), *[F.col(k) for k in key_cols]],
-                       rank_col="_rank", size_col="_n", groups_bound=groups_bound)
+                       rank_col="_rank", size_col="_n", groups_bound=groups_bound, materialize_input=True)
 
 
 def _quantiles_from_ranked(ranked: DataFrame, group_col: str, value_col: str, probs: list[float]) -> DataFrame:

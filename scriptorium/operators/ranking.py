@@ -37,24 +37,32 @@ def _cols(xs) -> list[Column]:
 
 def rank_within(df: DataFrame, by: list[str], order: list[Column | str], *,
                 rank_col: str = "rank", size_col: str | None = None,
-                num_partitions: int | None = None, groups_bound: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, groups_bound: int | None = None,
+                materialize_input: bool = False) -> DataFrame:
     """Add a 1-based rank of each row inside its ``by`` group in ``order`` (and the group size).
 
     ``groups_bound``: a known upper bound on the number of groups; when None the offsets
     table is counted (a small job over three columns of the written table).
     """
     return rank_within_stats(df, by, order, rank_col=rank_col, size_col=size_col,
-                             num_partitions=num_partitions, groups_bound=groups_bound)[0]
+                             num_partitions=num_partitions, groups_bound=groups_bound,
+                             materialize_input=materialize_input)[0]
 
 
 def rank_within_stats(df: DataFrame, by: list[str], order: list[Column | str], *,
                       rank_col: str = "rank", size_col: str | None = None,
                       num_partitions: int | None = None, groups_bound: int | None = None,
-                      keep_partition: bool = False) -> tuple[DataFrame, DataFrame]:
+                      keep_partition: bool = False,
+                      materialize_input: bool = False) -> tuple[DataFrame, DataFrame]:
     """``rank_within`` plus the group sizes (``by`` columns and ``_n``: one row per group,
     derived from the small offsets table, not from another pass over the rows).
-    ``keep_partition`` keeps ``_pid`` (the range partition of the row) in the output."""
+    ``keep_partition`` keeps ``_pid`` (the range partition of the row) in the output.
+    ``materialize_input``: write the input once first. Range partitioning runs a sampling
+    pass over its input before the shuffle; for an input derived by expensive row work
+    (text pipelines) that work would otherwise run twice."""
     by = list(by)
+    if materialize_input:
+        df = materialize(df, "rank-input")
     parts = num_partitions or shuffle_partitions(df.sparkSession)
     keys = _cols(by) + _cols(order)
     # explicit partition count: AQE leaves it alone; the written table fixes the partitions

@@ -22,20 +22,22 @@ def _order(key: str, seed: int) -> list[Column]:
 
 
 def stratified_sample_frac(df: DataFrame, strata: str, frac: float, *, key: str, seed: int = 42,
-                           groups_bound: int | None = None) -> DataFrame:
+                           groups_bound: int | None = None, materialize_input: bool = False) -> DataFrame:
     """Per stratum, ``round(frac * n)`` rows (half-even), chosen by seeded hash order.
-    Rows with a NULL stratum are dropped (pandas ``groupby``)."""
+    Rows with a NULL stratum are dropped (pandas ``groupby``). ``materialize_input``: see
+    ``rank_within_stats`` (for inputs derived by expensive row work)."""
     base = df.where(F.col(strata).isNotNull())
     r = rank_within(base, [strata], _order(key, seed), rank_col="_rank", size_col="_n",
-                    groups_bound=groups_bound)
+                    groups_bound=groups_bound, materialize_input=materialize_input)
     return r.where(F.col("_rank") <= F.bround(F.lit(frac) * F.col("_n"), 0)).drop("_rank", "_n")
 
 
 def stratified_sample_n(df: DataFrame, strata: str, n: int, *, key: str, seed: int = 42,
-                        groups_bound: int | None = None) -> DataFrame:
+                        groups_bound: int | None = None, materialize_input: bool = False) -> DataFrame:
     """At most ``min(n, size)`` rows per stratum."""
     base = df.where(F.col(strata).isNotNull())
-    r = rank_within(base, [strata], _order(key, seed), rank_col="_rank", groups_bound=groups_bound)
+    r = rank_within(base, [strata], _order(key, seed), rank_col="_rank", groups_bound=groups_bound,
+                    materialize_input=materialize_input)
     return r.where(F.col("_rank") <= F.lit(n)).drop("_rank")
 
 
@@ -51,7 +53,7 @@ def concat_splits(*parts: DataFrame) -> DataFrame:
 
 def authorship_split(df: DataFrame, *, label: str = "is_target", strata: str = "source_file",
                      key: str, seed: int = 42, target_test_frac: float = 0.3,
-                     groups_bound: int | None = None) -> DataFrame:
+                     groups_bound: int | None = None, materialize_input: bool = False) -> DataFrame:
     """The three-way split, as a ``split`` column in {supervised, test, unsupervised}.
 
     Target rows (label 1): per source, ``round(0.3 n)`` test, the rest supervised.
@@ -65,7 +67,7 @@ def authorship_split(df: DataFrame, *, label: str = "is_target", strata: str = "
     """
     base = df.where(F.col(label).isin(0, 1) & F.col(strata).isNotNull())
     r, sizes = rank_within_stats(base, [label, strata], _order(key, seed), rank_col="_rank",
-                                 groups_bound=groups_bound)
+                                 groups_bound=groups_bound, materialize_input=materialize_input)
     shares = _shares(sizes, label, strata, target_test_frac)
     j = r.join(F.broadcast(shares), [label, strata])  # one row per stratum: bounded by strata
     split = (F.when(F.col("_rank") <= F.col("_test_n"), F.lit("test"))
