@@ -304,3 +304,17 @@ def prepare_dataset(texts: DataFrame, *, key: str, text_col: str = "text", vocab
         parts.append(ex.withColumn("split", F.lit(name)))
     out = parts[0].unionByName(parts[1])
     return mlm_mask(out, vocab_size=vocab_size, seed=seed) if masked else out
+
+
+def encode_tokens(df: DataFrame, vocab: DataFrame, *, id_col: str, text_col: str = "text") -> DataFrame:
+    """N1 (encoding half): the document's tokens as vocabulary ids in order ([UNK] when
+    missing). Tokens are exploded inside id-hash partitions, looked up in the broadcast
+    vocabulary (bounded by its size parameter) and regrouped without another shuffle.
+    Documents without tokens get an empty array."""
+    d = df.select(id_col, text_col).repartition(id_col)
+    toks = TX.explode_rows(d, [id_col], TX.tokenise_words(F.col(text_col)), ("pos", "token"), with_pos=True)
+    ided = toks.join(F.broadcast(vocab), "token", "left").withColumn("id", F.coalesce("id", F.lit(UNK)))
+    g = ided.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
+    enc = g.select(id_col, F.transform("_p", lambda x: x["id"]).alias("ids"))
+    return df.select(id_col).join(enc, id_col, "left") \
+             .withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))

@@ -5,7 +5,7 @@ def load_all():
     """Import every query module so the registry is filled; returns (queries, oracle)."""
     from scriptorium.plans import registry
     from scriptorium.plans import q_text  # noqa: F401
-    for mod in ("q_agg", "q_split", "q_eval", "q_features", "q_io", "q_model", "q_more"):
+    for mod in ("q_agg", "q_split", "q_eval", "q_features", "q_io", "q_model", "q_more", "q_stream"):
         try:
             __import__(f"scriptorium.plans.{mod}")
         except ModuleNotFoundError as e:

@@ -34,16 +34,22 @@ def q_decode_with_fallback(spark, sf):
     return d.select("doc_id", SF.decode_with_fallback(raw).alias("text"))
 
 
-@query("scan_text_corpus")
+@query("scan_text_corpus", f"""
+SELECT 'source=' || source AS folder, CAST(2 AS BIGINT) AS depth,
+       CAST(sum(strlen(text) + 1) AS BIGINT) AS length,
+       CAST(sum(length(regexp_replace(text || chr(10), chr(13) || chr(10) || '?', chr(10), 'g'))) AS BIGINT) AS num_chars,
+       CAST(sum({S.word_count('text')}) AS BIGINT) AS num_words
+FROM documents GROUP BY lang, source""")
 def q_scan_text_corpus(spark, sf):
-    """documents written as one text file per (language folder, source) and scanned back."""
+    """documents written as one text file per (language folder, source) and scanned back:
+    each file holds the texts of one (lang, source) pair, one per line."""
     d = table(spark, sf, "documents")
     base = scratch_path(spark, "corpus")
     (d.select("lang", "source", "text").repartition("lang", "source").sortWithinPartitions("source", "text")
       .write.partitionBy("lang", "source").mode("overwrite").text(base))
     docs = SF.read_documents(spark, base, glob="*.txt")
-    return docs.select("folder", "depth", "length", F.length("text").alias("num_chars"),
-                       TX.whitespace_word_count("text").alias("num_words"))
+    return finish(docs.select("folder", "depth", "length", F.length("text").alias("num_chars"),
+                              TX.whitespace_word_count("text").alias("num_words")))
 
 
 @query("read_chunks_csv", CHUNKS_SQL + " SELECT text, author, is_target, source_file, chunk_id FROM chunks")

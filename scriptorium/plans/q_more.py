@@ -169,3 +169,12 @@ def q_chunker_udtf(spark, sf):
     spark.udtf.register(fn, chunker_udtf(windows))
     out = spark.sql(f"SELECT d.doc_id, c.chunk_id, c.text FROM {view} d, LATERAL {fn}(d.text) c")
     return finish(out)
+
+
+@query("encode_tokens", f"""WITH {VOCAB_SQL},
+e AS (SELECT doc_id, list_transform({S.tokens('text')}, lambda t: coalesce(m[t], 1)) AS ids FROM documents CROSS JOIN vm)
+SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_ids, md5(array_to_string(ids, ',')) AS ids_md5 FROM e""")
+def q_encode_tokens(spark, sf):
+    out = N.encode_tokens(docs(spark, sf), vocab(spark, sf), id_col="doc_id")
+    return finish(out.select("doc_id", F.size("ids").alias("n_ids"),
+                             F.md5(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_md5")))

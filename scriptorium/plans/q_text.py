@@ -240,7 +240,42 @@ def q_unified_dataset(spark, sf):
     return finish(out)
 
 
-@query("sentence_pack_chunks")
+def _pack_sql() -> str:
+    """The greedy sentence packing written as a recursive CTE: the state per document is
+    (sentences used, finished chunk texts, open sentences, open word count)."""
+    ws = S.lit(T.WHITESPACE_WORD)
+
+    def wcount(x):
+        return f"len(regexp_extract_all({x}, {ws}))"
+
+    def join(x):
+        return f"array_to_string({x}, ' ')"
+
+    x, k = "w.ss[f.i + 1]", "w.wc[f.i + 1]"
+    kept = f"f.cur[greatest(len(f.cur) - 1, 1):] || [{x}]"
+    flush = f"(CASE WHEN len(f.cur) > 0 THEN [{join('f.cur')}] ELSE []::VARCHAR[] END)"
+    pieces = (f"list_transform(range(0, ({k} - 1) // 128 + 1), "
+              f"lambda j: array_to_string(regexp_extract_all({x}, {ws})[j * 128 + 1 : j * 128 + 128], ' '))")
+    return f"""WITH RECURSIVE
+s AS (SELECT doc_id, {S.sentences('text')} AS ss FROM documents),
+w AS (SELECT doc_id, ss, list_transform(ss, lambda x: {wcount('x')}) AS wc FROM s),
+fold(doc_id, i, ch, cur, n) USING KEY (doc_id) AS (
+  SELECT doc_id, 0, []::VARCHAR[], []::VARCHAR[], 0 FROM w
+  UNION
+  SELECT f.doc_id, f.i + 1,
+    CASE WHEN {k} > 128 THEN f.ch || {flush} || {pieces}
+         WHEN f.n + {k} > 128 THEN f.ch || [{join('f.cur')}]
+         ELSE f.ch END,
+    CASE WHEN {k} > 128 THEN []::VARCHAR[] WHEN f.n + {k} > 128 THEN {kept} ELSE f.cur || [{x}] END,
+    CASE WHEN {k} > 128 THEN 0
+         WHEN f.n + {k} > 128 THEN list_sum(list_transform({kept}, lambda y: {wcount('y')}))
+         ELSE f.n + {k} END
+  FROM fold f JOIN w ON f.doc_id = w.doc_id WHERE f.i < len(w.ss)),
+done AS (SELECT doc_id, ch || (CASE WHEN len(cur) > 0 THEN [{join('cur')}] ELSE []::VARCHAR[] END) AS chunks FROM fold)
+SELECT doc_id, CAST(unnest(range(0, len(chunks))) AS BIGINT) AS chunk_id, unnest(chunks) AS text FROM done"""
+
+
+@query("sentence_pack_chunks", _pack_sql())
 def q_sentence_pack_chunks(spark, sf):
     d = docs(spark, sf).select("doc_id", "text")
     return finish(C.sentence_pack_chunks(d, "text", 128, overlap=True))
