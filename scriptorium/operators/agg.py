@@ -224,6 +224,10 @@ def boxplot_outliers(df: DataFrame, group_col: str, value_col: str, *, key_cols:
     return df.join(F.broadcast(q), group_col).where((v < F.col("_lo")) | (v > F.col("_hi"))).drop("_lo", "_hi")
 
 
+# fixed value: sqrt(2 * pi), the Gaussian kernel's normalising constant
+SQRT_2PI = 2.5066282746310002
+
+
 def violin_density(df: DataFrame, group_col: str, value_col: str, *, bins: int = 50,
                    grid: int = 100, bandwidth: float | None = None) -> DataFrame:
     """The data behind a violin plot: a Gaussian kernel density per group on a fixed
@@ -252,7 +256,7 @@ def violin_density(df: DataFrame, group_col: str, value_col: str, *, bins: int =
     dens = (pts.join(binned, group_col)   # groups x grid x bins rows, bounded by parameters
                .groupBy(group_col, "_g", "x", "_n", "_bw")
                .agg(F.sum(F.col("_c") * F.exp(-0.5 * z * z)).alias("_k"))
-               .withColumn("density", F.col("_k") / (F.col("_n") * F.col("_bw") * F.lit((2 * 3.141592653589793) ** 0.5))))
+               .withColumn("density", F.col("_k") / (F.col("_n") * F.col("_bw") * F.lit(SQRT_2PI))))
     return dens.select(group_col, F.col("_g").alias("point"), "x", "density")
 
 

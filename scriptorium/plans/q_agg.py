@@ -142,7 +142,23 @@ def q_boxplot_summary(spark, sf):
     return finish(A.boxplot_summary(s, "is_target", "unique_words_ratio", key_cols=["doc_id"], groups_bound=2))
 
 
-@query("violin_density")
+VIOLIN_SQL = f"""
+WITH {STATS_SQL},
+vv AS (SELECT CAST(lang = 'fr' AS BIGINT) AS is_target, avg_sentence_length AS val FROM st WHERE avg_sentence_length IS NOT NULL),
+vr AS (SELECT is_target, min(val) AS mn, max(val) AS mx, count(*) AS n, stddev_samp(val) AS sd FROM vv GROUP BY is_target),
+r2 AS (SELECT *, greatest(mx - mn, 1e-12) AS span FROM vr),
+vb AS (SELECT vv.is_target, least(floor((val - mn) / span * 50), 49) AS bin, count(*) AS c
+      FROM vv JOIN r2 ON vv.is_target = r2.is_target GROUP BY vv.is_target, bin),
+vp AS (SELECT r2.*, g, mn + span * g / 99 AS x, greatest(coalesce(sd, 0.0) * pow(n::DOUBLE, -0.2), span / 500.0) AS bw
+      FROM r2 CROSS JOIN range(0, 100) t(g)),
+vz AS (SELECT vp.is_target, g, x, n, bw, c, (x - (mn + span * (bin + 0.5) / 50)) / bw AS z
+      FROM vp JOIN vb ON vp.is_target = vb.is_target)
+SELECT is_target, CAST(g AS BIGINT) AS point, round(x, 6) AS x,
+       round(sum(c * exp(-0.5 * z * z)) / (n * bw * {A.SQRT_2PI!r}), 6) AS density
+FROM vz GROUP BY is_target, g, x, n, bw"""
+
+
+@query("violin_density", VIOLIN_SQL)
 def q_violin_density(spark, sf):
     s = doc_stats(spark, sf).withColumn("is_target", (F.col("lang") == "fr").cast("int"))
     return finish(A.violin_density(s, "is_target", "avg_sentence_length", bins=50, grid=100))
