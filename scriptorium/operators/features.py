@@ -212,6 +212,27 @@ def assemble_pairs(examples: DataFrame, *, block_size: int = BLOCK_SIZE, max_len
         F.col("is_random_next").cast("int").alias("next_sentence_label"))
 
 
+# fixed values: constants of the per-position integer mix (Lehmer-style multiply modulo the
+# Mersenne prime 2^31 - 1, with xor inputs and an xor-shift between the two rounds)
+MIX_P = 2147483647
+MIX_I = 2654435761
+MIX_S = 1103515245
+MIX_A = 48271
+MIX_C = 69621
+MIX_D = 12345
+
+
+def position_uniform(h0: Column, i: Column, salt: int) -> Column:
+    """[0, 1) for position ``i`` of an example with base value ``h0`` in [0, 2^31 - 1).
+    Integer arithmetic only (every product stays below 2^63), so it is cheap per token and
+    the same in any SQL engine; different salts give unrelated values."""
+    y = h0.bitwiseXOR((i.cast("long") * MIX_I) % MIX_P).bitwiseXOR(F.lit((salt * MIX_S) % MIX_P))
+    x = (y * MIX_A) % MIX_P
+    x = x.bitwiseXOR(F.shiftright(x, 11))
+    x = (x * MIX_C + MIX_D) % MIX_P
+    return x.cast("double") / float(MIX_P)
+
+
 def fast_uniform(*cols: Column) -> Column:
     """[0, 1) from a 64-bit xxhash of the columns (cheap enough to call per token)."""
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 31)).cast("double") / float(1 << 31)
@@ -222,27 +243,27 @@ def mlm_mask(df: DataFrame, *, vocab_size: int, seed: int = 42, prob: float = ML
     """Choose ``prob`` of the non-special positions; of those 80 % become [MASK], 10 %
     a random token, 10 % stay. ``labels`` keeps the original id at chosen positions and
     -100 elsewhere. A new ``seed`` per epoch gives dynamic masking."""
-    key = [F.col(c) for c in key_cols]
-    mask20 = (1 << 20) - 1
-
-    def part(h, shift):
-        # three independent 20-bit uniforms from one 64-bit hash
-        return F.shiftright(h, shift).bitwiseAND(F.lit(mask20)).cast("double") / float(1 << 20)
+    # one md5 per example, then an integer mix per position (all products stay below 2^63)
+    staged = df.withColumn("_h0", F.conv(F.substring(F.md5(F.concat_ws(
+        ":", *[F.col(c).cast("string") for c in key_cols], F.lit(str(seed)), F.lit("mlm"))), 1, 8), 16, 10)
+        .cast("long") % F.lit(MIX_P))
 
     def special(x):
         return x.isin(PAD, CLS, SEP)
 
-    # one hash per real position (lambdas run without common-subexpression elimination, so
-    # the hash is computed once here and read twice below); special positions are not hashed
-    staged = df.withColumn("_h", F.transform(F.col(ids_col), lambda x, i: F.when(
-        special(x), F.lit(0).cast("long")).otherwise(F.xxhash64(*key, i, F.lit(seed)))))
-    chosen = lambda x, h: (~special(x)) & (part(h, 0) < prob)
-    rnd = lambda h: (F.lit(len(SPECIAL_TOKENS))
-                     + F.floor(part(h, 40) * (vocab_size - len(SPECIAL_TOKENS)))).cast("int")
-    labels = F.zip_with(ids_col, "_h", lambda x, h: F.when(chosen(x, h), x).otherwise(F.lit(IGNORE)).cast("int"))
-    new_ids = F.zip_with(ids_col, "_h", lambda x, h: F.when(~chosen(x, h), x)
-                         .when(part(h, 20) < 0.8, F.lit(MASK)).when(part(h, 20) < 0.9, rnd(h)).otherwise(x).cast("int"))
-    return staged.withColumn("labels", labels).withColumn(ids_col, new_ids).drop("_h")
+    def uni(i, salt):
+        return position_uniform(F.col("_h0"), i, salt)
+
+    def chosen(x, i):
+        return (~special(x)) & (uni(i, 1) < prob)
+
+    def rnd(i):
+        return (F.lit(len(SPECIAL_TOKENS)) + F.floor(uni(i, 3) * (vocab_size - len(SPECIAL_TOKENS)))).cast("int")
+
+    labels = F.transform(ids_col, lambda x, i: F.when(chosen(x, i), x).otherwise(F.lit(IGNORE)).cast("int"))
+    new_ids = F.transform(ids_col, lambda x, i: F.when(~chosen(x, i), x).when(uni(i, 2) < 0.8, F.lit(MASK))
+                          .when(uni(i, 2) < 0.9, rnd(i)).otherwise(x).cast("int"))
+    return staged.withColumn("labels", labels).withColumn(ids_col, new_ids).drop("_h0")
 
 
 def nsp_examples(docs: DataFrame, vocab: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

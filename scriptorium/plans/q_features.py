@@ -74,32 +74,136 @@ def q_random_document_join(spark, sf):
     return finish(j.select("doc_id", "partner_doc_id"))
 
 
+# ---- oracle: the packing loop replayed in SQL ---------------------------------------------
+def _packed_sql() -> str:
+    """Documents -> sentence id lists -> the greedy packing loop as a recursive CTE (same
+    md5 draws as the Spark job) -> examples; random-next segments fetched from the drawn
+    partner with a running sum of sentence lengths."""
+    ex_t = "STRUCT(ex INTEGER, a INTEGER[], b INTEGER[], rnd INTEGER, pu DOUBLE, su DOUBLE, tb INTEGER)"
+    seed = f"'{SEED}'"
+    u = S.uniform
+    a_part = "flatten(ch2[1:a_end])"
+    return f"""WITH RECURSIVE {VOCAB_SQL},
+ds AS (SELECT doc_id, list_transform({S.sentences('text')},
+                                     lambda s: list_transform({S.tokens('s')}, lambda t: CAST(coalesce(m[t], 1) AS INTEGER))) AS ss
+       FROM documents CROSS JOIN vm),
+d AS (SELECT doc_id, ss, row_number() OVER (ORDER BY doc_id) - 1 AS doc_ord, count(*) OVER () AS n_docs,
+             CAST(CASE WHEN {u('doc_id', seed, "'short'")} < 0.1 THEN 2 + floor({u('doc_id', seed, "'len'")} * 252)
+                       ELSE 253 END AS INTEGER) AS target
+      FROM ds WHERE len(ss) > 0),
+fold(doc_id, i, ch, l, ex, out) USING KEY (doc_id) AS (
+  SELECT doc_id, 0, []::INTEGER[][], 0, 0, []::{ex_t}[] FROM d
+  UNION
+  SELECT doc_id,
+    CASE WHEN NOT close THEN i + 1 WHEN rnd = 1 THEN i + 1 - (len(ch2) - a_end) ELSE i + 1 END,
+    CASE WHEN close THEN []::INTEGER[][] ELSE ch2 END,
+    CASE WHEN close THEN 0 ELSE l2 END,
+    CASE WHEN close THEN ex + 1 ELSE ex END,
+    CASE WHEN close THEN out || [struct_pack(ex := ex, a := {a_part},
+                                             b := CASE WHEN rnd = 1 THEN NULL ELSE flatten(ch2[a_end + 1:]) END,
+                                             rnd := rnd,
+                                             pu := CASE WHEN rnd = 1 THEN {u('doc_id', 'ex', "'partner'", seed)} ELSE 0.0 END,
+                                             su := CASE WHEN rnd = 1 THEN {u('doc_id', 'ex', "'start'", seed)} ELSE 0.0 END,
+                                             tb := CASE WHEN rnd = 1 THEN target - len({a_part}) ELSE 0 END)::{ex_t}]
+         ELSE out END
+  FROM (
+    SELECT q.*, CASE WHEN len(ch2) = 1 OR {u('q.doc_id', 'q.ex', "'nsp'", seed)} < 0.5 THEN 1 ELSE 0 END AS rnd
+    FROM (
+      SELECT p.*, CASE WHEN len(ch2) >= 2 THEN 1 + CAST(floor({u('p.doc_id', 'p.ex', "'a_end'", seed)} * (len(ch2) - 1)) AS INTEGER)
+                       ELSE 1 END AS a_end
+      FROM (
+        SELECT f.doc_id, f.i, f.ex, f.out, d.target, f.ch || [d.ss[f.i + 1]] AS ch2, f.l + len(d.ss[f.i + 1]) AS l2,
+               (f.i = len(d.ss) - 1 OR f.l + len(d.ss[f.i + 1]) >= d.target) AS close
+        FROM fold f JOIN d ON f.doc_id = d.doc_id WHERE f.i < len(d.ss)) p) q) r),
+exs AS (SELECT f.doc_id, d.doc_ord, d.n_docs, unnest(f.out, recursive := true) FROM fold f JOIN d ON f.doc_id = d.doc_id),
+neg AS (SELECT *, CASE WHEN n_docs > 1 THEN (doc_ord + 1 + CAST(floor(pu * (n_docs - 1)) AS BIGINT)) % n_docs
+                       ELSE doc_ord END AS partner_ord FROM exs WHERE rnd = 1),
+ns AS (SELECT neg.doc_id, neg.ex, neg.tb, neg.partner_ord, p.ss AS pss, CAST(floor(neg.su * len(p.ss)) AS BIGINT) AS st
+       FROM neg JOIN d p ON p.doc_ord = neg.partner_ord),
+nu AS (SELECT doc_id, ex, tb, unnest(range(0, len(pss) - st)) AS k, unnest(pss[st + 1:]) AS s FROM ns),
+nw AS (SELECT *, coalesce(sum(len(s)) OVER (PARTITION BY doc_id, ex ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM nu),
+nb AS (SELECT doc_id, ex, flatten(list(s ORDER BY k)) AS b FROM nw WHERE k = 0 OR before < tb GROUP BY doc_id, ex),
+pairs AS (SELECT doc_id, ex, a, b, 0 AS rnd FROM exs WHERE rnd = 0
+          UNION ALL SELECT e.doc_id, e.ex, e.a, nb.b, 1 FROM exs e JOIN nb ON e.doc_id = nb.doc_id AND e.ex = nb.ex WHERE e.rnd = 1),
+asm AS (SELECT doc_id, ex, rnd, [2] || a[1:253] || [3] || b[1:253] || [3] AS ids,
+               list_transform(range(len(a[1:253]) + 2), lambda i: 0) || list_transform(range(len(b[1:253]) + 1), lambda i: 1) AS tt
+        FROM pairs),
+padded AS (SELECT doc_id, ex, rnd, ids || list_transform(range(512 - len(ids)), lambda i: 0) AS pid,
+                  tt || list_transform(range(512 - len(ids)), lambda i: 0) AS ptt,
+                  list_transform(range(len(ids)), lambda i: 1) || list_transform(range(512 - len(ids)), lambda i: 0) AS am
+           FROM asm)
+"""
+
+
+PACKED_SQL = _packed_sql()
+
+
+def _u_sql(h0: str, i: str, salt: int) -> str:
+    """``features.position_uniform`` in SQL."""
+    y = f"xor(xor({h0}, ({i} * {N.MIX_I}) % {N.MIX_P}), {(salt * N.MIX_S) % N.MIX_P})"
+    x = f"(({y}) * {N.MIX_A}) % {N.MIX_P}"
+    x = f"xor({x}, ({x}) >> 11)"
+    return f"((({x}) * {N.MIX_C} + {N.MIX_D}) % {N.MIX_P})::DOUBLE / {N.MIX_P}"
+
+
+MASKED_SQL = PACKED_SQL + f""",
+mk AS (SELECT doc_id, ex, pid,
+              CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || ':' || CAST(ex AS VARCHAR) || ':{SEED}:mlm'), 1, 8)) AS BIGINT)
+              % {N.MIX_P} AS h0 FROM padded),
+mz AS (SELECT doc_id, ex, list_transform(range(512), lambda i: struct_pack(x := pid[i + 1], u1 := {_u_sql('h0', 'i', 1)},
+                                                                           u2 := {_u_sql('h0', 'i', 2)}, u3 := {_u_sql('h0', 'i', 3)})) AS z
+       FROM mk),
+ml AS (SELECT doc_id, ex,
+              list_transform(z, lambda p: CASE WHEN p.x NOT IN (0, 2, 3) AND p.u1 < 0.15 THEN p.x ELSE -100 END) AS labels,
+              list_transform(z, lambda p: CASE WHEN NOT (p.x NOT IN (0, 2, 3) AND p.u1 < 0.15) THEN p.x
+                                               WHEN p.u2 < 0.8 THEN 4 WHEN p.u2 < 0.9 THEN 5 + CAST(floor(p.u3 * {VOCAB - 5}) AS INTEGER)
+                                               ELSE p.x END) AS ids
+       FROM mz)"""
+
+
 def examples(spark, sf):
     return N.nsp_examples(docs(spark, sf), vocab(spark, sf), seed=SEED)
 
 
-@query("nsp_examples")
+def _md5(c):
+    return F.md5(F.array_join(F.col(c).cast("array<string>"), ","))
+
+
+@query("nsp_examples", PACKED_SQL + """
+SELECT doc_id, CAST(ex AS BIGINT) AS example_id, md5(array_to_string(pid, ',')) AS input_ids_md5,
+       md5(array_to_string(ptt, ',')) AS token_type_ids_md5, md5(array_to_string(am, ',')) AS attention_mask_md5,
+       CAST(rnd AS BIGINT) AS next_sentence_label FROM padded""")
 def q_nsp_examples(spark, sf):
-    return examples(spark, sf)
+    e = examples(spark, sf)
+    return finish(e.select("doc_id", "example_id", _md5("input_ids").alias("input_ids_md5"),
+                           _md5("token_type_ids").alias("token_type_ids_md5"),
+                           _md5("attention_mask").alias("attention_mask_md5"), "next_sentence_label"))
 
 
-@query("mlm_mask")
+@query("mlm_mask", MASKED_SQL + """
+SELECT doc_id, CAST(ex AS BIGINT) AS example_id, md5(array_to_string(ids, ',')) AS input_ids_md5,
+       md5(array_to_string(labels, ',')) AS labels_md5 FROM ml""")
 def q_mlm_mask(spark, sf):
-    return N.mlm_mask(examples(spark, sf), vocab_size=VOCAB, seed=SEED)
+    m = N.mlm_mask(examples(spark, sf), vocab_size=VOCAB, seed=SEED)
+    return finish(m.select("doc_id", "example_id", _md5("input_ids").alias("input_ids_md5"),
+                           _md5("labels").alias("labels_md5")))
 
 
-@query("filter_ignored_labels")
+@query("filter_ignored_labels", MASKED_SQL + """
+SELECT doc_id, CAST(ex AS BIGINT) AS example_id, CAST(len(list_filter(labels, lambda l: l <> -100)) AS BIGINT) AS masked_positions FROM ml""")
 def q_filter_ignored_labels(spark, sf):
     m = N.mlm_mask(examples(spark, sf), vocab_size=VOCAB, seed=SEED)
     kept = P.filter_ignored_labels(F.col("labels"), F.col("input_ids"))
-    return m.select("doc_id", "example_id", F.size(kept).alias("masked_positions"))
+    return finish(m.select("doc_id", "example_id", F.size(kept).alias("masked_positions")))
 
 
-@query("masked_lm_accuracy")
+@query("masked_lm_accuracy", MASKED_SQL + """
+SELECT round(sum(len(list_filter(list_zip(labels, ids), lambda p: p[1] <> -100 AND p[1] = p[2])))::DOUBLE
+             / sum(len(list_filter(labels, lambda l: l <> -100))), 6) AS masked_lm_accuracy FROM ml""")
 def q_masked_lm_accuracy(spark, sf):
     # a model that copies its (masked) input: right where the token was kept or redrawn to itself
     m = N.mlm_mask(examples(spark, sf), vocab_size=VOCAB, seed=SEED)
-    return E.masked_lm_accuracy(m.withColumnRenamed("input_ids", "predictions"))
+    return finish(E.masked_lm_accuracy(m.withColumnRenamed("input_ids", "predictions")))
 
 
 @query("truncate_and_pad_single", f"""WITH {VOCAB_SQL},

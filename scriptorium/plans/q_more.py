@@ -13,7 +13,7 @@ from scriptorium.operators import split as X
 from scriptorium.operators.ranking import global_rank
 from scriptorium.operators.stats import STAT_COLUMNS
 from scriptorium.plans import sqltext as S
-from scriptorium.plans.q_features import SEED, VOCAB_SQL, docs, vocab
+from scriptorium.plans.q_features import PACKED_SQL, SEED, VOCAB_SQL, docs, vocab
 from scriptorium.plans.q_text import CHUNKS_SQL, STATS_SQL, doc_stats
 from scriptorium.plans.registry import finish, query
 from scriptorium.tables import corpus_documents, table
@@ -41,6 +41,8 @@ def q_union_corpora(spark, sf):
                            c.where("is_target = 0").select("doc_id", "author"))
 
 
+
+
 def _doc_sents(spark, sf):
     d = docs(spark, sf)
     v = vocab(spark, sf)
@@ -49,25 +51,31 @@ def _doc_sents(spark, sf):
     return r.select("doc_id", (F.col("_r") - 1).alias("doc_ord"), "sentences"), r.agg(F.max("_n").alias("_n"))
 
 
-@query("pack_segments")
+@query("pack_segments", PACKED_SQL + """
+SELECT doc_id, CAST(ex AS BIGINT) AS example_id, CAST(len(a) AS BIGINT) AS len_a, CAST(len(b) AS BIGINT) AS len_b,
+       CAST(rnd AS BIGINT) AS is_random_next FROM exs""")
 def q_pack_segments(spark, sf):
     ds, _ = _doc_sents(spark, sf)
-    return N.pack_segments(ds, seed=SEED).select("doc_id", "example_id", F.size("tokens_a").alias("len_a"),
-                                                  F.size("tokens_b").alias("len_b"), "is_random_next")
+    p = N.pack_segments(ds, seed=SEED)
+    return finish(p.select("doc_id", "example_id", F.size("tokens_a").alias("len_a"),
+                           F.when(F.col("tokens_b").isNotNull(), F.size("tokens_b")).alias("len_b"), "is_random_next"))
 
 
-@query("positive_next")
+@query("positive_next", PACKED_SQL + """
+SELECT doc_id, CAST(ex AS BIGINT) AS example_id, CAST(len(a) AS BIGINT) AS len_a, CAST(len(b) AS BIGINT) AS len_b FROM exs WHERE rnd = 0""")
 def q_positive_next(spark, sf):
     ds, _ = _doc_sents(spark, sf)
     p = N.pack_segments(ds, seed=SEED).where("is_random_next = 0")
-    return p.select("doc_id", "example_id", F.size("tokens_a").alias("len_a"), F.size("tokens_b").alias("len_b"))
+    return finish(p.select("doc_id", "example_id", F.size("tokens_a").alias("len_a"), F.size("tokens_b").alias("len_b")))
 
 
-@query("negative_next")
+@query("negative_next", PACKED_SQL + """
+SELECT ns.doc_id, CAST(ns.ex AS BIGINT) AS example_id, ns.partner_ord, CAST(ns.tb AS BIGINT) AS target_b,
+       CAST(len(nb.b) AS BIGINT) AS len_b FROM ns JOIN nb ON ns.doc_id = nb.doc_id AND ns.ex = nb.ex""")
 def q_negative_next(spark, sf):
     ds, n = _doc_sents(spark, sf)
     neg = N.negative_next(N.pack_segments(ds, seed=SEED), ds, n)
-    return neg.select("doc_id", "example_id", "partner_ord", "target_b", F.size("tokens_b").alias("len_b"))
+    return finish(neg.select("doc_id", "example_id", "partner_ord", "target_b", F.size("tokens_b").alias("len_b")))
 
 
 # A deterministic pairing for checking the assembly: A = every sentence but the last,
@@ -138,10 +146,11 @@ def q_pad_to_length(spark, sf):
                              _md5("attention_mask").alias("attention_mask_md5")))
 
 
-@query("next_sentence_label")
+@query("next_sentence_label", PACKED_SQL + """
+SELECT CAST(rnd AS BIGINT) AS next_sentence_label, count(*) AS examples FROM padded GROUP BY rnd""")
 def q_next_sentence_label(spark, sf):
-    return N.nsp_examples(docs(spark, sf), vocab(spark, sf), seed=SEED) \
-            .groupBy("next_sentence_label").agg(F.count(F.lit(1)).alias("examples"))
+    return finish(N.nsp_examples(docs(spark, sf), vocab(spark, sf), seed=SEED)
+                  .groupBy("next_sentence_label").agg(F.count(F.lit(1)).alias("examples")))
 
 
 @query("drop_intermediate_columns")
@@ -178,3 +187,4 @@ def q_encode_tokens(spark, sf):
     out = N.encode_tokens(docs(spark, sf), vocab(spark, sf), id_col="doc_id")
     return finish(out.select("doc_id", F.size("ids").alias("n_ids"),
                              F.md5(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_md5")))
+
