@@ -45,9 +45,25 @@ def q_repetition_rate(spark, sf):
     return finish(d.select("column_name", "unique_values", "total_rows", "repetition_rate").distinct())
 
 
-@query("distribution_report")
+TOPK_SQL = DIST_SQL + f""",
+rk AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY count DESC, value) AS r FROM cnt)
+SELECT rk.column_name, u.unique_values, t.total_rows, {REP},
+       string_agg(value || '=' || CAST(count AS VARCHAR), ';' ORDER BY value) AS most_common
+FROM rk JOIN u ON rk.column_name = u.column_name CROSS JOIN t WHERE r <= 10
+GROUP BY rk.column_name, u.unique_values, t.total_rows"""
+
+
+def map_as_text(col: str):
+    """A map column as 'key=value;...' in key order (a canonical form for comparison)."""
+    return F.array_join(F.transform(F.array_sort(F.map_entries(col)),
+                                    lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ";")
+
+
+@query("distribution_report", TOPK_SQL)
 def q_distribution_report(spark, sf):
-    return A.distribution_report(chunks(spark, sf), COLS3, top_k=10)
+    r = A.distribution_report(chunks(spark, sf), COLS3, top_k=10)
+    return finish(r.select("column_name", "unique_values", "total_rows", "repetition_rate",
+                           map_as_text("most_common").alias("most_common")))
 
 
 @query("distinct_count", CHUNKS_SQL + " SELECT count(DISTINCT source_file) AS unique_values FROM chunks")

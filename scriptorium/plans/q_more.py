@@ -153,10 +153,15 @@ def q_next_sentence_label(spark, sf):
                   .groupBy("next_sentence_label").agg(F.count(F.lit(1)).alias("examples")))
 
 
-@query("drop_intermediate_columns")
+@query("drop_intermediate_columns", PACKED_SQL + """
+SELECT md5(array_to_string(pid, ',')) AS input_ids, md5(array_to_string(ptt, ',')) AS token_type_ids,
+       md5(array_to_string(am, ',')) AS attention_mask, CAST(rnd AS BIGINT) AS next_sentence_label FROM padded""")
 def q_drop_intermediate_columns(spark, sf):
-    return N.nsp_examples(docs(spark, sf), vocab(spark, sf), seed=SEED) \
-            .select("input_ids", "token_type_ids", "attention_mask", "next_sentence_label")
+    """Only the four model inputs remain (arrays compared through their md5)."""
+    e = N.nsp_examples(docs(spark, sf), vocab(spark, sf), seed=SEED) \
+         .select("input_ids", "token_type_ids", "attention_mask", "next_sentence_label")
+    return finish(e.select(*[_md5(c).alias(c) for c in ("input_ids", "token_type_ids", "attention_mask")],
+                           "next_sentence_label"))
 
 
 @query("tokenizer_udf", f"SELECT doc_id, CAST({S.word_count('text')} AS BIGINT) AS n_tokens FROM documents")
