@@ -18,13 +18,18 @@ from scriptorium.tables import table
 VOCAB = 2000
 SEED = 42
 
-VOCAB_SQL = f"""tk AS (SELECT unnest({S.tokens('text')}) AS token FROM documents),
+def vocab_sql(source: str = "documents") -> str:
+    """CTEs ``vocab`` (token, id) and ``vm`` (the same as a map) learned from ``source``."""
+    return f"""tk AS (SELECT unnest({S.tokens('text')}) AS token FROM {source}),
 tc AS (SELECT token, count(*) AS count FROM tk GROUP BY token),
 vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY count DESC, token) + 4 AS BIGINT) AS id
           FROM tc ORDER BY count DESC, token LIMIT {VOCAB - 5}),
 vm AS (SELECT map_from_entries(list(struct_pack(k := token, v := id))) AS m FROM vocab)"""
 
 
+VOCAB_SQL = vocab_sql()
+
+
 def docs(spark, sf):
     return table(spark, sf, "documents").select("doc_id", "text")
 
@@ -75,19 +80,22 @@ def q_random_document_join(spark, sf):
 
 
 # ---- oracle: the packing loop replayed in SQL ---------------------------------------------
-def _packed_sql() -> str:
+def _packed_sql(source: str = "SELECT 'all' AS split, doc_id, text FROM documents",
+                vocab_source: str = "src") -> str:
     """Documents -> sentence id lists -> the greedy packing loop as a recursive CTE (same
     md5 draws as the Spark job) -> examples; random-next segments fetched from the drawn
-    partner with a running sum of sentence lengths."""
+    partner with a running sum of sentence lengths. ``source`` gives (split, doc_id, text);
+    ordinals and partners are drawn within each split."""
     ex_t = "STRUCT(ex INTEGER, a INTEGER[], b INTEGER[], rnd INTEGER, pu DOUBLE, su DOUBLE, tb INTEGER)"
     seed = f"'{SEED}'"
     u = S.uniform
     a_part = "flatten(ch2[1:a_end])"
-    return f"""WITH RECURSIVE {VOCAB_SQL},
-ds AS (SELECT doc_id, list_transform({S.sentences('text')},
+    return f"""WITH RECURSIVE src AS ({source}), {vocab_sql(vocab_source)},
+ds AS (SELECT split, doc_id, list_transform({S.sentences('text')},
                                      lambda s: list_transform({S.tokens('s')}, lambda t: CAST(coalesce(m[t], 1) AS INTEGER))) AS ss
-       FROM documents CROSS JOIN vm),
-d AS (SELECT doc_id, ss, row_number() OVER (ORDER BY doc_id) - 1 AS doc_ord, count(*) OVER () AS n_docs,
+       FROM src CROSS JOIN vm),
+d AS (SELECT split, doc_id, ss, row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1 AS doc_ord,
+             count(*) OVER (PARTITION BY split) AS n_docs,
              CAST(CASE WHEN {u('doc_id', seed, "'short'")} < 0.1 THEN 2 + floor({u('doc_id', seed, "'len'")} * 252)
                        ELSE 253 END AS INTEGER) AS target
       FROM ds WHERE len(ss) > 0),
@@ -115,20 +123,20 @@ fold(doc_id, i, ch, l, ex, out) USING KEY (doc_id) AS (
         SELECT f.doc_id, f.i, f.ex, f.out, d.target, f.ch || [d.ss[f.i + 1]] AS ch2, f.l + len(d.ss[f.i + 1]) AS l2,
                (f.i = len(d.ss) - 1 OR f.l + len(d.ss[f.i + 1]) >= d.target) AS close
         FROM fold f JOIN d ON f.doc_id = d.doc_id WHERE f.i < len(d.ss)) p) q) r),
-exs AS (SELECT f.doc_id, d.doc_ord, d.n_docs, unnest(f.out, recursive := true) FROM fold f JOIN d ON f.doc_id = d.doc_id),
+exs AS (SELECT d.split, f.doc_id, d.doc_ord, d.n_docs, unnest(f.out, recursive := true) FROM fold f JOIN d ON f.doc_id = d.doc_id),
 neg AS (SELECT *, CASE WHEN n_docs > 1 THEN (doc_ord + 1 + CAST(floor(pu * (n_docs - 1)) AS BIGINT)) % n_docs
                        ELSE doc_ord END AS partner_ord FROM exs WHERE rnd = 1),
 ns AS (SELECT neg.doc_id, neg.ex, neg.tb, neg.partner_ord, p.ss AS pss, CAST(floor(neg.su * len(p.ss)) AS BIGINT) AS st
-       FROM neg JOIN d p ON p.doc_ord = neg.partner_ord),
+       FROM neg JOIN d p ON p.split = neg.split AND p.doc_ord = neg.partner_ord),
 nu AS (SELECT doc_id, ex, tb, unnest(range(0, len(pss) - st)) AS k, unnest(pss[st + 1:]) AS s FROM ns),
 nw AS (SELECT *, coalesce(sum(len(s)) OVER (PARTITION BY doc_id, ex ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM nu),
 nb AS (SELECT doc_id, ex, flatten(list(s ORDER BY k)) AS b FROM nw WHERE k = 0 OR before < tb GROUP BY doc_id, ex),
-pairs AS (SELECT doc_id, ex, a, b, 0 AS rnd FROM exs WHERE rnd = 0
-          UNION ALL SELECT e.doc_id, e.ex, e.a, nb.b, 1 FROM exs e JOIN nb ON e.doc_id = nb.doc_id AND e.ex = nb.ex WHERE e.rnd = 1),
-asm AS (SELECT doc_id, ex, rnd, [2] || a[1:253] || [3] || b[1:253] || [3] AS ids,
+pairs AS (SELECT split, doc_id, ex, a, b, 0 AS rnd FROM exs WHERE rnd = 0
+          UNION ALL SELECT e.split, e.doc_id, e.ex, e.a, nb.b, 1 FROM exs e JOIN nb ON e.doc_id = nb.doc_id AND e.ex = nb.ex WHERE e.rnd = 1),
+asm AS (SELECT split, doc_id, ex, rnd, [2] || a[1:253] || [3] || b[1:253] || [3] AS ids,
                list_transform(range(len(a[1:253]) + 2), lambda i: 0) || list_transform(range(len(b[1:253]) + 1), lambda i: 1) AS tt
         FROM pairs),
-padded AS (SELECT doc_id, ex, rnd, ids || list_transform(range(512 - len(ids)), lambda i: 0) AS pid,
+padded AS (SELECT split, doc_id, ex, rnd, ids || list_transform(range(512 - len(ids)), lambda i: 0) AS pid,
                   tt || list_transform(range(512 - len(ids)), lambda i: 0) AS ptt,
                   list_transform(range(len(ids)), lambda i: 1) || list_transform(range(512 - len(ids)), lambda i: 0) AS am
            FROM asm)
@@ -146,14 +154,15 @@ def _u_sql(h0: str, i: str, salt: int) -> str:
     return f"((({x}) * {N.MIX_C} + {N.MIX_D}) % {N.MIX_P})::DOUBLE / {N.MIX_P}"
 
 
-MASKED_SQL = PACKED_SQL + f""",
-mk AS (SELECT doc_id, ex, pid,
+def _masked_sql(packed: str) -> str:
+    return packed + f""",
+mk AS (SELECT split, doc_id, ex, pid,
               CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || ':' || CAST(ex AS VARCHAR) || ':{SEED}:mlm'), 1, 8)) AS BIGINT)
               % {N.MIX_P} AS h0 FROM padded),
-mz AS (SELECT doc_id, ex, list_transform(range(512), lambda i: struct_pack(x := pid[i + 1], u1 := {_u_sql('h0', 'i', 1)},
+mz AS (SELECT split, doc_id, ex, list_transform(range(512), lambda i: struct_pack(x := pid[i + 1], u1 := {_u_sql('h0', 'i', 1)},
                                                                            u2 := {_u_sql('h0', 'i', 2)}, u3 := {_u_sql('h0', 'i', 3)})) AS z
        FROM mk),
-ml AS (SELECT doc_id, ex,
+ml AS (SELECT split, doc_id, ex,
               list_transform(z, lambda p: CASE WHEN p.x NOT IN (0, 2, 3) AND p.u1 < 0.15 THEN p.x ELSE -100 END) AS labels,
               list_transform(z, lambda p: CASE WHEN NOT (p.x NOT IN (0, 2, 3) AND p.u1 < 0.15) THEN p.x
                                                WHEN p.u2 < 0.8 THEN 4 WHEN p.u2 < 0.9 THEN 5 + CAST(floor(p.u3 * {VOCAB - 5}) AS INTEGER)
@@ -161,6 +170,9 @@ ml AS (SELECT doc_id, ex,
        FROM mz)"""
 
 
+MASKED_SQL = _masked_sql(PACKED_SQL)
+
+
 def examples(spark, sf):
     return N.nsp_examples(docs(spark, sf), vocab(spark, sf), seed=SEED)
 
@@ -220,7 +232,18 @@ def q_truncate_and_pad_single(spark, sf):
                              F.md5(F.array_join(F.col("input_ids").cast("array<string>"), ",")).alias("ids_md5")))
 
 
-@query("prepare_dataset")
+PREPARE_SQL = _masked_sql(_packed_sql(
+    f"""SELECT CASE WHEN rk <= ceil(0.2::DOUBLE * n) THEN 'validation' ELSE 'train' END AS split, doc_id, text
+        FROM (SELECT doc_id, text, row_number() OVER (ORDER BY md5(CAST(doc_id AS VARCHAR) || ':{SEED}'), doc_id) AS rk,
+                     count(*) OVER () AS n FROM documents)""",
+    vocab_source="(SELECT * FROM src WHERE split = 'train')"))
+
+
+@query("prepare_dataset", PREPARE_SQL + """
+SELECT split, doc_id, CAST(ex AS BIGINT) AS example_id, md5(array_to_string(ids, ',')) AS input_ids_md5,
+       md5(array_to_string(labels, ',')) AS labels_md5 FROM ml""")
 def q_prepare_dataset(spark, sf):
     d = docs(spark, sf)
-    return N.prepare_dataset(d, key="doc_id", vocab_size=VOCAB, seed=SEED)
+    out = N.prepare_dataset(d, key="doc_id", vocab_size=VOCAB, seed=SEED)
+    return finish(out.select("split", "doc_id", "example_id", _md5("input_ids").alias("input_ids_md5"),
+                             _md5("labels").alias("labels_md5")))
