@@ -233,11 +233,6 @@ def position_uniform(h0: Column, i: Column, salt: int) -> Column:
     return x.cast("double") / float(MIX_P)
 
 
-def fast_uniform(*cols: Column) -> Column:
-    """[0, 1) from a 64-bit xxhash of the columns (cheap enough to call per token)."""
-    return F.pmod(F.xxhash64(*cols), F.lit(1 << 31)).cast("double") / float(1 << 31)
-
-
 def mlm_mask(df: DataFrame, *, vocab_size: int, seed: int = 42, prob: float = MLM_PROB,
              ids_col: str = "input_ids", key_cols: tuple[str, ...] = ("doc_id", "example_id")) -> DataFrame:
     """Choose ``prob`` of the non-special positions; of those 80 % become [MASK], 10 %

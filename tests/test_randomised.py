@@ -52,3 +52,27 @@ def test_rank_within_random(spark):
     for g, xs in by.items():
         for pos, (_, i) in enumerate(sorted(xs), start=1):
             assert got[i] == (pos, len(xs))
+
+
+def test_prefix_extreme_random(spark):
+    from scriptorium.operators.ranking import prefix_extreme, rank_within_stats
+
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["hot"] * 6 + ["a", "b", "c"]), i, rng.random()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, g string, step long, v double")
+    ranked, _ = rank_within_stats(df, ["g"], ["step"], rank_col="k", keep_partition=True, num_partitions=6)
+    ex = prefix_extreme(ranked, ["g"], "k", F.col("v"), fn="min", inclusive=False, out="best")
+    inc = prefix_extreme(ranked, ["g"], "k", F.col("v"), fn="max", inclusive=True, out="top")
+    got_ex = {r["id"]: r["best"] for r in ex.collect()}
+    got_inc = {r["id"]: r["top"] for r in inc.collect()}
+    by = {}
+    for i, g, step, v in rows:
+        by.setdefault(g, []).append((step, i, v))
+    for g, xs in by.items():
+        xs.sort()
+        lo, hi = None, None
+        for _, i, v in xs:
+            assert got_ex[i] == lo
+            hi = v if hi is None else max(hi, v)
+            assert got_inc[i] == hi
+            lo = v if lo is None else min(lo, v)
