@@ -25,7 +25,7 @@ def chunker_udtf(fn: Callable[[str], list[str]]):
     """A Python table function emitting (chunk_id, text) rows for each input text."""
     from pyspark.sql.functions import udtf
 
-    @udtf(returnType="chunk_id: int, text: string")
+    @udtf(returnType="chunk_id: int, text: string", useArrow=True)
     class Chunker:
         def eval(self, text: str):
             if text is None:
