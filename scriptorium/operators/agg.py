@@ -126,11 +126,17 @@ def author_doc_summary(df: DataFrame, *, author_col: str = "author", digits: int
     )
 
 
-def corpus_totals(df: DataFrame, group_col: str, cols: list[str]) -> DataFrame:
-    """Per corpus, the sum of every numeric statistic (ratios summed too, as ``sum_*``
-    parity columns), plus corpus-level ratios recomputed from additive counts."""
-    aggs = [F.sum(c).alias(c) for c in cols]
+def corpus_totals(df: DataFrame, group_col: str, count_cols: list[str], ratio_cols: list[str] | None = None) -> DataFrame:
+    """Per corpus, the number of documents and the sum of every additive count under its
+    own name; per-document ratios are summed too (as the original totals do) under
+    ``sum_<name>``; and the corpus-level sentence length is recomputed from the counts
+    (``corpus_avg_sentence_length`` = words / sentences) when both counts are present."""
+    aggs = [F.sum(c).alias(c) for c in count_cols]
+    aggs += [F.sum(c).alias(f"sum_{c}") for c in (ratio_cols or [])]
     out = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("documents"), *aggs)
+    if "num_words" in count_cols and "num_sentences" in count_cols:
+        out = out.withColumn("corpus_avg_sentence_length",
+                             F.try_divide(F.col("num_words").cast("double"), F.col("num_sentences").cast("double")))
     return out
 
 

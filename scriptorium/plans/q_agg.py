@@ -108,18 +108,22 @@ def q_author_doc_summary(spark, sf):
     return finish(A.author_doc_summary(s))
 
 
-_SUM_COLS = D.STAT_COLUMNS
+_RATIOS = [c for c in D.STAT_COLUMNS if c.startswith(("avg", "lex", "type", "hapax_p"))]
+_COUNTS = [c for c in D.STAT_COLUMNS if c not in _RATIOS]
 
 
 @query("corpus_totals", f"""
 WITH {STATS_SQL}
 SELECT CASE WHEN lang = 'fr' THEN 'Target' ELSE 'Others' END AS author, count(*) AS documents,
-       {", ".join(f"round(sum({c}), 6) AS {c}" if c.startswith(("avg", "lex", "type", "hapax_p")) else f"CAST(sum({c}) AS BIGINT) AS {c}" for c in _SUM_COLS)}
+       {", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in _COUNTS)},
+       {", ".join(f"round(sum({c}), 6) AS sum_{c}" for c in _RATIOS)},
+       round(CASE WHEN sum(num_sentences) = 0 THEN NULL ELSE sum(num_words)::DOUBLE / sum(num_sentences) END, 6)
+         AS corpus_avg_sentence_length
 FROM st GROUP BY 1""")
 def q_corpus_totals(spark, sf):
     s = doc_stats(spark, sf).withColumn(
         "author", F.when(F.col("lang") == "fr", "Target").otherwise("Others"))
-    return finish(A.corpus_totals(s, "author", _SUM_COLS))
+    return finish(A.corpus_totals(s, "author", _COUNTS, _RATIOS))
 
 
 @query("average_words_per_chunk", CHUNKS_SQL + " SELECT round(avg(word_count), 6) AS avg_words_per_chunk FROM chunks")
