@@ -38,15 +38,21 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; set a scratch one only when the session has none."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    configured = spark.conf.get("spark.checkpoint.dir", None) or current
-    if configured:
-        if not current:
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (sessions without a local SparkContext, e.g. Connect)
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
+    if configured or current:
+        if sc is not None and not current:
             sc.setCheckpointDir(configured)
-        return configured
+        return configured or current
     local = tempfile.mkdtemp(prefix="scriptorium-ckpt-")
-    sc.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
+    else:
+        spark.conf.set("spark.checkpoint.dir", local)
     return local
 
 

@@ -28,11 +28,12 @@ def balance(df: DataFrame) -> DataFrame:
     """Round-robin repartition only when the scan has fewer splits than the cluster has
     cores (a few large row groups). On a big input the split count already exceeds the
     parallelism and this is a no-op; the check plans the scan, it runs no job."""
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD access, e.g. Spark Connect): leave the scan as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -81,3 +81,16 @@ def test_kfold_sizes(spark):
         pairs = X.kfold(df, key="k", k=k)
         assert pairs.count() == n * k
         assert pairs.where("role = 'validation'").count() == n
+
+
+def test_hot_group_is_spread_over_partitions(spark):
+    # a third of the rows share one key: the range partitions must still be balanced
+    rows = [(i, "hot" if i % 3 == 0 else f"k{i % 50}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "id long, g string")
+    from scriptorium.operators.ranking import rank_within_stats
+    ranked, sizes = rank_within_stats(df, ["g"], ["id"], rank_col="rk", keep_partition=True, num_partitions=8)
+    per_part = [r["count"] for r in ranked.groupBy("_pid").count().collect()]
+    assert max(per_part) < 2 * (6000 / 8)
+    hot_parts = ranked.where(F.col("g") == "hot").select("_pid").distinct().count()
+    assert hot_parts >= 2                      # the hot group is cut across tasks
+    assert sizes.where(F.col("g") == "hot").first()["_n"] == 2000
