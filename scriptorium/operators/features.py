@@ -4,7 +4,7 @@ Shape of the job:
   documents -> drop empty (P7) -> sentences (T5) -> tokens -> ids through a vocabulary
   learned from the corpus (N1, broadcast: its size is the ``vocab_size`` parameter)
   -> one row per document with its sentence id arrays (N2) -> pair packing (N3-N6) in
-  ``mapInPandas`` (the only per-document sequential loop) -> random "next" segments fetched
+  ``mapInArrow`` (the only per-document sequential loop) -> random "next" segments fetched
   by an equi-join on a drawn document ordinal (J5) -> truncation, special tokens, type ids,
   padding, labels (N7-N11, N14) as array expressions -> masking (N12).
 
@@ -16,8 +16,6 @@ from __future__ import annotations
 
 import hashlib
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from scriptorium.functions import text as TX
@@ -141,15 +139,26 @@ def pack_document(doc_id: int, sentences: list, target: int, seed: int, nsp_prob
 
 
 def _pack_batches(seed: int, nsp_prob: float):
+    """Arrow batches in, Arrow batches out: nested id lists are converted by Arrow (C++),
+    the packing loop is the only per-document Python."""
+    import pyarrow as pa
+
+    schema = pa.schema([("doc_id", pa.int64()), ("doc_ord", pa.int64()), ("example_id", pa.int32()),
+                        ("tokens_a", pa.list_(pa.int32())), ("tokens_b", pa.list_(pa.int32())),
+                        ("is_random_next", pa.int32()), ("partner_u", pa.float64()),
+                        ("start_u", pa.float64()), ("target_b", pa.int32())])
+
     def run(batches):
-        for pdf in batches:
-            rows = []
-            for doc_id, doc_ord, sents, target in zip(pdf["doc_id"], pdf["doc_ord"], pdf["sentences"],
-                                                      pdf["target_len"]):
-                sl = [] if sents is None else [np.asarray(s).tolist() for s in sents]
-                for ex, a, b, rnd, pu, su, tb in pack_document(int(doc_id), sl, int(target), seed, nsp_prob):
-                    rows.append((int(doc_id), int(doc_ord), ex, a, b, rnd, pu, su, tb))
-            yield pd.DataFrame(rows, columns=PACK_SCHEMA.fieldNames())
+        for batch in batches:
+            cols = {name: [] for name in schema.names}
+            ids, ords = batch.column("doc_id").to_pylist(), batch.column("doc_ord").to_pylist()
+            sents, targets = batch.column("sentences").to_pylist(), batch.column("target_len").to_pylist()
+            for doc_id, doc_ord, sl, target in zip(ids, ords, sents, targets):
+                for ex, a, b, rnd, pu, su, tb in pack_document(doc_id, sl or [], target, seed, nsp_prob):
+                    for name, v in zip(schema.names, (doc_id, doc_ord, ex, a, b, rnd, pu, su, tb)):
+                        cols[name].append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(cols[n], type=schema.field(n).type) for n in schema.names],
+                                             schema=schema)
     return run
 
 
@@ -157,13 +166,13 @@ def pack_segments(doc_sents: DataFrame, *, seed: int = 42, nsp_prob: float = NSP
                   short_seq_prob: float = SHORT_SEQ_PROB, block_size: int = BLOCK_SIZE) -> DataFrame:
     """N3 + N4 (+ N6 for positive pairs): examples with A, and B for true-next pairs.
 
-    ``doc_sents``: (doc_id, doc_ord, sentences). Row-local ``mapInPandas`` over Arrow
+    ``doc_sents``: (doc_id, doc_ord, sentences). Row-local ``mapInArrow`` over Arrow
     batches: no shuffle; a document is never split."""
     staged = doc_sents.withColumn("target_len", target_length(F.col("doc_id"), seed=seed,
                                                               short_seq_prob=short_seq_prob,
                                                               block_size=block_size))
     return staged.select("doc_id", "doc_ord", "sentences", "target_len") \
-                 .mapInPandas(_pack_batches(seed, nsp_prob), PACK_SCHEMA)
+                 .mapInArrow(_pack_batches(seed, nsp_prob), PACK_SCHEMA)
 
 
 def _take_until(sentences: Column, start: Column, target: Column) -> Column:
