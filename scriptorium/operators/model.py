@@ -12,12 +12,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from scriptorium.functions.text import TOKEN
 from scriptorium.functions.stopwords import load_stopwords
 from scriptorium.operators import metrics as E
 from scriptorium.operators.split import kfold_assign, train_validation_split
+from scriptorium.session import materialize
 
 SWEEP_SCHEMA = T.StructType([
     T.StructField("model_name", T.StringType()), T.StructField("reg_param", T.DoubleType()),
@@ -101,8 +102,9 @@ def hyperparameter_sweep(train: DataFrame, grid: list[dict], *, key: str, text_c
 def evaluate_on_test(model: PipelineModel, test: DataFrame, *, key: str, label_col: str = "label",
                      names: dict[int, str] | None = None) -> dict[str, DataFrame]:
     """M4: scores the test rows; returns the metrics row (E9), the classification report
-    (E5) and the confusion matrix (E6)."""
-    scored = score_batch(model, test, keep=[key], label_col=label_col).cache()
+    (E5) and the confusion matrix (E6). The narrow scored table (key, label, prediction) is
+    written once under the checkpoint folder and read by the three reports."""
+    scored = materialize(score_batch(model, test, keep=[key], label_col=label_col).drop("probability"), "scored")
     return {"metrics": E.compute_metrics(scored),
             "report": E.classification_report(scored, names=names),
             "confusion": E.confusion_matrix(scored)}

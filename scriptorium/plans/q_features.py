@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scriptorium.functions import text as T
+
 from scriptorium.functions.hashing import uniform
 from scriptorium.operators import features as N
 from scriptorium.operators import metrics as E
