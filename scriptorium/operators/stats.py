@@ -41,6 +41,10 @@ def text_stats(df: DataFrame, text_col: str = "text", *, stopwords: str | Column
         "_nsent": F.size(T.split_sentences(low)),
     }).withColumn("_alnum", T.word_token_alnum_filter("_toks"))
     stop = _stoplist(stopwords, lang_col)
+    # the stop words present in the document, once per row (hash-based intersection); each
+    # token is then tested against that short list only. The column is read twice below, so
+    # it is not inlined into the lambda (where it would be rebuilt for every token).
+    staged = staged.withColumn("_stop_in", F.array_intersect(F.array_distinct("_alnum"), stop))
     n_alnum = F.size("_alnum")
     n_unique = F.size(F.array_distinct("_alnum"))
     hapax = T.hapax_count("_alnum")
@@ -52,12 +56,14 @@ def text_stats(df: DataFrame, text_col: str = "text", *, stopwords: str | Column
         "num_sentences": F.col("_nsent").cast("bigint"),
         "avg_sentence_length": T.safe_ratio(F.size("_toks"), F.col("_nsent")),
         "avg_word_length": T.safe_ratio(char_sum, n_alnum),
-        "lexical_density": T.safe_ratio(F.size(T.remove_stopwords("_alnum", stop)), n_alnum),
+        "lexical_density": T.safe_ratio(
+            F.when(F.size("_stop_in") == 0, n_alnum)
+             .otherwise(F.size(T.remove_stopwords("_alnum", F.col("_stop_in")))), n_alnum),
         "type_token_ratio": T.safe_ratio(n_unique, n_alnum),
         "hapax_legomena": hapax.cast("bigint"),
         "hapax_percentage": T.safe_ratio(hapax, n_alnum) * 100.0,
     })
-    drop = ["_nsent"] if keep_tokens else ["_toks", "_alnum", "_nsent"]
+    drop = ["_nsent", "_stop_in"] if keep_tokens else ["_toks", "_alnum", "_nsent", "_stop_in"]
     return out.drop(*drop)
 
 
