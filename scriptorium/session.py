@@ -37,7 +37,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only when the session has none."""
+    """Return the shared checkpoint folder. Only a local-mode session (tests, a laptop) with
+    none configured gets a scratch folder; on a cluster the setting must name shared storage."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -48,6 +49,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not current:
             sc.setCheckpointDir(configured)
         return configured or current
+    master = spark.conf.get("spark.master", "") or (sc.master if sc is not None else "")
+    if not master.startswith("local"):
+        # a machine-local folder is not shared by the executors of a cluster
+        raise ValueError("spark.checkpoint.dir is not set: point it at a folder shared by the cluster "
+                         "(HDFS, object store) before using operators that write intermediate tables")
     local = tempfile.mkdtemp(prefix="scriptorium-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)
