@@ -255,19 +255,22 @@ def mlm_mask(df: DataFrame, *, vocab_size: int, seed: int = 42, prob: float = ML
     def special(x):
         return x.isin(PAD, CLS, SEP)
 
-    def uni(i, salt):
-        return position_uniform(F.col("_h0"), i, salt)
-
-    def chosen(x, i):
-        return (~special(x)) & (uni(i, 1) < prob)
-
-    def rnd(i):
-        return (F.lit(len(SPECIAL_TOKENS)) + F.floor(uni(i, 3) * (vocab_size - len(SPECIAL_TOKENS)))).cast("int")
-
-    labels = F.transform(ids_col, lambda x, i: F.when(chosen(x, i), x).otherwise(F.lit(IGNORE)).cast("int"))
-    new_ids = F.transform(ids_col, lambda x, i: F.when(~chosen(x, i), x).when(uni(i, 2) < 0.8, F.lit(MASK))
-                          .when(uni(i, 2) < 0.9, rnd(i)).otherwise(x).cast("int"))
-    return staged.withColumn("labels", labels).withColumn(ids_col, new_ids).drop("_h0")
+    # one uniform per real position (2.0 marks special tokens: never chosen). Given that a
+    # position is chosen (u < prob), u / prob is uniform in [0, 1): it picks mask / random /
+    # keep, and the place inside the random band picks the random token
+    staged = staged.withColumn("_u", F.transform(ids_col, lambda x, i: F.when(special(x), F.lit(2.0))
+                                                 .otherwise(position_uniform(F.col("_h0"), i, 1))))
+    n_regular = vocab_size - len(SPECIAL_TOKENS)
+
+    def new_id(x, u):
+        v = u / prob
+        rid = F.lit(len(SPECIAL_TOKENS)) + F.least(F.floor((v - 0.8) / 0.1 * n_regular), F.lit(n_regular - 1))
+        return (F.when(u >= prob, x).when(v < 0.8, F.lit(MASK)).when(v < 0.9, rid.cast("int"))
+                 .otherwise(x).cast("int"))
+
+    labels = F.zip_with(ids_col, "_u", lambda x, u: F.when(u < prob, x).otherwise(F.lit(IGNORE)).cast("int"))
+    new_ids = F.zip_with(ids_col, "_u", new_id)
+    return staged.withColumn("labels", labels).withColumn(ids_col, new_ids).drop("_h0", "_u")
 
 
 def nsp_examples(docs: DataFrame, vocab: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

@@ -159,14 +159,17 @@ def _masked_sql(packed: str) -> str:
 mk AS (SELECT split, doc_id, ex, pid,
               CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || ':' || CAST(ex AS VARCHAR) || ':{SEED}:mlm'), 1, 8)) AS BIGINT)
               % {N.MIX_P} AS h0 FROM padded),
-mz AS (SELECT split, doc_id, ex, list_transform(range(512), lambda i: struct_pack(x := pid[i + 1], u1 := {_u_sql('h0', 'i', 1)},
-                                                                           u2 := {_u_sql('h0', 'i', 2)}, u3 := {_u_sql('h0', 'i', 3)})) AS z
+mz AS (SELECT split, doc_id, ex, pid,
+              list_transform(range(512), lambda i: CASE WHEN pid[i + 1] IN (0, 2, 3) THEN 2.0
+                                                        ELSE {_u_sql('h0', 'i', 1)} END) AS uu
        FROM mk),
 ml AS (SELECT split, doc_id, ex,
-              list_transform(z, lambda p: CASE WHEN p.x NOT IN (0, 2, 3) AND p.u1 < 0.15 THEN p.x ELSE -100 END) AS labels,
-              list_transform(z, lambda p: CASE WHEN NOT (p.x NOT IN (0, 2, 3) AND p.u1 < 0.15) THEN p.x
-                                               WHEN p.u2 < 0.8 THEN 4 WHEN p.u2 < 0.9 THEN 5 + CAST(floor(p.u3 * {VOCAB - 5}) AS INTEGER)
-                                               ELSE p.x END) AS ids
+              list_transform(range(512), lambda i: CASE WHEN uu[i + 1] < 0.15 THEN pid[i + 1] ELSE -100 END) AS labels,
+              list_transform(range(512), lambda i: CASE WHEN uu[i + 1] >= 0.15 THEN pid[i + 1]
+                                                        WHEN uu[i + 1] / 0.15 < 0.8 THEN 4
+                                                        WHEN uu[i + 1] / 0.15 < 0.9
+                                                          THEN CAST(5 + least(floor((uu[i + 1] / 0.15 - 0.8) / 0.1 * {VOCAB - 5}), {VOCAB - 6}) AS INTEGER)
+                                                        ELSE pid[i + 1] END) AS ids
        FROM mz)"""
 
 
