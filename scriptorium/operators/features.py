@@ -284,7 +284,9 @@ def nsp_examples(docs: DataFrame, vocab: DataFrame, *, id_col: str = "doc_id", t
     # the ranked sentence table is written once (inside global_rank) and the packed
     # examples once: both feed several branches (packing, positive / negative pairs, the
     # partner join), and Spark does not reuse exchanges whose subtree holds lambdas
-    ranked = global_rank(ds, ["doc_id"], rank_col="_r", size_col="_n")
+    # materialize_input: the range partitioning's sampling pass reads the written sentence
+    # table instead of tokenising the documents a second time
+    ranked = global_rank(ds, ["doc_id"], rank_col="_r", size_col="_n", materialize_input=True)
     ds = ranked.select("doc_id", (F.col("_r") - 1).alias("doc_ord"), "sentences")
     n_docs = ranked.agg(F.max("_n").alias("_n"))
     packed = materialize(pack_segments(ds, seed=seed, nsp_prob=nsp_prob, short_seq_prob=short_seq_prob,

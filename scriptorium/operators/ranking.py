@@ -93,10 +93,11 @@ def rank_within_stats(df: DataFrame, by: list[str], order: list[Column | str], *
 
 
 def global_rank(df: DataFrame, order: list[Column | str], *, rank_col: str = "rank",
-                size_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
+                size_col: str | None = None, num_partitions: int | None = None,
+                materialize_input: bool = False) -> DataFrame:
     """Dense 1..n rank over the whole table by ``order`` (a distributed ``zipWithIndex``)."""
     return rank_within(df, [], order, rank_col=rank_col, size_col=size_col,
-                       num_partitions=num_partitions)
+                       num_partitions=num_partitions, materialize_input=materialize_input)
 
 
 def prefix_extreme(ranked: DataFrame, by: list[str], rank_col: str, value: Column, *, fn: str = "min",
