@@ -66,6 +66,47 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# folders written by materialize() / scratch_path(), per application id
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def _remember(spark, path: str) -> str:
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        app = "session"
+    _SCRATCH.setdefault(app, []).append(path)
+    return path
+
+
+def scratch_folders(spark) -> list[str]:
+    """The intermediate folders this application has written so far."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        app = "session"
+    return list(_SCRATCH.get(app, []))
+
+
+def drop_scratch(spark) -> int:
+    """Delete the intermediate tables this application wrote under the checkpoint folder
+    (through the Hadoop FileSystem of each path, so HDFS and object stores work). Call it
+    when the results that read them have been written or collected. Returns the number of
+    folders removed."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    removed = 0
+    for path in scratch_folders(spark):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p) and fs.delete(p, True):
+            removed += 1
+    try:
+        _SCRATCH.pop(spark.sparkContext.applicationId, None)
+    except Exception:  # noqa: BLE001
+        _SCRATCH.pop("session", None)
+    return removed
+
+
 def materialize(df, tag: str = "table"):
     """Write ``df`` as Parquet under the session's checkpoint folder and read it back.
 
@@ -77,7 +118,7 @@ def materialize(df, tag: str = "table"):
 
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/scriptorium-{tag}-{uuid.uuid4().hex}"
+    path = _remember(spark, f"{base}/scriptorium-{tag}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -86,4 +127,4 @@ def scratch_path(spark, tag: str) -> str:
     """A fresh folder name under the session's checkpoint folder (shared on a cluster)."""
     import uuid
 
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/scriptorium-{tag}-{uuid.uuid4().hex}"
+    return _remember(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/scriptorium-{tag}-{uuid.uuid4().hex}")

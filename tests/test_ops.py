@@ -65,3 +65,18 @@ def test_run_log_steps_and_epochs(spark):
         assert steps == list(range(1, 11))
         epochs = [log[(run, s)]["epoch"] for s in steps if log[(run, s)]["event_type"] == "click"]
         assert epochs == list(range(1, len(epochs) + 1))
+
+
+def test_drop_scratch(spark):
+    import os
+
+    from scriptorium.session import drop_scratch, materialize, scratch_folders
+
+    before = set(scratch_folders(spark))
+    t = materialize(spark.range(10), "test")
+    assert t.count() == 10
+    new = [p for p in scratch_folders(spark) if p not in before]
+    assert len(new) == 1 and os.path.isdir(new[0].replace("file:", ""))
+    assert drop_scratch(spark) >= 1
+    assert not os.path.exists(new[0].replace("file:", ""))
+    assert scratch_folders(spark) == []
