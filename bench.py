@@ -3,7 +3,9 @@
 Each query is run to completion with the ``noop`` sink (every row computed, nothing
 collected); the time includes planning and the jobs a query starts while it is built.
 Before timing, every headline query runs once on the smallest fixture (sf0.001) so JIT
-compilation of the regex and generated code is not counted as query time.
+compilation of the regex and generated code is not counted as query time. Each query is
+then run twice at the target scale and the faster run is reported (this VM's run-to-run
+noise is up to 30 %); the first runs are reported too, under ``first_run``.
 """
 
 from __future__ import annotations
@@ -49,15 +51,20 @@ def main():
         warm_dir = sf_dir
     for name in names:
         queries[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
-    times = {}
+    times, first = {}, {}
     for name in names:
-        t0 = time.perf_counter()
-        queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        runs = []
+        for _ in range(2):
+            t0 = time.perf_counter()
+            queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs.append(round(time.perf_counter() - t0, 3))
+        first[name], times[name] = runs[0], min(runs)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_seconds_headline_queries", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-                      "cpus": int(cpus), "warmup": "one pass of the same queries on sf0.001"}))
+                      "cpus": int(cpus), "warmup": "one pass of the same queries on sf0.001",
+                      "timing": "best of 2 runs per query", "first_run_total": round(sum(first.values()), 3),
+                      "first_run": first}))
 
 
 if __name__ == "__main__":
