@@ -116,9 +116,14 @@ def train_validation_split(df: DataFrame, *, key: str, test_size: float = 0.2, s
             .drop("_rank", "_n")
 
 
-def kfold_assign(df: DataFrame, *, key: str, k: int = 5, seed: int = 42, fold_col: str = "fold") -> DataFrame:
+def kfold_assign(df: DataFrame, *, key: str, k: int = 5, seed: int = 42, fold_col: str = "fold",
+                 exact: bool = True) -> DataFrame:
     """Shuffled k folds; the first ``n mod k`` folds hold one row more. Each row gets
-    the 0-based fold where it is in the validation part."""
+    the 0-based fold where it is in the validation part. ``exact=False``: a row-local
+    ``pmod(hash, k)`` with about n / k rows per fold and no shuffle."""
+    if not exact:
+        h = F.conv(F.substring(hash_order(F.col(key), seed), 1, 8), 16, 10).cast("long")
+        return df.withColumn(fold_col, F.pmod(h, F.lit(k)).cast("int"))
     r = global_rank(df, _order(key, seed), rank_col="_rank", size_col="_n")
     q = F.floor(F.col("_n") / k)
     m = F.col("_n") - q * k
@@ -128,10 +133,10 @@ def kfold_assign(df: DataFrame, *, key: str, k: int = 5, seed: int = 42, fold_co
     return r.withColumn(fold_col, fold.cast("int")).drop("_rank", "_n")
 
 
-def kfold(df: DataFrame, *, key: str, k: int = 5, seed: int = 42) -> DataFrame:
+def kfold(df: DataFrame, *, key: str, k: int = 5, seed: int = 42, exact: bool = True) -> DataFrame:
     """X5 long form: every row once per fold, with ``fold`` and ``role`` (train /
     validation): the k train/validation pairs as one DataFrame."""
-    a = kfold_assign(df, key=key, k=k, seed=seed, fold_col="_vf")
+    a = kfold_assign(df, key=key, k=k, seed=seed, fold_col="_vf", exact=exact)
     return (a.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
              .withColumn("role", F.when(F.col("fold") == F.col("_vf"), "validation").otherwise("train"))
              .drop("_vf"))

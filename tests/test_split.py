@@ -94,3 +94,12 @@ def test_hot_group_is_spread_over_partitions(spark):
     hot_parts = ranked.where(F.col("g") == "hot").select("_pid").distinct().count()
     assert hot_parts >= 2                      # the hot group is cut across tasks
     assert sizes.where(F.col("g") == "hot").first()["_n"] == 2000
+
+
+def test_kfold_approximate(spark):
+    df = spark.range(5000).withColumnRenamed("id", "k")
+    a = X.kfold_assign(df, key="k", k=5, exact=False)
+    sizes = [r["count"] for r in a.groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and sum(sizes) == 5000 and min(sizes) > 850
+    # same key, same fold on every run
+    assert a.exceptAll(X.kfold_assign(df, key="k", k=5, exact=False)).count() == 0
