@@ -122,3 +122,10 @@ def q_kfold(spark, sf):
 def q_take_first_rows(spark, sf):
     d = corpus_documents(spark, sf).select("doc_id", "source_file", "lang")
     return X.take_first_rows(d, 5, ["doc_id"])
+
+
+@query("kfold_approximate", f"""
+SELECT doc_id, CAST((('0x' || substr({_h('doc_id')}, 1, 8))::BIGINT) % 5 AS BIGINT) AS fold FROM documents""")
+def q_kfold_approximate(spark, sf):
+    d = corpus_documents(spark, sf).select("doc_id")
+    return finish(X.kfold_assign(d, key="doc_id", k=5, seed=SEED, exact=False).select("doc_id", "fold"))

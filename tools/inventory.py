@@ -82,7 +82,7 @@ ROWS = [
     ("X2", "operators.split.authorship_split", ["authorship_split"]),
     ("X3", "operators.split.stratified_sample_n", ["stratified_sample_n"]),
     ("X4", "operators.split.train_validation_split", ["train_validation_split"]),
-    ("X5", "operators.split.kfold / kfold_assign", ["kfold"]),
+    ("X5", "operators.split.kfold / kfold_assign (exact, or row-local approximate)", ["kfold", "kfold_approximate"]),
     ("X6", "operators.split.take_first_rows", ["take_first_rows"]),
     ("W1", "operators.agg.value_counts (order)", ["sort_by_count_desc"]),
     ("W2", "operators.agg.top_values", ["top_values"]),
