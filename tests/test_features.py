@@ -71,3 +71,19 @@ def test_truncate_and_pad_single(spark):
     assert len(out[1]["input_ids"]) == 512 and sum(out[1]["attention_mask"]) == 512
     assert sum(out[2]["attention_mask"]) == 4 and len(out[2]["input_ids"]) == 512
     assert out[3]["input_ids"][:2] == [N.CLS, N.SEP]
+
+
+def test_random_next_comes_from_another_document(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    vocab = N.build_vocab(d, "text", 2000)
+    ds = N.document_sentences(N.sentence_table(d, vocab), d)
+    from scriptorium.operators.ranking import global_rank
+    r = global_rank(ds, ["doc_id"], rank_col="_r", size_col="_n")
+    ds = r.select("doc_id", (F.col("_r") - 1).alias("doc_ord"), "sentences")
+    n = r.agg(F.max("_n").alias("_n"))
+    packed = N.pack_segments(ds, seed=5)
+    neg = N.negative_next(packed, ds, n).collect()
+    assert neg and all(x["partner_ord"] != x["doc_ord"] for x in neg)
+    assert all(len(x["tokens_b"]) >= 1 for x in neg)
+    pos = packed.where("is_random_next = 0").collect()
+    assert all(x["tokens_b"] is not None and len(x["tokens_b"]) >= 1 for x in pos)
