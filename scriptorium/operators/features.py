@@ -231,15 +231,23 @@ MIX_C = 69621
 MIX_D = 12345
 
 
+def mix_first(h0: Column, i: Column, salt: int) -> Column:
+    """First round of the per-position mix: xor the inputs, multiply modulo 2^31 - 1."""
+    y = h0.bitwiseXOR((i.cast("long") * MIX_I) % MIX_P).bitwiseXOR(F.lit((salt * MIX_S) % MIX_P))
+    return (y * MIX_A) % MIX_P
+
+
+def mix_second(x: Column) -> Column:
+    """Second round: xor-shift, multiply-add modulo 2^31 - 1, scaled to [0, 1)."""
+    x = x.bitwiseXOR(F.shiftright(x, 11))
+    return ((x * MIX_C + MIX_D) % MIX_P).cast("double") / float(MIX_P)
+
+
 def position_uniform(h0: Column, i: Column, salt: int) -> Column:
     """[0, 1) for position ``i`` of an example with base value ``h0`` in [0, 2^31 - 1).
     Integer arithmetic only (every product stays below 2^63), so it is cheap per token and
     the same in any SQL engine; different salts give unrelated values."""
-    y = h0.bitwiseXOR((i.cast("long") * MIX_I) % MIX_P).bitwiseXOR(F.lit((salt * MIX_S) % MIX_P))
-    x = (y * MIX_A) % MIX_P
-    x = x.bitwiseXOR(F.shiftright(x, 11))
-    x = (x * MIX_C + MIX_D) % MIX_P
-    return x.cast("double") / float(MIX_P)
+    return mix_second(mix_first(h0, i, salt))
 
 
 def mlm_mask(df: DataFrame, *, vocab_size: int, seed: int = 42, prob: float = MLM_PROB,
@@ -258,8 +266,11 @@ def mlm_mask(df: DataFrame, *, vocab_size: int, seed: int = 42, prob: float = ML
     # one uniform per real position (2.0 marks special tokens: never chosen). Given that a
     # position is chosen (u < prob), u / prob is uniform in [0, 1): it picks mask / random /
     # keep, and the place inside the random band picks the random token
-    staged = staged.withColumn("_u", F.transform(ids_col, lambda x, i: F.when(special(x), F.lit(2.0))
-                                                 .otherwise(position_uniform(F.col("_h0"), i, 1))))
+    # the mix in two array passes, so its first stage is evaluated once per position
+    # (lambdas get no common-subexpression elimination); special tokens carry -1 -> 2.0
+    staged = staged.withColumn("_m", F.transform(ids_col, lambda x, i: F.when(special(x), F.lit(-1).cast("long"))
+                                                 .otherwise(mix_first(F.col("_h0"), i, 1))))
+    staged = staged.withColumn("_u", F.transform("_m", lambda v: F.when(v < 0, F.lit(2.0)).otherwise(mix_second(v))))
     n_regular = vocab_size - len(SPECIAL_TOKENS)
 
     def new_id(x, u):
@@ -270,7 +281,7 @@ def mlm_mask(df: DataFrame, *, vocab_size: int, seed: int = 42, prob: float = ML
 
     labels = F.zip_with(ids_col, "_u", lambda x, u: F.when(u < prob, x).otherwise(F.lit(IGNORE)).cast("int"))
     new_ids = F.zip_with(ids_col, "_u", new_id)
-    return staged.withColumn("labels", labels).withColumn(ids_col, new_ids).drop("_h0", "_u")
+    return staged.withColumn("labels", labels).withColumn(ids_col, new_ids).drop("_h0", "_m", "_u")
 
 
 def nsp_examples(docs: DataFrame, vocab: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
