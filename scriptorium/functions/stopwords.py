@@ -1,16 +1,14 @@
 """Stop-word lists.
 
-The lists are the ones Spark ML ships (``StopWordsRemover.loadDefaultStopWords``). They are
-read straight from the Spark ML jar so the same words reach both the Spark expressions and
-the SQL oracle without a JVM round trip.
+The lists are the ones Spark ML ships (``StopWordsRemover.loadDefaultStopWords``), kept as
+plain text files in ``stopword_lists`` so that the Spark expressions and the SQL oracle use
+the same words in any process, whether or not Spark's jars can be found there.
 """
 
 from __future__ import annotations
 
 import functools
-import glob
 import os
-import zipfile
 
 from pyspark.sql import Column, functions as F
 
@@ -18,17 +16,13 @@ from pyspark.sql import Column, functions as F
 LANGUAGE_LISTS = {"en": "english", "fr": "french", "de": "german", "es": "spanish",
                   "pt": "portuguese"}
 
+LIST_DIR = os.path.join(os.path.dirname(os.path.abspath(__file__)), "stopword_lists")
+
 
 @functools.lru_cache(maxsize=None)
 def load_stopwords(language: str = "portuguese") -> tuple[str, ...]:
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if not jars:
-        raise FileNotFoundError("spark-mllib jar not found")
-    with zipfile.ZipFile(jars[0]) as z:
-        raw = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    return tuple(w for w in raw.split("\n") if w)
+    with open(os.path.join(LIST_DIR, f"{language}.txt"), encoding="utf-8") as f:
+        return tuple(w for w in f.read().split("\n") if w)
 
 
 def stopword_array(language: str = "portuguese") -> Column:

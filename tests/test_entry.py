@@ -41,3 +41,27 @@ def test_oracle_sample(spark):
         hs, _ = oc.rows_hash(df.columns, [tuple(r) for r in df.collect()])
         ho, _ = oc.rows_hash(rel.columns, rel.fetchall())
         assert hs == ho, name
+
+
+def test_registry_loads_from_another_folder_without_spark_jars(tmp_path):
+    """queries() and oracle_sql() need neither the working directory nor Spark's jars: a
+    process whose pyspark package folder shows no jars loads every module."""
+    import subprocess
+    import sys
+
+    code = (
+        "import glob, importlib.util, zipfile\n"
+        "real = glob.glob\n"
+        "glob.glob = lambda p, *a, **k: [] if 'jars' in str(p) else real(p, *a, **k)\n"
+        "def closed(*a, **k): raise FileNotFoundError('no jar')\n"
+        "zipfile.ZipFile = closed\n"
+        f"spec = importlib.util.spec_from_file_location('spark_entry', {os.path.join(ROOT, '__spark_entry__.py')!r})\n"
+        "m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)\n"
+        "q, o = m.queries(), m.oracle_sql()\n"
+        "from scriptorium.plans import FAILED\n"
+        "assert not FAILED, FAILED\n"
+        "print(len(q), len(o))\n")
+    r = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert r.returncode == 0, r.stderr[-2000:]
+    n_queries, n_oracle = map(int, r.stdout.split()[-2:])
+    assert n_queries >= 127 and n_oracle >= 122
