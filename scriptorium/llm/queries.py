@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from scriptorium.llm.decontamination import OP8_SQL, op8_benchmark_decontamination
 from scriptorium.llm.token_counts import op1_token_counts
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_benchmark_decontamination": OP8_SQL,
+}
