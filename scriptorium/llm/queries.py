@@ -5,12 +5,14 @@ from __future__ import annotations
 from scriptorium.llm.dart_minhash import op2_dart_minhash
 from scriptorium.llm.decontamination import OP8_SQL, op8_benchmark_decontamination
 from scriptorium.llm.language_id import op6_language_id
+from scriptorium.llm.sentencepiece_encoding import op3_sentencepiece
 from scriptorium.llm.token_counts import op1_token_counts
 from scriptorium.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_dart_minhash": op2_dart_minhash,
+    "op3_sentencepiece": op3_sentencepiece,
     "op6_language_id": op6_language_id,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
