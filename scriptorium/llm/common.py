@@ -165,6 +165,21 @@ def _inverse(positions: np.ndarray) -> np.ndarray:
     return _INV[positions]
 
 
+def keep_rows(df: DataFrame, text_col: str, make_keep) -> DataFrame:
+    """The rows of ``df``, all columns unchanged, that ``make_keep()`` (called once per task) keeps:
+    it returns a function from an Arrow text column to a boolean array."""
+    at = df.columns.index(text_col)
+
+    def run(batches):
+        import pyarrow as pa
+
+        keep = make_keep()
+        for b in batches:
+            yield b.filter(pa.array(np.asarray(keep(b.column(at)), dtype=bool)))
+
+    return df.mapInArrow(run, df.schema)
+
+
 # ---- connected components --------------------------------------------------------------------
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

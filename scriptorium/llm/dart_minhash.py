@@ -305,10 +305,12 @@ def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     blank = materialize(cls.where("class_node IS NULL").select(F.col("copy").alias("_keep_copy")).distinct(), "blank")
     keyed = df.withColumn("_copy", F.xxhash64(F.coalesce(df[text_col].cast("string"), F.lit(""))))
     on = keyed[id_col].eqNullSafe(best["_keep_id"]) & (keyed["_copy"] == best["_keep_copy"])
-    single = keyed.join(best.where("_twins = 1"), on, "left_semi")
-    repeated = keyed.join(best.where("_twins > 1"), on, "left_semi").dropDuplicates([id_col, "_copy"])
-    empty = keyed.join(blank, keyed["_copy"] == blank["_keep_copy"], "left_semi")
-    return single.unionByName(repeated).unionByName(empty).drop("_copy")
+    out = keyed.join(best.where("_twins = 1"), on, "left_semi")
+    if not best.where("_twins > 1").isEmpty():
+        out = out.unionByName(keyed.join(best.where("_twins > 1"), on, "left_semi").dropDuplicates([id_col, "_copy"]))
+    if not blank.isEmpty():
+        out = out.unionByName(keyed.join(blank, keyed["_copy"] == blank["_keep_copy"], "left_semi"))
+    return out.drop("_copy")
 
 
 def op2_dart_minhash(spark, sf_dir: str) -> DataFrame:

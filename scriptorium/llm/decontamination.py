@@ -70,6 +70,18 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
                        threshold: float = THRESHOLD, width: int = WIDTH) -> DataFrame:
     """(id, item id, n_shared, n_item, containment) of every document and item with containment
     of at least ``threshold``."""
+    found, share = _search(docs, items, id_col, text_col, item_id_col, item_text_col, threshold, width)
+    out = (found.join(share, "copy").groupBy("doc", "item")
+           .agg(F.max(F.struct((F.col("n_shared") / F.col("n")).alias("c"), "n_shared", "n")).alias("m"))
+           .select("doc", "item", F.col("m.n_shared").alias("n_shared"), F.col("m.n").alias("n_item")))
+    return out.select(F.col("doc").alias(id_col), F.col("item").alias(item_id_col),
+                      F.col("n_shared").cast("long"), F.col("n_item").cast("long"),
+                      F.round(F.col("n_shared") / F.col("n_item"), 9).alias("containment"))
+
+
+def _search(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id_col: str, item_text_col: str,
+            threshold: float, width: int) -> tuple[DataFrame, DataFrame]:
+    """(doc, copy) of the candidate documents, and (copy, item, n, n_shared) of the texts that contain an item."""
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
     # -- items: words -> distinct shingles, sketch, size partition
@@ -118,10 +130,10 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
         small = explode_rows(d.select("doc", "copy", sampled(k).alias("h")), "h")
         hit = small.join(sketch.where(F.col("k") == k).select("h").distinct(), "h", "left_semi").select("doc", "copy", "h")
         pairs = hit if pairs is None else pairs.unionByName(hit)
-    empty = docs.sparkSession.createDataFrame([], f"item {dict(items.dtypes)[item_id_col]}, n_shared long, n_item int")
-    if pairs is None:
-        out = d.select("doc").where("false").join(empty, F.lit(True))
-        return _named(out, id_col, item_id_col)
+    if pairs is None:  # no item has a word
+        spark = docs.sparkSession
+        none = spark.createDataFrame([], f"copy long, item {dict(items.dtypes)[item_id_col]}, n int, n_shared long")
+        return d.select("doc", "copy").where("false"), none
     # candidate documents: those holding at least one sketch hash
     found = materialize(pairs.select("doc", "copy").distinct(), "candidates")
 
@@ -136,23 +148,18 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     # two items may have one id: they are told apart by their number of shingles and met shingles
     share = (shared.distinct().groupBy("copy", "item", "n").agg(F.count(F.lit(1)).alias("n_shared"))
              .where(F.col("n_shared") >= F.lit(threshold - 1e-9) * F.col("n")))
-    out = (found.join(share, "copy").groupBy("doc", "item")
-           .agg(F.max(F.struct((F.col("n_shared") / F.col("n")).alias("c"), "n_shared", "n")).alias("m"))
-           .select("doc", "item", F.col("m.n_shared").alias("n_shared"), F.col("m.n").alias("n_item")))
-    return _named(out, id_col, item_id_col)
-
-
-def _named(out: DataFrame, id_col: str, item_id_col: str) -> DataFrame:
-    return out.select(F.col("doc").alias(id_col), F.col("item").alias(item_id_col),
-                      F.col("n_shared").cast("long"), F.col("n_item").cast("long"),
-                      F.round(F.col("n_shared") / F.col("n_item"), 9).alias("containment"))
-
-
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` whose document contains no item (all columns kept). A row without an
-    id is dropped when any row without an id contains an item."""
-    bad = contaminated_pairs(docs, items, id_col, text_col, **how).select(F.col(id_col).alias("_bad_id")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad_id"]), "left_anti")
+    return found, share
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  item_id_col: str = "item_id", item_text_col: str = "text",
+                  threshold: float = THRESHOLD, width: int = WIDTH) -> DataFrame:
+    """The rows of ``docs`` whose text contains no item (all columns kept)."""
+    _, share = _search(docs, items, id_col, text_col, item_id_col, item_text_col, threshold, width)
+    # written first, so that Spark knows the size of this side
+    bad = materialize(share.select(F.col("copy").alias("_bad")).distinct(), "contaminated")
+    text = F.xxhash64(docs[text_col].cast("string"))
+    return docs.withColumn("_text_hash", text).join(bad, F.col("_text_hash") == F.col("_bad"), "left_anti").drop("_text_hash")
 
 
 def op8_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

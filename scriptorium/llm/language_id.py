@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from scriptorium.llm.common import held_out, ready, table, utf8_batch
+from scriptorium.llm.common import held_out, keep_rows, ready, table, utf8_batch
 
 BUCKETS = 4096
 CENTROIDS = 4
@@ -179,6 +179,23 @@ def identify(df: DataFrame, model: dict | None, id_col: str = "doc_id", text_col
     return rows.mapInArrow(run, f"`{id_col}` {id_type}, lang_pred string, score double, rejected boolean")
 
 
+def without_rejected(df: DataFrame, model: dict | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text is in one of the learned languages (all columns kept)."""
+    spark = df.sparkSession
+    ready(spark)
+    if model is None:
+        return df.where("false")
+    shared = spark.sparkContext.broadcast(model)
+
+    def make_keep():
+        def keep(column):
+            return ~predict_arrays(shared.value, trigram_counts(*utf8_batch(column)))[2]
+        return keep
+
+    letters = df.where(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).rlike("\\p{L}"))
+    return keep_rows(letters, text_col, make_keep)
+
+
 def op6_language_id(spark, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the documents outside the held-out fifth."""
     docs = table(spark, sf_dir, "documents")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from scriptorium.llm.dart_minhash import op2_dart_minhash
 from scriptorium.llm.decontamination import OP8_SQL, op8_benchmark_decontamination
 from scriptorium.llm.language_id import op6_language_id
@@ -16,8 +17,12 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
     "op8_benchmark_decontamination": OP8_SQL,
 }
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
