@@ -10,11 +10,13 @@ from scriptorium.llm.language_id import op6_language_id
 from scriptorium.llm.sentencepiece_encoding import op3_sentencepiece
 from scriptorium.llm.token_counts import op1_token_counts
 from scriptorium.llm.toxicity import op9_toxicity
+from scriptorium.llm.url_filter import op4_url_filter
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_dart_minhash": op2_dart_minhash,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_url_filter": op4_url_filter,
     "op6_language_id": op6_language_id,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
