@@ -6,6 +6,7 @@ import corpus_pipeline
 from scriptorium.llm.dart_minhash import op2_dart_minhash
 from scriptorium.llm.decontamination import OP8_SQL, op8_benchmark_decontamination
 from scriptorium.llm.embedding_dedup import op7_embedding_dedup
+from scriptorium.llm.html_extraction import op5_html_extraction
 from scriptorium.llm.language_id import op6_language_id
 from scriptorium.llm.sentencepiece_encoding import op3_sentencepiece
 from scriptorium.llm.token_counts import op1_token_counts
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_dart_minhash": op2_dart_minhash,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_url_filter": op4_url_filter,
+    "op5_html_extraction": op5_html_extraction,
     "op6_language_id": op6_language_id,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
