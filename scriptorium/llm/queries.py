@@ -8,6 +8,7 @@ from scriptorium.llm.decontamination import OP8_SQL, op8_benchmark_decontaminati
 from scriptorium.llm.embedding_dedup import op7_embedding_dedup
 from scriptorium.llm.html_extraction import op5_html_extraction
 from scriptorium.llm.language_id import op6_language_id
+from scriptorium.llm.lm_scoring import op10_lm_scoring
 from scriptorium.llm.sentencepiece_encoding import op3_sentencepiece
 from scriptorium.llm.token_counts import op1_token_counts
 from scriptorium.llm.toxicity import op9_toxicity
@@ -23,6 +24,7 @@ QUERIES = {
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
+    "op10_lm_scoring": op10_lm_scoring,
     "pipeline": corpus_pipeline.run,
 }
 
