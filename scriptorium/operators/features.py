@@ -14,8 +14,6 @@ tasks give the same examples. Label 1 means the second segment is a random one.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from scriptorium.functions import text as TX
@@ -27,6 +25,8 @@ from scriptorium.session import materialize
 # fixed values: special tokens and their ids, sequence sizes
 PAD, UNK, CLS, SEP, MASK = 0, 1, 2, 3, 4
 SPECIAL_TOKENS = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"]
+# no position holding one of these is ever a masking target
+SPECIAL_IDS = (PAD, UNK, CLS, SEP, MASK)
 BLOCK_SIZE = 256
 MAX_LENGTH = 512
 NSP_PROB = 0.5
@@ -68,7 +68,7 @@ def sentence_table(docs: DataFrame, vocab: DataFrame, *, id_col: str = "doc_id",
                             with_pos=True)
     toks = TX.explode_rows(sents, [id_col, "sentence_id"], TX.tokenise_words(F.col("sentence")),
                            ("pos", "token"), with_pos=True)
-    ided = toks.join(F.broadcast(vocab), "token", "left") \
+    ided = toks.join(vocab, "token", "left") \
                .withColumn("id", F.coalesce(F.col("id"), F.lit(UNK)))
     grouped = ided.groupBy(id_col, "sentence_id").agg(
         F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
@@ -91,12 +91,7 @@ def target_length(doc_id: Column, *, seed: int = 42, short_seq_prob: float = SHO
                   uniform_int(2, m, doc_id, seed, "len")).otherwise(F.lit(m)).cast("int")
 
 
-# ---- N4-N6: packing (per-document loop) -------------------------------------------------------
-def _u(*parts) -> float:
-    h = hashlib.md5(":".join(str(p) for p in parts).encode()).hexdigest()
-    return int(h[:8], 16) / 4294967296.0
-
-
+# ---- N4-N6: packing by ranges of sentences ------------------------------------------------------
 PACK_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("doc_ord", T.LongType()),
     T.StructField("example_id", T.IntegerType()),
@@ -108,57 +103,66 @@ PACK_SCHEMA = T.StructType([
 ])
 
 
-def pack_document(doc_id: int, sentences: list, target: int, seed: int, nsp_prob: float):
-    """The greedy segment packing of one document; yields example tuples.
-
-    Segments are added until the target length or the document end; the first ``a_end``
-    (uniform in [1, len-1], 1 for a single segment) form A. With probability ``nsp_prob``,
-    or when there is a single segment, B is random (fetched later by join) and the unused
-    segments are put back; otherwise B is the remaining segments.
+def _pack_batches(seed: int, nsp_prob: float):
+    """Arrow function from documents to examples, by arithmetic on running sentence lengths.
+
+    An example is a range of sentences [start, end) with a cut inside: the end is the first
+    place where the running length reaches the target (a binary search) or the document's
+    end; A is [start, cut), with the cut uniform behind the first sentence. If the pair is random the
+    next example starts at the cut, else B is [cut, end) and it starts at the end. Token lists are
+    cut from the Arrow values by these ranges; Python sees one step per example and no
+    token. The function refers to nothing outside itself, so workers need not have the package.
     """
-    chunk, length, i, ex = [], 0, 0, 0
-    n = len(sentences)
-    while i < n:
-        seg = list(sentences[i])
-        chunk.append(seg)
-        length += len(seg)
-        if i == n - 1 or length >= target:
-            a_end = 1
-            if len(chunk) >= 2:
-                a_end = 1 + int(_u(doc_id, ex, "a_end", seed) * (len(chunk) - 1))
-            tokens_a = [t for s in chunk[:a_end] for t in s]
-            if len(chunk) == 1 or _u(doc_id, ex, "nsp", seed) < nsp_prob:
-                yield (ex, tokens_a, None, 1, _u(doc_id, ex, "partner", seed),
-                       _u(doc_id, ex, "start", seed), target - len(tokens_a))
-                i -= len(chunk) - a_end
-            else:
-                yield (ex, tokens_a, [t for s in chunk[a_end:] for t in s], 0, 0.0, 0.0, 0)
-            ex += 1
-            chunk, length = [], 0
-        i += 1
+    def run(batches):
+        import hashlib
 
+        import numpy as np
+        import pyarrow as pa
 
-def _pack_batches(seed: int, nsp_prob: float):
-    """Arrow batches in, Arrow batches out: nested id lists are converted by Arrow (C++),
-    the packing loop is the only per-document Python."""
-    import pyarrow as pa
+        def draw(doc, example, purpose):
+            digest = hashlib.md5(f"{doc}:{example}:{purpose}:{seed}".encode()).hexdigest()
+            return int(digest[:8], 16) / 4294967296.0
 
-    schema = pa.schema([("doc_id", pa.int64()), ("doc_ord", pa.int64()), ("example_id", pa.int32()),
-                        ("tokens_a", pa.list_(pa.int32())), ("tokens_b", pa.list_(pa.int32())),
-                        ("is_random_next", pa.int32()), ("partner_u", pa.float64()),
-                        ("start_u", pa.float64()), ("target_b", pa.int32())])
+        def lists(values, lo, hi, absent=None):
+            size = hi - lo
+            ends = np.cumsum(size)
+            take = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size - lo, size)
+            offsets = pa.array(np.concatenate(([0], ends)), pa.int32())
+            return pa.ListArray.from_arrays(offsets, values.take(pa.array(take, pa.int64())).cast(pa.int32()),
+                                            mask=None if absent is None else pa.array(absent))
 
-    def run(batches):
         for batch in batches:
-            cols = {name: [] for name in schema.names}
-            ids, ords = batch.column("doc_id").to_pylist(), batch.column("doc_ord").to_pylist()
-            sents, targets = batch.column("sentences").to_pylist(), batch.column("target_len").to_pylist()
-            for doc_id, doc_ord, sl, target in zip(ids, ords, sents, targets):
-                for ex, a, b, rnd, pu, su, tb in pack_document(doc_id, sl or [], target, seed, nsp_prob):
-                    for name, v in zip(schema.names, (doc_id, doc_ord, ex, a, b, rnd, pu, su, tb)):
-                        cols[name].append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(cols[n], type=schema.field(n).type) for n in schema.names],
-                                             schema=schema)
+            documents = batch.column("sentences")
+            first = np.asarray(documents.offsets)
+            words_at = np.asarray(documents.values.offsets, dtype=np.int64)
+            tokens = documents.values.values
+            names, targets = batch.column("doc_id").to_pylist(), batch.column("target_len").to_pylist()
+            row, number, start, cut, end, chance = [], [], [], [], [], []
+            for r, (doc, target) in enumerate(zip(names, targets)):
+                lo, hi = int(first[r]), int(first[r + 1])
+                example = 0
+                while lo < hi:
+                    stop = int(np.searchsorted(words_at[lo + 1: hi + 1], words_at[lo] + target)) + lo + 1
+                    stop = min(stop, hi)
+                    inner = stop - lo - 1
+                    at = lo + 1 + (int(draw(doc, example, "a_end") * inner) if inner else 0)
+                    apart = inner == 0 or draw(doc, example, "nsp") < nsp_prob
+                    for column, value in ((row, r), (number, example), (start, lo), (cut, at), (end, stop), (chance, apart)):
+                        column.append(value)
+                    lo, example = (at if apart else stop), example + 1
+            row, start, cut, end = (np.array(c, dtype=np.int64) for c in (row, start, cut, end))
+            apart = np.array(chance, dtype=bool)
+            a_lo, a_hi, b_hi = words_at[start], words_at[cut], words_at[end]
+            pair = [(names[r], e) for r, e in zip(row.tolist(), number)]
+            partner, place = ([draw(d, e, purpose) if x else 0.0 for (d, e), x in zip(pair, chance)] for purpose in ("partner", "start"))
+            left = np.where(apart, np.array([targets[r] for r in row.tolist()], dtype=np.int64) - (a_hi - a_lo), 0)
+            taken = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(taken), batch.column("doc_ord").take(taken), pa.array(number, pa.int32()),
+                 lists(tokens, a_lo, a_hi), lists(tokens, a_hi, np.where(apart, a_hi, b_hi), apart),
+                 pa.array(apart.astype(np.int32)), pa.array(partner, pa.float64()), pa.array(place, pa.float64()),
+                 pa.array(left, pa.int32())],
+                names=["doc_id", "doc_ord", "example_id", "tokens_a", "tokens_b", "is_random_next", "partner_u", "start_u", "target_b"])
     return run
 
 
@@ -261,7 +265,7 @@ def mlm_mask(df: DataFrame, *, vocab_size: int, seed: int = 42, prob: float = ML
         .cast("long") % F.lit(MIX_P))
 
     def special(x):
-        return x.isin(PAD, CLS, SEP)
+        return x.isin(*SPECIAL_IDS)
 
     # one uniform per real position (2.0 marks special tokens: never chosen). Given that a
     # position is chosen (u < prob), u / prob is uniform in [0, 1): it picks mask / random /
@@ -315,7 +319,7 @@ def truncate_and_pad_single(df: DataFrame, vocab: DataFrame, *, id_col: str, tex
     padded to the longest sequence of the set (one max aggregate, cross joined as one row)."""
     d = df.select(id_col, text_col).repartition(id_col)
     toks = TX.explode_rows(d, [id_col], TX.tokenise_words(F.col(text_col)), ("pos", "token"), with_pos=True)
-    ided = toks.join(F.broadcast(vocab), "token", "left").withColumn("id", F.coalesce("id", F.lit(UNK)))
+    ided = toks.join(vocab, "token", "left").withColumn("id", F.coalesce("id", F.lit(UNK)))
     g = ided.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
     ids = F.concat(F.array(F.lit(CLS)), F.slice(F.transform("_p", lambda x: x["id"]), 1, max_length - 2),
                    F.array(F.lit(SEP)))
@@ -354,7 +358,7 @@ def encode_tokens(df: DataFrame, vocab: DataFrame, *, id_col: str, text_col: str
     Documents without tokens get an empty array."""
     d = df.select(id_col, text_col).repartition(id_col)
     toks = TX.explode_rows(d, [id_col], TX.tokenise_words(F.col(text_col)), ("pos", "token"), with_pos=True)
-    ided = toks.join(F.broadcast(vocab), "token", "left").withColumn("id", F.coalesce("id", F.lit(UNK)))
+    ided = toks.join(vocab, "token", "left").withColumn("id", F.coalesce("id", F.lit(UNK)))
     g = ided.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
     enc = g.select(id_col, F.transform("_p", lambda x: x["id"]).alias("ids"))
     return df.select(id_col).join(enc, id_col, "left") \

@@ -15,7 +15,7 @@ from scriptorium.plans import sqltext as S
 from scriptorium.plans.registry import finish, query
 from scriptorium.tables import table
 
-VOCAB = 2000
+VOCAB = 30000
 SEED = 42
 
 def vocab_sql(source: str = "documents") -> str:
@@ -160,7 +160,7 @@ mk AS (SELECT split, doc_id, ex, pid,
               CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || ':' || CAST(ex AS VARCHAR) || ':{SEED}:mlm'), 1, 8)) AS BIGINT)
               % {N.MIX_P} AS h0 FROM padded),
 mz AS (SELECT split, doc_id, ex, pid,
-              list_transform(range(512), lambda i: CASE WHEN pid[i + 1] IN (0, 2, 3) THEN 2.0
+              list_transform(range(512), lambda i: CASE WHEN pid[i + 1] IN (0, 1, 2, 3, 4) THEN 2.0
                                                         ELSE {_u_sql('h0', 'i', 1)} END) AS uu
        FROM mk),
 ml AS (SELECT split, doc_id, ex,
