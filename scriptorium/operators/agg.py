@@ -43,8 +43,7 @@ def column_distribution(df: DataFrame, cols: list[str]) -> DataFrame:
     """A2 in long form: one row per (column, value) with its count and the column summary
     (``unique_values``, ``total_rows`` counting NULL rows too, ``repetition_rate``).
 
-    Long form keeps a high-cardinality column (e.g. the text) distributed; nest it with
-    ``distribution_report`` only for a bounded top-k.
+    Long form keeps a high-cardinality column (e.g. the text) distributed.
     """
     # one scan: every row becomes one (column, value) pair per column; one partial
     # aggregation counts them (NULL values too, for the total), one row per column after
@@ -62,19 +61,16 @@ def column_distribution(df: DataFrame, cols: list[str]) -> DataFrame:
                   .select("column_name", "value", "count", "unique_values", "total_rows", "repetition_rate"))
 
 
-def distribution_report(df: DataFrame, cols: list[str], top_k: int | None = 10) -> DataFrame:
-    """A2 nested: one row per column with ``unique_values``, ``total_rows``,
-    ``most_common`` (value -> count map of the ``top_k`` most common values) and
-    ``repetition_rate``. ``top_k`` bounds the map; None keeps every value (only for columns
-    whose cardinality is known to be small)."""
+def distribution_report(df: DataFrame, cols: list[str], top_k: int | None = None) -> DataFrame:
+    """A2 as a report: every value of each column with its count (``value``, ``count``) and
+    the column's ``unique_values``, ``total_rows`` and ``repetition_rate``. The report stays in long
+    form, one row per value, so a column with as many values as rows is never one map.
+    ``top_k`` asks for the most common values only."""
     long = column_distribution(df, cols)
-    if top_k is not None:
-        # range-partitioned ranks: a column with millions of distinct values is not one task
-        long = rank_within(long, ["column_name"], [F.desc("count"), F.asc("value")], rank_col="_r",
-                           groups_bound=len(cols)).where(F.col("_r") <= top_k).drop("_r")
-    return (long.groupBy("column_name", "unique_values", "total_rows", "repetition_rate")
-                .agg(F.map_from_entries(F.collect_list(F.struct("value", "count"))).alias("most_common"))
-                .select("column_name", "unique_values", "total_rows", "most_common", "repetition_rate"))
+    if top_k is None:
+        return long
+    return rank_within(long, ["column_name"], [F.desc("count"), F.asc("value")], rank_col="_r",
+                       groups_bound=len(cols)).where(F.col("_r") <= top_k).drop("_r")
 
 
 def word_count_summary(df: DataFrame, wc_col: str = "word_count", label_col: str = "is_target",
@@ -210,7 +206,7 @@ def boxplot_summary(df: DataFrame, group_col: str, value_col: str, *, key_cols:
          .withColumn("lower_fence", F.col("q1") - whisker * F.col("iqr")) \
          .withColumn("upper_fence", F.col("q3") + whisker * F.col("iqr"))
     v = F.col(value_col)
-    joined = ranked.select(group_col, value_col).join(F.broadcast(q), group_col)
+    joined = ranked.select(group_col, value_col).join(q, group_col)
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
     ext = joined.groupBy(group_col).agg(
         F.min(F.when(inside, v)).alias("lower_whisker"),
@@ -227,7 +223,7 @@ def boxplot_outliers(df: DataFrame, group_col: str, value_col: str, *, key_cols:
         .select(group_col, (F.col("q1") - whisker * F.col("iqr")).alias("_lo"),
                 (F.col("q3") + whisker * F.col("iqr")).alias("_hi"))
     v = F.col(value_col)
-    return df.join(F.broadcast(q), group_col).where((v < F.col("_lo")) | (v > F.col("_hi"))).drop("_lo", "_hi")
+    return df.join(q, group_col).where((v < F.col("_lo")) | (v > F.col("_hi"))).drop("_lo", "_hi")
 
 
 # fixed value: sqrt(2 * pi), the Gaussian kernel's normalising constant
@@ -249,7 +245,7 @@ def violin_density(df: DataFrame, group_col: str, value_col: str, *, bins: int =
         F.min(v).alias("_min"), F.max(v).alias("_max"), F.count(F.lit(1)).alias("_n"),
         F.stddev_samp(v).alias("_sd"))
     rng = rng.withColumn("_span", F.greatest(F.col("_max") - F.col("_min"), F.lit(1e-12)))
-    binned = (df.where(v.isNotNull()).join(F.broadcast(rng), group_col)
+    binned = (df.where(v.isNotNull()).join(rng, group_col)
                 .withColumn("_b", F.least(F.floor((v - F.col("_min")) / F.col("_span") * bins), F.lit(bins - 1)))
                 .groupBy(group_col, "_b").agg(F.count(F.lit(1)).alias("_c")))
     bw = (F.lit(bandwidth) if bandwidth is not None

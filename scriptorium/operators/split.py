@@ -69,7 +69,7 @@ def authorship_split(df: DataFrame, *, label: str = "is_target", strata: str = "
     r, sizes = rank_within_stats(base, [label, strata], _order(key, seed), rank_col="_rank",
                                  groups_bound=groups_bound, materialize_input=materialize_input)
     shares = _shares(sizes, label, strata, target_test_frac)
-    j = r.join(F.broadcast(shares), [label, strata])  # one row per stratum: bounded by strata
+    j = r.join(shares, [label, strata])  # one row per stratum: Spark picks the join by its size
     split = (F.when(F.col("_rank") <= F.col("_test_n"), F.lit("test"))
               .when(F.col("_rank") <= F.col("_test_n") + F.col("_train_n"), F.lit("supervised"))
               .otherwise(F.lit("unsupervised")))

@@ -47,7 +47,9 @@ def text_stats(df: DataFrame, text_col: str = "text", *, stopwords: str | Column
     staged = staged.withColumn("_stop_in", F.array_intersect(F.array_distinct("_alnum"), stop))
     n_alnum = F.size("_alnum")
     n_unique = F.size(F.array_distinct("_alnum"))
-    hapax = T.hapax_count("_alnum")
+    # sorted once: the neighbour comparison names its argument several times
+    staged = staged.withColumn("_sorted", F.sort_array("_alnum")).withColumn("_hapax", T.hapax_count("_sorted", presorted=True))
+    hapax = F.col("_hapax")
     char_sum = F.aggregate(T.token_lengths("_alnum"), F.lit(0).cast("bigint"), lambda a, x: a + x)
     out = staged.withColumns({
         "num_chars": T.char_length(F.col(text_col)).cast("bigint"),
@@ -63,7 +65,8 @@ def text_stats(df: DataFrame, text_col: str = "text", *, stopwords: str | Column
         "hapax_legomena": hapax.cast("bigint"),
         "hapax_percentage": T.safe_ratio(hapax, n_alnum) * 100.0,
     })
-    drop = ["_nsent", "_stop_in"] if keep_tokens else ["_toks", "_alnum", "_nsent", "_stop_in"]
+    helpers = ["_nsent", "_stop_in", "_sorted", "_hapax"]
+    drop = helpers if keep_tokens else ["_toks", "_alnum", *helpers]
     return out.drop(*drop)
 
 

@@ -45,25 +45,13 @@ def q_repetition_rate(spark, sf):
     return finish(d.select("column_name", "unique_values", "total_rows", "repetition_rate").distinct())
 
 
-TOPK_SQL = DIST_SQL + f""",
-rk AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY count DESC, value) AS r FROM cnt)
-SELECT rk.column_name, u.unique_values, t.total_rows, {REP},
-       string_agg(value || '=' || CAST(count AS VARCHAR), ';' ORDER BY value) AS most_common
-FROM rk JOIN u ON rk.column_name = u.column_name CROSS JOIN t WHERE r <= 10
-GROUP BY rk.column_name, u.unique_values, t.total_rows"""
+DIST_REPORT_SQL = DIST_SQL + f"""
+SELECT cnt.column_name, value, count, unique_values, total_rows, {REP} FROM cnt JOIN u USING (column_name) CROSS JOIN t"""
 
 
-def map_as_text(col: str):
-    """A map column as 'key=value;...' in key order (a canonical form for comparison)."""
-    return F.array_join(F.transform(F.array_sort(F.map_entries(col)),
-                                    lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ";")
-
-
-@query("distribution_report", TOPK_SQL)
+@query("distribution_report", DIST_REPORT_SQL)
 def q_distribution_report(spark, sf):
-    r = A.distribution_report(chunks(spark, sf), COLS3, top_k=10)
-    return finish(r.select("column_name", "unique_values", "total_rows", "repetition_rate",
-                           map_as_text("most_common").alias("most_common")))
+    return finish(A.distribution_report(chunks(spark, sf), COLS3))
 
 
 @query("distinct_count", CHUNKS_SQL + " SELECT count(DISTINCT source_file) AS unique_values FROM chunks")
@@ -144,7 +132,7 @@ def q_bar_counts(spark, sf):
 
 BOX_SQL = f"""
 WITH {STATS_SQL},
-v AS (SELECT CAST(lang = 'fr' AS BIGINT) AS is_target, num_unique_words::DOUBLE / num_words AS x FROM st WHERE num_words > 0),
+v AS (SELECT CAST(coalesce(lang = 'fr', false) AS BIGINT) AS is_target, num_unique_words::DOUBLE / num_words AS x FROM st WHERE num_words > 0),
 q AS (SELECT is_target, count(*) AS n, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
              quantile_cont(x, 0.75) AS q3 FROM v GROUP BY is_target),
 f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
@@ -164,7 +152,7 @@ def q_boxplot_summary(spark, sf):
 
 VIOLIN_SQL = f"""
 WITH {STATS_SQL},
-vv AS (SELECT CAST(lang = 'fr' AS BIGINT) AS is_target, avg_sentence_length AS val FROM st WHERE avg_sentence_length IS NOT NULL),
+vv AS (SELECT CAST(coalesce(lang = 'fr', false) AS BIGINT) AS is_target, avg_sentence_length AS val FROM st WHERE avg_sentence_length IS NOT NULL),
 vr AS (SELECT is_target, min(val) AS mn, max(val) AS mx, count(*) AS n, stddev_samp(val) AS sd FROM vv GROUP BY is_target),
 r2 AS (SELECT *, greatest(mx - mn, 1e-12) AS span FROM vr),
 vb AS (SELECT vv.is_target, least(floor((val - mn) / span * 50), 49) AS bin, count(*) AS c

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 from scriptorium.operators import agg as A
 from scriptorium.operators import metrics as E
 from scriptorium.plans import sqltext as S
-from scriptorium.plans.q_agg import TOPK_SQL, map_as_text
+from scriptorium.plans.q_agg import DIST_REPORT_SQL
 from scriptorium.plans.q_eval import BIN_PAIRS_SQL, _per_class_sql, bin_pairs
 from scriptorium.plans.q_split import SPLIT_SQL, split_chunks
 from scriptorium.plans.q_text import CHUNKS_SQL, STAT_COLS, STATS_SQL, chunks, doc_stats
@@ -85,15 +85,13 @@ def q_write_splits(spark, sf):
     return finish(out.where(F.col("count") > 0))
 
 
-@query("write_json_report", TOPK_SQL)
+@query("write_json_report", DIST_REPORT_SQL)
 def q_write_json_report(spark, sf):
     path = scratch_path(spark, "dist-json")
-    SK.write_json_report(A.distribution_report(chunks(spark, sf), ["text", "author", "source_file"], top_k=10), path)
-    schema = ("column_name STRING, unique_values BIGINT, total_rows BIGINT, "
-              "most_common MAP<STRING, BIGINT>, repetition_rate DOUBLE")
-    back = spark.read.schema(schema).json(path)
-    return finish(back.select("column_name", "unique_values", "total_rows", "repetition_rate",
-                              map_as_text("most_common").alias("most_common")))
+    SK.write_json_report(A.distribution_report(chunks(spark, sf), ["text", "author", "source_file"]), path)
+    schema = ("column_name STRING, value STRING, count BIGINT, unique_values BIGINT, total_rows BIGINT, "
+              "repetition_rate DOUBLE")
+    return finish(spark.read.schema(schema).json(path))
 
 
 @query("write_eval_report", _per_class_sql(BIN_PAIRS_SQL) + """

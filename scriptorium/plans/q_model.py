@@ -11,8 +11,8 @@ from scriptorium.operators.split import train_validation_split
 from scriptorium.plans.q_split import SEED, split_chunks
 from scriptorium.plans.registry import finish, query
 
-GRID = [{"reg_param": 0.0, "max_iter": 30}, {"reg_param": 0.01, "max_iter": 30}, {"reg_param": 0.1, "max_iter": 30}]
-FEATURES = 1 << 16
+GRID = [{"reg_param": r, "max_iter": 50} for r in (0.0, 0.001, 0.01, 0.03, 0.1)]
+FEATURES = 1 << 18
 
 
 def supervised(spark, sf):
@@ -24,14 +24,14 @@ def supervised(spark, sf):
 def q_text_classifier_fit(spark, sf):
     sup, _ = supervised(spark, sf)
     parts = train_validation_split(sup, key="k", seed=SEED, role_col="_role")
-    model = M.text_classifier_fit(parts.where(F.col("_role") == "train"), num_features=FEATURES, max_iter=30)
+    model = M.text_classifier_fit(parts.where(F.col("_role") == "train"), num_features=FEATURES, max_iter=50)
     return M.score_batch(model, parts.where(F.col("_role") == "validation"), keep=["k"]).drop("probability")
 
 
 @query("score_batch")
 def q_score_batch(spark, sf):
     sup, test = supervised(spark, sf)
-    model = M.text_classifier_fit(sup, num_features=FEATURES, max_iter=30)
+    model = M.text_classifier_fit(sup, num_features=FEATURES, max_iter=50)
     return M.score_batch(model, test, keep=["k"]).drop("probability")
 
 
@@ -53,4 +53,4 @@ def q_evaluate_on_test(spark, sf):
 @query("cross_validate")
 def q_cross_validate(spark, sf):
     sup, _ = supervised(spark, sf)
-    return finish(M.cross_validate(sup, GRID[:2], key="k", k=3, seed=SEED, num_features=FEATURES))
+    return finish(M.cross_validate(sup, GRID, key="k", k=5, seed=SEED, num_features=FEATURES))

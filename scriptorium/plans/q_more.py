@@ -34,7 +34,7 @@ for _c in STAT_COLUMNS:
 
 @query("union_corpora", """
 SELECT doc_id, 'Target' AS author FROM documents WHERE lang = 'fr'
-UNION ALL SELECT doc_id, 'Others' FROM documents WHERE lang <> 'fr'""")
+UNION ALL SELECT doc_id, 'Others' FROM documents WHERE lang IS DISTINCT FROM 'fr'""")
 def q_union_corpora(spark, sf):
     c = corpus_documents(spark, sf).select("doc_id", "author", "is_target")
     return X.concat_splits(c.where("is_target = 1").select("doc_id", "author"),

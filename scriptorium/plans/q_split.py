@@ -14,13 +14,13 @@ SEED = 42
 
 
 def keyed_chunks(spark, sf):
-    """Chunk table with a unique bigint key (doc_id * 10000 + chunk_id)."""
-    return chunks(spark, sf).withColumn("k", F.col("doc_id") * 10000 + F.col("chunk_id")) \
+    """Chunk table with a unique key, the text ``doc_id:chunk_id``."""
+    return chunks(spark, sf).withColumn("k", F.concat_ws(":", F.col("doc_id").cast("string"), F.col("chunk_id").cast("string"))) \
                             .select("k", "text", "author", "is_target", "source_file", "chunk_id")
 
 
 KEYED_SQL = CHUNKS_SQL + """,
-kc AS (SELECT doc_id * 10000 + chunk_id AS k, text, author, is_target, source_file, chunk_id FROM chunks)"""
+kc AS (SELECT concat_ws(':', CAST(doc_id AS VARCHAR), CAST(chunk_id AS VARCHAR)) AS k, text, author, is_target, source_file, chunk_id FROM chunks)"""
 
 
 def _h(key: str) -> str:
@@ -67,11 +67,11 @@ def q_group_share_join(spark, sf):
                            F.col("_train_n").alias("train_n")))
 
 
-@query("concat_splits", SPLIT_SQL + " SELECT k, is_target FROM sp WHERE split = 'test'")
+@query("concat_splits", SPLIT_SQL + " SELECT k, is_target FROM sp")
 def q_concat_splits(spark, sf):
     s = split_chunks(spark, sf)
-    t = s.where((F.col("split") == "test") & (F.col("is_target") == 1)).select("k", "is_target")
-    o = s.where((F.col("split") == "test") & (F.col("is_target") == 0)).select("k", "is_target")
+    t = s.where(F.col("is_target") == 1).select("k", "is_target")
+    o = s.where(F.col("is_target") == 0).select("k", "is_target")
     return finish(X.concat_splits(t, o))
 
 

@@ -16,7 +16,7 @@ from scriptorium.tables import TARGET_AUTHOR, corpus_documents, table
 # ---- shared SQL fragments (oracle side) -------------------------------------------------
 CORPUS_SQL = """corpus AS (
   SELECT doc_id, text, lang, source AS source_file,
-         CAST(lang = 'fr' AS BIGINT) AS is_target,
+         CAST(coalesce(lang = 'fr', false) AS BIGINT) AS is_target,
          CASE WHEN lang = 'fr' THEN 'Target' ELSE 'Others' END AS author
   FROM documents)"""
 
@@ -203,10 +203,10 @@ def q_unique_words_ratio(spark, sf):
 WITH {STATS_SQL}
 SELECT {STAT_COLS}, CASE WHEN lang = 'fr' THEN 'Target' ELSE 'Others' END AS author,
        CASE WHEN lang = 'fr' THEN source ELSE 'general' END AS category,
-       CAST(lang = 'fr' AS BIGINT) AS is_target, CAST(doc_id AS VARCHAR) AS file_name FROM st""")
+       CAST(coalesce(lang = 'fr', false) AS BIGINT) AS is_target, CAST(doc_id AS VARCHAR) AS file_name FROM st""")
 def q_corpus_analysis(spark, sf):
     d = docs(spark, sf).withColumn("file_name", F.col("doc_id").cast("string"))
-    out = D.corpus_analysis(d.where(F.col("lang") == "fr"), d.where(F.col("lang") != "fr"), "text",
+    out = D.corpus_analysis(d.where(F.col("lang") == "fr"), d.where(~F.col("lang").eqNullSafe("fr")), "text",
                             target_author=TARGET_AUTHOR, category_col="source", lang_col="lang")
     return finish(out)
 
@@ -225,17 +225,16 @@ def q_chunk_id(spark, sf):
                                           F.count(F.lit(1)).alias("chunks")))
 
 
-@query("process_documents", CHUNKS_SQL + " SELECT text, author, is_target, source_file, chunk_id FROM chunks WHERE is_target = 1")
+@query("process_documents", CHUNKS_SQL + " SELECT text, 'Target' AS author, CAST(1 AS BIGINT) AS is_target, source_file, chunk_id FROM chunks")
 def q_process_documents(spark, sf):
-    d = docs(spark, sf).where(F.col("lang") == "fr")
-    return finish(C.process_documents(d, text_col="text", source_col="source", author=TARGET_AUTHOR,
+    return finish(C.process_documents(docs(spark, sf), text_col="text", source_col="source", author=TARGET_AUTHOR,
                                       is_target=1, target_author=TARGET_AUTHOR))
 
 
 @query("unified_dataset", CHUNKS_SQL + " SELECT text, author, is_target, source_file, chunk_id FROM chunks")
 def q_unified_dataset(spark, sf):
     d = docs(spark, sf)
-    out = C.unified_dataset(d.where(F.col("lang") == "fr"), d.where(F.col("lang") != "fr"),
+    out = C.unified_dataset(d.where(F.col("lang") == "fr"), d.where(~F.col("lang").eqNullSafe("fr")),
                             target_author=TARGET_AUTHOR, source_col="source")
     return finish(out)
 
@@ -293,9 +292,9 @@ def q_word_count_column(spark, sf):
     return finish(P.word_count_column(c).select("doc_id", "chunk_id", "word_count"))
 
 
-@query("select_reorder", CHUNKS_SQL + " SELECT text FROM chunks WHERE is_target = 0")
+@query("select_reorder", CHUNKS_SQL + " SELECT text FROM chunks")
 def q_select_reorder(spark, sf):
-    return finish(P.select_reorder(P.filter_by_label(chunks(spark, sf), 0), ["text"]))
+    return finish(P.select_reorder(chunks(spark, sf), ["text"]))
 
 
 @query("drop_empty_documents", f"""
@@ -308,9 +307,9 @@ def q_drop_empty_documents(spark, sf):
 @query("attach_constants", f"""
 WITH {STATS_SQL}
 SELECT doc_id, CAST(num_words AS BIGINT) AS num_words, 'Others' AS author, 'general' AS category, CAST(0 AS BIGINT) AS is_target
-FROM st WHERE lang <> 'fr'""")
+FROM st""")
 def q_attach_constants(spark, sf):
-    s = doc_stats(spark, sf).where(F.col("lang") != "fr").select("doc_id", "num_words")
+    s = doc_stats(spark, sf).select("doc_id", "num_words")
     return finish(P.attach_constants(s, author="Others", category="general", is_target=0))
 
 

@@ -32,7 +32,7 @@ def read_split(spark: SparkSession, path: str, name: str, *, fmt: str = "parquet
 
 
 def write_json_report(report: DataFrame, path: str, *, mode: str = "overwrite") -> str:
-    """The nested distribution report (``distribution_report``) as JSON lines."""
+    """The distribution report (``distribution_report``) as JSON lines, one per column and value."""
     report.write.mode(mode).json(path)
     return path
 

@@ -42,7 +42,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def is_target(lang_col: str = "lang") -> Column:
-    return (F.col(lang_col) == F.lit(TARGET_LANG)).cast("int")
+    # a row without a language belongs to the others
+    return F.coalesce(F.col(lang_col) == F.lit(TARGET_LANG), F.lit(False)).cast("int")
 
 
 def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
