@@ -11,7 +11,7 @@ from scriptorium.operators import project as P
 from scriptorium.operators import stats as D
 from scriptorium.plans.q_text import CHUNKS_SQL, STATS_SQL, chunks, doc_stats
 from scriptorium.plans.registry import finish, query
-from scriptorium.tables import table
+from scriptorium.tables import is_target, table
 
 COLS3 = ["text", "author", "source_file"]
 DIST_SQL = CHUNKS_SQL + """,
@@ -130,29 +130,72 @@ def q_bar_counts(spark, sf):
     return finish(A.bar_counts(chunks(spark, sf), "author"))
 
 
-BOX_SQL = f"""
+LABEL_SQL = "CAST(coalesce(lang = 'fr', false) AS BIGINT)"
+AUTHOR_SQL = "CASE WHEN coalesce(lang = 'fr', false) THEN 'Target' ELSE 'Others' END"
+
+
+def _box_values(group: str, expr: str, value: str, where: str) -> str:
+    """Values and fences of a box plot: CTEs v (doc_id, group, x) and f (one row per group)."""
+    return f"""
 WITH {STATS_SQL},
-v AS (SELECT CAST(coalesce(lang = 'fr', false) AS BIGINT) AS is_target, num_unique_words::DOUBLE / num_words AS x FROM st WHERE num_words > 0),
-q AS (SELECT is_target, count(*) AS n, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
-             quantile_cont(x, 0.75) AS q3 FROM v GROUP BY is_target),
-f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
-SELECT f.is_target, f.n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(iqr, 6) AS iqr,
+v AS (SELECT doc_id, {expr} AS {group}, {value} AS x FROM st WHERE {where}),
+q AS (SELECT {group}, count(*) AS n, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
+             quantile_cont(x, 0.75) AS q3 FROM v GROUP BY {group}),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)"""
+
+
+def _box_sql(group: str, expr: str, value: str, where: str) -> str:
+    return _box_values(group, expr, value, where) + f"""
+SELECT f.{group}, f.n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(iqr, 6) AS iqr,
        round(min(x) FILTER (WHERE x >= lo AND x <= hi), 6) AS lower_whisker,
        round(max(x) FILTER (WHERE x >= lo AND x <= hi), 6) AS upper_whisker,
        count(*) FILTER (WHERE x < lo OR x > hi) AS outliers
-FROM f JOIN v USING (is_target) GROUP BY f.is_target, f.n, q1, median, q3, iqr"""
+FROM f JOIN v USING ({group}) GROUP BY f.{group}, f.n, q1, median, q3, iqr"""
+
 
+RATIO_SQL = ("num_unique_words::DOUBLE / num_words", "num_words > 0")
 
-@query("boxplot_summary", BOX_SQL)
+
+def _grouped_stats(spark, sf):
+    """Document statistics with the label and the author."""
+    target = is_target()
+    s = D.unique_words_ratio(doc_stats(spark, sf))
+    return s.withColumn("is_target", target).withColumn(
+        "author", F.when(target == 1, F.lit("Target")).otherwise(F.lit("Others")))
+
+
+@query("boxplot_summary", _box_sql("is_target", LABEL_SQL, *RATIO_SQL))
 def q_boxplot_summary(spark, sf):
-    s = D.unique_words_ratio(doc_stats(spark, sf)).withColumn(
-        "is_target", (F.col("lang") == "fr").cast("int"))
-    return finish(A.boxplot_summary(s, "is_target", "unique_words_ratio", key_cols=["doc_id"], groups_bound=2))
+    return finish(A.boxplot_summary(_grouped_stats(spark, sf), "is_target", "unique_words_ratio", key_cols=["doc_id"], groups_bound=2))
+
 
+@query("boxplot_lexical_density", _box_sql("is_target", LABEL_SQL, "lexical_density", "lexical_density IS NOT NULL"))
+def q_boxplot_lexical_density(spark, sf):
+    return finish(A.boxplot_summary(_grouped_stats(spark, sf), "is_target", "lexical_density", key_cols=["doc_id"], groups_bound=2))
 
-VIOLIN_SQL = f"""
+
+@query("boxplot_hapax_percentage", _box_sql("is_target", LABEL_SQL, "hapax_percentage", "hapax_percentage IS NOT NULL"))
+def q_boxplot_hapax_percentage(spark, sf):
+    return finish(A.boxplot_summary(_grouped_stats(spark, sf), "is_target", "hapax_percentage", key_cols=["doc_id"], groups_bound=2))
+
+
+@query("boxplot_num_words", _box_sql("author", AUTHOR_SQL, "CAST(num_words AS DOUBLE)", "num_words IS NOT NULL"))
+def q_boxplot_num_words(spark, sf):
+    s = _grouped_stats(spark, sf).withColumn("num_words", F.col("num_words").cast("double"))
+    return finish(A.boxplot_summary(s, "author", "num_words", key_cols=["doc_id"], groups_bound=2))
+
+
+@query("boxplot_outliers", _box_values("is_target", LABEL_SQL, *RATIO_SQL) + """
+SELECT v.doc_id, v.is_target, round(x, 6) AS unique_words_ratio FROM v JOIN f USING (is_target) WHERE x < lo OR x > hi""")
+def q_boxplot_outliers(spark, sf):
+    out = A.boxplot_outliers(_grouped_stats(spark, sf), "is_target", "unique_words_ratio", key_cols=["doc_id"])
+    return finish(out.select("doc_id", "is_target", "unique_words_ratio"))
+
+
+def _violin_sql(value: str) -> str:
+    return f"""
 WITH {STATS_SQL},
-vv AS (SELECT CAST(coalesce(lang = 'fr', false) AS BIGINT) AS is_target, avg_sentence_length AS val FROM st WHERE avg_sentence_length IS NOT NULL),
+vv AS (SELECT {LABEL_SQL} AS is_target, {value} AS val FROM st WHERE {value} IS NOT NULL),
 vr AS (SELECT is_target, min(val) AS mn, max(val) AS mx, count(*) AS n, stddev_samp(val) AS sd FROM vv GROUP BY is_target),
 r2 AS (SELECT *, greatest(mx - mn, 1e-12) AS span FROM vr),
 vb AS (SELECT vv.is_target, least(floor((val - mn) / span * 50), 49) AS bin, count(*) AS c
@@ -166,10 +209,14 @@ SELECT is_target, CAST(g AS BIGINT) AS point, round(x, 6) AS x,
 FROM vz GROUP BY is_target, g, x, n, bw"""
 
 
-@query("violin_density", VIOLIN_SQL)
+@query("violin_density", _violin_sql("avg_sentence_length"))
 def q_violin_density(spark, sf):
-    s = doc_stats(spark, sf).withColumn("is_target", (F.col("lang") == "fr").cast("int"))
-    return finish(A.violin_density(s, "is_target", "avg_sentence_length", bins=50, grid=100))
+    return finish(A.violin_density(_grouped_stats(spark, sf), "is_target", "avg_sentence_length", bins=50, grid=100))
+
+
+@query("violin_avg_word_length", _violin_sql("avg_word_length"))
+def q_violin_avg_word_length(spark, sf):
+    return finish(A.violin_density(_grouped_stats(spark, sf), "is_target", "avg_word_length", bins=50, grid=100))
 
 
 # ---- paths and duplicate files ----------------------------------------------------------

@@ -16,8 +16,13 @@ def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> str:
 
 
 def write_splits(df: DataFrame, path: str, *, split_col: str = "split", fmt: str = "parquet",
-                 mode: str = "overwrite") -> str:
-    """One output folder per split value (``split=<name>``), in one job."""
+                 mode: str = "overwrite", columns: dict[str, list[str]] | None = None) -> str:
+    """One output folder per split value (``split=<name>``), in one job. A split listed in
+    ``columns`` (default: the unsupervised one, its text) is stored with those columns only:
+    the others are NULL there, so no author or label reaches the pre-training input."""
+    for name, kept in (SPLIT_COLUMNS if columns is None else columns).items():
+        df = df.select(*[F.when(~F.col(split_col).eqNullSafe(name), F.col(c)).alias(c) if c not in (*kept, split_col) else F.col(c)
+                         for c in df.columns])
     df.write.mode(mode).partitionBy(split_col).format(fmt).option("header", True).save(path)
     return path
 
