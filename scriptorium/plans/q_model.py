@@ -47,7 +47,16 @@ def q_evaluate_on_test(spark, sf):
     sweep = M.hyperparameter_sweep(sup, GRID, key="k", seed=SEED, num_features=FEATURES)
     best = R.best_run(sweep, "eval_f1", ["reg_param", "max_iter"]).first()
     model = M.text_classifier_fit(sup, reg_param=best["reg_param"], max_iter=best["max_iter"], num_features=FEATURES)
-    return finish(M.evaluate_on_test(model, test, key="k")["metrics"])
+    parts = M.evaluate_on_test(model, test, key="k")
+    out = _long(parts["metrics"], "metrics", []).unionByName(_long(parts["report"], "report", ["row"]))
+    return finish(out.unionByName(_long(parts["confusion"], "confusion", [c for c in ("label", "prediction") if c in parts["confusion"].columns])))
+
+
+def _long(df, part: str, keys: list[str]):
+    """(part, row, name, value) of a small table: its keys joined to a row name, one row per other column."""
+    row = F.concat_ws("/", *[F.col(k).cast("string") for k in keys]) if keys else F.lit("all")
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in df.columns if c not in keys])
+    return df.select(F.lit(part).alias("part"), row.alias("row"), F.explode(cells).alias("c")).select("part", "row", "c.name", "c.value")
 
 
 @query("cross_validate")
