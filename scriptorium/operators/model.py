@@ -75,7 +75,7 @@ def hyperparameter_sweep(train: DataFrame, grid: list[dict], *, key: str, text_c
     result row per setting. The feature stages are fitted once and their output persisted;
     only the classifier is refitted per setting."""
     spark = train.sparkSession
-    split = train_validation_split(train, key=key, test_size=test_size, seed=seed, role_col="_role") \
+    split = train_validation_split(train, key=key, test_size=test_size, seed=seed, role_col="_role", materialize_input=True) \
         .withColumn(label_col, F.col(label_col).cast("double"))
     tr, va = split.where(F.col("_role") == "train"), split.where(F.col("_role") == "validation")
     feats = feature_pipeline(text_col, num_features=num_features, stopwords=stopwords).fit(tr)
@@ -116,7 +116,7 @@ def cross_validate(df: DataFrame, grid: list[dict], *, key: str, k: int = 5, tex
     """M5 (+ R2): exact k folds (X5); for each setting and fold, fit on the other folds and
     evaluate on this one; the per-fold metrics (long form) are averaged per setting."""
     spark = df.sparkSession
-    folded = kfold_assign(df, key=key, k=k, seed=seed).withColumn(label_col, F.col(label_col).cast("double"))
+    folded = kfold_assign(df, key=key, k=k, seed=seed, materialize_input=True).withColumn(label_col, F.col(label_col).cast("double"))
     rows = []
     for f in range(k):
         tr, va = folded.where(F.col("fold") != f), folded.where(F.col("fold") == f)

@@ -15,30 +15,42 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from scriptorium.functions.hashing import hash_order
 from scriptorium.operators.ranking import global_rank, rank_within, rank_within_stats
+from scriptorium.session import materialize
 
 
 def _order(key: str, seed: int) -> list[Column]:
     return [hash_order(F.col(key), seed), F.col(key)]
 
 
+def _input(df: DataFrame, materialize_input: bool) -> DataFrame:
+    """The rows to choose from. They are read twice (keys for the ranks, whole rows for the
+    result), so rows derived by expensive work are written first."""
+    return materialize(df, "split-input") if materialize_input else df
+
+
+def _with_column_of(base: DataFrame, narrow: DataFrame, key: str, name: str) -> DataFrame:
+    """``base`` with column ``name`` of the narrow table that shares its unique key."""
+    others = [c for c in base.columns if c != name]
+    return base.select(*others).join(narrow.select(key, name), key).select(*others, name)
+
+
 def stratified_sample_frac(df: DataFrame, strata: str, frac: float, *, key: str, seed: int = 42,
                            groups_bound: int | None = None, materialize_input: bool = False) -> DataFrame:
     """Per stratum, ``round(frac * n)`` rows (half-even), chosen by seeded hash order.
-    Rows with a NULL stratum are dropped (pandas ``groupby``). ``materialize_input``: see
-    ``rank_within_stats`` (for inputs derived by expensive row work)."""
-    base = df.where(F.col(strata).isNotNull())
-    r = rank_within(base, [strata], _order(key, seed), rank_col="_rank", size_col="_n",
-                    groups_bound=groups_bound, materialize_input=materialize_input)
-    return r.where(F.col("_rank") <= F.bround(F.lit(frac) * F.col("_n"), 0)).drop("_rank", "_n")
+    Rows with a NULL stratum are dropped (pandas ``groupby``). ``materialize_input``: for
+    inputs derived by expensive row work."""
+    base = _input(df.where(F.col(strata).isNotNull()), materialize_input)
+    r = rank_within(base.select(strata, key), [strata], _order(key, seed), rank_col="_rank", size_col="_n",
+                    groups_bound=groups_bound)
+    return base.join(r.where(F.col("_rank") <= F.bround(F.lit(frac) * F.col("_n"), 0)).select(key), key, "left_semi")
 
 
 def stratified_sample_n(df: DataFrame, strata: str, n: int, *, key: str, seed: int = 42,
                         groups_bound: int | None = None, materialize_input: bool = False) -> DataFrame:
     """At most ``min(n, size)`` rows per stratum."""
-    base = df.where(F.col(strata).isNotNull())
-    r = rank_within(base, [strata], _order(key, seed), rank_col="_rank", groups_bound=groups_bound,
-                    materialize_input=materialize_input)
-    return r.where(F.col("_rank") <= F.lit(n)).drop("_rank")
+    base = _input(df.where(F.col(strata).isNotNull()), materialize_input)
+    r = rank_within(base.select(strata, key), [strata], _order(key, seed), rank_col="_rank", groups_bound=groups_bound)
+    return base.join(r.where(F.col("_rank") <= F.lit(n)).select(key), key, "left_semi")
 
 
 def anti_by_index(df: DataFrame, sample: DataFrame, key: str) -> DataFrame:
@@ -65,15 +77,15 @@ def authorship_split(df: DataFrame, *, label: str = "is_target", strata: str = "
     One ranked pass over (label, stratum); the split sizes come from the per-stratum counts,
     a table bounded by the number of strata (J6: the group shares are joined back).
     """
-    base = df.where(F.col(label).isin(0, 1) & F.col(strata).isNotNull())
-    r, sizes = rank_within_stats(base, [label, strata], _order(key, seed), rank_col="_rank",
-                                 groups_bound=groups_bound, materialize_input=materialize_input)
+    base = _input(df.where(F.col(label).isin(0, 1) & F.col(strata).isNotNull()), materialize_input)
+    r, sizes = rank_within_stats(base.select(label, strata, key), [label, strata], _order(key, seed), rank_col="_rank",
+                                 groups_bound=groups_bound)
     shares = _shares(sizes, label, strata, target_test_frac)
     j = r.join(shares, [label, strata])  # one row per stratum: Spark picks the join by its size
     split = (F.when(F.col("_rank") <= F.col("_test_n"), F.lit("test"))
               .when(F.col("_rank") <= F.col("_test_n") + F.col("_train_n"), F.lit("supervised"))
               .otherwise(F.lit("unsupervised")))
-    return j.withColumn("split", split).drop("_rank", "_test_n", "_train_n")
+    return _with_column_of(base, j.withColumn("split", split), key, "split")
 
 
 def group_share(df: DataFrame, *, label: str = "is_target", strata: str = "source_file",
@@ -103,40 +115,43 @@ def _shares(counts: DataFrame, label: str, strata: str, target_test_frac: float)
 
 
 def train_validation_split(df: DataFrame, *, key: str, test_size: float = 0.2, seed: int = 42,
-                           exact: bool = True, role_col: str = "role") -> DataFrame:
+                           exact: bool = True, role_col: str = "role", materialize_input: bool = False) -> DataFrame:
     """80/20 split. ``exact``: ``ceil(test_size * n)`` validation rows by seeded hash
     order (a counted range sort: no single-partition window). Otherwise a row-local hash
     threshold with approximately that share."""
     if not exact:
         u = F.conv(F.substring(hash_order(F.col(key), seed), 1, 8), 16, 10).cast("double") / 4294967296.0
         return df.withColumn(role_col, F.when(u < test_size, "validation").otherwise("train"))
-    r = global_rank(df, _order(key, seed), rank_col="_rank", size_col="_n")
+    df = _input(df, materialize_input)
+    r = global_rank(df.select(key), _order(key, seed), rank_col="_rank", size_col="_n")
     n_test = F.ceil(F.lit(test_size) * F.col("_n"))
-    return r.withColumn(role_col, F.when(F.col("_rank") <= n_test, "validation").otherwise("train")) \
-            .drop("_rank", "_n")
+    role = F.when(F.col("_rank") <= n_test, "validation").otherwise("train")
+    return _with_column_of(df, r.withColumn(role_col, role), key, role_col)
 
 
 def kfold_assign(df: DataFrame, *, key: str, k: int = 5, seed: int = 42, fold_col: str = "fold",
-                 exact: bool = True) -> DataFrame:
+                 exact: bool = True, materialize_input: bool = False) -> DataFrame:
     """Shuffled k folds; the first ``n mod k`` folds hold one row more. Each row gets
     the 0-based fold where it is in the validation part. ``exact=False``: a row-local
     ``pmod(hash, k)`` with about n / k rows per fold and no shuffle."""
     if not exact:
         h = F.conv(F.substring(hash_order(F.col(key), seed), 1, 8), 16, 10).cast("long")
         return df.withColumn(fold_col, F.pmod(h, F.lit(k)).cast("int"))
-    r = global_rank(df, _order(key, seed), rank_col="_rank", size_col="_n")
+    df = _input(df, materialize_input)
+    r = global_rank(df.select(key), _order(key, seed), rank_col="_rank", size_col="_n")
     q = F.floor(F.col("_n") / k)
     m = F.col("_n") - q * k
     i = F.col("_rank") - 1
     big = m * (q + 1)
     fold = F.when(i < big, F.floor(i / (q + 1))).otherwise(m + F.floor((i - big) / q))
-    return r.withColumn(fold_col, fold.cast("int")).drop("_rank", "_n")
+    return _with_column_of(df, r.withColumn(fold_col, fold.cast("int")), key, fold_col)
 
 
-def kfold(df: DataFrame, *, key: str, k: int = 5, seed: int = 42, exact: bool = True) -> DataFrame:
+def kfold(df: DataFrame, *, key: str, k: int = 5, seed: int = 42, exact: bool = True,
+          materialize_input: bool = False) -> DataFrame:
     """X5 long form: every row once per fold, with ``fold`` and ``role`` (train /
     validation): the k train/validation pairs as one DataFrame."""
-    a = kfold_assign(df, key=key, k=k, seed=seed, fold_col="_vf", exact=exact)
+    a = kfold_assign(df, key=key, k=k, seed=seed, fold_col="_vf", exact=exact, materialize_input=materialize_input)
     return (a.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
              .withColumn("role", F.when(F.col("fold") == F.col("_vf"), "validation").otherwise("train"))
              .drop("_vf"))

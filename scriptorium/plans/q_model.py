@@ -23,7 +23,7 @@ def supervised(spark, sf):
 @query("text_classifier_fit")
 def q_text_classifier_fit(spark, sf):
     sup, _ = supervised(spark, sf)
-    parts = train_validation_split(sup, key="k", seed=SEED, role_col="_role")
+    parts = train_validation_split(sup, key="k", seed=SEED, role_col="_role", materialize_input=True)
     model = M.text_classifier_fit(parts.where(F.col("_role") == "train"), num_features=FEATURES, max_iter=50)
     return M.score_batch(model, parts.where(F.col("_role") == "validation"), keep=["k"]).drop("probability")
 
