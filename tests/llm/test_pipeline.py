@@ -28,7 +28,7 @@ def test_stages(spark):
         assert len({r.doc_id for r in rows}) == len(rows) and {r.doc_id for r in rows} <= set(before)
         if name == "toxicity":
             d = table(spark, SF, "documents")
-            model = toxicity.fit(toxicity.labelled(d, table(spark, SF, "labels")))
+            model = toxicity.fit(toxicity.labelled(d, table(spark, SF, "labels")), d)
             want = {r.doc_id for r in toxicity.score_texts(d, model).collect() if r.score < 0.5}
             assert {r.doc_id for r in rows} == want
         if name == "language_id":
