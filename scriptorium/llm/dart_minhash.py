@@ -16,9 +16,11 @@ Search. 32 bands of 5 coordinates: two texts of similarity 0.8 share no bucket w
 Texts of equal multisets collapse to one node first. In every bucket the member with most
 bucket mates overall (the hub) is compared with the others; links are verified on the exact
 multisets and joined to components. Members outside the hub's component then become centres
-themselves, a number per bucket that doubles every round until all are, and are
+themselves, a number per bucket that grows eightfold every round until all are, and are
 compared with all members of other components: a pair in a bucket is left out only when its
-texts are already in one class. Nothing is capped.
+texts are already in one class. Before texts are compared, one-bit sketches of 1,024 further darts are: texts of similarity s differ in a share
+(1 - s) / 2 of the bits, and a pair is left out when its share lies more than 4.5 standard deviations above
+that of the threshold (3e-6 of the pairs at the threshold). Nothing is capped.
 
 Partitioning. Nodes, buckets, pairs and components stay in DataFrames: minima and counts per key are
 partial aggregates, the joins that bring rows back to a hot bucket, text or class are plain
@@ -42,7 +44,13 @@ WIDTH = 5
 THRESHOLD = 0.8
 BANDS = 32
 ROWS = 5
+# centres per bucket and round: GROWTH, GROWTH ** 2, ...
+GROWTH = 8
 SEED = 0x51ED
+# one-bit sketches of SKETCH_WORDS * 64 further coordinates, compared before texts are
+SKETCH_WORDS = 16
+SKETCH_SEED = 0xB17
+SKETCH_SIGMAS = 4.5
 
 # chance of at most 0, 1, 2, ... darts in a cell of area one (Poisson with mean 1)
 POISSON = np.cumsum(np.exp(-1.0) / np.cumprod([1.0, *range(1, 13)]))
@@ -199,6 +207,37 @@ def pair_similarity(a_raw, a_off, b_raw, b_off) -> np.ndarray:
     return shared / np.maximum(total - shared, 1)
 
 
+SKETCH = [f"k{i}" for i in range(SKETCH_WORDS)]
+
+
+def sketched(texts: DataFrame) -> DataFrame:
+    """(node, text) plus the one-bit sketch of each text in the columns ``SKETCH``."""
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            raw, off = utf8_batch(b.column(1))
+            n = len(off) - 1
+            sig = signatures(*shingle_counts(raw, off), n, 64 * SKETCH_WORDS, SKETCH_SEED)
+            bits = np.packbits((mix64(sig) & np.uint64(1)).astype(np.uint8), axis=1).view("<i8")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(bits[:, i]) for i in range(SKETCH_WORDS)]],
+                                             names=["node", "text", *SKETCH])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, text string, " + ", ".join(f"{c} long" for c in SKETCH))
+
+
+def may_reach(left: str, right: str, threshold: float):
+    """Condition on the sketch columns with these prefixes: the texts may be as similar as the threshold."""
+    n, p = 64 * SKETCH_WORDS, (1 - threshold) / 2
+    limit = n * p + SKETCH_SIGMAS * np.sqrt(n * p * (1 - p))
+    differ = sum((F.bit_count(F.col(left + c).bitwiseXOR(F.col(right + c))) for c in SKETCH), F.lit(0))
+    return differ <= F.lit(float(limit))
+
+
+def renamed(df: DataFrame, prefix: str, *keep) -> DataFrame:
+    return df.select(*keep, *[F.col(c).alias(prefix + c) for c in SKETCH])
+
+
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Those of ``pairs`` (a, b) whose texts have at least the threshold's similarity."""
     def run(batches):
@@ -210,11 +249,32 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             ok = pa.array(sim >= threshold - 1e-12)
             yield pa.RecordBatch.from_arrays([pc.filter(b.column(0), ok), pc.filter(b.column(1), ok)], names=["src", "dst"])
 
-    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+    # sketches first, so that texts only move for pairs that may link
+    sk = (pairs.join(renamed(texts, "a_", F.col("node").alias("a")), "a")
+          .join(renamed(texts, "b_", F.col("node").alias("b")).withColumnRenamed("b", "_b"),
+                (F.col("b") == F.col("_b")) & may_reach("a_", "b_", threshold)).select("a", "b"))
+    both = (sk.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b"))
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "src long, dst long")
 
 
+def merged(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components (node, component) after adding ``links`` to components ``comp``: only the
+    components that the links touch are worked on."""
+    e = links
+    if comp is not None:
+        for c in ("src", "dst"):
+            e = (e.join(comp.select(F.col("node").alias(c), F.col("component").alias("_c")), c, "left")
+                 .withColumn(c, F.coalesce("_c", c)).drop("_c"))
+    found = connected_components(e)
+    if comp is None:
+        return materialize(found, "components")
+    found = materialize(found, "components")
+    old = comp.join(found.select(F.col("node").alias("component"), F.col("component").alias("_c")), "component", "left")
+    old = old.select("node", F.coalesce("_c", "component").alias("component"))
+    return materialize(old.unionByName(found.join(comp.select("node"), "node", "left_anti").select("node", "component")), "components")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per input row: (id, copy, node, class_node, class_id, class_rows). ``class_id`` is the smallest id
@@ -236,9 +296,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     members = materialize(members.join(score, "node").select("bucket", "node", "size", "score"), "members")
     # one text per node that has bucket mates
     need = materialize(score.join(nodes, "node").select("node", "copy"), "need")
-    texts = materialize(src.select("copy", "text").join(need, "copy").groupBy("node").agg(F.first("text").alias("text")), "texts")
+    texts = src.select("copy", "text").join(need, "copy").groupBy("node").agg(F.first("text").alias("text"))
+    texts = materialize(sketched(texts), "texts")
 
-    links = tested = comp = None
+    tested = comp = None
     turn = 0
     while True:
         if comp is None:
@@ -251,26 +312,29 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             pairs = live.join(buckets.select("bucket", F.col("hub.node").alias("c")), "bucket").where("node <> c").select("c", "node")
             last = False
         else:
-            around = materialize(live.join(buckets.select("bucket", F.col("hub.comp").alias("main")), "bucket"), "live")
+            around = live.join(buckets.select("bucket", F.col("hub.comp").alias("main")), "bucket")
+            around = materialize(around.select("bucket", "node", "comp", "main"), "live")
             out = around.where("comp <> main")
             n_out = out.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
             share = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-            out = out.join(n_out, "bucket").withColumn("chosen", (F.col("n") <= F.lit(2 ** turn)) | (share < F.lit(2.0 ** turn) / F.col("n")))
+            out = out.join(n_out, "bucket").withColumn("chosen", (F.col("n") <= F.lit(GROWTH ** turn)) | (share < F.lit(float(GROWTH) ** turn) / F.col("n")))
             centres = out.where("chosen").select("bucket", F.col("node").alias("c"), F.col("comp").alias("cc"))
+            centres = centres.join(renamed(texts, "c_", F.col("node").alias("c")), "c").withColumnRenamed("bucket", "_bucket")
+            others = around.join(renamed(texts, "n_", "node"), "node")
             biggest = n_out.agg(F.max("n")).first()[0]
             if biggest is None:
                 break
-            last = biggest <= 2 ** turn
-            pairs = around.join(centres, "bucket").where("comp <> cc").select("c", "node")
+            last = biggest <= GROWTH ** turn
+            meet = (F.col("bucket") == F.col("_bucket")) & (F.col("comp") != F.col("cc")) & may_reach("c_", "n_", threshold)
+            pairs = others.join(centres, meet).select("c", "node")
         pairs = pairs.select(F.least("c", "node").alias("a"), F.greatest("c", "node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         found = materialize(verified(pairs, texts, threshold), "links")
-        links = found if links is None else links.unionByName(found)
         tested = pairs if tested is None else tested.unionByName(pairs)
         if not found.isEmpty():
-            comp = materialize(connected_components(links).select("node", "component"), "components")
+            comp = merged(comp, found)
         if last:
             break
         turn += 1
@@ -303,14 +367,14 @@ def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = materialize(best.join(t, best["_keep_id"].eqNullSafe(t["_i"]) & (best["_keep_copy"] == t["_c"]))
                        .select("_keep_id", "_keep_copy", "_twins"), "kept")
     blank = materialize(cls.where("class_node IS NULL").select(F.col("copy").alias("_keep_copy")).distinct(), "blank")
-    keyed = df.withColumn("_copy", F.xxhash64(F.coalesce(df[text_col].cast("string"), F.lit(""))))
-    on = keyed[id_col].eqNullSafe(best["_keep_id"]) & (keyed["_copy"] == best["_keep_copy"])
+    keyed = df.withColumn("__text_hash__", F.xxhash64(F.coalesce(df[text_col].cast("string"), F.lit(""))))
+    on = keyed[id_col].eqNullSafe(best["_keep_id"]) & (keyed["__text_hash__"] == best["_keep_copy"])
     out = keyed.join(best.where("_twins = 1"), on, "left_semi")
     if not best.where("_twins > 1").isEmpty():
-        out = out.unionByName(keyed.join(best.where("_twins > 1"), on, "left_semi").dropDuplicates([id_col, "_copy"]))
+        out = out.unionByName(keyed.join(best.where("_twins > 1"), on, "left_semi").dropDuplicates([id_col, "__text_hash__"]))
     if not blank.isEmpty():
-        out = out.unionByName(keyed.join(blank, keyed["_copy"] == blank["_keep_copy"], "left_semi"))
-    return out.drop("_copy")
+        out = out.unionByName(keyed.join(blank, keyed["__text_hash__"] == blank["_keep_copy"], "left_semi"))
+    return out.drop("__text_hash__")
 
 
 def op2_dart_minhash(spark, sf_dir: str) -> DataFrame:

@@ -157,9 +157,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """The rows of ``docs`` whose text contains no item (all columns kept)."""
     _, share = _search(docs, items, id_col, text_col, item_id_col, item_text_col, threshold, width)
     # written first, so that Spark knows the size of this side
-    bad = materialize(share.select(F.col("copy").alias("_bad")).distinct(), "contaminated")
+    bad = materialize(share.select(F.col("copy").alias("__bad_hash__")).distinct(), "contaminated")
     text = F.xxhash64(docs[text_col].cast("string"))
-    return docs.withColumn("_text_hash", text).join(bad, F.col("_text_hash") == F.col("_bad"), "left_anti").drop("_text_hash")
+    return docs.withColumn("__text_hash__", text).join(bad, F.col("__text_hash__") == F.col("__bad_hash__"), "left_anti").drop("__text_hash__")
 
 
 def op8_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
