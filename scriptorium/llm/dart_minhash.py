@@ -139,7 +139,7 @@ def signatures(at, g, w, n_docs: int, k: int, seed: int = SEED) -> np.ndarray:
         again = []
         # a bounded number of cells at a time: about throws + elements for each text
         size = np.maximum(np.bincount(at, minlength=n_docs)[todo], throws * scale)
-        cut = np.flatnonzero(np.diff(np.floor(np.cumsum(size) / 1.5e6), prepend=-1))
+        cut = np.flatnonzero(np.diff(np.floor(np.cumsum(size) / 4e5), prepend=-1))
         for part in np.split(todo, cut[1:]):
             mine = np.zeros(n_docs, dtype=bool)
             mine[part] = True

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from scriptorium.llm.common import ready, table
 
 MARK = "▁"
-CACHE = 300_000
+CACHE = 400_000
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 
 _CODECS: dict[str, "Codec"] = {}
