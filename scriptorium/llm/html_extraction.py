@@ -7,19 +7,21 @@ whole sequence in both directions, so every block is judged with the page around
 not. Kept blocks are joined by one line feed.
 
 Training. Labels are weak: blocks inside ``article`` or ``main`` are text unless an inner element
-names them otherwise. At most about ``train_pages`` pages with up to ``TRAIN_BLOCKS`` blocks, drawn by a
-hash of the page (documented bounds of the classifier), are used, each also in variants: the article's elements renamed as
+names them otherwise. At most about ``train_pages`` pages of any length, drawn by a hash of the page, are used, of a
+longer one ``TRAIN_BLOCKS`` blocks in a row at a hashed place (documented bounds of the classifier), each also in variants: the article's elements renamed as
 sites do, and boilerplate (menus, notices, forms, sidebars, comments) put in around and inside it. The
 model judges every block of every page; the labelling rule is not consulted then.
 
 Defined results: a NULL or empty page, and one without kept blocks, gives the empty text; unclosed and misnested
-elements are closed by the elements around them; repeated rows give equal results; without pages to
+elements are closed by the elements around them (only scripts and styles are dropped with their content, to the page's
+end if unclosed); repeated rows give equal results; without pages to
 learn from nothing is kept; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import html
+import pickle
 import random
 import re
 import zlib
@@ -35,12 +37,13 @@ PATH_DIMS, WORD_DIMS, HIDDEN = 64, 16, 16
 DIMS = PATH_DIMS + WORD_DIMS + 5
 EPOCHS = 12
 
-# fixed values: elements that start a block, that have no content, and whose content is not text
+# fixed values: elements that start a block, that have no content, whose content is not text, and that may close themselves
 BLOCK = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt
 fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu
 nav ol optgroup option p pre section select summary table tbody td textarea tfoot th thead title tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIP = frozenset("script style noscript template svg iframe object math canvas audio video".split())
+SKIP = frozenset({"script", "style"})
+FOREIGN = frozenset({"svg", "math"})
 # an opening element of these closes an open one of the same group
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"},
             "option": {"option"}}
@@ -115,6 +118,8 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         if name in VOID:
             data.append(" " if name in ("br", "wbr", "hr", "img", "input") else "")
             continue
+        if m[3].endswith("/") and (name in FOREIGN or any(x in FOREIGN for x, _ in stack)):
+            continue
         words = " ".join(a or b or c for a, b, c in NAMES.findall(m[3])).lower() if "=" in m[3] else ""
         stack.append((name, name + ("." + words if words else "")))
         links += name == "a"
@@ -335,6 +340,12 @@ def variants(page: list, rng: random.Random) -> list[tuple[list, list[int]]]:
     return out
 
 
+def stretch(blocks: list, h: int, limit: int) -> list:
+    """The blocks of a page, of a longer one ``limit`` blocks in a row at a place given by its hash."""
+    at = zlib.crc32(str(h).encode()) % max(len(blocks) - limit + 1, 1)
+    return blocks[at: at + limit]
+
+
 def fit(df: DataFrame, html_col: str = "html", train_pages: int = TRAIN_PAGES) -> dict | None:
     """Model from a bounded sample of the pages."""
     rows = df.select(F.col(f"`{html_col}`").cast("string").alias("p")).where(F.length("p") > 0).withColumn("h", F.xxhash64("p"))
@@ -342,10 +353,23 @@ def fit(df: DataFrame, html_col: str = "html", train_pages: int = TRAIN_PAGES) -
     if not n:
         return None
     unit = F.pmod(F.xxhash64("h", F.lit(53)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    # a page of TRAIN_BLOCKS blocks and more is seldom longer than this; the sample is collected
-    sample = rows.where(unit < F.lit(min(1.0, train_pages / n))).where(F.length("p") < 200_000).dropDuplicates(["h"]).orderBy("h").collect()
+    ready(df.sparkSession)
+
+    def run(batches):
+        import pyarrow as pa
+
+        from scriptorium.llm import html_extraction as hx
+
+        for b in batches:
+            own = [hx.stretch(hx.blocks_of(p), h, limit) for p, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([pickle.dumps(x) for x in own], pa.binary())], names=["h", "b"])
+
+    # pages of any length; the sample's stretches of blocks are collected, not its pages
+    limit = TRAIN_BLOCKS
+    sample = rows.where(unit < F.lit(min(1.0, train_pages / n))).select("p", "h").mapInArrow(run, "h long, b binary")
+    sample = sample.dropDuplicates(["h"]).orderBy("h").collect()
     rng = random.Random(9)
-    pages = [b for b in (blocks_of(r.p) for r in sample) if 0 < len(b) <= TRAIN_BLOCKS]
+    pages = [b for b in (pickle.loads(r.b) for r in sample) if b]
     data = [v for p in pages for v in variants(p, rng)]
     if not data:
         return None

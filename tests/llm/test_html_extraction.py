@@ -105,3 +105,27 @@ def test_sidebars_forms_comments_are_left_out(spark):
     assert got[(1, "u")] == got[(2, None)] == "" and got[(None, "u")].count("\n") == 3 and got[(3, "u")].count("\n") > 19000
     assert h.extract(odd, model).count() == 5 and h.extract(odd.limit(0), model).count() == 0 and h.fit(odd.limit(0)) is None
     assert {r.text for r in h.extract(odd, None).collect()} == {""}
+
+
+def test_long_pages_are_learned_from(spark):
+    """A table of long pages only: more blocks than a training stretch, some of 200,000 characters and more."""
+    def page(i, n, words):
+        body = "".join(f"<p>{' '.join(f'w{i}x{j}y{k}' for k in range(words))}</p>" for j in range(n))
+        return f"<html><body><nav><a href='/'>Home</a></nav><article>{body}</article><footer>Legal notice {i}</footer></body></html>"
+    pages = [(i, f"u{i}", page(i, 200, 150 if i % 4 == 0 else 12)) for i in range(24)]
+    assert min(len(h.blocks_of(p)) for _, _, p in pages) > h.TRAIN_BLOCKS and max(len(p) for _, _, p in pages) > 200_000
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    model = h.fit(df)
+    assert model is not None
+    for r in h.extract(df, model).collect():
+        kept = r.text.split("\n")
+        assert sum(x.startswith(f"w{r.page_id}x") for x in kept) >= 195
+
+
+def test_only_scripts_and_styles_are_dropped():
+    for name in ("svg", "math", "object", "video", "audio", "canvas", "iframe", "template", "noscript"):
+        assert [x[1] for x in h.blocks_of(f"<article><p>one <{name}>two<p>three</article><p>four")] == ["one two", "three", "four"], name
+    assert [x[1] for x in h.blocks_of("<article><p>let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be</p></article>")] == ["let x=2 be"]
+    b = h.blocks_of("<p>a <svg><path d='M0'/><circle r='1'/></svg> b <svg/> c</p><p>d")
+    assert [x[:2] for x in b] == [(("p",), "a b c"), (("p",), "d")]
+    assert h.blocks_of("<p>one<style>two<p>three") == [(("p",), "one", 0.0)]
