@@ -4,8 +4,8 @@ Features: hashed byte trigrams of the text (A-Z folded, every ASCII byte that is
 taken as a blank, runs of blanks skipped), log(1 + count) times inverse document frequency, scaled to
 length 1. Each language has several centroids (spherical k-means over its training texts); a text gets the
 language of the centroid with the highest cosine. It is *rejected* when it has no letter, or when that
-cosine is below 0.35 times the lowest cosine of any training text in its length class (powers of
-two of its trigram count).
+cosine is below ``MARGIN`` times the ``QUANTILE`` of the cosines that training texts of its length class (powers of
+two of its trigram count) have to centroids fitted without them.
 
 Fitting uses at most about ``train_rows`` distinct texts per language, drawn by a hash of the text
 (documented bound of the classifier); predictions read whole texts and nothing but the text.
@@ -25,7 +25,9 @@ from scriptorium.llm.common import held_out, keep_rows, ready, table, utf8_batch
 BUCKETS = 4096
 CENTROIDS = 4
 TRAIN_ROWS = 600
-# share of the lowest training cosine of a length class below which a text is rejected
+# a text is rejected below this share of this quantile of the cosines of held-out training texts of its length; without
+# such texts, below a share of the lowest training cosine
+MARGIN, QUANTILE, NEAR = 0.6, 0.01, 50
 REJECT = 0.35
 BLOCK_BYTES = 1 << 22
 
@@ -99,12 +101,20 @@ def fit_arrays(counts: np.ndarray, langs: list[str], k: int = CENTROIDS) -> dict
     parts = [spherical_kmeans(x[own == i], k) for i in range(len(names))]
     centroids = np.concatenate(parts)
     of = np.repeat(np.arange(len(names)), [len(p) for p in parts])
-    best = (x @ centroids.T).max(axis=1)
-    size = length_class(counts)
-    floor = np.full(40, REJECT * best.min())
-    for s in range(40):
-        if (size == s).any():
-            floor[s] = REJECT * best[size == s].min()
+    floor = np.full(40, REJECT * (x @ centroids.T).max(axis=1).min())
+    # every fifth text of a language against centroids of the others
+    nth = np.zeros(len(own), dtype=int)
+    for i in range(len(names)):
+        nth[own == i] = np.arange((own == i).sum())
+    out = nth % 5 == 4
+    if out.any():
+        others = np.concatenate([spherical_kmeans(x[(own == i) & ~out], k) for i in range(len(names))])
+        best, size = (x[out] @ others.T).max(axis=1), length_class(counts[out])
+        for s in range(int(size.min()), 40):
+            # the nearest classes that hold NEAR texts together
+            far = np.abs(size - s)
+            near = far <= np.sort(far)[min(NEAR, len(far)) - 1]
+            floor[s] = MARGIN * np.quantile(best[near], QUANTILE)
     return {"names": names, "idf": idf, "centroids": centroids.astype(np.float32), "of": of, "floor": floor}
 
 
@@ -180,11 +190,12 @@ def identify(df: DataFrame, model: dict | None, id_col: str = "doc_id", text_col
 
 
 def without_rejected(df: DataFrame, model: dict | None, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` whose text is in one of the learned languages (all columns kept)."""
+    """The rows of ``df`` whose text is in one of the learned languages (all columns kept); without a model, those with a letter."""
     spark = df.sparkSession
     ready(spark)
+    letters = df.where(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).rlike("\\p{L}"))
     if model is None:
-        return df.where("false")
+        return letters
     shared = spark.sparkContext.broadcast(model)
 
     def make_keep():
@@ -192,7 +203,6 @@ def without_rejected(df: DataFrame, model: dict | None, text_col: str = "text")
             return ~predict_arrays(shared.value, trigram_counts(*utf8_batch(column)))[2]
         return keep
 
-    letters = df.where(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).rlike("\\p{L}"))
     return keep_rows(letters, text_col, make_keep)
 
 

@@ -46,3 +46,24 @@ def test_odd_rows(spark):
     assert li.identify(df, model).count() == len(docs) and li.identify(df.limit(0), model).count() == 0
     assert li.fit(df.limit(0)) is None
     assert {r.lang_pred for r in li.identify(df, None).collect()} == {"und"}
+
+
+def test_foreign_and_random_texts_are_rejected(spark):
+    rng = np.random.default_rng(8)
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang")
+    model = li.fit(docs)
+    foreign = ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto. " * 3,
+               "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem. " * 3,
+               "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью. " * 3,
+               "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心。" * 10]
+    foreign += [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(80)) for _ in range(10)]
+    _, score, rejected = li.predict_arrays(model, li.trigram_counts(*batch(foreign)))
+    assert rejected.all(), (score, model["floor"])
+    clean = [r.text for r in docs.collect() if r.text]
+    assert li.predict_arrays(model, li.trigram_counts(*batch(clean)))[2].mean() < 0.01
+
+
+def test_lettered_rows_stay_without_anything_to_learn_from(spark):
+    df = spark.createDataFrame([(1, "some text", None), (2, "12 !", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert li.fit(df) is None
+    assert [r.doc_id for r in li.without_rejected(df, None).collect()] == [1]
