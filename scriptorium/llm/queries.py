@@ -29,7 +29,6 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
-    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_benchmark_decontamination": OP8_SQL,
 }
 

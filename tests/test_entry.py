@@ -65,3 +65,9 @@ def test_registry_loads_from_another_folder_without_spark_jars(tmp_path):
     assert r.returncode == 0, r.stderr[-2000:]
     n_queries, n_oracle = map(int, r.stdout.split()[-2:])
     assert n_queries >= 127 and n_oracle >= 122
+
+
+def test_every_oracle_is_a_statement():
+    o = load_entry().oracle_sql()
+    assert [n for n, v in o.items() if not isinstance(v, str)] == []
+    assert "op7_embedding_dedup" not in o and "op8_benchmark_decontamination" in o
