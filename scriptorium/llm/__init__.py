@@ -1,7 +1,7 @@
 """Operators for preparing training data from documents, pages and embeddings.
 
 Nothing else in the library imports this subpackage. ``registered()`` gives the queries of the
-ten operators and of the pipeline, and the SQL of those that SQL can express."""
+operators and of the pipeline, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 

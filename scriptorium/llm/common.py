@@ -208,3 +208,20 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError("connected components did not settle")
     roots = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return roots.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+
+
+# ---- joins on counted keys ----------------------------------------------------------------------
+
+HEAVY = 2000
+
+
+def join_counted(rows: DataFrame, info: DataFrame, key: list[str], count_col: str) -> DataFrame:
+    """``rows`` joined (inner) with ``info``, which has one row per key and in ``count_col`` the number
+    of rows that hold the key. Keys holding more than 1 / ``HEAVY`` of all rows - there are fewer than
+    ``HEAVY`` of them, whatever the data - are broadcast, so no hot key is dealt to one task; all other
+    keys meet in an ordinary join. Both inputs are read twice: pass written tables. Keys are not NULL."""
+    total = info.agg(F.sum(count_col).alias("n")).first()["n"] or 0
+    is_heavy = F.col(count_col) * F.lit(HEAVY) > F.lit(total)
+    heavy = F.broadcast(info.where(is_heavy))
+    rest = rows.join(heavy.select(*key), key, "left_anti")
+    return rows.join(heavy, key).unionByName(rest.join(info.where(~is_heavy), key))

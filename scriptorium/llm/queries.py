@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and of the pipeline."""
+"""Registered queries of the operators and of the pipeline."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from scriptorium.llm.html_extraction import op5_html_extraction
 from scriptorium.llm.language_id import op6_language_id
 from scriptorium.llm.lm_scoring import op10_lm_scoring
 from scriptorium.llm.sentencepiece_encoding import op3_sentencepiece
+from scriptorium.llm.sharding import op11_sharding
 from scriptorium.llm.token_counts import op1_token_counts
 from scriptorium.llm.toxicity import op9_toxicity
 from scriptorium.llm.url_filter import op4_url_filter
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_sharding": op11_sharding,
     "pipeline": corpus_pipeline.run,
 }
 
