@@ -9,6 +9,7 @@ from scriptorium.llm.embedding_dedup import op7_embedding_dedup
 from scriptorium.llm.html_extraction import op5_html_extraction
 from scriptorium.llm.language_id import op6_language_id
 from scriptorium.llm.lm_scoring import op10_lm_scoring
+from scriptorium.llm.prefix_trie import OP12_SQL, op12_prefix_trie
 from scriptorium.llm.sentencepiece_encoding import op3_sentencepiece
 from scriptorium.llm.sharding import op11_sharding
 from scriptorium.llm.token_counts import op1_token_counts
@@ -27,11 +28,13 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_sharding": op11_sharding,
+    "op12_prefix_trie": op12_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
     "op8_benchmark_decontamination": OP8_SQL,
+    "op12_prefix_trie": OP12_SQL,
 }
 
 if corpus_pipeline.ORACLE_SQL:
