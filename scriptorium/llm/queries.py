@@ -8,6 +8,7 @@ from scriptorium.llm.decontamination import OP8_SQL, op8_benchmark_decontaminati
 from scriptorium.llm.embedding_dedup import op7_embedding_dedup
 from scriptorium.llm.html_extraction import op5_html_extraction
 from scriptorium.llm.language_id import op6_language_id
+from scriptorium.llm.lexical_search import OP13_SQL, op13_lexical_search
 from scriptorium.llm.lm_scoring import op10_lm_scoring
 from scriptorium.llm.prefix_trie import OP12_SQL, op12_prefix_trie
 from scriptorium.llm.sentencepiece_encoding import op3_sentencepiece
@@ -29,12 +30,14 @@ QUERIES = {
     "op10_lm_scoring": op10_lm_scoring,
     "op11_sharding": op11_sharding,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_lexical_search": op13_lexical_search,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
     "op8_benchmark_decontamination": OP8_SQL,
     "op12_prefix_trie": OP12_SQL,
+    "op13_lexical_search": OP13_SQL,
 }
 
 if corpus_pipeline.ORACLE_SQL:
