@@ -70,4 +70,3 @@ def test_registry_loads_from_another_folder_without_spark_jars(tmp_path):
 def test_every_oracle_is_a_statement():
     o = load_entry().oracle_sql()
     assert [n for n, v in o.items() if not isinstance(v, str)] == []
-    assert "op7_embedding_dedup" not in o and "op8_benchmark_decontamination" in o
