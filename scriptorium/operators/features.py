@@ -2,10 +2,10 @@
 
 Shape of the job:
   documents -> drop empty (P7) -> sentences (T5) -> tokens -> ids through a vocabulary
-  learned from the corpus (N1, broadcast: its size is the ``vocab_size`` parameter)
-  -> one row per document with its sentence id arrays (N2) -> pair packing (N3-N6) in
-  ``mapInArrow`` (the only per-document sequential loop) -> random "next" segments fetched
-  by an equi-join on a drawn document ordinal (J5) -> truncation, special tokens, type ids,
+  learned from the corpus (N1, N2: Arrow lookup inside the row, ``operators.encode``)
+  -> pair packing (N3-N6) in ``mapInArrow``, row by row -> random "next" segments: partner and first
+  sentence drawn on narrow tables (ordinals, sentence counts, running lengths), then only the blocks of
+  sentences that are needed are fetched (J5) -> truncation, special tokens, type ids,
   padding, labels (N7-N11, N14) as array expressions -> masking (N12).
 
 Every random draw is a hash of (document, example, purpose, seed): reruns and recomputed
@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from scriptorium.functions import text as TX
 from scriptorium.functions.hashing import uniform, uniform_int
 from scriptorium.operators import project as P
-from scriptorium.operators.ranking import global_rank
+from scriptorium.operators.encode import LOOKUP_TERMS, encoded, fits_lookup, join_ids, lookup_ids, sentence_tokens
+from scriptorium.operators.ranking import rank_within
 from scriptorium.session import materialize
 
 # fixed values: special tokens and their ids, sequence sizes
@@ -55,29 +56,23 @@ def build_vocab(docs: DataFrame, text_col: str = "text", vocab_size: int = 30000
 
 
 # ---- N2: sentences as id arrays -----------------------------------------------------------
+def encoded_documents(docs: DataFrame, vocab: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """N2, one row per document: ``sentences`` = array of id arrays in sentence order, for the documents
+    that have a sentence. Row-local: no shuffle. Unknown tokens get [UNK]."""
+    d = docs.select(id_col, sentence_tokens(F.col(text_col)).alias("sentences"))
+    return encoded(d, vocab, "sentences", id_col=id_col).where(F.size("sentences") > 0)
+
+
 def sentence_table(docs: DataFrame, vocab: DataFrame, *, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """One row per (document, sentence) with the sentence's token ids in order.
-
-    Documents are hash-partitioned by id once; sentences and tokens are exploded inside
-    those partitions, tokens are looked up in the broadcast vocabulary (size bounded by
-    its parameter) and regrouped per sentence without another shuffle (the grouping keys
-    start with the partitioning key). Unknown tokens get [UNK]."""
-    d = docs.select(id_col, text_col).repartition(id_col)
-    sents = TX.explode_rows(d, [id_col], TX.split_sentences(F.col(text_col)), ("sentence_id", "sentence"),
-                            with_pos=True)
-    toks = TX.explode_rows(sents, [id_col, "sentence_id"], TX.tokenise_words(F.col("sentence")),
-                           ("pos", "token"), with_pos=True)
-    ided = toks.join(vocab, "token", "left") \
-               .withColumn("id", F.coalesce(F.col("id"), F.lit(UNK)))
-    grouped = ided.groupBy(id_col, "sentence_id").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
-    return grouped.select(id_col, "sentence_id", F.transform("_p", lambda x: x["id"]).alias("ids"))
+    """One row per (document, sentence) with the sentence's token ids in order."""
+    d = encoded_documents(docs, vocab, id_col=id_col, text_col=text_col)
+    return d.select(id_col, F.posexplode("sentences").alias("sentence_id", "ids"))
 
 
 def document_sentences(sent_table: DataFrame, docs: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
-    """One row per document: ``sentences`` = array of id arrays in sentence order, for the
-    documents that have at least one sentence."""
+    """One row per document from a sentence table: ``sentences`` = array of id arrays in sentence order, for the
+    documents that have at least one sentence. ``encoded_documents`` gives it without regrouping."""
     g = sent_table.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("sentence_id", "ids"))).alias("_s"))
     return g.select(id_col, F.transform("_s", lambda x: x["ids"]).alias("sentences"))
 
@@ -92,18 +87,11 @@ def target_length(doc_id: Column, *, seed: int = 42, short_seq_prob: float = SHO
 
 
 # ---- N4-N6: packing by ranges of sentences ------------------------------------------------------
-PACK_SCHEMA = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("doc_ord", T.LongType()),
-    T.StructField("example_id", T.IntegerType()),
-    T.StructField("tokens_a", T.ArrayType(T.IntegerType())),
-    T.StructField("tokens_b", T.ArrayType(T.IntegerType())),
-    T.StructField("is_random_next", T.IntegerType()),
-    T.StructField("partner_u", T.DoubleType()), T.StructField("start_u", T.DoubleType()),
-    T.StructField("target_b", T.IntegerType()),
-])
-
-
-def _pack_batches(seed: int, nsp_prob: float):
+PACKED = ("example_id INT, tokens_a ARRAY<INT>, tokens_b ARRAY<INT>, is_random_next INT, partner_u DOUBLE, "
+          "start_u DOUBLE, target_b INT")
+
+
+def _pack_batches(seed: int, nsp_prob: float, carried: list[str]):
     """Arrow function from documents to examples, by arithmetic on running sentence lengths.
 
     An example is a range of sentences [start, end) with a cut inside: the end is the first
@@ -111,7 +99,7 @@ def _pack_batches(seed: int, nsp_prob: float):
     end; A is [start, cut), with the cut uniform behind the first sentence. If the pair is random the
     next example starts at the cut, else B is [cut, end) and it starts at the end. Token lists are
     cut from the Arrow values by these ranges; Python sees one step per example and no
-    token. The function refers to nothing outside itself, so workers need not have the package.
+    token. The columns ``carried`` go along with the document. The function refers to nothing outside itself, so workers need not have the package.
     """
     def run(batches):
         import hashlib
@@ -158,11 +146,11 @@ def _pack_batches(seed: int, nsp_prob: float):
             left = np.where(apart, np.array([targets[r] for r in row.tolist()], dtype=np.int64) - (a_hi - a_lo), 0)
             taken = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(taken), batch.column("doc_ord").take(taken), pa.array(number, pa.int32()),
+                [*(batch.column(c).take(taken) for c in carried), pa.array(number, pa.int32()),
                  lists(tokens, a_lo, a_hi), lists(tokens, a_hi, np.where(apart, a_hi, b_hi), apart),
                  pa.array(apart.astype(np.int32)), pa.array(partner, pa.float64()), pa.array(place, pa.float64()),
                  pa.array(left, pa.int32())],
-                names=["doc_id", "doc_ord", "example_id", "tokens_a", "tokens_b", "is_random_next", "partner_u", "start_u", "target_b"])
+                names=[*carried, "example_id", "tokens_a", "tokens_b", "is_random_next", "partner_u", "start_u", "target_b"])
     return run
 
 
@@ -170,55 +158,97 @@ def pack_segments(doc_sents: DataFrame, *, seed: int = 42, nsp_prob: float = NSP
                   short_seq_prob: float = SHORT_SEQ_PROB, block_size: int = BLOCK_SIZE) -> DataFrame:
     """N3 + N4 (+ N6 for positive pairs): examples with A, and B for true-next pairs.
 
-    ``doc_sents``: (doc_id, doc_ord, sentences). Row-local ``mapInArrow`` over Arrow
-    batches: no shuffle; a document is never split."""
+    ``doc_sents``: (doc_id, sentences) and any narrow columns, which every example keeps. Row-local
+    ``mapInArrow`` over Arrow batches: no shuffle; a document is never split."""
+    carried = [c for c in doc_sents.columns if c != "sentences"]
     staged = doc_sents.withColumn("target_len", target_length(F.col("doc_id"), seed=seed,
                                                               short_seq_prob=short_seq_prob,
                                                               block_size=block_size))
-    return staged.select("doc_id", "doc_ord", "sentences", "target_len") \
-                 .mapInArrow(_pack_batches(seed, nsp_prob), PACK_SCHEMA)
+    kept = doc_sents.select(*carried).schema
+    schema = T.StructType(list(kept.fields) + list(T.StructType.fromDDL(PACKED).fields))
+    return staged.mapInArrow(_pack_batches(seed, nsp_prob, carried), schema)
+
+
+# ---- N5 + J5: the random segment, sentence by sentence -----------------------------------------
+# sentences per fetched block
+SENTENCE_BLOCK = 16
 
 
-def _take_until(sentences: Column, start: Column, target: Column) -> Column:
-    """Sentences from ``start`` (0-based) appended until at least ``target`` tokens."""
-    rest = F.slice(sentences, start + 1, F.size(sentences))
-    acc0 = F.struct(F.array().cast("array<int>").alias("t"), F.lit(False).alias("done"))
-    return F.aggregate(rest, acc0,
-                       lambda acc, s: F.when(acc["done"], acc).otherwise(
-                           F.struct(F.concat(acc["t"], s).alias("t"),
-                                    (F.size(F.concat(acc["t"], s)) >= target).alias("done"))),
-                       lambda acc: acc["t"])
+def _needed(lengths: Column, start: Column, target: Column) -> Column:
+    """How many sentences from ``start`` (0-based) it takes to reach ``target`` tokens: at least one, at most all."""
+    rest = F.slice(lengths, start + 1, F.size(lengths))
+    zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("t"))
+    return F.aggregate(rest, zero, lambda a, x: F.when((a["n"] > 0) & (a["t"] >= target), a).otherwise(
+        F.struct((a["n"] + 1).alias("n"), (a["t"] + x).alias("t"))), lambda a: a["n"])
 
 
-def negative_next(packed: DataFrame, doc_sents: DataFrame, n_docs: Column) -> DataFrame:
+def negative_next(packed: DataFrame, doc_sents: DataFrame, n_docs: DataFrame | None = None, *,
+                  ordinals: DataFrame | None = None, by: tuple[str, ...] = (), block_size: int = BLOCK_SIZE) -> DataFrame:
     """N5 + J5: for random-next examples, B comes from another document: ordinal
     ``(own + 1 + floor(u * (N - 1))) mod N`` (never itself when N > 1), a random start
     sentence, then sentences until the remaining target length is reached (at least one).
-    An equi-join on the drawn ordinal: uniform keys, no skew, no cross join."""
-    neg = packed.where(F.col("is_random_next") == 1).crossJoin(F.broadcast(n_docs))  # one row: bounded
-    neg = neg.withColumn("partner_ord", F.when(
-        F.col("_n") > 1,
-        F.pmod(F.col("doc_ord") + 1 + F.floor(F.col("partner_u") * (F.col("_n") - 1)), F.col("_n"))
-    ).otherwise(F.col("doc_ord")).cast("long")).drop("_n")
-    partner = doc_sents.select(F.col("doc_ord").alias("partner_ord"), F.col("sentences").alias("_ps"))
-    j = neg.join(partner, "partner_ord")
-    start = F.floor(F.col("start_u") * F.size("_ps")).cast("int")
-    return j.withColumn("tokens_b", _take_until(F.col("_ps"), start, F.col("target_b"))).drop("_ps")
-
-
-def assemble_pairs(examples: DataFrame, *, block_size: int = BLOCK_SIZE, max_length: int = MAX_LENGTH) -> DataFrame:
+
+    ``ordinals``: (``by``, doc_id, doc_ord, _n) with the documents' ordinals and number inside each group of
+    ``by``; without it ``doc_sents`` carries doc_ord and ``n_docs`` is the one-row count. No document is joined to
+    an example: the partner is found on the ordinals, the number of sentences on windows of running sentence
+    lengths, and blocks of ``SENTENCE_BLOCK`` sentences are fetched for exactly the sentences needed."""
+    by = list(by)
+    if ordinals is None:
+        ordinals = doc_sents.select("doc_id", "doc_ord").crossJoin(F.broadcast(n_docs))  # one row: bounded
+    held = [c for c in packed.columns if c != "doc_ord"]
+    example = [*by, "doc_id", "example_id"]
+    neg = packed.where(F.col("is_random_next") == 1)
+    # drawn partner: two joins of narrow rows
+    drawn = neg.select(*example, "partner_u", "start_u", "target_b").join(ordinals.select(*by, "doc_id", "doc_ord", "_n"), [*by, "doc_id"])
+    drawn = drawn.withColumn("partner_ord", F.when(
+        F.col("_n") > 1, F.pmod(F.col("doc_ord") + 1 + F.floor(F.col("partner_u") * (F.col("_n") - 1)), F.col("_n"))
+    ).otherwise(F.col("doc_ord")).cast("long"))
+    sizes = doc_sents.select(*by, "doc_id", F.size("sentences").alias("_sents"))
+    who = ordinals.select(*by, F.col("doc_ord").alias("partner_ord"), "doc_id").join(sizes, [*by, "doc_id"])
+    drawn = drawn.join(who.withColumnRenamed("doc_id", "_partner"), [*by, "partner_ord"])
+    drawn = drawn.withColumn("_start", F.floor(F.col("start_u") * F.col("_sents")).cast("int"))
+    # a window of lengths starts every `window` sentences and is twice as long: every sentence has a token, so
+    # the needed ones lie inside the window of the first
+    window = max(256, block_size)
+    lengths = doc_sents.select(*by, F.col("doc_id").alias("_partner"), F.transform("sentences", F.size).alias("_len"))
+    at = F.sequence(F.lit(0), F.floor((F.size("_len") - 1) / window).cast("int"))
+    lengths = lengths.select(*by, "_partner", F.posexplode(F.transform(at, lambda i: F.slice("_len", i * window + 1, 2 * window)))
+                             .alias("_window", "_len"))
+    drawn = drawn.withColumn("_window", F.floor(F.col("_start") / window).cast("int")).join(lengths, [*by, "_partner", "_window"])
+    drawn = drawn.withColumn("_end", F.col("_start") + _needed(F.col("_len"), F.col("_start") - F.col("_window") * window, F.col("target_b")))
+    # the blocks that hold sentences [start, end)
+    first, last = (F.floor(x / SENTENCE_BLOCK).cast("int") for x in (F.col("_start"), F.col("_end") - 1))
+    wanted = drawn.select(*example, "_partner", "partner_ord", "doc_ord", "_start", "_end", F.explode(F.sequence(first, last)).alias("_block"))
+    every = F.sequence(F.lit(0), F.floor((F.size("sentences") - 1) / SENTENCE_BLOCK).cast("int"))
+    blocks = doc_sents.select(*by, F.col("doc_id").alias("_partner"), F.posexplode(F.transform(
+        every, lambda i: F.slice("sentences", i * SENTENCE_BLOCK + 1, SENTENCE_BLOCK))).alias("_block", "_sentences"))
+    got = wanted.join(blocks, [*by, "_partner", "_block"])
+    low = F.greatest(F.col("_start") - F.col("_block") * SENTENCE_BLOCK, F.lit(0))
+    high = F.least(F.col("_end") - F.col("_block") * SENTENCE_BLOCK, F.lit(SENTENCE_BLOCK))
+    got = got.withColumn("_tokens", F.flatten(F.slice("_sentences", low + 1, high - low)))
+    # at most (target / SENTENCE_BLOCK + 2) blocks an example
+    second = got.groupBy(*example).agg(F.array_sort(F.collect_list(F.struct("_block", "_tokens"))).alias("_b"),
+                                       F.first("partner_ord").alias("partner_ord"), F.first("doc_ord").alias("doc_ord"))
+    second = second.select(*example, "partner_ord", "doc_ord", F.flatten(F.transform("_b", lambda x: x["_tokens"])).alias("_tokens_b"))
+    out = neg.select(*held).join(second, example).withColumn("tokens_b", F.col("_tokens_b")).drop("_tokens_b")
+    return out
+
+
+def assemble_pairs(examples: DataFrame, *, block_size: int = BLOCK_SIZE, max_length: int = MAX_LENGTH,
+                   keep: list[str] | None = None) -> DataFrame:
     """N7-N11 + N14: cut A and B to 253 tokens each, ``[CLS] A [SEP] B [SEP]``, type ids,
-    padding to ``max_length`` with the attention mask, and the pair label."""
+    padding to ``max_length`` with the attention mask, and the pair label; columns ``keep`` go along."""
+    keep = [*(keep or []), "doc_id", "example_id"]
     m = max_num_tokens(block_size)
     a = F.slice("tokens_a", 1, m)
     b = F.slice("tokens_b", 1, m)
-    staged = examples.select("doc_id", "example_id", a.alias("_a"), b.alias("_b"), "is_random_next")
+    staged = examples.select(*keep, a.alias("_a"), b.alias("_b"), "is_random_next")
     ids = F.concat(F.array(F.lit(CLS)), "_a", F.array(F.lit(SEP)), "_b", F.array(F.lit(SEP)))
     types = F.concat(F.array_repeat(F.lit(0), F.size("_a") + 2), F.array_repeat(F.lit(1), F.size("_b") + 1))
-    staged = staged.select("doc_id", "example_id", ids.alias("_ids"), types.alias("_types"), "is_random_next")
+    staged = staged.select(*keep, ids.alias("_ids"), types.alias("_types"), "is_random_next")
     pad = F.greatest(F.lit(max_length) - F.size("_ids"), F.lit(0))
     return staged.select(
-        "doc_id", "example_id",
+        *keep,
         F.concat("_ids", F.array_repeat(F.lit(PAD), pad)).alias("input_ids"),
         F.concat("_types", F.array_repeat(F.lit(0), pad)).alias("token_type_ids"),
         F.concat(F.array_repeat(F.lit(1), F.size("_ids")), F.array_repeat(F.lit(0), pad)).alias("attention_mask"),
@@ -288,44 +318,49 @@ def mlm_mask(df: DataFrame, *, vocab_size: int, seed: int = 42, prob: float = ML
     return staged.withColumn("labels", labels).withColumn(ids_col, new_ids).drop("_h0", "_m", "_u")
 
 
+def _ordinals(sentences: DataFrame, by: list[str]) -> DataFrame:
+    """(``by``, doc_id, doc_ord, _n): ordinals from 0 by id inside each group, and the group's size; ids only."""
+    ranked = rank_within(sentences.select(*by, "doc_id"), by, ["doc_id"], rank_col="_r", size_col="_n")
+    return ranked.select(*by, "doc_id", (F.col("_r") - 1).alias("doc_ord"), "_n")
+
+
+def pair_examples(sentences: DataFrame, *, by: tuple[str, ...] = (), seed: int = 42, nsp_prob: float = NSP_PROB,
+                  short_seq_prob: float = SHORT_SEQ_PROB, block_size: int = BLOCK_SIZE,
+                  max_length: int = MAX_LENGTH) -> DataFrame:
+    """N3-N11 + N14 on encoded documents (``by``, doc_id, sentences), a written table: partners are drawn inside
+    each group of ``by``. The packed examples are written once: they feed the true and the random pairs."""
+    by = list(by)
+    packed = materialize(pack_segments(sentences.select(*by, "doc_id", "sentences"), seed=seed, nsp_prob=nsp_prob,
+                                       short_seq_prob=short_seq_prob, block_size=block_size), "packed")
+    neg = negative_next(packed, sentences, ordinals=_ordinals(sentences, by), by=tuple(by), block_size=block_size)
+    cols = [*by, "doc_id", "example_id", "tokens_a", "tokens_b", "is_random_next"]
+    both = packed.where(F.col("is_random_next") == 0).select(*cols).unionByName(neg.select(*cols))
+    return assemble_pairs(both, block_size=block_size, max_length=max_length, keep=by)
+
+
 def nsp_examples(docs: DataFrame, vocab: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                  seed: int = 42, nsp_prob: float = NSP_PROB, short_seq_prob: float = SHORT_SEQ_PROB,
                  block_size: int = BLOCK_SIZE, max_length: int = MAX_LENGTH) -> DataFrame:
     """N1-N11 + N14: sentence-pair examples (input_ids, token_type_ids, attention_mask,
     next_sentence_label) from documents, keyed by (doc_id, example_id)."""
     clean = P.drop_empty_documents(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
-    st = sentence_table(clean, vocab)
-    ds = document_sentences(st, clean)
-    # the ranked sentence table is written once (inside global_rank) and the packed
-    # examples once: both feed several branches (packing, positive / negative pairs, the
-    # partner join), and Spark does not reuse exchanges whose subtree holds lambdas
-    # materialize_input: the range partitioning's sampling pass reads the written sentence
-    # table instead of tokenising the documents a second time
-    ranked = global_rank(ds, ["doc_id"], rank_col="_r", size_col="_n", materialize_input=True)
-    ds = ranked.select("doc_id", (F.col("_r") - 1).alias("doc_ord"), "sentences")
-    n_docs = ranked.agg(F.max("_n").alias("_n"))
-    packed = materialize(pack_segments(ds, seed=seed, nsp_prob=nsp_prob, short_seq_prob=short_seq_prob,
-                                       block_size=block_size), "packed")
-    pos = packed.where(F.col("is_random_next") == 0)
-    neg = negative_next(packed, ds, n_docs)
-    cols = ["doc_id", "example_id", "tokens_a", "tokens_b", "is_random_next"]
-    return assemble_pairs(pos.select(*cols).unionByName(neg.select(*cols)), block_size=block_size,
-                          max_length=max_length)
+    # the documents are tokenised and encoded once
+    sentences = materialize(encoded_documents(clean, vocab), "encoded")
+    return pair_examples(sentences, seed=seed, nsp_prob=nsp_prob, short_seq_prob=short_seq_prob, block_size=block_size,
+                         max_length=max_length)
 
 
 def truncate_and_pad_single(df: DataFrame, vocab: DataFrame, *, id_col: str, text_col: str = "text",
                             max_length: int = MAX_LENGTH) -> DataFrame:
     """Classifier input: ``[CLS]`` + the first ``max_length - 2`` token ids + ``[SEP]``,
-    padded to the longest sequence of the set (one max aggregate, cross joined as one row)."""
-    d = df.select(id_col, text_col).repartition(id_col)
-    toks = TX.explode_rows(d, [id_col], TX.tokenise_words(F.col(text_col)), ("pos", "token"), with_pos=True)
-    ided = toks.join(vocab, "token", "left").withColumn("id", F.coalesce("id", F.lit(UNK)))
-    g = ided.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
-    ids = F.concat(F.array(F.lit(CLS)), F.slice(F.transform("_p", lambda x: x["id"]), 1, max_length - 2),
-                   F.array(F.lit(SEP)))
+    padded to the longest sequence of the set (one max aggregate, cross joined as one row). The tokens are cut
+    before the lookup; the sequences are written once, as the longest one is needed before any is padded."""
+    first = F.slice(TX.tokenise_words(F.col(text_col)), 1, max_length - 2)
+    tokens = F.coalesce(first, F.array().cast("array<string>"))
+    d = encoded(df.select(id_col, F.array(tokens).alias("_ids")), vocab, "_ids", id_col=id_col)
     # documents without tokens still get [CLS] [SEP]
-    base = df.select(id_col).join(g.select(id_col, ids.alias("_ids")), id_col, "left") \
-             .withColumn("_ids", F.coalesce("_ids", F.array(F.lit(CLS), F.lit(SEP))))
+    ids = F.concat(F.array(F.lit(CLS)), F.flatten("_ids"), F.array(F.lit(SEP)))
+    base = materialize(d.select(id_col, ids.alias("_ids")), "sequences")
     longest = base.agg(F.max(F.size("_ids")).alias("_L"))
     pad = F.col("_L") - F.size("_ids")
     return base.crossJoin(F.broadcast(longest)).select(
@@ -333,33 +368,82 @@ def truncate_and_pad_single(df: DataFrame, vocab: DataFrame, *, id_col: str, tex
         F.concat(F.array_repeat(F.lit(1), F.size("_ids")), F.array_repeat(F.lit(0), pad)).alias("attention_mask"))
 
 
+def encode_tokens(df: DataFrame, vocab: DataFrame, *, id_col: str, text_col: str = "text") -> DataFrame:
+    """N1 (encoding half): the document's tokens as vocabulary ids in order ([UNK] when
+    missing), inside the row. Documents without tokens get an empty array."""
+    tokens = F.coalesce(TX.tokenise_words(F.col(text_col)), F.array().cast("array<string>"))
+    d = encoded(df.select(id_col, F.array(tokens).alias("ids")), vocab, "ids", id_col=id_col)
+    return d.select(id_col, F.flatten("ids").alias("ids"))
+
+
+# ---- N15: datasets ------------------------------------------------------------------------------
+def fold_vocabularies(tokenised: DataFrame, k: int, vocab_size: int = 30000) -> list[DataFrame]:
+    """The vocabulary of "all folds but f" for every fold f of ``tokenised`` (_fold, sentences): the tokens are
+    counted once, per token and fold; a fold's vocabulary ranks total minus own count. Same ids as ``build_vocab``
+    on the other folds."""
+    tokens = TX.explode_rows(tokenised.withColumn("_t", F.flatten("sentences")), ["_fold"], F.col("_t"), ("token",))
+    own = [F.count_if(F.col("_fold") == f).alias(f"_c{f}") for f in range(k)]
+    counts = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("_all"), *own), "fold-counts")
+    order = [F.desc("count"), F.asc("token")]
+    out = []
+    for f in range(k):
+        top = (counts.select("token", (F.col("_all") - F.col(f"_c{f}")).alias("count")).where("count > 0")
+               .orderBy(*order).limit(vocab_size - len(SPECIAL_TOKENS)))
+        # vocab_size rows at most: a window without partition over a bounded table
+        out.append(top.select("token", (F.row_number().over(Window.orderBy(*order)) + len(SPECIAL_TOKENS) - 1).cast("int").alias("id")))
+    return out
+
+
+def _tokenised(texts: DataFrame, key: str, text_col: str, extra: list[str]) -> DataFrame:
+    """(extra, doc_id, sentences) of the documents with a sentence; written, so the texts are tokenised once."""
+    clean = P.drop_empty_documents(texts.select(*extra, F.col(key).alias("doc_id"), F.col(text_col).alias("text")))
+    return materialize(clean.select(*extra, "doc_id", sentence_tokens(F.col("text")).alias("sentences"))
+                       .where(F.size("sentences") > 0), "tokenised")
+
+
+def _masked_pairs(sentences: DataFrame, by: list[str], vocab_size: int, seed: int, masked: bool) -> DataFrame:
+    out = pair_examples(sentences, by=tuple(by), seed=seed)
+    return mlm_mask(out, vocab_size=vocab_size, seed=seed) if masked else out
+
+
 def prepare_dataset(texts: DataFrame, *, key: str, text_col: str = "text", vocab_size: int = 30000,
                     seed: int = 42, test_size: float = 0.2, masked: bool = True) -> DataFrame:
     """80/20 split of the texts, then pair features for both parts (``split`` column:
     train / validation), masked for MLM when ``masked``. The vocabulary is learned on the
-    training part."""
+    training part. Both parts go through one pass; random partners are drawn inside a part."""
     from scriptorium.operators.split import train_validation_split
 
     s = train_validation_split(texts.select(key, text_col), key=key, test_size=test_size, seed=seed,
                                role_col="split")
-    vocab = build_vocab(s.where(F.col("split") == "train"), text_col, vocab_size)
-    parts = []
-    for name in ("train", "validation"):
-        ex = nsp_examples(s.where(F.col("split") == name), vocab, id_col=key, text_col=text_col, seed=seed)
-        parts.append(ex.withColumn("split", F.lit(name)))
-    out = parts[0].unionByName(parts[1])
-    return mlm_mask(out, vocab_size=vocab_size, seed=seed) if masked else out
-
-
-def encode_tokens(df: DataFrame, vocab: DataFrame, *, id_col: str, text_col: str = "text") -> DataFrame:
-    """N1 (encoding half): the document's tokens as vocabulary ids in order ([UNK] when
-    missing). Tokens are exploded inside id-hash partitions, looked up in the broadcast
-    vocabulary (bounded by its size parameter) and regrouped without another shuffle.
-    Documents without tokens get an empty array."""
-    d = df.select(id_col, text_col).repartition(id_col)
-    toks = TX.explode_rows(d, [id_col], TX.tokenise_words(F.col(text_col)), ("pos", "token"), with_pos=True)
-    ided = toks.join(vocab, "token", "left").withColumn("id", F.coalesce("id", F.lit(UNK)))
-    g = ided.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
-    enc = g.select(id_col, F.transform("_p", lambda x: x["id"]).alias("ids"))
-    return df.select(id_col).join(enc, id_col, "left") \
-             .withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
+    d = _tokenised(s, key, text_col, ["split"])
+    top = build_vocab_from_tokens(d.where(F.col("split") == "train"), vocab_size)
+    vocab = materialize(top, "vocabulary")
+    if fits_lookup(vocab):
+        sentences = lookup_ids(d, [vocab], ["sentences"])
+    else:
+        sentences = join_ids(d, vocab, "doc_id", "sentences").select(*d.columns)
+    return _masked_pairs(materialize(sentences, "encoded"), ["split"], vocab_size, seed, masked)
+
+
+def build_vocab_from_tokens(tokenised: DataFrame, vocab_size: int) -> DataFrame:
+    """``build_vocab`` on documents that are tokenised already (``sentences``)."""
+    return fold_vocabularies(tokenised.select(F.lit(-1).alias("_fold"), "sentences"), 1, vocab_size)[0]
+
+
+def prepare_folds(texts: DataFrame, *, key: str, k: int = 5, text_col: str = "text", vocab_size: int = 30000,
+                  seed: int = 42, masked: bool = True) -> DataFrame:
+    """N15, fold-aware: the features of the train and the validation part of each of ``k`` folds (columns
+    ``fold`` and ``role``). The vocabulary of fold f is learned on its training part, all other folds, from one
+    count of the tokens per fold; documents are tokenised once and encoded with each fold's vocabulary; random
+    partners are drawn inside a (fold, role) part."""
+    from scriptorium.operators.split import kfold_assign
+
+    if k * vocab_size > LOOKUP_TERMS:
+        raise ValueError(f"the fold vocabularies are broadcast: k * vocab_size may be {LOOKUP_TERMS} at most")
+    folded = kfold_assign(texts.select(key, text_col), key=key, k=k, seed=seed, fold_col="_fold")
+    d = _tokenised(folded, key, text_col, ["_fold"])
+    vocabularies = fold_vocabularies(d, k, vocab_size)
+    parts = d.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    parts = parts.withColumn("role", F.when(F.col("fold") == F.col("_fold"), "validation").otherwise("train")).drop("_fold")
+    sentences = materialize(lookup_ids(parts, vocabularies, ["sentences"], by="fold"), "encoded")
+    return _masked_pairs(sentences, ["fold", "role"], vocab_size, seed, masked)

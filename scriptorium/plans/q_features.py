@@ -250,3 +250,44 @@ def q_prepare_dataset(spark, sf):
     out = N.prepare_dataset(d, key="doc_id", vocab_size=VOCAB, seed=SEED)
     return finish(out.select("split", "doc_id", "example_id", _md5("input_ids").alias("input_ids_md5"),
                              _md5("labels").alias("labels_md5")))
+
+
+def _fold_sql(f: int) -> str:
+    """The masked examples of fold ``f``: both roles, vocabulary of its training part."""
+    source = f"""SELECT CASE WHEN vf = {f} THEN 'validation' ELSE 'train' END AS split, doc_id, text
+        FROM (SELECT doc_id, text, CASE WHEN i < (n % 5) * (n // 5 + 1) THEN i // (n // 5 + 1)
+                                        ELSE (n % 5) + (i - (n % 5) * (n // 5 + 1)) // (n // 5) END AS vf
+              FROM (SELECT doc_id, text, row_number() OVER (ORDER BY md5(CAST(doc_id AS VARCHAR) || ':{SEED}'), doc_id) - 1 AS i,
+                           count(*) OVER () AS n FROM documents))"""
+    return _masked_sql(_packed_sql(source, vocab_source="(SELECT * FROM src WHERE split = 'train')")) + f"""
+SELECT CAST({f} AS BIGINT) AS fold, split AS role, doc_id, CAST(ex AS BIGINT) AS example_id,
+       md5(array_to_string(ids, ',')) AS input_ids_md5, md5(array_to_string(labels, ',')) AS labels_md5 FROM ml"""
+
+
+@query("prepare_folds", " UNION ALL ".join(f"SELECT * FROM ({_fold_sql(f)})" for f in range(5)))
+def q_prepare_folds(spark, sf):
+    out = N.prepare_folds(docs(spark, sf), key="doc_id", k=5, vocab_size=VOCAB, seed=SEED)
+    return finish(out.select("fold", "role", "doc_id", "example_id", _md5("input_ids").alias("input_ids_md5"),
+                             _md5("labels").alias("labels_md5")))
+
+
+@query("fold_vocabularies", f"""
+WITH r AS (SELECT text, row_number() OVER (ORDER BY md5(CAST(doc_id AS VARCHAR) || ':{SEED}'), doc_id) - 1 AS i, count(*) OVER () AS n FROM documents),
+d AS (SELECT text, CASE WHEN i < (n % 5) * (n // 5 + 1) THEN i // (n // 5 + 1)
+                        ELSE (n % 5) + (i - (n % 5) * (n // 5 + 1)) // (n // 5) END AS vf FROM r),
+t AS (SELECT vf, unnest({S.tokens('text')}) AS token FROM d),
+c AS (SELECT f.fold, token, count(*) AS n FROM t JOIN range(0, 5) f(fold) ON f.fold <> t.vf GROUP BY ALL),
+v AS (SELECT fold, token, row_number() OVER (PARTITION BY fold ORDER BY n DESC, token) AS rk FROM c)
+SELECT fold, token, CAST(rk + 4 AS BIGINT) AS id FROM v WHERE rk <= {VOCAB - 5}""")
+def q_fold_vocabularies(spark, sf):
+    from scriptorium.operators.encode import sentence_tokens
+    from scriptorium.operators.split import kfold_assign
+    from scriptorium.session import materialize
+
+    folded = kfold_assign(docs(spark, sf), key="doc_id", k=5, seed=SEED, fold_col="_fold")
+    tokenised = materialize(folded.select("_fold", sentence_tokens(F.col("text")).alias("sentences")), "tokenised")
+    parts = [v.withColumn("fold", F.lit(f).cast("long")) for f, v in enumerate(N.fold_vocabularies(tokenised, 5, VOCAB))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return finish(out.select("fold", "token", "id"))

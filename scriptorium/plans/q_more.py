@@ -16,6 +16,7 @@ from scriptorium.plans import sqltext as S
 from scriptorium.plans.q_features import PACKED_SQL, SEED, VOCAB_SQL, docs, vocab
 from scriptorium.plans.q_text import CHUNKS_SQL, STATS_SQL, doc_stats
 from scriptorium.plans.registry import finish, query
+from scriptorium.session import materialize
 from scriptorium.tables import corpus_documents, table
 
 
@@ -46,7 +47,7 @@ def q_union_corpora(spark, sf):
 def _doc_sents(spark, sf):
     d = docs(spark, sf)
     v = vocab(spark, sf)
-    ds = N.document_sentences(N.sentence_table(d, v), d)
+    ds = materialize(N.encoded_documents(d, v), "encoded")
     r = global_rank(ds, ["doc_id"], rank_col="_r", size_col="_n")
     return r.select("doc_id", (F.col("_r") - 1).alias("doc_ord"), "sentences"), r.agg(F.max("_n").alias("_n"))
 
@@ -118,10 +119,11 @@ def q_assemble_pairs(spark, sf):
 
 @query("truncate_pair", PAIRS_SQL + " SELECT doc_id, CAST(len(a) AS BIGINT) AS len_a, CAST(len(b) AS BIGINT) AS len_b FROM y")
 def q_truncate_pair(spark, sf):
-    p = _pairs(spark, sf)
-    m = N.max_num_tokens()
-    return finish(p.select("doc_id", F.size(F.slice("tokens_a", 1, m)).alias("len_a"),
-                           F.size(F.slice("tokens_b", 1, m)).alias("len_b")))
+    # the lengths of the assembled pair: A and two of its three marks have type 0, B and the last mark type 1
+    out = N.assemble_pairs(_pairs(spark, sf))
+    real = F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x)
+    second = F.aggregate("token_type_ids", F.lit(0), lambda a, x: a + x)
+    return finish(out.select("doc_id", (real - second - 2).alias("len_a"), (second - 1).alias("len_b")))
 
 
 @query("add_special_tokens", PAIRS_SQL + " SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_tokens, md5(array_to_string(ids, ',')) AS ids_md5 FROM y")
