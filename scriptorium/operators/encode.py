@@ -4,7 +4,7 @@ The tokens of a row stay one array (or array of arrays, one per sentence). A bat
 Arrow list of strings with offsets: ``index_in`` looks the flat list up in the vocabulary and the offsets are put
 back around the ids. No token becomes a row, no token is shuffled, and Python runs once per batch.
 
-The vocabulary is broadcast only after its rows were counted (``LOOKUP_TERMS``); a larger one is joined token
+A vocabulary of at most ``LOOKUP_TERMS`` rows is broadcast; a larger one is joined token
 by token (``join_ids``), which gives the same ids.
 """
 
@@ -53,22 +53,21 @@ def _ids_type(t: T.DataType) -> T.DataType:
     return T.ArrayType(_ids_type(t.elementType)) if isinstance(t, T.ArrayType) else T.IntegerType()
 
 
-def lookup_ids(df: DataFrame, vocabularies: list[DataFrame], columns: list[str], *, by: str | None = None,
-               unknown: int = UNK) -> DataFrame:
-    """``df`` with the string arrays ``columns`` as id arrays. ``by``: int column naming the vocabulary of the row.
-    The vocabularies are collected: the caller has checked their size (``fits_lookup``)."""
-    tables = [v.select("token", F.col("id").cast("int").alias("id")).toArrow() for v in vocabularies]
-    shared = df.sparkSession.sparkContext.broadcast([(t.column("token").to_pylist(), t.column("id").to_pylist()) for t in tables])
+def lookup_table(vocab: DataFrame):
+    """The vocabulary as (tokens, ids), or None when it has more than ``LOOKUP_TERMS`` rows. Evaluated once."""
+    t = vocab.select("token", F.col("id").cast("int").alias("id")).limit(LOOKUP_TERMS + 1).toArrow()
+    return None if t.num_rows > LOOKUP_TERMS else (t.column("token").to_pylist(), t.column("id").to_pylist())
+
+
+def lookup_ids(df: DataFrame, tables: list, columns: list[str], *, by: str | None = None, unknown: int = UNK) -> DataFrame:
+    """``df`` with the string arrays ``columns`` as id arrays. ``tables``: vocabularies from ``lookup_table``;
+    ``by``: int column with the number of the row's vocabulary."""
+    shared = df.sparkSession.sparkContext.broadcast(tables)
     schema = T.StructType([T.StructField(f.name, _ids_type(f.dataType) if f.name in columns else f.dataType)
                            for f in df.schema.fields])
     return df.mapInArrow(_looked_up(shared, columns, by, unknown), schema)
 
 
-def fits_lookup(vocab: DataFrame) -> bool:
-    """Whether the vocabulary has at most ``LOOKUP_TERMS`` rows."""
-    return vocab.limit(LOOKUP_TERMS + 1).count() <= LOOKUP_TERMS
-
-
 def join_ids(df: DataFrame, vocab: DataFrame, id_col: str, sentences: str, unknown: int = UNK) -> DataFrame:
     """The same for a vocabulary of any size: one row per token, joined and regrouped. ``sentences`` is an array of
     token arrays; rows of one id count as one document."""
@@ -91,4 +90,5 @@ def sentence_tokens(text: Column) -> Column:
 
 def encoded(df: DataFrame, vocab: DataFrame, column: str, *, id_col: str) -> DataFrame:
     """``df`` with the array of token arrays ``column`` as ids, by lookup or, for a large vocabulary, by join."""
-    return lookup_ids(df, [vocab], [column]) if fits_lookup(vocab) else join_ids(df, vocab, id_col, column)
+    known = lookup_table(vocab)
+    return join_ids(df, vocab, id_col, column).select(*df.columns) if known is None else lookup_ids(df, [known], [column])

@@ -4,8 +4,7 @@ Shape of the job:
   documents -> drop empty (P7) -> sentences (T5) -> tokens -> ids through a vocabulary
   learned from the corpus (N1, N2: Arrow lookup inside the row, ``operators.encode``)
   -> pair packing (N3-N6) in ``mapInArrow``, row by row -> random "next" segments: partner and first
-  sentence drawn on narrow tables (ordinals, sentence counts, running lengths), then only the blocks of
-  sentences that are needed are fetched (J5) -> truncation, special tokens, type ids,
+  sentence drawn on narrow tables (ordinals, sentence counts), then one block of sentences is fetched (J5) -> truncation, special tokens, type ids,
   padding, labels (N7-N11, N14) as array expressions -> masking (N12).
 
 Every random draw is a hash of (document, example, purpose, seed): reruns and recomputed
@@ -19,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from scriptorium.functions import text as TX
 from scriptorium.functions.hashing import uniform, uniform_int
 from scriptorium.operators import project as P
-from scriptorium.operators.encode import LOOKUP_TERMS, encoded, fits_lookup, join_ids, lookup_ids, sentence_tokens
+from scriptorium.operators.encode import LOOKUP_TERMS, encoded, lookup_ids, lookup_table, sentence_tokens
 from scriptorium.operators.ranking import rank_within
 from scriptorium.session import materialize
 
@@ -170,68 +169,91 @@ def pack_segments(doc_sents: DataFrame, *, seed: int = 42, nsp_prob: float = NSP
 
 
 # ---- N5 + J5: the random segment, sentence by sentence -----------------------------------------
-# sentences per fetched block
-SENTENCE_BLOCK = 16
+# sentences at which a segment that is fetched with one block can start
+SENTENCE_BLOCK = 32
 
 
-def _needed(lengths: Column, start: Column, target: Column) -> Column:
-    """How many sentences from ``start`` (0-based) it takes to reach ``target`` tokens: at least one, at most all."""
-    rest = F.slice(lengths, start + 1, F.size(lengths))
+def _block_batches(size: int, reach: int, carried: list[str]):
+    """Arrow function from documents to blocks of sentences: block i holds the sentences from i * size on, as far as
+    it takes to follow any of its first ``size`` sentences for ``reach`` tokens. Arithmetic on the offsets of the
+    Arrow lists; refers to nothing outside itself."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            documents = batch.column("sentences")
+            first = np.asarray(documents.offsets, dtype=np.int64)
+            words_at = np.asarray(documents.values.offsets, dtype=np.int64)
+            count = -(-np.diff(first) // size)
+            row = np.repeat(np.arange(len(count)), count)
+            number = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            low, stop = first[row] + number * size, first[row + 1]
+            last = np.minimum(low + size, stop) - 1
+            end = np.clip(np.searchsorted(words_at, words_at[last] + reach), last + 1, stop)
+            held = end - low
+            ends = np.cumsum(held)
+            take = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - held - low, held)
+            sentences = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()),
+                                                 documents.values.take(pa.array(take, pa.int64())))
+            taken = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(taken) for c in carried), pa.array(number, pa.int32()), sentences],
+                                             names=[*carried, "_block", "_sentences"])
+    return run
+
+
+def sentence_blocks(doc_sents: DataFrame, by: list[str], reach: int, size: int = SENTENCE_BLOCK) -> DataFrame:
+    """(``by``, doc_id, _block, _sentences): overlapping blocks, so one block holds all sentences of a segment of
+    ``reach`` tokens that starts at one of its first ``size`` sentences."""
+    carried = [*by, "doc_id"]
+    schema = T.StructType(list(doc_sents.select(*carried).schema.fields)
+                          + list(T.StructType.fromDDL("_block INT, _sentences ARRAY<ARRAY<INT>>").fields))
+    return doc_sents.select(*carried, "sentences").mapInArrow(_block_batches(size, reach, carried), schema)
+
+
+def _needed(lengths: Column, target: Column) -> Column:
+    """How many of the sentences it takes to reach ``target`` tokens: at least one, at most all."""
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("t"))
-    return F.aggregate(rest, zero, lambda a, x: F.when((a["n"] > 0) & (a["t"] >= target), a).otherwise(
+    return F.aggregate(lengths, zero, lambda a, x: F.when((a["n"] > 0) & (a["t"] >= target), a).otherwise(
         F.struct((a["n"] + 1).alias("n"), (a["t"] + x).alias("t"))), lambda a: a["n"])
 
 
-def negative_next(packed: DataFrame, doc_sents: DataFrame, n_docs: DataFrame | None = None, *,
-                  ordinals: DataFrame | None = None, by: tuple[str, ...] = (), block_size: int = BLOCK_SIZE) -> DataFrame:
+def document_ordinals(sentences: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(``by``, doc_id, doc_ord, _n, _sents): ordinals from 0 by id inside each group, the group's size and the
+    document's number of sentences. Only these narrow columns are ranked."""
+    by = list(by)
+    ranked = rank_within(sentences.select(*by, "doc_id", F.size("sentences").alias("_sents")), by, ["doc_id"], rank_col="_r", size_col="_n")
+    return ranked.select(*by, "doc_id", (F.col("_r") - 1).alias("doc_ord"), "_n", "_sents")
+
+
+def negative_next(packed: DataFrame, doc_sents: DataFrame, ordinals: DataFrame, *, by: tuple[str, ...] = (),
+                  block_size: int = BLOCK_SIZE) -> DataFrame:
     """N5 + J5: for random-next examples, B comes from another document: ordinal
     ``(own + 1 + floor(u * (N - 1))) mod N`` (never itself when N > 1), a random start
     sentence, then sentences until the remaining target length is reached (at least one).
 
-    ``ordinals``: (``by``, doc_id, doc_ord, _n) with the documents' ordinals and number inside each group of
-    ``by``; without it ``doc_sents`` carries doc_ord and ``n_docs`` is the one-row count. No document is joined to
-    an example: the partner is found on the ordinals, the number of sentences on windows of running sentence
-    lengths, and blocks of ``SENTENCE_BLOCK`` sentences are fetched for exactly the sentences needed."""
+    ``ordinals``: of ``document_ordinals``, inside each group of ``by``. No document is joined to an example:
+    the partner and its first sentence are found on narrow rows, and one block of sentences is fetched that holds the
+    whole segment (``sentence_blocks``). Equi-joins on drawn, uniform keys."""
     by = list(by)
-    if ordinals is None:
-        ordinals = doc_sents.select("doc_id", "doc_ord").crossJoin(F.broadcast(n_docs))  # one row: bounded
-    held = [c for c in packed.columns if c != "doc_ord"]
     example = [*by, "doc_id", "example_id"]
-    neg = packed.where(F.col("is_random_next") == 1)
-    # drawn partner: two joins of narrow rows
+    neg = packed.where(F.col("is_random_next") == 1).drop("doc_ord")
     drawn = neg.select(*example, "partner_u", "start_u", "target_b").join(ordinals.select(*by, "doc_id", "doc_ord", "_n"), [*by, "doc_id"])
     drawn = drawn.withColumn("partner_ord", F.when(
         F.col("_n") > 1, F.pmod(F.col("doc_ord") + 1 + F.floor(F.col("partner_u") * (F.col("_n") - 1)), F.col("_n"))
     ).otherwise(F.col("doc_ord")).cast("long"))
-    sizes = doc_sents.select(*by, "doc_id", F.size("sentences").alias("_sents"))
-    who = ordinals.select(*by, F.col("doc_ord").alias("partner_ord"), "doc_id").join(sizes, [*by, "doc_id"])
-    drawn = drawn.join(who.withColumnRenamed("doc_id", "_partner"), [*by, "partner_ord"])
-    drawn = drawn.withColumn("_start", F.floor(F.col("start_u") * F.col("_sents")).cast("int"))
-    # a window of lengths starts every `window` sentences and is twice as long: every sentence has a token, so
-    # the needed ones lie inside the window of the first
-    window = max(256, block_size)
-    lengths = doc_sents.select(*by, F.col("doc_id").alias("_partner"), F.transform("sentences", F.size).alias("_len"))
-    at = F.sequence(F.lit(0), F.floor((F.size("_len") - 1) / window).cast("int"))
-    lengths = lengths.select(*by, "_partner", F.posexplode(F.transform(at, lambda i: F.slice("_len", i * window + 1, 2 * window)))
-                             .alias("_window", "_len"))
-    drawn = drawn.withColumn("_window", F.floor(F.col("_start") / window).cast("int")).join(lengths, [*by, "_partner", "_window"])
-    drawn = drawn.withColumn("_end", F.col("_start") + _needed(F.col("_len"), F.col("_start") - F.col("_window") * window, F.col("target_b")))
-    # the blocks that hold sentences [start, end)
-    first, last = (F.floor(x / SENTENCE_BLOCK).cast("int") for x in (F.col("_start"), F.col("_end") - 1))
-    wanted = drawn.select(*example, "_partner", "partner_ord", "doc_ord", "_start", "_end", F.explode(F.sequence(first, last)).alias("_block"))
-    every = F.sequence(F.lit(0), F.floor((F.size("sentences") - 1) / SENTENCE_BLOCK).cast("int"))
-    blocks = doc_sents.select(*by, F.col("doc_id").alias("_partner"), F.posexplode(F.transform(
-        every, lambda i: F.slice("sentences", i * SENTENCE_BLOCK + 1, SENTENCE_BLOCK))).alias("_block", "_sentences"))
-    got = wanted.join(blocks, [*by, "_partner", "_block"])
-    low = F.greatest(F.col("_start") - F.col("_block") * SENTENCE_BLOCK, F.lit(0))
-    high = F.least(F.col("_end") - F.col("_block") * SENTENCE_BLOCK, F.lit(SENTENCE_BLOCK))
-    got = got.withColumn("_tokens", F.flatten(F.slice("_sentences", low + 1, high - low)))
-    # at most (target / SENTENCE_BLOCK + 2) blocks an example
-    second = got.groupBy(*example).agg(F.array_sort(F.collect_list(F.struct("_block", "_tokens"))).alias("_b"),
-                                       F.first("partner_ord").alias("partner_ord"), F.first("doc_ord").alias("doc_ord"))
-    second = second.select(*example, "partner_ord", "doc_ord", F.flatten(F.transform("_b", lambda x: x["_tokens"])).alias("_tokens_b"))
-    out = neg.select(*held).join(second, example).withColumn("tokens_b", F.col("_tokens_b")).drop("_tokens_b")
-    return out
+    who = ordinals.select(*by, F.col("doc_ord").alias("partner_ord"), F.col("doc_id").alias("_partner"), "_sents")
+    drawn = drawn.join(who, [*by, "partner_ord"])
+    start = F.floor(F.col("start_u") * F.col("_sents")).cast("int")
+    drawn = drawn.select(*example, "doc_ord", "partner_ord", "_partner", "target_b", (start % SENTENCE_BLOCK).alias("_skip"),
+                         F.floor(start / SENTENCE_BLOCK).cast("int").alias("_block"))
+    blocks = sentence_blocks(doc_sents, by, max_num_tokens(block_size)).withColumnRenamed("doc_id", "_partner")
+    got = drawn.join(blocks, [*by, "_partner", "_block"])
+    rest = F.slice("_sentences", F.col("_skip") + 1, F.size("_sentences"))
+    got = got.withColumn("_rest", rest)
+    needed = _needed(F.transform("_rest", F.size), F.col("target_b"))
+    second = got.select(*example, "doc_ord", "partner_ord", F.flatten(F.slice("_rest", F.lit(1), needed)).alias("tokens_b"))
+    return neg.drop("tokens_b").join(second, example)
 
 
 def assemble_pairs(examples: DataFrame, *, block_size: int = BLOCK_SIZE, max_length: int = MAX_LENGTH,
@@ -318,12 +340,6 @@ def mlm_mask(df: DataFrame, *, vocab_size: int, seed: int = 42, prob: float = ML
     return staged.withColumn("labels", labels).withColumn(ids_col, new_ids).drop("_h0", "_m", "_u")
 
 
-def _ordinals(sentences: DataFrame, by: list[str]) -> DataFrame:
-    """(``by``, doc_id, doc_ord, _n): ordinals from 0 by id inside each group, and the group's size; ids only."""
-    ranked = rank_within(sentences.select(*by, "doc_id"), by, ["doc_id"], rank_col="_r", size_col="_n")
-    return ranked.select(*by, "doc_id", (F.col("_r") - 1).alias("doc_ord"), "_n")
-
-
 def pair_examples(sentences: DataFrame, *, by: tuple[str, ...] = (), seed: int = 42, nsp_prob: float = NSP_PROB,
                   short_seq_prob: float = SHORT_SEQ_PROB, block_size: int = BLOCK_SIZE,
                   max_length: int = MAX_LENGTH) -> DataFrame:
@@ -332,7 +348,7 @@ def pair_examples(sentences: DataFrame, *, by: tuple[str, ...] = (), seed: int =
     by = list(by)
     packed = materialize(pack_segments(sentences.select(*by, "doc_id", "sentences"), seed=seed, nsp_prob=nsp_prob,
                                        short_seq_prob=short_seq_prob, block_size=block_size), "packed")
-    neg = negative_next(packed, sentences, ordinals=_ordinals(sentences, by), by=tuple(by), block_size=block_size)
+    neg = negative_next(packed, sentences, document_ordinals(sentences, tuple(by)), by=tuple(by), block_size=block_size)
     cols = [*by, "doc_id", "example_id", "tokens_a", "tokens_b", "is_random_next"]
     both = packed.where(F.col("is_random_next") == 0).select(*cols).unionByName(neg.select(*cols))
     return assemble_pairs(both, block_size=block_size, max_length=max_length, keep=by)
@@ -416,13 +432,8 @@ def prepare_dataset(texts: DataFrame, *, key: str, text_col: str = "text", vocab
     s = train_validation_split(texts.select(key, text_col), key=key, test_size=test_size, seed=seed,
                                role_col="split")
     d = _tokenised(s, key, text_col, ["split"])
-    top = build_vocab_from_tokens(d.where(F.col("split") == "train"), vocab_size)
-    vocab = materialize(top, "vocabulary")
-    if fits_lookup(vocab):
-        sentences = lookup_ids(d, [vocab], ["sentences"])
-    else:
-        sentences = join_ids(d, vocab, "doc_id", "sentences").select(*d.columns)
-    return _masked_pairs(materialize(sentences, "encoded"), ["split"], vocab_size, seed, masked)
+    vocab = build_vocab_from_tokens(d.where(F.col("split") == "train"), vocab_size)
+    return _masked_pairs(materialize(encoded(d, vocab, "sentences", id_col="doc_id"), "encoded"), ["split"], vocab_size, seed, masked)
 
 
 def build_vocab_from_tokens(tokenised: DataFrame, vocab_size: int) -> DataFrame:
@@ -442,7 +453,7 @@ def prepare_folds(texts: DataFrame, *, key: str, k: int = 5, text_col: str = "te
         raise ValueError(f"the fold vocabularies are broadcast: k * vocab_size may be {LOOKUP_TERMS} at most")
     folded = kfold_assign(texts.select(key, text_col), key=key, k=k, seed=seed, fold_col="_fold")
     d = _tokenised(folded, key, text_col, ["_fold"])
-    vocabularies = fold_vocabularies(d, k, vocab_size)
+    vocabularies = [lookup_table(v) for v in fold_vocabularies(d, k, vocab_size)]
     parts = d.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
     parts = parts.withColumn("role", F.when(F.col("fold") == F.col("_fold"), "validation").otherwise("train")).drop("_fold")
     sentences = materialize(lookup_ids(parts, vocabularies, ["sentences"], by="fold"), "encoded")

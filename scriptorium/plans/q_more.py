@@ -10,7 +10,6 @@ from scriptorium.functions import text as T
 from scriptorium.functions.udf import chunker_udtf, tokenizer_udf
 from scriptorium.operators import features as N
 from scriptorium.operators import split as X
-from scriptorium.operators.ranking import global_rank
 from scriptorium.operators.stats import STAT_COLUMNS
 from scriptorium.plans import sqltext as S
 from scriptorium.plans.q_features import PACKED_SQL, SEED, VOCAB_SQL, docs, vocab
@@ -45,19 +44,14 @@ def q_union_corpora(spark, sf):
 
 
 def _doc_sents(spark, sf):
-    d = docs(spark, sf)
-    v = vocab(spark, sf)
-    ds = materialize(N.encoded_documents(d, v), "encoded")
-    r = global_rank(ds, ["doc_id"], rank_col="_r", size_col="_n")
-    return r.select("doc_id", (F.col("_r") - 1).alias("doc_ord"), "sentences"), r.agg(F.max("_n").alias("_n"))
+    return materialize(N.encoded_documents(docs(spark, sf), vocab(spark, sf)), "encoded")
 
 
 @query("pack_segments", PACKED_SQL + """
 SELECT doc_id, CAST(ex AS BIGINT) AS example_id, CAST(len(a) AS BIGINT) AS len_a, CAST(len(b) AS BIGINT) AS len_b,
        CAST(rnd AS BIGINT) AS is_random_next FROM exs""")
 def q_pack_segments(spark, sf):
-    ds, _ = _doc_sents(spark, sf)
-    p = N.pack_segments(ds, seed=SEED)
+    p = N.pack_segments(_doc_sents(spark, sf), seed=SEED)
     return finish(p.select("doc_id", "example_id", F.size("tokens_a").alias("len_a"),
                            F.when(F.col("tokens_b").isNotNull(), F.size("tokens_b")).alias("len_b"), "is_random_next"))
 
@@ -65,8 +59,7 @@ def q_pack_segments(spark, sf):
 @query("positive_next", PACKED_SQL + """
 SELECT doc_id, CAST(ex AS BIGINT) AS example_id, CAST(len(a) AS BIGINT) AS len_a, CAST(len(b) AS BIGINT) AS len_b FROM exs WHERE rnd = 0""")
 def q_positive_next(spark, sf):
-    ds, _ = _doc_sents(spark, sf)
-    p = N.pack_segments(ds, seed=SEED).where("is_random_next = 0")
+    p = N.pack_segments(_doc_sents(spark, sf), seed=SEED).where("is_random_next = 0")
     return finish(p.select("doc_id", "example_id", F.size("tokens_a").alias("len_a"), F.size("tokens_b").alias("len_b")))
 
 
@@ -74,8 +67,8 @@ def q_positive_next(spark, sf):
 SELECT ns.doc_id, CAST(ns.ex AS BIGINT) AS example_id, ns.partner_ord, CAST(ns.tb AS BIGINT) AS target_b,
        CAST(len(nb.b) AS BIGINT) AS len_b FROM ns JOIN nb ON ns.doc_id = nb.doc_id AND ns.ex = nb.ex""")
 def q_negative_next(spark, sf):
-    ds, n = _doc_sents(spark, sf)
-    neg = N.negative_next(N.pack_segments(ds, seed=SEED), ds, n)
+    ds = _doc_sents(spark, sf)
+    neg = N.negative_next(N.pack_segments(ds, seed=SEED), ds, N.document_ordinals(ds))
     return finish(neg.select("doc_id", "example_id", "partner_ord", "target_b", F.size("tokens_b").alias("len_b")))
 
 
@@ -95,8 +88,7 @@ y AS (SELECT doc_id, a, b, ids, tt,
 
 
 def _pairs(spark, sf):
-    ds, _ = _doc_sents(spark, sf)
-    ex = ds.where(F.size("sentences") >= 2).select(
+    ex = _doc_sents(spark, sf).where(F.size("sentences") >= 2).select(
         "doc_id", F.lit(0).alias("example_id"),
         F.flatten(F.slice("sentences", 1, F.size("sentences") - 1)).alias("tokens_a"),
         F.element_at("sentences", -1).alias("tokens_b"), F.lit(0).alias("is_random_next"))

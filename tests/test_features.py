@@ -80,14 +80,75 @@ def test_truncate_and_pad_single(spark):
 def test_random_next_comes_from_another_document(spark):
     d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     vocab = N.build_vocab(d, "text", 2000)
-    ds = N.document_sentences(N.sentence_table(d, vocab), d)
-    from scriptorium.operators.ranking import global_rank
-    r = global_rank(ds, ["doc_id"], rank_col="_r", size_col="_n")
-    ds = r.select("doc_id", (F.col("_r") - 1).alias("doc_ord"), "sentences")
-    n = r.agg(F.max("_n").alias("_n"))
+    ds = N.encoded_documents(d, vocab)
     packed = N.pack_segments(ds, seed=5)
-    neg = N.negative_next(packed, ds, n).collect()
+    neg = N.negative_next(packed, ds, N.document_ordinals(ds)).collect()
     assert neg and all(x["partner_ord"] != x["doc_ord"] for x in neg)
     assert all(len(x["tokens_b"]) >= 1 for x in neg)
     pos = packed.where("is_random_next = 0").collect()
     assert all(x["tokens_b"] is not None and len(x["tokens_b"]) >= 1 for x in pos)
+
+
+def test_lookup_equals_join(spark, monkeypatch):
+    """A vocabulary too large to broadcast is joined and gives the same ids; odd rows too."""
+    from scriptorium.operators import encode as C
+
+    d = docs(spark, [(1, "One two. Three one!"), (2, ""), (3, None), (4, "unseen Word - one"), (5, "  \n ")])
+    vocab = N.build_vocab(docs(spark, [(1, "One two three one .")]), "text", 50)
+    ids = {r["token"]: r["id"] for r in vocab.collect()}
+    tokens = {1: [["One", "two", "."], ["Three", "one", "!"]], 4: [["unseen", "Word", "-", "one"]]}
+    want = {k: [[ids.get(t, 1) for t in s] for s in v] for k, v in tokens.items()}
+    flat = {k: [i for s in want.get(k, []) for i in s] for k in (1, 2, 3, 4, 5)}
+
+    def check():
+        assert {r["doc_id"]: r["sentences"] for r in N.encoded_documents(d, vocab).collect()} == want
+        assert {r["doc_id"]: r["ids"] for r in N.encode_tokens(d, vocab, id_col="doc_id").collect()} == flat
+    check()
+    monkeypatch.setattr(C, "LOOKUP_TERMS", 2)
+    assert C.lookup_table(vocab) is None
+    check()
+
+
+def test_no_token_crosses_a_shuffle(spark):
+    """Encoding has no exchange; the random segment fetches blocks, not documents."""
+    d = docs(spark, [(i, f"Sentence {i} a. Another one {i}. " * 5) for i in range(20)])
+    enc = N.encoded_documents(d, N.build_vocab(d, "text", 100))
+    plan = enc._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
+
+
+def test_sentence_blocks_hold_every_segment(spark):
+    """Each block follows each of its first sentences for the whole reach, and no further than needed."""
+    import random
+
+    rng = random.Random(3)
+    rows = [(i, [[1] * rng.choice([1, 2, 5, 40]) for _ in range(rng.choice([1, 3, 32, 33, 200]))]) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, sentences array<array<int>>")
+    got = {}
+    for r in N.sentence_blocks(df, [], 50, size=8).collect():
+        got.setdefault(r["doc_id"], {})[r["_block"]] = r["_sentences"]
+    for i, sents in rows:
+        assert sorted(got[i]) == list(range(-(-len(sents) // 8)))
+        for b, held in got[i].items():
+            last = min(b * 8 + 8, len(sents)) - 1
+            end, total = last, 0
+            while end < len(sents) and (end == last or total < 50):
+                total += len(sents[end])
+                end += 1
+            assert held == sents[b * 8:end]
+
+
+def test_folds_equal_single_runs(spark):
+    """Each fold's features equal the pair features of its two parts made one by one."""
+    from scriptorium.operators.split import kfold_assign
+
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").where("doc_id < 40")
+    got = {}
+    for r in N.prepare_folds(d, key="doc_id", k=3, vocab_size=500, masked=False).collect():
+        got.setdefault((r["fold"], r["role"]), []).append((r["doc_id"], r["example_id"], tuple(r["input_ids"])))
+    folded = kfold_assign(d, key="doc_id", k=3, fold_col="f").cache()
+    vocab = N.build_vocab(folded.where("f <> 1"), "text", 500)
+    for role, part in (("train", "f <> 1"), ("validation", "f = 1")):
+        want = [(r["doc_id"], r["example_id"], tuple(r["input_ids"])) for r in N.nsp_examples(folded.where(part), vocab).collect()]
+        assert sorted(got[1, role]) == sorted(want)
+    assert sorted(got) == [(f, r) for f in range(3) for r in ("train", "validation")]
