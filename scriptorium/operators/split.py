@@ -2,55 +2,51 @@
 
 Determinism: rows are ordered by ``md5(key || ':' || seed)`` and then ``key`` (a unique
 key), so every sample and split is a pure function of the data and the seed, is the same
-when a task is recomputed, and can be checked against SQL. Ranks inside strata come from
-``rank_within`` (range partitioned): a stratum holding a third of the rows is spread over
-many tasks instead of one window partition.
+when a task is recomputed, and can be checked against SQL. Only the rows at which a split is cut are
+looked for (``operators.selection``); every other row is compared with them, so nothing is sorted and a stratum
+that holds a third of the rows is only counted and compared.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scriptorium.functions.hashing import hash_order
-from scriptorium.operators.ranking import global_rank, rank_within, rank_within_stats
+from scriptorium.operators.selection import cut_rows, cut_table, digit_counts, global_cuts, group_sizes, upto
 from scriptorium.session import materialize
 
 
-def _order(key: str, seed: int) -> list[Column]:
-    return [hash_order(F.col(key), seed), F.col(key)]
-
-
 def _input(df: DataFrame, materialize_input: bool) -> DataFrame:
-    """The rows to choose from. They are read twice (keys for the ranks, whole rows for the
-    result), so rows derived by expensive work are written first."""
+    """The rows to choose from. They are read three times (counts, rows near a cut, result), so rows derived by
+    expensive work are written first."""
     return materialize(df, "split-input") if materialize_input else df
 
 
-def _with_column_of(base: DataFrame, narrow: DataFrame, key: str, name: str) -> DataFrame:
-    """``base`` with column ``name`` of the narrow table that shares its unique key."""
-    others = [c for c in base.columns if c != name]
-    return base.select(*others).join(narrow.select(key, name), key).select(*others, name)
+def _first_rows(base: DataFrame, strata: str, rank: Column, key: str, seed: int) -> DataFrame:
+    """The first ``rank`` (of the size ``_n``) rows of every stratum in hash order."""
+    counts = digit_counts(base, [strata], key, seed)
+    cuts = cut_table(group_sizes(counts, [strata]), [strata], [rank])
+    at = cut_rows(base, counts, cuts, [strata], key, seed, 1).withColumnRenamed(strata, "_stratum")
+    return base.join(at, base[strata] == at["_stratum"]).where(upto(F.col("_at0"), key, seed)).select(*base.columns)
 
 
 def stratified_sample_frac(df: DataFrame, strata: str, frac: float, *, key: str, seed: int = 42,
-                           groups_bound: int | None = None, materialize_input: bool = False) -> DataFrame:
+                           materialize_input: bool = False) -> DataFrame:
     """Per stratum, ``round(frac * n)`` rows (half-even), chosen by seeded hash order.
     Rows with a NULL stratum are dropped (pandas ``groupby``). ``materialize_input``: for
     inputs derived by expensive row work."""
     base = _input(df.where(F.col(strata).isNotNull()), materialize_input)
-    r = rank_within(base.select(strata, key), [strata], _order(key, seed), rank_col="_rank", size_col="_n",
-                    groups_bound=groups_bound)
-    return base.join(r.where(F.col("_rank") <= F.bround(F.lit(frac) * F.col("_n"), 0)).select(key), key, "left_semi")
+    return _first_rows(base, strata, F.bround(F.lit(frac) * F.col("_n"), 0), key, seed)
 
 
 def stratified_sample_n(df: DataFrame, strata: str, n: int, *, key: str, seed: int = 42,
-                        groups_bound: int | None = None, materialize_input: bool = False) -> DataFrame:
+                        materialize_input: bool = False) -> DataFrame:
     """At most ``min(n, size)`` rows per stratum."""
     base = _input(df.where(F.col(strata).isNotNull()), materialize_input)
-    r = rank_within(base.select(strata, key), [strata], _order(key, seed), rank_col="_rank", groups_bound=groups_bound)
-    return base.join(r.where(F.col("_rank") <= F.lit(n)).select(key), key, "left_semi")
+    return _first_rows(base, strata, F.lit(n), key, seed)
 
 
 def anti_by_index(df: DataFrame, sample: DataFrame, key: str) -> DataFrame:
@@ -65,7 +61,7 @@ def concat_splits(*parts: DataFrame) -> DataFrame:
 
 def authorship_split(df: DataFrame, *, label: str = "is_target", strata: str = "source_file",
                      key: str, seed: int = 42, target_test_frac: float = 0.3,
-                     groups_bound: int | None = None, materialize_input: bool = False) -> DataFrame:
+                     materialize_input: bool = False) -> DataFrame:
     """The three-way split, as a ``split`` column in {supervised, test, unsupervised}.
 
     Target rows (label 1): per source, ``round(0.3 n)`` test, the rest supervised.
@@ -74,18 +70,20 @@ def authorship_split(df: DataFrame, *, label: str = "is_target", strata: str = "
     the remainder unsupervised; test_size / train_size are the target side's totals.
     Rows with another label or a NULL stratum are dropped.
 
-    One ranked pass over (label, stratum); the split sizes come from the per-stratum counts,
-    a table bounded by the number of strata (J6: the group shares are joined back).
+    The split sizes come from the per-stratum counts, a table bounded by the number of strata (J6: the group
+    shares are joined back); two cut rows per stratum decide the split of every row.
     """
+    by = [label, strata]
     base = _input(df.where(F.col(label).isin(0, 1) & F.col(strata).isNotNull()), materialize_input)
-    r, sizes = rank_within_stats(base.select(label, strata, key), [label, strata], _order(key, seed), rank_col="_rank",
-                                 groups_bound=groups_bound)
-    shares = _shares(sizes, label, strata, target_test_frac)
-    j = r.join(shares, [label, strata])  # one row per stratum: Spark picks the join by its size
-    split = (F.when(F.col("_rank") <= F.col("_test_n"), F.lit("test"))
-              .when(F.col("_rank") <= F.col("_test_n") + F.col("_train_n"), F.lit("supervised"))
+    counts = digit_counts(base, by, key, seed)
+    sizes = group_sizes(counts, by)
+    shares = _shares(sizes, label, strata, target_test_frac).join(sizes, by)
+    cuts = cut_table(shares, by, [F.col("_test_n"), F.col("_test_n") + F.col("_train_n")])
+    at = cut_rows(base, counts, cuts, by, key, seed, 2)  # one row per stratum: Spark picks the join by its size
+    split = (F.when(upto(F.col("_at0"), key, seed), F.lit("test")).when(upto(F.col("_at1"), key, seed), F.lit("supervised"))
               .otherwise(F.lit("unsupervised")))
-    return _with_column_of(base, j.withColumn("split", split), key, "split")
+    others = [c for c in base.columns if c != "split"]
+    return base.join(at, by, "left").withColumn("split", split).select(*others, "split")
 
 
 def group_share(df: DataFrame, *, label: str = "is_target", strata: str = "source_file",
@@ -116,17 +114,16 @@ def _shares(counts: DataFrame, label: str, strata: str, target_test_frac: float)
 
 def train_validation_split(df: DataFrame, *, key: str, test_size: float = 0.2, seed: int = 42,
                            exact: bool = True, role_col: str = "role", materialize_input: bool = False) -> DataFrame:
-    """80/20 split. ``exact``: ``ceil(test_size * n)`` validation rows by seeded hash
-    order (a counted range sort: no single-partition window). Otherwise a row-local hash
+    """80/20 split. ``exact``: the first ``ceil(test_size * n)`` rows in seeded hash
+    order are the validation part. Otherwise a row-local hash
     threshold with approximately that share."""
     if not exact:
         u = F.conv(F.substring(hash_order(F.col(key), seed), 1, 8), 16, 10).cast("double") / 4294967296.0
         return df.withColumn(role_col, F.when(u < test_size, "validation").otherwise("train"))
     df = _input(df, materialize_input)
-    r = global_rank(df.select(key), _order(key, seed), rank_col="_rank", size_col="_n")
-    n_test = F.ceil(F.lit(test_size) * F.col("_n"))
-    role = F.when(F.col("_rank") <= n_test, "validation").otherwise("train")
-    return _with_column_of(df, r.withColumn(role_col, role), key, role_col)
+    df = df.drop(role_col)
+    cut, = global_cuts(df, lambda n: [math.ceil(test_size * n)], key, seed)
+    return df.withColumn(role_col, F.when(upto(cut, key, seed), "validation").otherwise("train"))
 
 
 def kfold_assign(df: DataFrame, *, key: str, k: int = 5, seed: int = 42, fold_col: str = "fold",
@@ -138,13 +135,13 @@ def kfold_assign(df: DataFrame, *, key: str, k: int = 5, seed: int = 42, fold_co
         h = F.conv(F.substring(hash_order(F.col(key), seed), 1, 8), 16, 10).cast("long")
         return df.withColumn(fold_col, F.pmod(h, F.lit(k)).cast("int"))
     df = _input(df, materialize_input)
-    r = global_rank(df.select(key), _order(key, seed), rank_col="_rank", size_col="_n")
-    q = F.floor(F.col("_n") / k)
-    m = F.col("_n") - q * k
-    i = F.col("_rank") - 1
-    big = m * (q + 1)
-    fold = F.when(i < big, F.floor(i / (q + 1))).otherwise(m + F.floor((i - big) / q))
-    return _with_column_of(df, r.withColumn(fold_col, fold.cast("int")), key, fold_col)
+    df = df.drop(fold_col)
+    # the last row of every fold but the last one
+    cuts = global_cuts(df, lambda n: [(i + 1) * (n // k) + min(i + 1, n % k) for i in range(k - 1)], key, seed)
+    fold = F.lit(k - 1)
+    for i in reversed(range(k - 1)):
+        fold = F.when(upto(cuts[i], key, seed), F.lit(i)).otherwise(fold)
+    return df.withColumn(fold_col, fold.cast("int"))
 
 
 def kfold(df: DataFrame, *, key: str, k: int = 5, seed: int = 42, exact: bool = True,

@@ -8,6 +8,7 @@ from scriptorium.operators import agg as A
 from scriptorium.operators import split as X
 from scriptorium.plans.q_text import CHUNKS_SQL, chunks
 from scriptorium.plans.registry import finish, query
+from scriptorium.session import materialize
 from scriptorium.tables import corpus_documents
 
 SEED = 42
@@ -44,19 +45,22 @@ sp AS (SELECT r.*, CASE WHEN rk <= test_n THEN 'test' WHEN rk <= test_n + train_
        FROM r JOIN sz ON r.is_target = sz.is_target AND r.source_file = sz.source_file)"""
 
 
-def split_chunks(spark, sf):
-    # the chunk table is derived from the documents here (text work): write it once
-    return X.authorship_split(keyed_chunks(spark, sf), key="k", seed=SEED, materialize_input=True)
+def split_chunks(spark, sf, columns=("k", "text", "is_target", "source_file")):
+    # the chunk table is derived from the documents here (text work): written once, the columns needed only
+    return X.authorship_split(keyed_chunks(spark, sf).select(*columns), key="k", seed=SEED, materialize_input=True)
+
+
+NARROW = ("k", "is_target", "source_file")
 
 
 @query("authorship_split", SPLIT_SQL + " SELECT k, is_target, source_file, split FROM sp")
 def q_authorship_split(spark, sf):
-    return finish(split_chunks(spark, sf).select("k", "is_target", "source_file", "split"))
+    return finish(split_chunks(spark, sf, NARROW).select("k", "is_target", "source_file", "split"))
 
 
 @query("split_sizes", SPLIT_SQL + " SELECT split, count(*) AS count FROM sp GROUP BY split")
 def q_split_sizes(spark, sf):
-    return finish(A.split_sizes(split_chunks(spark, sf)))
+    return finish(A.split_sizes(split_chunks(spark, sf, NARROW)))
 
 
 @query("group_share_join", SPLIT_SQL + """
@@ -69,7 +73,7 @@ def q_group_share_join(spark, sf):
 
 @query("concat_splits", SPLIT_SQL + " SELECT k, is_target FROM sp")
 def q_concat_splits(spark, sf):
-    s = split_chunks(spark, sf)
+    s = split_chunks(spark, sf, NARROW)
     t = s.where(F.col("is_target") == 1).select("k", "is_target")
     o = s.where(F.col("is_target") == 0).select("k", "is_target")
     return finish(X.concat_splits(t, o))
@@ -82,19 +86,20 @@ rs AS (SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY {_h('k')},
 
 @query("stratified_sample_frac", SAMPLE_SQL + " SELECT k, source_file FROM rs WHERE rk <= round_even(0.3::DOUBLE * n, 0)")
 def q_stratified_sample_frac(spark, sf):
-    return finish(X.stratified_sample_frac(keyed_chunks(spark, sf), "source_file", 0.3, key="k", seed=SEED,
+    return finish(X.stratified_sample_frac(keyed_chunks(spark, sf).select("k", "source_file"), "source_file", 0.3, key="k", seed=SEED,
                                            materialize_input=True).select("k", "source_file"))
 
 
 @query("stratified_sample_n", SAMPLE_SQL + " SELECT k, source_file FROM rs WHERE rk <= 5")
 def q_stratified_sample_n(spark, sf):
-    return finish(X.stratified_sample_n(keyed_chunks(spark, sf), "source_file", 5, key="k", seed=SEED,
+    return finish(X.stratified_sample_n(keyed_chunks(spark, sf).select("k", "source_file"), "source_file", 5, key="k", seed=SEED,
                                         materialize_input=True).select("k", "source_file"))
 
 
 @query("anti_by_index", SAMPLE_SQL + " SELECT k, source_file FROM rs WHERE rk > round_even(0.3::DOUBLE * n, 0)")
 def q_anti_by_index(spark, sf):
-    kc = keyed_chunks(spark, sf)
+    # the chunks feed the sample and the anti join: written once
+    kc = materialize(keyed_chunks(spark, sf).select("k", "source_file"), "keyed-chunks")
     sample = X.stratified_sample_frac(kc, "source_file", 0.3, key="k", seed=SEED)
     return finish(X.anti_by_index(kc.where(F.col("source_file").isNotNull()), sample, "k").select("k", "source_file"))
 
@@ -103,7 +108,7 @@ def q_anti_by_index(spark, sf):
 u AS (SELECT k, row_number() OVER (ORDER BY {_h('k')}, k) AS rk, count(*) OVER () AS n FROM sp WHERE split = 'unsupervised')
 SELECT k, CASE WHEN rk <= ceil(0.2::DOUBLE * n) THEN 'validation' ELSE 'train' END AS role FROM u""")
 def q_train_validation_split(spark, sf):
-    u = split_chunks(spark, sf).where(F.col("split") == "unsupervised").select("k", "text")
+    u = split_chunks(spark, sf, NARROW).where(F.col("split") == "unsupervised").select("k")
     return finish(X.train_validation_split(u, key="k", test_size=0.2, seed=SEED).select("k", "role"))
 
 

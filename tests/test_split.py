@@ -103,3 +103,44 @@ def test_kfold_approximate(spark):
     assert len(sizes) == 5 and sum(sizes) == 5000 and min(sizes) > 850
     # same key, same fold on every run
     assert a.exceptAll(X.kfold_assign(df, key="k", k=5, exact=False)).count() == 0
+
+
+def test_selection_equals_sorting(spark):
+    """Cut rows of every rank against a sort, with crowded digits and text keys."""
+    import hashlib
+
+    from scriptorium.operators import selection as S
+
+    rows = [(f"k{i}", "hot" if i % 3 else f"g{i % 7}") for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, g string")
+    groups = {}
+    for k, g in rows:
+        groups.setdefault(g, []).append((hashlib.md5(f"{k}:9".encode()).hexdigest(), k))
+    digits = S.DIGITS
+    try:
+        for S.DIGITS in (1, 2, 4):
+            counts = S.digit_counts(df, ["g"], "k", 9)
+            ranks = [F.lit(0), F.lit(1), F.floor(F.col("_n") / 2), F.col("_n"), F.col("_n") + 5]
+            cuts = S.cut_table(S.group_sizes(counts, ["g"]), ["g"], ranks)
+            got = {r["g"]: r for r in S.cut_rows(df, counts, cuts, ["g"], "k", 9, 5).collect()}
+            for g, own in groups.items():
+                own.sort()
+                want = [None, own[0], own[len(own) // 2 - 1] if len(own) > 1 else None, own[-1], own[-1]]
+                assert [None if got[g][f"_at{i}"] is None else tuple(got[g][f"_at{i}"]) for i in range(5)] == want
+    finally:
+        S.DIGITS = digits
+
+
+def test_splits_have_no_sort_of_the_rows(spark):
+    df = spark.createDataFrame([(i, i % 2, f"s{i % 3}") for i in range(60)], "k long, is_target int, source_file string")
+    for out in (X.kfold_assign(df, key="k", k=3), X.train_validation_split(df, key="k")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_small_and_empty_folds(spark):
+    one = spark.createDataFrame([(7,)], "k long")
+    assert [r["fold"] for r in X.kfold_assign(one, key="k", k=5).collect()] == [0]
+    assert X.kfold_assign(one.where("k < 0"), key="k", k=5).count() == 0
+    assert X.train_validation_split(one.where("k < 0"), key="k").count() == 0
+    assert [r["role"] for r in X.train_validation_split(one, key="k").collect()] == ["validation"]
