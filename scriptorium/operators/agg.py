@@ -1,17 +1,16 @@
 """Aggregations and reports, A1-A14 (plus the sort/top-k ops W1, W2).
 
 All aggregations use Spark's partial (map-side) aggregation, so a hot value is combined
-before the shuffle. Quantiles are exact and are computed from distributed ranks
-(``operators.ranking``): no group's values are ever gathered into one task.
+before the shuffle. Quantiles are exact and are selected from value brackets
+(``operators.quantiles``): no group's values are ever sorted or gathered into one task.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scriptorium.functions.text import explode_rows
+from scriptorium.operators.quantiles import group_quantiles
 from scriptorium.operators.ranking import rank_within
 from scriptorium.session import materialize
 
@@ -80,7 +79,7 @@ def word_count_summary(df: DataFrame, wc_col: str = "word_count", label_col: str
 
     The median uses Spark's exact ``percentile``, whose buffer holds one entry per distinct
     value: chunk word counts take at most ``size + 1`` values, so it stays small at any row
-    count. For a column with unbounded distinct values use ``exact_quantiles`` (ranked)."""
+    count. For a column with unbounded distinct values use ``exact_quantiles``."""
     wc = F.col(wc_col)
     return df.agg(
         F.count(F.lit(1)).alias("total_chunks"),
@@ -158,68 +157,44 @@ def split_sizes(df: DataFrame, split_col: str = "split") -> DataFrame:
     return df.groupBy(split_col).agg(F.count(F.lit(1)).alias("count"))
 
 
-def _ranked_values(df: DataFrame, group_col: str, value_col: str, key_cols: list[str],
-                   groups_bound: int | None) -> DataFrame:
-    base = df.where(F.col(value_col).isNotNull()).select(group_col, value_col, *key_cols)
-    # the base is narrow (group, value, keys): writing it once is cheaper than deriving the
-    # values twice (range sampling pass + shuffle)
-    return rank_within(base, [group_col], [F.col(value_col), *[F.col(k) for k in key_cols]],
-                       rank_col="_rank", size_col="_n", groups_bound=groups_bound, materialize_input=True)
+def _group_values(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
+    """(_g, _v): the narrow values, written once, as counting and reading them takes several passes. NULLs are
+    left out behind the write: a filter before it would be pushed below the projections and derive the
+    values twice."""
+    values = df.select(F.col(group_col).alias("_g"), F.col(value_col).cast("double").alias("_v"))
+    return materialize(values, "group-values").where(F.col("_v").isNotNull())
 
 
-def _quantiles_from_ranked(ranked: DataFrame, group_col: str, value_col: str, probs: list[float]) -> DataFrame:
-    conds, aggs = [], []
-    v = F.col(value_col)
-    for i, p in enumerate(probs):
-        pos = F.lit(1.0) + F.lit(p) * (F.col("_n") - 1)
-        lo, hi = F.floor(pos), F.ceil(pos)
-        conds.append((F.col("_rank") == lo) | (F.col("_rank") == hi))
-        at_lo = F.max(F.when(F.col("_rank") == lo, v))
-        at_hi = F.max(F.when(F.col("_rank") == hi, v))
-        aggs.append((at_lo + F.max(F.when(F.col("_rank") == lo, pos - lo)) * (at_hi - at_lo)).alias(f"q_{i}"))
-    picked = ranked.where(reduce(lambda a, b: a | b, conds))
-    return picked.groupBy(group_col).agg(F.max("_n").alias("n"), *aggs)
-
-
-def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs: list[float], *,
-                    key_cols: list[str], groups_bound: int | None = None) -> DataFrame:
-    """Exact linear-interpolation quantiles per group (pandas / ``quantile_cont``).
-
-    Ranks come from a range-partitioned sort, so a group of any size is spread over tasks;
-    then only the two rows around each quantile position are kept and aggregated.
-    Returns one row per group: ``n`` and ``q_<i>`` per probability.
-    """
-    ranked = _ranked_values(df, group_col, value_col, key_cols, groups_bound)
-    return _quantiles_from_ranked(ranked, group_col, value_col, probs)
+def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs: list[float]) -> DataFrame:
+    """Exact linear-interpolation quantiles per group (pandas / ``quantile_cont``), by bracket selection
+    (``operators.quantiles``). Returns one row per group: ``n`` and ``q_<i>`` per probability."""
+    return group_quantiles(_group_values(df, group_col, value_col), probs).withColumnRenamed("_g", group_col)
 
 
-def boxplot_summary(df: DataFrame, group_col: str, value_col: str, *, key_cols: list[str],
-                    whisker: float = 1.5, groups_bound: int | None = None) -> DataFrame:
+def boxplot_summary(df: DataFrame, group_col: str, value_col: str, *, whisker: float = 1.5) -> DataFrame:
     """Quartiles, 1.5-IQR whiskers (the most extreme values inside the fences) and
-    the number of outliers per group. The values are ranked once (written table); the
-    quartiles and the whiskers both read that table, and the per-group fences (one row per
-    group) are broadcast back to it."""
-    ranked = _ranked_values(df, group_col, value_col, key_cols, groups_bound)
-    q = _quantiles_from_ranked(ranked, group_col, value_col, [0.25, 0.5, 0.75]) \
-        .select(group_col, "n", F.col("q_0").alias("q1"), F.col("q_1").alias("median"), F.col("q_2").alias("q3"))
+    the number of outliers per group. The values are written once; the quartiles select from
+    that table and the whiskers are one more pass over it."""
+    base = _group_values(df, group_col, value_col)
+    q = group_quantiles(base, [0.25, 0.5, 0.75]) \
+        .select("_g", "n", F.col("q_0").alias("q1"), F.col("q_1").alias("median"), F.col("q_2").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lower_fence", F.col("q1") - whisker * F.col("iqr")) \
          .withColumn("upper_fence", F.col("q3") + whisker * F.col("iqr"))
-    v = F.col(value_col)
-    joined = ranked.select(group_col, value_col).join(q, group_col)
+    q = materialize(q, "quartiles")
+    v = F.col("_v")
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
-    ext = joined.groupBy(group_col).agg(
+    ext = base.join(q, "_g").groupBy("_g").agg(
         F.min(F.when(inside, v)).alias("lower_whisker"),
         F.max(F.when(inside, v)).alias("upper_whisker"),
         F.count_if(~inside).alias("outliers"))
-    return q.join(ext, group_col).select(group_col, "n", "q1", "median", "q3", "iqr",
-                                         "lower_whisker", "upper_whisker", "outliers")
+    return q.join(ext, "_g").select(F.col("_g").alias(group_col), "n", "q1", "median", "q3", "iqr",
+                                    "lower_whisker", "upper_whisker", "outliers")
 
 
-def boxplot_outliers(df: DataFrame, group_col: str, value_col: str, *, key_cols: list[str],
-                     whisker: float = 1.5) -> DataFrame:
+def boxplot_outliers(df: DataFrame, group_col: str, value_col: str, *, whisker: float = 1.5) -> DataFrame:
     """A11 rows outside the fences (the points drawn individually)."""
-    q = boxplot_summary(df, group_col, value_col, key_cols=key_cols, whisker=whisker) \
+    q = boxplot_summary(df, group_col, value_col, whisker=whisker) \
         .select(group_col, (F.col("q1") - whisker * F.col("iqr")).alias("_lo"),
                 (F.col("q3") + whisker * F.col("iqr")).alias("_hi"))
     v = F.col(value_col)

@@ -411,10 +411,11 @@ def fold_vocabularies(tokenised: DataFrame, k: int, vocab_size: int = 30000) ->
 
 
 def _tokenised(texts: DataFrame, key: str, text_col: str, extra: list[str]) -> DataFrame:
-    """(extra, doc_id, sentences) of the documents with a sentence; written, so the texts are tokenised once."""
+    """(extra, doc_id, sentences) of the documents with a sentence; written, so the texts are tokenised once (a
+    filter before the write would be pushed down and tokenise them again)."""
     clean = P.drop_empty_documents(texts.select(*extra, F.col(key).alias("doc_id"), F.col(text_col).alias("text")))
-    return materialize(clean.select(*extra, "doc_id", sentence_tokens(F.col("text")).alias("sentences"))
-                       .where(F.size("sentences") > 0), "tokenised")
+    tokens = clean.select(*extra, "doc_id", sentence_tokens(F.col("text")).alias("sentences"))
+    return materialize(tokens, "tokenised").where(F.size("sentences") > 0)
 
 
 def _masked_pairs(sentences: DataFrame, by: list[str], vocab_size: int, seed: int, masked: bool) -> DataFrame:

@@ -166,29 +166,29 @@ def _grouped_stats(spark, sf):
 
 @query("boxplot_summary", _box_sql("is_target", LABEL_SQL, *RATIO_SQL))
 def q_boxplot_summary(spark, sf):
-    return finish(A.boxplot_summary(_grouped_stats(spark, sf), "is_target", "unique_words_ratio", key_cols=["doc_id"], groups_bound=2))
+    return finish(A.boxplot_summary(_grouped_stats(spark, sf), "is_target", "unique_words_ratio"))
 
 
 @query("boxplot_lexical_density", _box_sql("is_target", LABEL_SQL, "lexical_density", "lexical_density IS NOT NULL"))
 def q_boxplot_lexical_density(spark, sf):
-    return finish(A.boxplot_summary(_grouped_stats(spark, sf), "is_target", "lexical_density", key_cols=["doc_id"], groups_bound=2))
+    return finish(A.boxplot_summary(_grouped_stats(spark, sf), "is_target", "lexical_density"))
 
 
 @query("boxplot_hapax_percentage", _box_sql("is_target", LABEL_SQL, "hapax_percentage", "hapax_percentage IS NOT NULL"))
 def q_boxplot_hapax_percentage(spark, sf):
-    return finish(A.boxplot_summary(_grouped_stats(spark, sf), "is_target", "hapax_percentage", key_cols=["doc_id"], groups_bound=2))
+    return finish(A.boxplot_summary(_grouped_stats(spark, sf), "is_target", "hapax_percentage"))
 
 
 @query("boxplot_num_words", _box_sql("author", AUTHOR_SQL, "CAST(num_words AS DOUBLE)", "num_words IS NOT NULL"))
 def q_boxplot_num_words(spark, sf):
     s = _grouped_stats(spark, sf).withColumn("num_words", F.col("num_words").cast("double"))
-    return finish(A.boxplot_summary(s, "author", "num_words", key_cols=["doc_id"], groups_bound=2))
+    return finish(A.boxplot_summary(s, "author", "num_words"))
 
 
 @query("boxplot_outliers", _box_values("is_target", LABEL_SQL, *RATIO_SQL) + """
 SELECT v.doc_id, v.is_target, round(x, 6) AS unique_words_ratio FROM v JOIN f USING (is_target) WHERE x < lo OR x > hi""")
 def q_boxplot_outliers(spark, sf):
-    out = A.boxplot_outliers(_grouped_stats(spark, sf), "is_target", "unique_words_ratio", key_cols=["doc_id"])
+    out = A.boxplot_outliers(_grouped_stats(spark, sf), "is_target", "unique_words_ratio")
     return finish(out.select("doc_id", "is_target", "unique_words_ratio"))
 
 
