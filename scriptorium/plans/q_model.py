@@ -5,14 +5,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from scriptorium.functions import text as TX
+from scriptorium.functions.stopwords import load_stopwords
 from scriptorium.operators import model as M
 from scriptorium.operators import runs as R
 from scriptorium.operators.split import train_validation_split
 from scriptorium.plans.q_split import SEED, split_chunks
+from scriptorium.plans import sqltext as S
 from scriptorium.plans.registry import finish, query
+from scriptorium.tables import table
 
 GRID = [{"reg_param": r, "max_iter": 50} for r in (0.0, 0.001, 0.01, 0.03, 0.1)]
 FEATURES = 1 << 18
+# the stop lists of the languages of the corpus
+STOP = sorted({w for name in ("english", "french", "german", "spanish") for w in load_stopwords(name)})
 
 
 def supervised(spark, sf):
@@ -24,29 +30,29 @@ def supervised(spark, sf):
 def q_text_classifier_fit(spark, sf):
     sup, _ = supervised(spark, sf)
     parts = train_validation_split(sup, key="k", seed=SEED, role_col="_role", materialize_input=True)
-    model = M.text_classifier_fit(parts.where(F.col("_role") == "train"), num_features=FEATURES, max_iter=50)
+    model = M.text_classifier_fit(parts.where(F.col("_role") == "train"), num_features=FEATURES, stopwords=STOP, max_iter=50)
     return M.score_batch(model, parts.where(F.col("_role") == "validation"), keep=["k"]).drop("probability")
 
 
 @query("score_batch")
 def q_score_batch(spark, sf):
     sup, test = supervised(spark, sf)
-    model = M.text_classifier_fit(sup, num_features=FEATURES, max_iter=50)
+    model = M.text_classifier_fit(sup, num_features=FEATURES, stopwords=STOP, max_iter=50)
     return M.score_batch(model, test, keep=["k"]).drop("probability")
 
 
 @query("hyperparameter_sweep")
 def q_hyperparameter_sweep(spark, sf):
     sup, _ = supervised(spark, sf)
-    return finish(M.hyperparameter_sweep(sup, GRID, key="k", seed=SEED, num_features=FEATURES))
+    return finish(M.hyperparameter_sweep(sup, GRID, key="k", seed=SEED, num_features=FEATURES, stopwords=STOP))
 
 
 @query("evaluate_on_test")
 def q_evaluate_on_test(spark, sf):
     sup, test = supervised(spark, sf)
-    sweep = M.hyperparameter_sweep(sup, GRID, key="k", seed=SEED, num_features=FEATURES)
+    sweep = M.hyperparameter_sweep(sup, GRID, key="k", seed=SEED, num_features=FEATURES, stopwords=STOP)
     best = R.best_run(sweep, "eval_f1", ["reg_param", "max_iter"]).first()
-    model = M.text_classifier_fit(sup, reg_param=best["reg_param"], max_iter=best["max_iter"], num_features=FEATURES)
+    model = M.text_classifier_fit(sup, reg_param=best["reg_param"], max_iter=best["max_iter"], num_features=FEATURES, stopwords=STOP)
     parts = M.evaluate_on_test(model, test, key="k")
     out = _long(parts["metrics"], "metrics", []).unionByName(_long(parts["report"], "report", ["row"]))
     return finish(out.unionByName(_long(parts["confusion"], "confusion", [c for c in ("label", "prediction") if c in parts["confusion"].columns])))
@@ -62,4 +68,28 @@ def _long(df, part: str, keys: list[str]):
 @query("cross_validate")
 def q_cross_validate(spark, sf):
     sup, _ = supervised(spark, sf)
-    return finish(M.cross_validate(sup, GRID, key="k", k=5, seed=SEED, num_features=FEATURES))
+    return finish(M.cross_validate(sup, GRID, key="k", k=5, seed=SEED, num_features=FEATURES, stopwords=STOP))
+
+
+def linear_model():
+    """A user's model: class scores of fixed weights on (characters, words, sentences). Loaded once per worker."""
+    import numpy as np
+
+    weights = np.array([[0.0, 0.0, 12.0], [0.0, 1.0, 0.0], [0.125, 0.0, 0.0]])
+
+    def predict(x):
+        return x @ weights.T
+    return predict
+
+
+@query("score_with", f"""
+WITH f AS (SELECT doc_id, length(text)::DOUBLE * 0.125 AS c, {S.word_count('text')}::DOUBLE AS w,
+                  len({S.sentences('text')})::DOUBLE * 12 AS s FROM documents)
+SELECT doc_id, round(s, 6) AS score_0, round(w, 6) AS score_1, round(c, 6) AS score_2,
+       CAST(CASE WHEN s >= w AND s >= c THEN 0 WHEN w >= c THEN 1 ELSE 2 END AS BIGINT) AS prediction FROM f""")
+def q_score_with(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.array(
+        TX.char_length("text").cast("double"), TX.whitespace_word_count("text").cast("double"),
+        F.size(TX.split_sentences("text")).cast("double")).alias("features"))
+    out = M.score_with(d, linear_model, "features", keep=["doc_id"], n_features=3)
+    return finish(out.select("doc_id", *[F.col("scores")[i].alias(f"score_{i}") for i in range(3)], "prediction"))
