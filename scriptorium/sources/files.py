@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from scriptorium.operators import project as P
+from scriptorium.sources.csv_records import read_csv
 
 # fixed value: the chunk table written by the corpus build, in its column order
 CHUNK_SCHEMA = T.StructType([
@@ -26,11 +27,12 @@ def scan_text_corpus(spark: SparkSession, base: str, *, glob: str = "*.txt", max
     (``max_depth=1``), fully recursive (None), one level per category folder (filter
     ``depth == 1``). Whole files are single rows, so a few huge files would sit on few
     tasks: ``min_partitions`` spreads the rows round-robin when the listing is small.
-    Zero-length files are skipped by Spark's file scan: they give no row (an empty file
-    has no chunks either way; it has no all-zero statistics row here).
+    Spark's scan gives no row for a zero-length file; those of its listing are added with empty
+    content (and no modification time).
     """
     df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
           .option("recursiveFileLookup", "true").load(base))
+    df = _with_empty_files(df)
     root = base.rstrip("/")
     rel = F.regexp_replace(F.col("path"), r"^.*?" + _quote(root.split(":", 1)[-1].lstrip("/")) + "/?", "")
     df = df.withColumn("relative_path", rel) \
@@ -42,6 +44,28 @@ def scan_text_corpus(spark: SparkSession, base: str, *, glob: str = "*.txt", max
     return df
 
 
+def _with_empty_files(df: DataFrame) -> DataFrame:
+    """``df`` of a binary file scan with a row for every listed file that the scan leaves out: its listing less the
+    paths scanned (only the path column is read for that)."""
+    listed = df.inputFiles()
+    if not listed:
+        return df
+    spark = df.sparkSession
+    # the listing holds URIs, the scan decoded paths: the file name part is compared decoded
+    paths = spark.createDataFrame([(p,) for p in listed], "path string").select(_plain("path").alias("key"), "path").distinct()
+    seen = df.select(_plain("path").alias("key"))
+    empty = paths.join(seen, "key", "left_anti")
+    return df.unionByName(empty.select(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path"),
+                                       F.lit(None).cast("timestamp").alias("modificationTime"),
+                                       F.lit(0).cast("long").alias("length"), F.lit("").cast("binary").alias("content")))
+
+
+def _plain(path: str) -> Column:
+    """A path without percent-encoding and without the difference between file:/ and file:///."""
+    decoded = F.coalesce(F.try_url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B"))), F.col(path))
+    return F.regexp_replace(decoded, "^([a-z0-9]+:)/+", "$1/")
+
+
 def _quote(s: str) -> str:
     import re
     return re.escape(s)
@@ -83,6 +107,6 @@ def read_documents(spark: SparkSession, base: str, *, glob: str = "*.txt", max_d
 
 
 def read_chunks_csv(spark: SparkSession, path: str, schema: T.StructType = CHUNK_SCHEMA) -> DataFrame:
-    """S3: CSV with a header and quoted multi-line fields, read with a declared schema."""
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
-            .option("escape", '"').option("mode", "FAILFAST").csv(path))
+    """S3: CSV with a header and quoted multi-line fields, read with a declared schema. Files are split at any byte
+    (``csv_records``), so one large file is read by many tasks."""
+    return read_csv(spark, path, schema)
