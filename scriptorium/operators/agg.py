@@ -27,10 +27,28 @@ def top_values(df: DataFrame, col: str, k: int = 10) -> DataFrame:
     return value_counts(df, col).limit(k)
 
 
+def distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """A3 / A4 for several columns in one scan: (column_name, unique_values, total_rows), NULLs counted in
+    the total only. Values are counted by their 128-bit key (MD5), so no text is grouped, shuffled or written. A
+    second, independent hash is carried as its least and greatest value per key: two values under one key
+    would differ in it, and the job stops instead of counting them as one."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols])
+    # the keys are built inside the row; only they leave it
+    keyed = F.transform(pairs, lambda p: F.struct(p["column_name"].alias("column_name"), F.unhex(F.md5(p["value"])).alias("key"),
+                                                  F.when(p["value"].isNotNull(), F.xxhash64(p["value"])).alias("check")))
+    rows = explode_rows(df, [], keyed, ("_kv",)).select("_kv.column_name", "_kv.key", "_kv.check")
+    counts = rows.groupBy("column_name", "key").agg(F.count(F.lit(1)).alias("n"), F.min("check").alias("lo"), F.max("check").alias("hi"))
+    clash = F.max(F.coalesce(F.col("lo") != F.col("hi"), F.lit(False)).cast("int"))
+    out = counts.groupBy("column_name").agg(F.count("key").alias("unique_values"), F.sum("n").alias("total_rows"), clash.alias("_clash"))
+    checked = F.when(F.col("_clash") == 0, F.col("unique_values")).otherwise(F.raise_error(F.lit("two values have one key")).cast("bigint"))
+    return out.select("column_name", checked.alias("unique_values"), "total_rows")
+
+
 def distinct_count(df: DataFrame, col: str, *, approx: bool = False) -> DataFrame:
-    """A3: number of distinct non-NULL values."""
-    agg = F.approx_count_distinct(col) if approx else F.count_distinct(col)
-    return df.agg(agg.cast("bigint").alias("unique_values"))
+    """A3: number of distinct non-NULL values (exact: by key, see ``distinct_counts``)."""
+    if approx:
+        return df.agg(F.approx_count_distinct(col).cast("bigint").alias("unique_values"))
+    return distinct_counts(df, [col]).agg(F.coalesce(F.max("unique_values"), F.lit(0)).cast("bigint").alias("unique_values"))
 
 
 def repetition_rate(unique: Column, total: Column) -> Column:

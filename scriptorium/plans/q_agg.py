@@ -41,8 +41,9 @@ def q_column_distribution(spark, sf):
 
 @query("repetition_rate", DIST_SQL + f" SELECT column_name, unique_values, total_rows, {REP} FROM u CROSS JOIN t")
 def q_repetition_rate(spark, sf):
-    d = A.column_distribution(chunks(spark, sf), COLS3)
-    return finish(d.select("column_name", "unique_values", "total_rows", "repetition_rate").distinct())
+    d = A.distinct_counts(chunks(spark, sf), COLS3)
+    rate = A.repetition_rate(F.col("unique_values"), F.col("total_rows"))
+    return finish(d.withColumn("repetition_rate", rate).select("column_name", "unique_values", "total_rows", "repetition_rate"))
 
 
 DIST_REPORT_SQL = DIST_SQL + f"""

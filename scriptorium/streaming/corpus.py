@@ -36,7 +36,8 @@ def chunk_stream(docs: DataFrame, *, target_lang: str = "fr", target_author: str
     """Documents -> labelled 128-word chunks (C4), plus doc_id; works on streams."""
     staged = docs.select("doc_id", TX.normalised_words("text").alias("_w"),
                          F.when(F.col("lang") == target_lang, target_author).otherwise("Others").alias("author"),
-                         (F.col("lang") == target_lang).cast("int").alias("is_target"),
+                         # a row without a language belongs to the others
+                         F.coalesce(F.col("lang") == target_lang, F.lit(False)).cast("int").alias("is_target"),
                          F.col("source").alias("source_file"))
     return C.fixed_word_chunks_from_words(staged, "_w", size)
 

@@ -81,3 +81,16 @@ def test_drop_scratch(spark):
     assert drop_scratch(spark) >= 1
     assert not os.path.exists(new[0].replace("file:", ""))
     assert scratch_folders(spark) == []
+
+
+def test_distinct_counts_move_no_text(spark):
+    from scriptorium.operators import agg as A
+
+    rows = [("a", "long text " * 50), ("a", None), ("b", "long text " * 50), (None, "x"), ("", "")]
+    df = spark.createDataFrame(rows, "s string, t string")
+    out = A.distinct_counts(df, ["s", "t"])
+    assert sorted(tuple(r) for r in out.collect()) == [("s", 3, 5), ("t", 3, 5)]
+    assert A.distinct_count(df, "s").first()["unique_values"] == 3
+    assert A.distinct_count(df.where("false"), "s").first()["unique_values"] == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert all("value" not in line for line in plan.splitlines() if "HashAggregate" in line or "Exchange" in line and "hashpartitioning" in line)

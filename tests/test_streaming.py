@@ -17,3 +17,12 @@ def test_chunk_stream_matches_batch(spark):
     batch = S.chunk_stream(spark.read.parquet(src))
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
+
+
+def test_row_without_a_language_belongs_to_the_others(spark):
+    src = tempfile.mkdtemp(prefix="stream-null-")
+    rows = [(1, "one two", None, "a", 7), (2, "three", "fr", "b", 5), (3, None, "en", "b", 0)]
+    spark.createDataFrame(rows, S.DOCUMENT_SCHEMA).write.mode("overwrite").parquet(src)
+    out, ck = tempfile.mkdtemp(prefix="stream-out-"), tempfile.mkdtemp(prefix="stream-ck-")
+    S.start_to_parquet(S.chunk_stream(S.read_document_stream(spark, src)), out, ck).awaitTermination(120)
+    assert sorted((r["doc_id"], r["author"], r["is_target"]) for r in spark.read.parquet(out).collect()) == [(1, "Others", 0), (2, "Target", 1)]
