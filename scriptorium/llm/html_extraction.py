@@ -43,16 +43,49 @@ fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hg
 nav ol optgroup option p pre section select summary table tbody td textarea tfoot th thead title tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIP = frozenset({"script", "style"})
+SKIP_END = {name: re.compile(rf"</{name}\s*+>", re.I) for name in SKIP}
 FOREIGN = frozenset({"svg", "math"})
 # an opening element of these closes an open one of the same group
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"},
             "option": {"option"}}
 SCOPE = frozenset("body article section div main table td th li ul ol dl form blockquote nav aside header footer".split())
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+# One tag with its attributes as the HTML standard reads them: names, values in quotes, or unquoted up to white space or >. A
+# quote that is never closed belongs to its name, so the tag ends at the next >. All repeats are possessive: a tag is read
+# once, from left to right, and only fails where the page ends inside it.
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|(?:=[^\s/>=]*+|[^\s/>=]++)(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'\s>])[^\s>]*+))?+)*+)>""")
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
+def next_tag(page: str, pos: int, ends: dict) -> tuple[list[tuple[str, bool]], re.Match | None, int]:
+    """The text from ``pos`` up to the next tag as (piece, whether it is CDATA), the tag, and the place behind it. Comments and
+    declarations are left out, and so is a tag or comment that the page ends in. ``ends`` keeps, for one page, that no
+    CDATA end is left, so the page is read once."""
+    pieces, at, n = [], pos, len(page)
+    while True:
+        at = page.find("<", at)
+        if at < 0:
+            return [*pieces, (page[pos:], False)], None, n
+        mark = page[at + 1: at + 2]
+        letter = page[at + 2: at + 3] if mark == "/" else mark
+        if letter.isascii() and letter.isalpha():
+            m = TAG.match(page, at)
+            return [*pieces, (page[pos:at], False)], m, m.end() if m else n
+        if mark not in ("!", "?", "/"):
+            at += 1  # a plain character
+            continue
+        pieces.append((page[pos:at], False))
+        if page.startswith("<![CDATA[", at) and ends.setdefault("cdata", True):
+            end = page.find("]]>", at + 9)
+            if end >= 0:
+                pieces.append((page[at + 9:end], True))
+                at = pos = end + 3
+                continue
+            ends["cdata"] = False
+        end, size = (page.find("-->", at + 2), 3) if page.startswith("<!--", at) else (page.find(">", at), 1)
+        at = pos = n if end < 0 else end + size
+
+
 def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, float]]:
     """(path, text, share of characters inside links) of the page's non-empty blocks in order."""
     out: list = []
@@ -72,23 +105,20 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         links -= sum(name == "a" for name, _ in stack[at:])
         del stack[at:]
 
-    pos, n = 0, len(page)
+    pos, n, ends = 0, len(page), {}
     while pos < n:
-        m = TOKEN.search(page, pos)
-        piece = page[pos: m.start() if m else n]
-        if piece:
-            piece = html.unescape(piece)
+        pieces, m, pos = next_tag(page, pos, ends)
+        for piece, verbatim in pieces:
+            if not piece:
+                continue
+            if not verbatim:
+                piece = html.unescape(piece)
+                total += len(piece)
+                if links:
+                    linked += len(piece)
             data.append(piece)
-            total += len(piece)
-            if links:
-                linked += len(piece)
         if not m:
             break
-        pos = m.end()
-        if m[2] is None:
-            if m[0].startswith("<![CDATA["):
-                data.append(m[0][9:-3])
-            continue
         name = m[2].lower()
         if m[1]:
             if name == "br":
@@ -101,8 +131,8 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, float]]:
                 close(at)
             continue
         if name in SKIP:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, pos)
             if not m[3].endswith("/"):
+                end = SKIP_END[name].search(page, pos)
                 pos = end.end() if end else n
             data.append(" ")
             continue
@@ -116,7 +146,7 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, float]]:
                 if stack[i][0] in SCOPE:
                     break
         if name in VOID:
-            data.append(" " if name in ("br", "wbr", "hr", "img", "input") else "")
+            data.append(" " if name in ("br", "hr", "img", "input") else "")
             continue
         if m[3].endswith("/") and (name in FOREIGN or any(x in FOREIGN for x, _ in stack)):
             continue
@@ -306,6 +336,14 @@ EXTRAS = [("header", "div.logo"), ("header.site header", "h1"), ("header", "nav"
           ("footer",), ("div.footer", "p"), ("div.copyright",), ("div.widget", "h3"), ("div.popup", "p"), ("dialog", "p"), ("div.header", "p"), ("div.nav", "a")]
 
 
+def weak_labels(page: list) -> list[int]:
+    """1 for the blocks taken as main text. A page with an ``article`` or ``main`` element has its text there; on a page
+    without one, blocks are taken whose path names no boilerplate and which are not mostly links."""
+    if any(label.partition(".")[0] in ("article", "main") for path, _, _ in page for label in path):
+        return [weak_label(path) for path, _, _ in page]
+    return [int(links < 0.5 and not any(BOILER.search(label) for label in path)) for path, _, links in page]
+
+
 def weak_label(path: tuple[str, ...]) -> int:
     at = max((i for i, label in enumerate(path) if label.partition(".")[0] in ("article", "main")), default=None)
     if at is None:
@@ -315,15 +353,16 @@ def weak_label(path: tuple[str, ...]) -> int:
 
 def variants(page: list, rng: random.Random) -> list[tuple[list, list[int]]]:
     """The page with its weak labels, and two changed copies of it."""
-    labels = [weak_label(b[0]) for b in page]
+    labels = weak_labels(page)
     out = [(page, labels)]
     texts = [b[1] for b in page]
     for _ in range(2):
         wrap, new, y = rng.choice(ARTICLES), [], []
         for (path, text, links), label in zip(page, labels):
             if label:
-                at = max(i for i, p in enumerate(path) if p.partition(".")[0] in ("article", "main"))
-                path = path[:at] + wrap + path[at + 1:]
+                at = max((i for i, p in enumerate(path) if p.partition(".")[0] in ("article", "main")), default=None)
+                if at is not None:
+                    path = path[:at] + wrap + path[at + 1:]
             new.append((path, text, links))
             y.append(label)
         for _ in range(rng.randint(1, 5)):

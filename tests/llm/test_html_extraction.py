@@ -129,3 +129,37 @@ def test_only_scripts_and_styles_are_dropped():
     b = h.blocks_of("<p>a <svg><path d='M0'/><circle r='1'/></svg> b <svg/> c</p><p>d")
     assert [x[:2] for x in b] == [(("p",), "a b c"), (("p",), "d")]
     assert h.blocks_of("<p>one<style>two<p>three") == [(("p",), "one", 0.0)]
+
+
+def texts(page):
+    return [b[1] for b in h.blocks_of(page)]
+
+
+def test_attributes_as_in_the_standard():
+    assert texts("<p title=it's>Hello world, it's fine</p>") == ["Hello world, it's fine"]
+    assert texts('<p title="x>Hello</p><p>there</p>') == ["Hello", "there"]
+    assert texts("<p>un<wbr>believable</p>") == ["unbelievable"]
+    assert texts("""<p a='>' b=">" c = d e= "f" =g h/>one</p>""") == ["one"]
+    assert texts("<p x=>two</p><p y = >three</p>") == ["two", "three"]
+    assert texts("a < b <3 c <") == ["a < b <3 c <"]
+    assert texts("x<!-- <p>no</p> -->y</ z>w<!bogus>v<?pi?>u") == ["xywvu"]
+    assert texts("<![CDATA[kept &amp; raw]]> <![CDATA[ no end <b>text</b>") == ["kept &amp; raw text"]
+    assert texts("<p>before</p><p class=") == ["before"]
+
+
+def test_scanning_is_linear():
+    import time
+
+    for page in ("<i x=" * 200_000, "<i x=\"" * 150_000, "<![CDATA[" * 100_000, "<script/>" * 100_000, "<" * 1_000_000, "<a b='" * 150_001):
+        t = time.time()
+        h.blocks_of(page)
+        assert time.time() - t < 5
+
+
+def test_table_without_article_gives_text(spark):
+    body = "".join(f"<p>Paragraph {i} of the story tells what happened next and why.</p>" for i in range(6))
+    rows = [(i, f"http://x/{i}", f"<html><body><div class=nav><a href=a>Home {i}</a></div><div class=story>{body}</div>"
+             f"<div class=footer>Copyright {i}</div></body></html>") for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = [r["text"] for r in h.extract(df, h.fit(df)).collect()]
+    assert all("Paragraph 3 of the story" in t for t in out) and not any("Copyright" in t for t in out)
