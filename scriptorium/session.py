@@ -50,7 +50,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured or current
     master = spark.conf.get("spark.master", "") or (sc.master if sc is not None else "")
-    if not master.startswith("local"):
+    if master != "local" and not master.startswith("local["):
         # a machine-local folder is not shared by the executors of a cluster
         raise ValueError("spark.checkpoint.dir is not set: point it at a folder shared by the cluster "
                          "(HDFS, object store) before using operators that write intermediate tables")

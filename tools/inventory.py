@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 ROWS = [
     ("S1", "sources.files.scan_text_corpus / read_documents", ["scan_text_corpus"]),
     ("S2", "sources.files.decode_with_fallback", ["decode_with_fallback"]),
-    ("S3", "sources.files.read_chunks_csv", ["read_chunks_csv"]),
+    ("S3", "sources.files.read_chunks_csv (csv_records)", ["read_chunks_csv"]),
     ("S4", "sources.sinks.write_csv", ["write_csv"]),
     ("S5", "sources.sinks.write_splits / read_split", ["write_splits"]),
     ("S6", "sources.sinks.write_json_report", ["write_json_report"]),
@@ -105,7 +105,7 @@ ROWS = [
     ("N12", "operators.features.mlm_mask", ["mlm_mask"]),
     ("N13", "operators.features.truncate_and_pad_single", ["truncate_and_pad_single"]),
     ("N14", "operators.features.assemble_pairs (four outputs)", ["drop_intermediate_columns", "nsp_examples"]),
-    ("N15", "operators.features.prepare_dataset", ["prepare_dataset"]),
+    ("N15", "operators.features.prepare_dataset / prepare_folds (fold_vocabularies)", ["prepare_dataset", "prepare_folds", "fold_vocabularies"]),
     ("E1", "operators.metrics.accuracy", ["accuracy"]),
     ("E2", "operators.metrics.weighted_precision", ["weighted_precision"]),
     ("E3", "operators.metrics.weighted_recall", ["weighted_recall"]),
@@ -123,7 +123,7 @@ ROWS = [
     ("R6", "operators.runs.best_checkpoint", ["best_checkpoint"]),
     ("M1", "operators.model.text_classifier_fit", ["text_classifier_fit"]),
     ("M2", "operators.model.hyperparameter_sweep", ["hyperparameter_sweep"]),
-    ("M3", "operators.model.score_batch", ["score_batch"]),
+    ("M3", "operators.model.score_batch / score_with", ["score_batch", "score_with"]),
     ("M4", "operators.model.evaluate_on_test", ["evaluate_on_test"]),
     ("M5", "operators.model.cross_validate", ["cross_validate"]),
     ("U1", "DataFrame.mapInArrow (features.pack_segments)", ["pack_segments"]),
