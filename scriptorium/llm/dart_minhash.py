@@ -36,7 +36,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from scriptorium.llm.common import (LOWER, MIX, connected_components, mix64, ready, span_hashes, table, utf8_batch,
+from scriptorium.llm.common import (LOWER, MIX, connected_components, free_name, mix64, ready, span_hashes, table, utf8_batch,
                                     word_spans)
 from scriptorium.session import materialize
 
@@ -367,14 +367,15 @@ def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = materialize(best.join(t, best["_keep_id"].eqNullSafe(t["_i"]) & (best["_keep_copy"] == t["_c"]))
                        .select("_keep_id", "_keep_copy", "_twins"), "kept")
     blank = materialize(cls.where("class_node IS NULL").select(F.col("copy").alias("_keep_copy")).distinct(), "blank")
-    keyed = df.withColumn("__text_hash__", F.xxhash64(F.coalesce(df[text_col].cast("string"), F.lit(""))))
-    on = keyed[id_col].eqNullSafe(best["_keep_id"]) & (keyed["__text_hash__"] == best["_keep_copy"])
+    key = free_name(df, "__text_hash__")  # a column of that name stays
+    keyed = df.withColumn(key, F.xxhash64(F.coalesce(df[text_col].cast("string"), F.lit(""))))
+    on = keyed[id_col].eqNullSafe(best["_keep_id"]) & (keyed[key] == best["_keep_copy"])
     out = keyed.join(best.where("_twins = 1"), on, "left_semi")
     if not best.where("_twins > 1").isEmpty():
-        out = out.unionByName(keyed.join(best.where("_twins > 1"), on, "left_semi").dropDuplicates([id_col, "__text_hash__"]))
+        out = out.unionByName(keyed.join(best.where("_twins > 1"), on, "left_semi").dropDuplicates([id_col, key]))
     if not blank.isEmpty():
-        out = out.unionByName(keyed.join(blank, keyed["__text_hash__"] == blank["_keep_copy"], "left_semi"))
-    return out.drop("__text_hash__")
+        out = out.unionByName(keyed.join(blank, keyed[key] == blank["_keep_copy"], "left_semi"))
+    return out.drop(key)
 
 
 def op2_dart_minhash(spark, sf_dir: str) -> DataFrame:

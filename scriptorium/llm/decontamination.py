@@ -31,7 +31,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scriptorium.llm.common import table
+from scriptorium.llm.common import free_name, table
 from scriptorium.session import materialize
 
 WIDTH = 5
@@ -159,7 +159,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     # written first, so that Spark knows the size of this side
     bad = materialize(share.select(F.col("copy").alias("__bad_hash__")).distinct(), "contaminated")
     text = F.xxhash64(docs[text_col].cast("string"))
-    return docs.withColumn("__text_hash__", text).join(bad, F.col("__text_hash__") == F.col("__bad_hash__"), "left_anti").drop("__text_hash__")
+    key = free_name(docs, "__text_hash__")  # a column of that name stays
+    keyed = docs.withColumn(key, text)
+    return keyed.join(bad, keyed[key] == bad["__bad_hash__"], "left_anti").drop(key)
 
 
 def op8_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from scriptorium.llm import dart_minhash as m
 
@@ -103,3 +104,11 @@ def test_classes_equal_brute_force(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert m.near_duplicates(df).count() == 0 and m.deduplicated(df).count() == 0
+
+
+def test_columns_named_as_helpers_stay(spark):
+    rows = [(1, "a b c d e f", "x"), (2, "a b c d e f", "y"), (3, None, "z"), (4, "long " * 30_000, "w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __text_hash__ string").withColumn("__TEXT_hash___", F.lit(7))
+    left = m.deduplicated(df)
+    assert left.columns == df.columns
+    assert sorted((r[0], r[2], r[3]) for r in left.collect()) == [(1, "x", 7), (3, "z", 7), (4, "w", 7)]

@@ -55,3 +55,13 @@ def test_empty_tables_and_filter(spark):
     assert d.contaminated_pairs(dd.limit(0), ii).count() == 0
     assert d.contaminated_pairs(dd, ii.limit(0)).count() == 0
     assert [r.doc_id for r in d.decontaminate(dd, ii).collect()] == [2]
+
+
+def test_columns_named_as_helpers_stay(spark):
+    long = "w " * 30_000 + "one two three four five six " + "v " * 30_000
+    rows = [(1, "x one two three four five six y", 5, 6), (2, "clean text", 7, 8), (3, None, 9, 10), (4, long, 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __text_hash__ int, __bad_hash__ int")
+    items = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    left = d.decontaminate(docs, items)
+    assert left.columns == docs.columns
+    assert sorted(map(tuple, left.collect()), key=str) == [(2, "clean text", 7, 8), (3, None, 9, 10)]
