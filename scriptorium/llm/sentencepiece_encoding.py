@@ -10,7 +10,8 @@ give edges (start, end, piece), which are sorted by end and relaxed in that orde
 Relaxing. A position's label is the last piece of the encoding of the segment up to there. A sequence of pieces is
 what byte-pair merging gives exactly when each neighbouring pair, merged on its own, comes
 out as that pair; so an edge labels its end when it starts the segment or when its start's label and its
-piece are such a pair (tested by merging the two, remembered). One edge fits at every
+piece are such a pair (tested by merging the two, remembered). Edges that end equally far from
+their segment's start are relaxed at once, for all segments of a block. One edge fits at every
 position, and following the labels back gives the ids of the library's greedy merging.
 
 Decoding joins the byte strings of the pieces, turns marks into spaces and drops the first.
@@ -18,21 +19,29 @@ Decoding joins the byte strings of the pieces, turns marks into spaces and drops
 Defined results: NULL and empty texts have no pieces and decode to the empty text; a mark already in a text
 decodes to a space (as in the library); bytes that are not UTF-8 decode to U+FFFD; repeated
 rows get equal results; an empty table gives an empty result; other columns are ignored. The
-cache of segments is bounded and only saves work.
+cache of segments is bounded in bytes, but for one batch, and only saves work.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import sys
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from scriptorium.llm.common import ready, table
+from scriptorium.llm.common import mix64, ready, table
 
 MARK = "▁"
-CACHE = 400_000
+# bytes that the segments met before and their ids may take in a worker
+CACHE_BYTES = 128 << 20
+# of an entry of a dictionary
+ENTRY = 100
+# slots of the table of piece pairs; a fuller one starts anew
+PAIR_SLOTS = 1 << 22
+# longer segments are relaxed edge by edge
+LONG = 64
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 
 _CODECS: dict[str, "Codec"] = {}
@@ -149,8 +158,10 @@ class Codec:
             return (c[:, :, 0] << np.uint64(48)) | (c[:, :, 1] << np.uint64(32)) | (c[:, :, 2] << np.uint64(16)) | c[:, :, 3]
         self.low, self.high = packed(codes), packed(np.where(free, np.uint64(0xFFFF), codes))
         self.names = {i: p for p, i in self.id_of.items()}
-        self.pair_ok: dict[tuple[int, int], bool] = {}
+        # pairs of pieces met before, as 2 * key + fits; 0: free
+        self.pair_table, self.pairs_held = np.zeros(1 << 16, dtype=np.int64), 0
         self.cache: dict[str, bytes] = {}
+        self.cache_bytes = 0
 
     def merged(self, text: str) -> list[str]:
         """Byte-pair merging of a short string: the best-scored neighbouring pair first, the left one of equals."""
@@ -166,14 +177,8 @@ class Codec:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether merging the two pieces' text gives just these two (left < 0: the right piece alone)."""
-        key = (left, right)
-        got = self.pair_ok.get(key)
-        if got is None:
-            a, b = self.names.get(left, ""), self.names[right]
-            got = self.merged(a + b) == ([a, b] if left >= 0 else [b])
-            if len(self.pair_ok) < 2_000_000:
-                self.pair_ok[key] = got
-        return got
+        a, b = self.names.get(left, ""), self.names[right]
+        return self.merged(a + b) == ([a, b] if left >= 0 else [b])
 
     def edges(self, codes: np.ndarray):
         """(start, end, piece) of every occurrence of every piece, sorted by end."""
@@ -186,58 +191,127 @@ class Codec:
         by = np.argsort(end, kind="stable")
         return start[by], end[by], self.vocab_ids[which][by]
 
+    def _pairs_ok(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``fits`` of every pair, looked up in a table of the pairs met before (open addressing)."""
+        key = (left + 2) * len(self.score) + right + 1
+        ok, todo, missed, step = np.zeros(len(key), dtype=bool), np.arange(len(key)), [], 0
+        at = self._slots(key)
+        while len(todo):
+            got = self.pair_table[(at[todo] + step) & (len(self.pair_table) - 1)]
+            hit, none = got >> 1 == key[todo], got == 0
+            ok[todo[hit]] = got[hit] & 1
+            missed.append(todo[none])
+            todo, step = todo[~hit & ~none], step + 1
+        missed = np.concatenate(missed) if missed else todo
+        if len(missed):
+            new, first, where = np.unique(key[missed], return_index=True, return_inverse=True)
+            sides = zip(left[missed][first].tolist(), right[missed][first].tolist())
+            value = np.array([self.fits(a, b) for a, b in sides], dtype=np.int64)
+            ok[missed] = value[where] == 1
+            self._remember(new << 1 | value)
+        return ok
+
+    def _slots(self, key: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (mix64(key.astype(np.uint64)) & np.uint64(len(self.pair_table) - 1)).astype(np.int64)
+
+    def _remember(self, entries: np.ndarray) -> None:
+        if self.pairs_held + len(entries) > len(self.pair_table) // 2:
+            kept = self.pair_table[self.pair_table != 0]
+            size = 1 << int(2 * (len(kept) + len(entries))).bit_length()
+            if size > PAIR_SLOTS:
+                kept = kept[:0]
+                size = max(1 << 16, 1 << int(2 * len(entries)).bit_length())
+            self.pair_table, self.pairs_held = np.zeros(size, dtype=np.int64), 0
+            entries = np.concatenate((kept, entries))
+        self.pairs_held += len(entries)
+        at, mask = self._slots(entries >> 1), len(self.pair_table) - 1
+        while len(entries):
+            free = self.pair_table[at] == 0
+            # of several entries for one free slot the last stays; the others go on
+            self.pair_table[at[free]] = entries[free]
+            left = self.pair_table[at] != entries
+            entries, at = entries[left], (at[left] + 1) & mask
+
     def encode_segments(self, segments: list[str]) -> dict[str, bytes]:
         """ids (little-endian int32) of distinct segments of alphabet characters."""
         text = "\0".join(segments) + "\0"
         codes = self.code[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)]
         start, end, piece = self.edges(codes)
         # -2: a segment starts here; -1: not labelled
-        label = np.full(len(codes) + 1, -1, dtype=np.int64)
+        label, back = np.full(len(codes) + 1, -1, dtype=np.int64), np.zeros(len(codes) + 1, dtype=np.int64)
         sizes = np.array([len(s) for s in segments])
         begin = np.cumsum(sizes + 1) - sizes - 1
         label[begin] = -2
-        label, back = label.tolist(), [0] * (len(codes) + 1)
-        known, fits = self.pair_ok, self.fits
+        # the edges of one length from their segment's start are relaxed at once, for all segments
+        of = np.repeat(np.arange(len(segments)), sizes + 1)[start]
+        away = end - begin[of]
+        short = sizes[of] <= LONG
+        near = np.flatnonzero(short)
+        near = near[np.argsort(away[near].astype(np.uint16), kind="stable")]
+        cut = np.searchsorted(away[near], np.arange(1, LONG + 2))
+        for i, j in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            e = near[i:j]
+            e = e[label[start[e]] != -1]
+            e = e[self._pairs_ok(label[start[e]], piece[e])]
+            label[end[e]], back[end[e]] = piece[e], start[e]
+        if not short.all():
+            self._relax_in_order(start[~short], end[~short], piece[~short], label, back)
+        # the labels backwards from every segment's end
+        p, seg, ids, owner = begin + sizes, np.arange(len(segments)), [], []
+        while len(p):
+            ids.append(label[p])
+            owner.append(seg)
+            p = back[p]
+            on = p > begin[seg]
+            p, seg = p[on], seg[on]
+        ids, owner = np.concatenate(ids)[::-1], np.concatenate(owner)[::-1]
+        flat = ids[np.argsort(owner, kind="stable")].astype("<i4").tobytes()
+        last = (4 * np.cumsum(np.bincount(owner, minlength=len(segments)))).tolist()
+        return {s: flat[i:j] for s, i, j in zip(segments, [0, *last], last)}
+
+    def _relax_in_order(self, start, end, piece, label, back) -> None:
+        """Edges of long segments, sorted by end, one after the other."""
+        met: dict[tuple[int, int], bool] = {}
+        labels = {int(p): int(label[p]) for p in np.unique(np.concatenate((start, end)))}
         for a, b, t in zip(start.tolist(), end.tolist(), piece.tolist()):
-            if label[b] == -1:
-                s = label[a]
-                if s == -1:
-                    continue
-                ok = known.get((s, t))
-                if ok or (ok is None and fits(s, t)):
-                    label[b], back[b] = t, a
-        out = {}
-        for s, a, n in zip(segments, begin.tolist(), sizes.tolist()):
-            ids, p = [], a + n
-            while p > a:
-                ids.append(label[p])
-                p = back[p]
-            out[s] = np.array(ids[::-1], dtype="<i4").tobytes()
-        return out
+            s = labels[a]
+            if s == -1 or labels[b] != -1:
+                continue
+            ok = met.get((s, t))
+            if ok is None:
+                ok = met[s, t] = self.fits(s, t)
+            if ok:
+                labels[b] = label[b] = t
+                back[b] = a
 
     def _outside(self, ch: str) -> bytes:
         ids = [self.byte_id[b] for b in ch.encode("utf-8", "surrogatepass")] if self.byte_id else [self.unknown]
         return np.array(ids, dtype="<i4").tobytes()
 
+    def _keep(self, encoded: dict[str, bytes]) -> None:
+        self.cache.update(encoded)
+        self.cache_bytes += sum(map(sys.getsizeof, encoded)) + sum(map(sys.getsizeof, encoded.values())) + ENTRY * len(encoded)
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """ids of every text as little-endian int32 bytes."""
         cuts = [self.cut.findall(self.prefix + t.replace(" ", MARK)) if t else [] for t in texts]
         cache = self.cache
-        if len(cache) > CACHE:
+        if self.cache_bytes > CACHE_BYTES:
             cache.clear()
+            self.cache_bytes = 0
         new = {s for c in cuts for s in c if s not in cache}
         outside = {s for s in new if len(s) == 1 and not self.code[ord(s)]}
-        for s in outside:
-            cache[s] = self._outside(s)
+        self._keep({s: self._outside(s) for s in outside})
         block, size = [], 0
         for s in sorted(new - outside):
             block.append(s)
             size += len(s) + 1
             if size > 400_000:
-                cache.update(self.encode_segments(block))
+                self._keep(self.encode_segments(block))
                 block, size = [], 0
         if block:
-            cache.update(self.encode_segments(block))
+            self._keep(self.encode_segments(block))
         return [b"".join([cache[s] for s in c]) for c in cuts]
 
     def decode(self, ids: np.ndarray) -> str:
