@@ -92,6 +92,16 @@ def rank_within_stats(df: DataFrame, by: list[str], order: list[Column | str], *
     return out, sizes
 
 
+def written_ranges(df: DataFrame, order: list[Column | str], *, num_partitions: int | None = None) -> DataFrame:
+    """``df`` range partitioned and sorted by ``order`` and written: ``_pid`` numbers the ranges in order, ``_pos`` the
+    rows."""
+    keys = _cols(order)
+    parts = num_partitions or shuffle_partitions(df.sparkSession)
+    return materialize(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_pos", F.monotonically_increasing_id()), "ranges")
+
+
 def global_rank(df: DataFrame, order: list[Column | str], *, rank_col: str = "rank",
                 size_col: str | None = None, num_partitions: int | None = None,
                 materialize_input: bool = False) -> DataFrame:

@@ -7,9 +7,9 @@ is an equi-join on (run_id, step - 1) instead of a ``lag`` window.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from scriptorium.operators.ranking import prefix_extreme, rank_within, rank_within_stats
+from scriptorium.operators.ranking import rank_within, written_ranges
 
 
 def row_position(df: DataFrame, by: list[str], order: list[str], out: str = "position",
@@ -67,22 +67,39 @@ def early_stop_epoch(log: DataFrame, *, patience: int = 2, threshold: float = 0.
     where ``patience`` evaluations in a row did not beat the best value so far by more than
     ``threshold``. Runs that never stop get NULL.
 
-    Gaps and islands without a per-run window: evaluations are ranked inside their run
-    (range partitioned); the best value before each evaluation is a distributed prefix
-    min (max); the counter is the distance to the last improving evaluation, a prefix max
-    of the improving ranks. A run of any length is spread over many tasks.
+    Evaluations are range partitioned by (run, step) and written; a run's rows in one range are a piece. A piece starts
+    from the best value of the run's earlier pieces and is scanned by windows of its own, so a run of any length is
+    spread over many tasks. What crosses its ends is one row per piece (partitions + runs rows at most): how many
+    evaluations come before the first and after the last improving one, and the steps of the first ``patience`` of
+    the former. Rows without a run never stop.
     """
-    ev = log.where(F.col(metric).isNotNull()).select(run, step, metric)
-    ranked, _ = rank_within_stats(ev, [run], [step], rank_col="_k", keep_partition=True)
-    best = prefix_extreme(ranked, [run], "_k", F.col(metric), fn="max" if greater_is_better else "min",
-                          inclusive=False, out="_best")
+    fn = F.max if greater_is_better else F.min
+    pick = F.greatest if greater_is_better else F.least
+    before = (Window.unboundedPreceding, -1)
+    ev = log.where(F.col(metric).isNotNull() & F.col(run).isNotNull()).select(run, step, metric)
+    rows = written_ranges(ev, [run, step])
+    in_run = Window.partitionBy(run).orderBy("_pid")
+    carry = (rows.groupBy("_pid", run).agg(fn(metric).alias("_m"))
+                 .select("_pid", run, fn("_m").over(in_run.rowsBetween(*before)).alias("_carry")))
+    piece = Window.partitionBy("_pid", run).orderBy("_pos")
+    best = rows.join(carry, ["_pid", run]).withColumn("_best", pick(F.col("_carry"), fn(metric).over(piece.rowsBetween(*before))))
     gain = (F.col(metric) - F.col("_best")) if greater_is_better else (F.col("_best") - F.col(metric))
-    marked = best.withColumn("_imp", F.when(F.col("_best").isNull() | (gain > threshold), F.col("_k")))
-    last = prefix_extreme(marked, [run], "_k", F.col("_imp"), fn="max", inclusive=True, out="_last")
-    stops = (last.where(F.col("_k") - F.col("_last") >= patience)
-                 .groupBy(run).agg(F.min(step).alias("stop_step")))
-    runs = log.select(run).distinct()
-    return runs.join(stops, run, "left")
+    marked = (best.withColumn("_i", F.row_number().over(piece))
+                  .withColumn("_imp", F.when(F.col("_best").isNull() | (gain > threshold), F.col("_i")))
+                  .withColumn("_last", F.max("_imp").over(piece.rowsBetween(Window.unboundedPreceding, 0))))
+    lead = F.col("_last").isNull()
+    pieces = marked.groupBy("_pid", run).agg(
+        F.count(F.lit(1)).alias("n"), F.max("_last").alias("last"), F.count_if(lead).alias("lead"),
+        F.min(F.when(F.col("_i") - F.col("_last") >= patience, F.col(step))).alias("inside"),
+        F.array_sort(F.collect_list(F.when(lead & (F.col("_i") <= patience), F.col(step)))).alias("steps"))
+    # evaluations since the last improving one, at a piece's beginning
+    pieces = pieces.withColumn("upto", F.sum("n").over(in_run.rowsBetween(Window.unboundedPreceding, 0)))
+    mark = F.max(F.when(F.col("last").isNotNull(), F.struct("upto", (F.col("n") - F.col("last")).alias("trail"))))
+    pieces = pieces.withColumn("mark", mark.over(in_run.rowsBetween(*before)))
+    left = F.lit(patience) - (F.col("upto") - F.col("n") - F.col("mark.upto") + F.col("mark.trail"))
+    across = F.when((left >= 1) & (left <= F.col("lead")), F.get("steps", (left - 1).cast("int")))
+    stops = pieces.groupBy(run).agg(F.min(F.least("inside", across)).alias("stop_step"))
+    return log.select(run).distinct().join(stops, run, "left")
 
 
 def best_checkpoint(log: DataFrame, *, run: str = "run_id", step: str = "step", metric: str = "eval_loss",

@@ -1,5 +1,9 @@
 """Metrics and run-log analytics: hand cases."""
 
+import random
+
+import pytest
+
 from scriptorium.operators import metrics as E
 from scriptorium.operators import runs as R
 
@@ -46,3 +50,29 @@ def test_early_stop(spark):
     assert run([1.0, 0.9, 0.95, 0.97]) == 4         # stops at the last evaluation
     b = R.best_checkpoint(log(spark, [(1, 1, None, 0.5, 1), (1, 2, None, 0.4, 2), (1, 3, None, 0.4, 3)])).first()
     assert b["best_step"] == 2 and b["best_eval_loss"] == 0.4
+
+
+@pytest.mark.parametrize("patience,greater", [(1, False), (3, False), (25, True), (60, False)])
+def test_early_stop_over_many_pieces(spark, patience, greater):
+    """A run of half of all rows spans several ranges; streaks cross their borders."""
+    rnd = random.Random(patience)
+    rows, want = [], {}
+    for run, n in [(0, 600), *((r, rnd.randint(1, 12)) for r in range(1, 80))]:
+        values = [rnd.choice([None, 1 - i / n, rnd.random(), 0.5]) for i in range(n)]
+        if greater:
+            values = [None if v is None else -v for v in values]
+        rows += [(run, i + 1, None, v, i) for i, v in enumerate(values)]
+        best, streak, want[run] = None, 0, None
+        for i, v in enumerate(values):
+            if v is None or want[run] is not None:
+                continue
+            up = best is None or (v - best if greater else best - v) > 0.01
+            best = v if best is None else (max if greater else min)(best, v)
+            streak = 0 if up else streak + 1
+            if streak >= patience:
+                want[run] = i + 1
+    rows += [(None, i, None, 0.5, i) for i in range(80)]
+    rnd.shuffle(rows)
+    got = R.early_stop_epoch(log(spark, rows).repartition(5), patience=patience, threshold=0.01, greater_is_better=greater)
+    assert {r.run_id: r.stop_step for r in got.collect()} == {**want, None: None}
+    assert R.early_stop_epoch(log(spark, rows).limit(0), patience=patience).count() == 0

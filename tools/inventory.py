@@ -119,7 +119,7 @@ ROWS = [
     ("R2", "operators.runs.cv_metric_average", ["cv_metric_average"]),
     ("R3", "operators.runs.sweep_results_from_events", ["sweep_results"]),
     ("R4", "operators.runs.best_run", ["best_run"]),
-    ("R5", "operators.runs.early_stop_epoch (ranking.prefix_extreme)", ["early_stop_epoch"]),
+    ("R5", "operators.runs.early_stop_epoch (ranking.written_ranges)", ["early_stop_epoch"]),
     ("R6", "operators.runs.best_checkpoint", ["best_checkpoint"]),
     ("M1", "operators.model.text_classifier_fit", ["text_classifier_fit"]),
     ("M2", "operators.model.hyperparameter_sweep", ["hyperparameter_sweep"]),
