@@ -25,7 +25,8 @@ TOKEN = ("[" + WORD_CLASS + "]+(?:[-'][" + WORD_CLASS + "]+)*"
 ALNUM_TOKEN = r"^[\p{L}\p{N}]+$"
 SENTENCE_BREAK = "([.!?]+)[" + SPACE_CLASS + "]+"
 EDGE_SPACE = "^[" + SPACE_CLASS + "]+|[" + SPACE_CLASS + "]+$"
-SENTINEL = "\u0001"
+# the white space of such a break; no character of the text serves as a mark
+AFTER_END = "(?<=[.!?])[" + SPACE_CLASS + "]+"
 # ---------------------------------------------------------------------------------------
 
 
@@ -80,8 +81,7 @@ def split_sentences(col: Column | str) -> Column:
     """
     # the break pattern consumes the white space after each end mark, so only the text's
     # own edges can carry white space: trim once, not once per sentence
-    marked = F.regexp_replace(trim_space(col), SENTENCE_BREAK, "$1" + SENTINEL)
-    return F.filter(F.split(marked, SENTINEL), lambda s: F.length(s) > 0)
+    return F.filter(F.split(trim_space(col), AFTER_END), lambda s: F.length(s) > 0)
 
 
 def tokenise_words(col: Column | str) -> Column:

@@ -71,3 +71,10 @@ def test_argmax_last_n_safe_ratio(spark):
     assert [r[0] for r in df.select(T.last_n("v", 2)).collect()] == [[], ["a"], ["b", "c"]]
     r = spark.range(1).select(T.safe_ratio(F.lit(1), F.lit(0)).alias("a"), T.safe_ratio(F.lit(1), F.lit(4)).alias("b")).first()
     assert (r["a"], r["b"]) == (0.0, 0.25)
+
+
+def test_sentences_keep_control_characters(spark):
+    """A character of the text is never taken for a cut."""
+    df = spark.createDataFrame([(" A\u0001b. C\u0001!?\u00a0 d..e.  ",), ("",), (" \n",), (None,)], "t string")
+    got = [r.s for r in df.select(T.split_sentences("t").alias("s")).collect()]
+    assert got == [["A\u0001b.", "C\u0001!?", "d..e."], [], [], None]
