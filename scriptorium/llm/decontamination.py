@@ -172,13 +172,14 @@ def op8_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
 OP8_SQL = """
 WITH d AS (SELECT DISTINCT doc_id, text FROM documents WHERE length(text) > 0),
 dw AS (SELECT doc_id, text, list_filter(regexp_split_to_array(lower(text), '[ \\t-\\r]+'), lambda x: x <> '') AS w FROM d),
-ds AS (SELECT DISTINCT doc_id, text, array_to_string(w[i : i + 4], ' ') AS s
-       FROM (SELECT doc_id, text, w, unnest(range(1, len(w) - 3)) AS i FROM dw WHERE len(w) >= 5)),
 iw AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[ \\t-\\r]+'), lambda x: x <> '') AS w FROM benchmark),
-s AS (SELECT DISTINCT item_id, array_to_string(w[i : i + 4], ' ') AS s
-      FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM iw WHERE len(w) >= 5)),
+s AS (SELECT DISTINCT item_id, k, array_to_string(w[i : i + k - 1], ' ') AS s
+      FROM (SELECT item_id, w, least(len(w), 5) AS k, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM iw WHERE len(w) >= 1)),
+ds AS (SELECT DISTINCT doc_id, text, k, array_to_string(w[i : i + k - 1], ' ') AS s
+       FROM (SELECT doc_id, text, w, k, unnest(range(1, len(w) - k + 2)) AS i
+             FROM dw JOIN (SELECT DISTINCT k FROM s) ON len(w) >= k)),
 n AS (SELECT item_id, count(*) AS n FROM s GROUP BY item_id),
-h AS (SELECT ds.doc_id, ds.text, s.item_id, count(*) AS n_shared FROM ds JOIN s USING (s) GROUP BY ALL)
+h AS (SELECT ds.doc_id, ds.text, s.item_id, count(*) AS n_shared FROM ds JOIN s USING (k, s) GROUP BY ALL)
 SELECT doc_id, item_id, max(n_shared) AS n_shared, max(n) AS n_item,
        round(max(n_shared) / max(n)::DOUBLE, 9) AS containment
 FROM h JOIN n USING (item_id) WHERE n_shared >= 0.8 * n - 1e-9 GROUP BY doc_id, item_id

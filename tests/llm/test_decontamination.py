@@ -65,3 +65,17 @@ def test_columns_named_as_helpers_stay(spark):
     left = d.decontaminate(docs, items)
     assert left.columns == docs.columns
     assert sorted(map(tuple, left.collect()), key=str) == [(2, "clean text", 7, 8), (3, None, 9, 10)]
+
+
+def test_sql_counts_short_items(spark):
+    import duckdb
+
+    docs = [(1, "one Two three four"), (2, "x two three y one two three"), (3, "three two one"), (4, "a b c d e f g h"), (5, None), (6, ""), (7, "solo")]
+    items = [(1, "one two THREE"), (2, "Solo"), (3, "a b c d e f"), (4, "a b c d e"), (5, ""), (6, None), (7, "c d")]
+    dd, ii = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", dd.toPandas())
+    con.register("benchmark", ii.toPandas())
+    rel = con.sql(d.OP8_SQL)
+    got = {tuple(r) for r in d.contaminated_pairs(dd, ii).select(*rel.columns).collect()}
+    assert got == set(rel.fetchall()) and {(a, b) for a, b, *_ in got} == {(1, 1), (2, 1), (7, 2), (4, 3), (4, 4), (4, 7)}
