@@ -116,3 +116,12 @@ def test_query_equals_sql(spark):
     got = p.op12_prefix_trie(spark, sf)
     assert sorted(want.columns) == sorted(got.columns)
     assert sorted(map(tuple, got.select(*want.columns).collect()), key=key) == sorted(want.fetchall(), key=key)
+
+
+def test_turns_of_one_number_and_role_are_ordered_by_text(spark):
+    rng = random.Random(11)
+    texts = ["pear", "apple", "fig", "é", "Zoo", "", None, "apple pie"]
+    rows = [(c, rng.choice([None, 0, 0, 1]), rng.choice(["user", None]), rng.choice(texts)) for c in (0, 1, 7, 100, 103, 140, -3)
+            for _ in range(9)]
+    for rebuild in (False, True):
+        check(spark, rows, rebuild)
