@@ -13,14 +13,16 @@ from scriptorium.streaming import corpus as S
 
 
 def _run(spark, sf, build, tag):
-    src = spark.readStream.schema(S.DOCUMENT_SCHEMA).option("pathGlobFilter", "documents.parquet") \
-               .parquet(os.path.join(sf, ""))
+    # a pattern, as the table is one file or a folder of files
+    src = S.read_document_stream(spark, os.path.join(sf, "[d]ocuments.parquet"))
+    built = build(src)
     base = scratch_path(spark, tag)
-    q = S.start_to_parquet(build(src), base + "/out", base + "/checkpoint")
+    q = S.start_to_parquet(built, base + "/out", base + "/checkpoint")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(base + "/out")
+    # a table without rows leaves no file to take the schema from
+    return spark.read.schema(built.schema).parquet(base + "/out")
 
 
 @query("chunk_stream", CHUNKS_SQL + " SELECT doc_id, chunk_id, text, author, is_target, source_file FROM chunks")
