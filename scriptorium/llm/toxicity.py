@@ -12,8 +12,8 @@ whatever their length, and no path is pruned. A plain token has a single path an
 Score. Features are the restored words and their prefixes of 4 to 7 letters, as present or not in a
 whole text; those that separate the labels best carry evidence (a log ratio of rates). A logistic
 regression on a text's strongest evidence plus a quarter of the next four gives the score.
-Fitting uses at most about ``train_rows`` distinct texts of each label, drawn by a hash of the
-text (documented bound of the classifier); of near copies among them (``MINIMA`` equal minimum hashes of
+Fitting uses every distinct labelled text: trigrams, features and evidence are counts over all of them, and the
+regression's sums are taken by Spark. Of near copies (``MINIMA`` equal minimum hashes of
 five-word shingles) one is used.
 
 Defined results: NULL and empty texts get the score of a text without features; a row without a label
@@ -33,7 +33,6 @@ from pyspark.sql import DataFrame, functions as F
 from scriptorium.llm.common import LOWER, MIX, held_out, keep_rows, mix64, ready, span_hashes, table, utf8_batch, word_spans
 from scriptorium.session import materialize
 
-TRAIN_ROWS = 4000
 FEATURES = 2000
 MIN_TOXIC = 3
 # minimum hashes that near copies share
@@ -41,6 +40,8 @@ MINIMA = 8
 # least G-squared (half of the usual statistic) of a feature: p < 0.0001
 SEPARATES = 7.6
 CACHE = 300_000
+# counters that a task holds before it hands them on
+HELD = 300_000
 
 # fixed values: what a sign may stand for
 LOOK_ALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -196,8 +197,12 @@ def features_of(word: str) -> list[str]:
 def tokens_of(text: str, lm: CharModel) -> set[str]:
     """Distinct lower-cased tokens of a text plus the readings of its runs of single letters and look-alikes."""
     low = text.lower()
-    out = set(low.split())
-    for run in SPACED.findall(low):
+    tokens = low.split()
+    out = set(tokens)
+    single = [i for i, x in enumerate(tokens) if len(x) == 1]
+    # a run has three tokens of one character in a row
+    spaced = any(c - a == 2 for a, c in zip(single, single[2:]))
+    for run in SPACED.findall(low) if spaced else ():
         run = " ".join(run.split())
         words = restore(run, lm).split() + restore(run, lm, swaps=True).split()
         out.update(words if any(c.isalpha() for c in run) else (w for w in words if familiar(w, lm)))
@@ -245,6 +250,26 @@ def logistic_fit(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, rounds: int = 5
     return w[:-1], w[-1]
 
 
+def logistic_fit_rows(data: DataFrame, l2: float = 1e-3, rounds: int = 50) -> tuple[float, float]:
+    """``logistic_fit`` of one feature on rows (x, y, n: how many), whose sums Spark takes in every round."""
+    size = data.agg(F.sum(F.col("y") * F.col("n")).alias("one"), F.sum("n").alias("all")).first()
+    x, y = F.col("x"), F.col("y").cast("double")
+    share = F.when(F.col("y") == 1, F.lit(0.5 / max(size["one"], 1))).otherwise(F.lit(0.5 / max(size["all"] - size["one"], 1))) * F.col("n")
+    w = np.zeros(2)
+    for _ in range(rounds):
+        z = F.greatest(F.least(x * F.lit(float(w[0])) + F.lit(float(w[1])), F.lit(30.0)), F.lit(-30.0))
+        terms = data.select(x.alias("x"), y.alias("y"), share.alias("s"), (1 / (1 + F.exp(-z))).alias("p"))
+        terms = terms.select("x", (F.col("s") * (F.col("p") - F.col("y"))).alias("g"), (F.col("s") * F.col("p") * (1 - F.col("p"))).alias("h"))
+        r = terms.agg(F.sum(F.col("g") * F.col("x")).alias("g0"), F.sum("g").alias("g1"), F.sum(F.col("h") * F.col("x") * F.col("x")).alias("h00"),
+                      F.sum(F.col("h") * F.col("x")).alias("h01"), F.sum("h").alias("h11")).first()
+        g = np.array([r.g0 + l2 * w[0], r.g1])
+        step = np.linalg.solve(np.array([[r.h00 + l2 + 1e-9, r.h01], [r.h01, r.h11 + 1e-9]]), g)
+        w = w - step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
+        if np.abs(step).max() < 1e-9:
+            break
+    return float(w[0]), float(w[1])
+
+
 def near_key(words: np.ndarray) -> bytes:
     """``MINIMA`` independent minimum hashes of the five-word shingles of a text, given its word hashes (texts of
     fewer words are one shingle). Two texts agree in all with their shingles' Jaccard similarity to that power."""
@@ -257,51 +282,70 @@ def near_key(words: np.ndarray) -> bytes:
 
 
 def near_keys(batches):
-    """(h, y, near key) of rows (t, h, y)."""
+    """(h, y, near key) of rows (t, h, y): the keys of ``near_key``, the texts of a batch at once."""
     import pyarrow as pa
 
+    salts = [mix64(np.array([k], dtype=np.uint64) * MIX) for k in range(1, MINIMA + 1)]
     for b in batches:
         raw, offsets = utf8_batch(b.column(0))
         raw = LOWER[raw]
         starts, ends, doc = word_spans(raw, offsets)
-        words = np.split(span_hashes(raw, starts, ends), np.searchsorted(doc, np.arange(1, b.num_rows)))
-        yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array([near_key(w) for w in words], pa.binary())],
-                                         names=["h", "y", "near"])
-
-
-def fit(pairs: DataFrame, texts: DataFrame, text_col: str = "text", train_rows: int = TRAIN_ROWS,
-        features: int = FEATURES) -> dict | None:
+        words = span_hashes(raw, starts, ends)
+        at = np.searchsorted(doc, np.arange(b.num_rows + 1))
+        long = np.flatnonzero(np.diff(at) >= 5)
+        keys = [near_key(words[i:j]) if j - i < 5 else b"" for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
+        if len(long):
+            n = len(words) - 4
+            with np.errstate(over="ignore"):
+                h = np.full(n, 5, dtype=np.uint64)
+                for i in range(5):
+                    h = mix64(h * MIX + words[i: i + n])
+                # shingles of a text; those that reach into the next one are between two cuts
+                cuts = np.column_stack((at[long], at[long + 1] - 4)).reshape(-1)
+                cuts = cuts[:-1] if cuts[-1] >= n else cuts
+                lows = np.stack([np.minimum.reduceat(mix64(h ^ salt), cuts)[::2] for salt in salts], axis=1)
+            for i, low in zip(long.tolist(), lows):
+                keys[i] = low.tobytes()
+        yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(keys, pa.binary())], names=["h", "y", "near"])
+
+
+def fit(pairs: DataFrame, texts: DataFrame, text_col: str = "text", features: int = FEATURES) -> dict | None:
     """Model from ``pairs`` (h: xxhash64 of a text, y: its label 0 or 1) and the table that holds the texts:
     character trigrams of plain words, the features that separate the labels best
-    (G-squared) and their evidence. Only the texts of the sample move."""
+    (G-squared) and their evidence, all counted over every distinct labelled text but near copies."""
     spark = texts.sparkSession
     ready(spark)
     pairs = materialize(pairs.where("h IS NOT NULL AND y IN (0, 1)").select("h", "y").distinct(), "labels")
     sizes = {r.y: r.n for r in pairs.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if set(sizes) != {0, 1}:
         return None
-    rate = F.when(F.col("y") == 1, F.lit(min(1.0, train_rows / sizes[1]))).otherwise(F.lit(min(1.0, train_rows / sizes[0])))
-    unit = F.pmod(F.xxhash64("h", F.lit(29)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    # about train_rows keys of each label, written so that Spark knows the size of this side
-    keys = materialize(pairs.where(unit < rate), "toxic-keys")
-    rows = texts.select(F.col(f"`{text_col}`").cast("string").alias("t")).withColumn("h", F.xxhash64("t")).join(keys, "h")
-    drawn = materialize(rows.dropDuplicates(["h", "y"]), "toxic-drawn")
-    # near copies count once: of each group the text with the smallest hash
-    near = drawn.select("t", "h", "y").mapInArrow(near_keys, "h long, y int, near binary")
-    kept = near.groupBy("near", "y").agg(F.min("h").alias("h")).select("h", "y")
-    sample = materialize(drawn.join(kept, ["h", "y"], "left_semi"), "toxic-sample")
+    rows = texts.select(F.col(f"`{text_col}`").cast("string").alias("t")).where("t IS NOT NULL").withColumn("h", F.xxhash64("t"))
+    # near copies count once: of each group the text with the smallest hash; texts stay where they are for that
+    near = rows.select("t", "h", F.lit(0).alias("y")).mapInArrow(near_keys, "h long, y int, near binary").select("h", "near").distinct()
+    kept = materialize(near.join(pairs, "h").groupBy("near", "y").agg(F.min("h").alias("h")).select("h", "y"), "toxic-keys")
+    # the learned texts move once; equal ones meet before they move
+    sample = materialize(rows.groupBy("h").agg(F.first("t").alias("t")).join(kept, "h").select("t", "h", "y"), "toxic-texts")
 
     def plain_trigrams(batches):
         import pyarrow as pa
 
-        total: Counter = Counter()
+        def table_of(words):
+            total: Counter = Counter()
+            for w, n in words.items():
+                w = w.strip(EDGE)
+                if PLAIN.match(w) and not STRETCHED.search(w):
+                    for g in trigrams(w):
+                        total[g] += n
+            return pa.RecordBatch.from_pydict({"g": pa.array(list(total), pa.string()), "n": pa.array(list(total.values()), pa.int64())})
+
+        words: Counter = Counter()
         for b in batches:
             for t in b.column(0):
-                for w in set((t.as_py() or "").lower().split()):
-                    w = w.strip(EDGE)
-                    if PLAIN.match(w) and not STRETCHED.search(w):
-                        total.update(trigrams(w))
-        yield pa.RecordBatch.from_pydict({"g": pa.array(list(total), pa.string()), "n": pa.array(list(total.values()), pa.int64())})
+                words.update(set((t.as_py() or "").lower().split()))
+            if len(words) > HELD:
+                yield table_of(words)
+                words = Counter()
+        yield table_of(words)
 
     # at most (letters + 2) ^ 3 rows; rare ones are left to the back-off
     tri = {r.g: r.n for r in sample.select("t").mapInArrow(plain_trigrams, "g string, n long")
@@ -311,17 +355,38 @@ def fit(pairs: DataFrame, texts: DataFrame, text_col: str = "text", train_rows:
     def feature_rows(batches):
         import pyarrow as pa
 
+        def table_of(one, all_):
+            return pa.RecordBatch.from_pydict({"f": pa.array(list(all_), pa.string()), "c1": pa.array([one[f] for f in all_], pa.int64()),
+                                               "c": pa.array(list(all_.values()), pa.int64())})
+
+        known: dict[str, tuple] = {}
+
+        def features_read(tok):
+            got = known.get(tok)
+            if got is None:
+                got = tuple(x for w in words_of(tok, lm) for x in features_of(w))
+                if len(known) >= HELD:
+                    known.clear()
+                if len(tok) <= 64:
+                    known[tok] = got
+            return got
+
+        one, all_ = Counter(), Counter()
         for b in batches:
-            y, f = [], []
             for t, label in zip(b.column(0), b.column(1).to_pylist()):
-                own = {x for tok in tokens_of(t.as_py() or "", lm) for w in words_of(tok, lm) for x in features_of(w)}
-                y += [label] * len(own)
-                f += own
-            yield pa.RecordBatch.from_pydict({"f": pa.array(f, pa.string()), "y": pa.array(y, pa.int32())})
-
-    n1, n0 = [sample.where(F.col("y") == v).count() for v in (1, 0)]
-    counts = sample.select("t", "y").mapInArrow(feature_rows, "f string, y int").groupBy("f").agg(
-        F.sum("y").alias("c1"), F.count(F.lit(1)).alias("c"))
+                own = set().union(*map(features_read, tokens_of(t.as_py() or "", lm)))
+                all_.update(own)
+                if label:
+                    one.update(own)
+            if len(all_) > HELD:
+                yield table_of(one, all_)
+                one, all_ = Counter(), Counter()
+        yield table_of(one, all_)
+
+    size = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n1, n0 = size.get(1, 0), size.get(0, 0)
+    counts = sample.select("t", "y").mapInArrow(feature_rows, "f string, c1 long, c long").groupBy("f").agg(
+        F.sum("c1").alias("c1"), F.sum("c").alias("c"))
     c1, c0 = F.col("c1").cast("double"), (F.col("c") - F.col("c1")).cast("double")
 
     def part(x, n):
@@ -340,15 +405,13 @@ def fit(pairs: DataFrame, texts: DataFrame, text_col: str = "text", train_rows:
         scorer = Scorer(lm, evidence)
         for b in batches:
             own = [scorer.text(t.as_py() or "") for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(1), b.column(2), pa.array(own, pa.float64())], names=["y", "h", "x"])
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(own, pa.float64())], names=["y", "x"])
 
-    data = sample.select("t", "y", "h").mapInArrow(present, "y int, h long, x double").toPandas()
-    data = data.sort_values(["h", "y"])
-    w, b = logistic_fit(data[["x"]].to_numpy(), data["y"].to_numpy().astype(float))
+    data = sample.select("t", "y").mapInArrow(present, "y int, x double").groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
+    w, b = logistic_fit_rows(materialize(data, "toxic-evidence"))
     # equal label totals in the fit: shift to the labels' odds in the corpus
     b += math.log(sizes[1] / sizes[0])
-    return {"tri": tri, "evidence": evidence, "w": np.maximum(w, 0.0), "b": b}
+    return {"tri": tri, "evidence": evidence, "w": np.maximum(np.array([w]), 0.0), "b": b}
 
 
 def score_texts(df: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -139,6 +139,40 @@ def test_only_near_copies_collapse_in_the_sample(spark):
     assert {"=idiot", "=scum", "=moron"} <= set(model["evidence"])
 
 
+def test_every_labelled_text_is_learned_from(spark):
+    """The evidence of a word is its rates over all 18,000 texts."""
+    words = ["".join(p) for p in itertools.product("bcdfg", "aeiou", "klmno", "aeiou", "rstvw")]
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.sample(words, 8)) + (" idiot" if i % 3 == 0 else ""), 1) for i in range(9000)]
+    rows += [(9000 + i, " ".join(rng.sample(words, 8)) + (" calm" if i < 300 else ""), 0) for i in range(9000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
+    model = t.fit(t.label_pairs(df), df)
+    n = 9000
+    c1, c0 = 3000, 0
+    want = np.log((c1 + 0.5) / (n + 1)) - np.log((c0 + 0.5) / (n + 1)) - np.sqrt(1 / (c1 + 0.5) + 1 / (c0 + 0.5))
+    assert abs(model["evidence"]["=idiot"] - want) < 1e-9
+
+
+def test_sums_by_spark_fit_as_the_rows_do(spark):
+    rng = np.random.default_rng(2)
+    x = np.round(rng.exponential(size=400), 1)
+    y = (rng.random(400) < 1 / (1 + np.exp(2 - 2 * x))).astype(int)
+    w, b = t.logistic_fit(x[:, None], y.astype(float))
+    rows = [(float(a), int(k), n) for (a, k), n in Counter(zip(x, y)).items()]
+    got = t.logistic_fit_rows(spark.createDataFrame(rows, "x double, y int, n long"))
+    assert np.allclose(got, (w[0], b), atol=1e-7)
+
+
+def test_near_keys_of_a_batch_are_those_of_its_texts():
+    texts = ["a b c d e f g", "", "one two", "a b c d e", None, "x y z u v w " * 50, "p q r s", "é ü ß ñ ç ø"]
+    for some in (texts, texts[:1], texts[1:3], texts[::-1]):
+        for b in t.near_keys([_batch(some)]):
+            for text, key in zip(some, b.column(2).to_pylist()):
+                raw, offsets = t.utf8_batch(_batch([text]).column(0).cast("string"))
+                starts, ends, _ = t.word_spans(t.LOWER[raw], offsets)
+                assert key == t.near_key(t.span_hashes(t.LOWER[raw], starts, ends))
+
+
 def _batch(texts):
     import pyarrow as pa
 
