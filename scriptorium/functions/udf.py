@@ -10,11 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
+
+from scriptorium.session import bound_batches
 
 
 def tokenizer_udf(fn: Callable[[str], list[str]]) -> Callable[[Column], Column]:
-    """A pandas UDF applying ``fn`` (text -> tokens) to Arrow batches."""
+    """A pandas UDF applying ``fn`` (text -> tokens) to Arrow batches, bounded in rows."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        bound_batches(spark)
+
     @F.pandas_udf("array<string>")
     def _tok(s: pd.Series) -> pd.Series:
         return s.map(lambda t: None if t is None else list(fn(t)))
