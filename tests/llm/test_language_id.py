@@ -1,6 +1,7 @@
 """Language identification: features against a plain count, held-out accuracy, odd rows."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from scriptorium.llm import language_id as li
 from scriptorium.llm.common import crc_mod5, table
@@ -67,3 +68,23 @@ def test_lettered_rows_stay_without_anything_to_learn_from(spark):
     df = spark.createDataFrame([(1, "some text", None), (2, "12 !", None), (3, None, None)], "doc_id long, text string, lang string")
     assert li.fit(df) is None
     assert [r.doc_id for r in li.without_rejected(df, None).collect()] == [1]
+
+
+def test_every_training_text_counts(spark):
+    """1,500 texts a language: a text seen by the model changes its document frequencies, and its floor is the exact quantile."""
+    rng = np.random.default_rng(3)
+    words = {v: ["".join(rng.choice(list(a), 5)) for _ in range(300)] for v, a in (("aa", "abcdefgh"), ("bb", "opqrstuv"))}
+    docs = [(i, v, " ".join(rng.choice(words[v], 12))) for i in range(1500) for v in words]
+    docs += docs[:50]  # repeated rows are learned from once
+    df = spark.createDataFrame(docs, "doc_id long, lang string, text string")
+    model = li.fit(df.repartition(7), rounds=3)
+    texts = sorted({(v, t) for _, v, t in docs})
+    counts = li.trigram_counts(*batch([t for _, t in texts]))
+    idf = np.log((1 + len(texts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
+    assert np.allclose(model["idf"], idf)
+    assert len(model["centroids"]) == 2 * li.CENTROIDS and np.allclose(np.linalg.norm(model["centroids"], axis=1), 1, atol=1e-4)
+    # the rows' order and partitions change nothing
+    again = li.fit(df.orderBy(F.rand(1)).repartition(3), rounds=3)
+    assert all(np.array_equal(model[key], again[key]) for key in ("idf", "centroids", "floor"))
+    lang, _, _ = li.predict_arrays(model, counts)
+    assert [model["names"][i] for i in lang] == [v for v, _ in texts]
