@@ -211,7 +211,9 @@ def boxplot_summary(df: DataFrame, group_col: str, value_col: str, *, whisker: f
 
 
 def boxplot_outliers(df: DataFrame, group_col: str, value_col: str, *, whisker: float = 1.5) -> DataFrame:
-    """A11 rows outside the fences (the points drawn individually)."""
+    """A11 rows outside the fences (the points drawn individually). ``df`` is written once, as the quartiles and the rows are
+    read from it: pass the columns that are needed."""
+    df = materialize(df, "box-rows")
     q = boxplot_summary(df, group_col, value_col, whisker=whisker) \
         .select(group_col, (F.col("q1") - whisker * F.col("iqr")).alias("_lo"),
                 (F.col("q3") + whisker * F.col("iqr")).alias("_hi"))
@@ -228,17 +230,17 @@ def violin_density(df: DataFrame, group_col: str, value_col: str, *, bins: int =
     """The data behind a violin plot: a Gaussian kernel density per group on a fixed
     grid of ``grid`` points between the group's min and max.
 
-    The rows are first binned (``width_bucket``) with a partial aggregation, then the
+    The values are written once, as their range and their bins are read from them. The rows are first binned (``width_bucket``) with a partial aggregation, then the
     kernel is evaluated between grid points and bin centres, so the cost after the first
     aggregate is groups x grid x bins, independent of the row count. Bandwidth: Scott's
     rule on the group's std and count unless given.
     """
-    v = F.col(value_col)
-    rng = df.where(v.isNotNull()).groupBy(group_col).agg(
+    df, v = _group_values(df, group_col, value_col).withColumnRenamed("_g", group_col), F.col("_v")
+    rng = df.groupBy(group_col).agg(
         F.min(v).alias("_min"), F.max(v).alias("_max"), F.count(F.lit(1)).alias("_n"),
         F.stddev_samp(v).alias("_sd"))
     rng = rng.withColumn("_span", F.greatest(F.col("_max") - F.col("_min"), F.lit(1e-12)))
-    binned = (df.where(v.isNotNull()).join(rng, group_col)
+    binned = (df.join(rng, group_col)
                 .withColumn("_b", F.least(F.floor((v - F.col("_min")) / F.col("_span") * bins), F.lit(bins - 1)))
                 .groupBy(group_col, "_b").agg(F.count(F.lit(1)).alias("_c")))
     bw = (F.lit(bandwidth) if bandwidth is not None

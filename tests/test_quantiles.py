@@ -3,6 +3,8 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from scriptorium.operators import agg as A
 from scriptorium.operators import quantiles as Q
 
@@ -39,3 +41,13 @@ def test_boxplot_outliers(spark):
     assert box["b"]["n"] == 1 and box["b"]["outliers"] == 0
     assert [r["x"] for r in A.boxplot_outliers(df, "g", "x").collect()] == [500.0]
     assert A.boxplot_summary(df.where("false"), "g", "x").collect() == []
+
+
+def test_rows_are_derived_once(spark, tmp_path):
+    """Violin and outliers read a written table of the values: the rows, often derived from texts, are read once."""
+    path = str(tmp_path / "rows")
+    spark.range(60).selectExpr("id % 3 AS g", "IF(id % 7 = 0, NULL, id * 1.5) AS x").write.parquet(path)
+    df = spark.read.parquet(path).withColumn("g", F.nullif("g", F.lit(2)))
+    for out in (A.violin_density(df, "g", "x"), A.boxplot_outliers(df, "g", "x")):
+        assert out.inputFiles() and not [f for f in out.inputFiles() if path in f]
+    assert {r.g for r in A.violin_density(df, "g", "x").collect()} == {0, 1}
