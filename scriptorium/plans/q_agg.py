@@ -190,7 +190,7 @@ def q_boxplot_num_words(spark, sf):
 SELECT v.doc_id, v.is_target, round(x, 6) AS unique_words_ratio FROM v JOIN f USING (is_target) WHERE x < lo OR x > hi""")
 def q_boxplot_outliers(spark, sf):
     rows = _grouped_stats(spark, sf).select("doc_id", "is_target", "unique_words_ratio")
-    return finish(A.boxplot_outliers(rows, "is_target", "unique_words_ratio"))
+    return finish(A.boxplot_outliers(rows, "is_target", "unique_words_ratio").select("doc_id", "is_target", "unique_words_ratio"))
 
 
 def _violin_sql(value: str) -> str:
