@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scriptorium.operators import project as P
+from scriptorium.session import bound_batches
 
 
 def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -116,14 +116,40 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
     return full.groupBy("label").pivot("prediction").agg(F.first("count"))
 
 
+def _right_positions(ignore):
+    """Arrow function (label lists, prediction lists) -> (positions whose label is not ``ignore``, those predicted right)
+    per row; a list that is shorter than the other ends in NULLs. Refers to nothing outside itself."""
+    def run(labels, predictions):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def sizes(lists):
+            return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+        n, m = sizes(labels), sizes(predictions)
+        label, prediction = labels.flatten(), predictions.flatten()
+        row = np.repeat(np.arange(len(n)), n)
+        if (n != m).any():
+            place = np.arange(len(row)) - (np.cumsum(n) - n)[row]
+            prediction = prediction.take(pa.array((np.cumsum(m) - m)[row] + place, pa.int64(), mask=place >= m[row]))
+        counted = pc.fill_null(pc.not_equal(label, pa.scalar(ignore, label.type)), False)
+        right = pc.and_(counted, pc.fill_null(pc.equal(label, prediction), False))
+        # a row without labels or without predictions counts nothing
+        absent = pc.or_(labels.is_null(), predictions.is_null()).to_numpy(zero_copy_only=False)
+        out = [np.bincount(row[c.to_numpy(zero_copy_only=False)], minlength=len(n)) for c in (counted, right)]
+        return pa.StructArray.from_arrays([pa.array(c, pa.int64(), mask=absent) for c in out], names=["n", "ok"])
+    return run
+
+
 def masked_lm_accuracy(df: DataFrame, labels: str = "labels", predictions: str = "predictions",
                        ignore: int = -100) -> DataFrame:
     """Accuracy over all positions whose label is not ``ignore``, pooled over examples.
-    Counted inside each row first (no explode), then summed."""
-    kept = P.filter_ignored_labels(F.col(labels), F.col(predictions), ignore)
-    per_row = df.select(F.size(kept).alias("_n"),
-                        F.size(F.filter(kept, lambda p: p["label"] == p["prediction"])).alias("_ok"))
-    return per_row.agg((F.sum("_ok").cast("double") / F.sum("_n").cast("double")).alias("masked_lm_accuracy"))
+    Counted inside each row first (no explode, whole Arrow batches), then summed."""
+    bound_batches(df.sparkSession)
+    count = F.arrow_udf(_right_positions(ignore), "struct<n: bigint, ok: bigint>")
+    per_row = df.select(count(labels, predictions).alias("_c"))
+    return per_row.agg((F.sum("_c.ok").cast("double") / F.sum("_c.n").cast("double")).alias("masked_lm_accuracy"))
 
 
 def nsp_accuracy(df: DataFrame, label: str = "next_sentence_label", prediction: str = "nsp_prediction") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import text as T
 from scriptorium.functions.udf import chunker_udtf, tokenizer_udf
+from scriptorium.functions.hashing import list_md5
 from scriptorium.operators import features as N
 from scriptorium.operators import split as X
 from scriptorium.operators.stats import STAT_COLUMNS
@@ -96,7 +97,7 @@ def _pairs(spark, sf):
 
 
 def _md5(c):
-    return F.md5(F.array_join(F.col(c).cast("array<string>"), ","))
+    return list_md5(F.col(c))
 
 
 @query("assemble_pairs", PAIRS_SQL + """

@@ -152,3 +152,48 @@ def test_folds_equal_single_runs(spark):
         want = [(r["doc_id"], r["example_id"], tuple(r["input_ids"])) for r in N.nsp_examples(folded.where(part), vocab).collect()]
         assert sorted(got[1, role]) == sorted(want)
     assert sorted(got) == [(f, r) for f in range(3) for r in ("train", "validation")]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_mask_is_the_written_arithmetic_without_a_lambda_per_token(spark):
+    import hashlib
+    import math
+
+    rows = [(1, 0, [2, 7, 8, 3, 9, 10, 3, 0, 0]), (None, 1, list(range(5, 400))), (3, 2, []), (4, 3, None), (5, 4, [7, None, 9] * 50)]
+    df = spark.createDataFrame(rows, "doc_id long, example_id int, input_ids array<int>")
+    masked = N.mlm_mask(df, vocab_size=500, seed=9)
+    assert "lambdafunction" not in plan(masked)
+    got = {r.example_id: (r.input_ids, r.labels) for r in masked.collect()}
+    for doc, example, ids in rows:
+        key = ":".join(str(x) for x in (doc, example, 9, "mlm") if x is not None)
+        h0 = int(hashlib.md5(key.encode()).hexdigest()[:8], 16) % N.MIX_P
+        new, labels = [], []
+        for i, x in enumerate(ids or []):
+            y = ((h0 ^ (i * N.MIX_I % N.MIX_P) ^ (N.MIX_S % N.MIX_P)) * N.MIX_A) % N.MIX_P
+            y ^= y >> 11
+            u = 2.0 if x in N.SPECIAL_IDS else ((y * N.MIX_C + N.MIX_D) % N.MIX_P) / N.MIX_P
+            v = u / N.MLM_PROB
+            labels.append(x if u < N.MLM_PROB else -100)
+            new.append(x if u >= N.MLM_PROB else N.MASK if v < 0.8 else 5 + min(math.floor((v - 0.8) / 0.1 * 495), 494) if v < 0.9 else x)
+        assert got[example] == ((new, labels) if ids is not None else (None, None))
+
+
+def test_accuracy_counts_lists_of_unequal_length(spark):
+    from scriptorium.operators.metrics import masked_lm_accuracy
+
+    rows = [([5, -100, 7], [5, 1, 8]), ([4, 4], [4]), ([6], [6, 6]), (None, [1]), ([1], None), ([], []), ([None, 3], [3, None])]
+    df = spark.createDataFrame(rows, "labels array<int>, predictions array<int>")
+    out = masked_lm_accuracy(df)
+    assert "lambdafunction" not in plan(out) and out.first()[0] == 3 / 6
+
+
+def test_digest_of_a_list(spark):
+    from scriptorium.functions.hashing import list_md5
+
+    df = spark.createDataFrame([([1, 2, -100],), ([],), (None,), ([None, 7],)], "ids array<int>")
+    for part in (df, df.where("ids IS NULL OR size(ids) <> 2")):
+        same = part.select(list_md5(F.col("ids")).eqNullSafe(F.md5(F.array_join(F.col("ids").cast("array<string>"), ","))).alias("same"))
+        assert all(r.same for r in same.collect())
