@@ -1,8 +1,8 @@
 """Document statistics (stylometry), D1-D12.
 
 Everything is row-local: tokens are computed once per document in one projection and every
-metric is an array expression on them. Hapax legomena and word frequencies are counted by
-sorting the document's token array, so no token ever crosses a shuffle.
+metric is an array expression on them. Hapax legomena are counted by sorting the document's token array,
+word frequencies over Arrow batches, so no token ever crosses a shuffle.
 
 Two tokenisation bases, as in the statistics the project reproduces: ``num_words`` counts all
 tokens, punctuation included; the other word metrics use only letter/digit tokens.
@@ -10,10 +10,11 @@ tokens, punctuation included; the other word metrics use only letter/digit token
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as ST
 
 from scriptorium.functions import text as T
 from scriptorium.functions.stopwords import stopword_array, stopwords_for
+from scriptorium.session import bound_batches
 
 STAT_COLUMNS = ["num_chars", "num_words", "num_unique_words", "num_sentences",
                 "avg_sentence_length", "avg_word_length", "lexical_density",
@@ -70,19 +71,40 @@ def text_stats(df: DataFrame, text_col: str = "text", *, stopwords: str | Column
     return out.drop(*drop)
 
 
+def _count_batches(id_cols: list[str]):
+    """Arrow function from rows with tokens (``_t``) to one row per row and distinct token. Refers to nothing outside itself."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for b in batches:
+            lists = b.column("_t")
+            size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            words = lists.flatten().dictionary_encode()
+            kinds = max(len(words.dictionary), 1)
+            # NULL tokens are not counted
+            known = words.is_valid().to_numpy(zero_copy_only=False)
+            code = pc.fill_null(words.indices, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            pair, n = np.unique((np.repeat(np.arange(len(size)), size) * kinds + code)[known], return_counts=True)
+            for i in range(0, len(pair), 1 << 16):
+                part = pair[i: i + (1 << 16)]
+                row, word = pa.array(part // kinds), pa.array(part % kinds)
+                yield pa.RecordBatch.from_arrays([*(b.column(c).take(row) for c in id_cols), words.dictionary.take(word),
+                                                  pa.array(n[i: i + (1 << 16)], pa.int64())], names=[*id_cols, "token", "count"])
+    return run
+
+
 def word_frequency(df: DataFrame, id_cols: list[str], text_col: str = "text") -> DataFrame:
     """One row per (document, alnum token) with its count in that document.
 
-    Counted inside the row (sorted runs) and then exploded: no shuffle.
+    Counted inside the row, whole Arrow batches at a time: no shuffle.
     """
-    # staged projections: each intermediate array is computed once (a Generate gets no
-    # common-subexpression elimination, so the generator must only reference columns)
-    staged = (df.select(*id_cols, F.sort_array(T.alnum_filter(T.tokenise_words(F.lower(F.col(text_col)))))
-                        .alias("_s"))
-                .select(*id_cols, T.sorted_run_counts("_s", presorted=True).alias("_runs")))
-    return (T.explode_rows(staged, id_cols, "_runs", ("_r",))
-              .select(*id_cols, F.col("_r.token").alias("token"),
-                      F.col("_r.n").cast("bigint").alias("count")))
+    bound_batches(df.sparkSession)
+    tokens = df.select(*id_cols, T.word_token_alnum_filter(T.tokenise_words(F.lower(F.col(text_col)))).alias("_t"))
+    ids = df.select(*id_cols).schema
+    schema = ST.StructType([*ids.fields, ST.StructField("token", ST.StringType()), ST.StructField("count", ST.LongType())])
+    return tokens.mapInArrow(_count_batches(ids.names), schema)
 
 
 def unique_words_ratio(df: DataFrame) -> DataFrame:
