@@ -78,3 +78,13 @@ def test_sentences_keep_control_characters(spark):
     df = spark.createDataFrame([(" A\u0001b. C\u0001!?\u00a0 d..e.  ",), ("",), (" \n",), (None,)], "t string")
     got = [r.s for r in df.select(T.split_sentences("t").alias("s")).collect()]
     assert got == [["A\u0001b.", "C\u0001!?", "d..e."], [], [], None]
+
+
+def test_trimming_and_words_are_those_of_the_patterns(spark):
+    space = "".join(chr(c) for c in range(0x3100) if chr(c).isspace() or c in (0x1680, 0x180E, 0x200B, 0x2028))
+    rows = [(space + "A-b_c1 2dé" + space + "x.y" + space,), ("",), (None,), (space,), ("12 3a4,5;١z\U0001d7ce",), (" \n",), ("a \n",)]
+    df = spark.createDataFrame(rows, "t string")
+    words = T.whitespace_words(T.strip_digits(T.strip_punctuation(T.lowercase("t"))))
+    got = df.select(T.trim_space("t").alias("a"), F.regexp_replace("t", T.EDGE_SPACE, "").alias("b"),
+                    T.normalised_words("t").alias("c"), words.alias("d")).collect()
+    assert all(r.a == r.b and r.c == r.d for r in got)
