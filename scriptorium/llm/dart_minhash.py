@@ -18,7 +18,7 @@ bucket mates overall (the hub) is compared with the others; links are verified o
 multisets and joined to components. Members outside the hub's component then become centres
 themselves, a number per bucket that grows eightfold every round until all are, and are
 compared with all members of other components: a pair in a bucket is left out only when its
-texts are already in one class. Before texts are compared, one-bit sketches of 1,024 further darts are: texts of similarity s differ in a share
+texts are already in one class, and a pair that shares several buckets comes from the first of them. Before texts are compared, one-bit sketches of 1,024 further darts are: texts of similarity s differ in a share
 (1 - s) / 2 of the bits, and a pair is left out when its share lies more than 4.5 standard deviations above
 that of the threshold (3e-6 of the pairs at the threshold). Nothing is capped.
 
@@ -210,8 +210,23 @@ def pair_similarity(a_raw, a_off, b_raw, b_off) -> np.ndarray:
 SKETCH = [f"k{i}" for i in range(SKETCH_WORDS)]
 
 
+# bits of the map that tells most texts without bucket mates before texts are dealt, 4 MB in all
+COPY_BITS = 1 << 25
+
+
+def maybe_needed(src: DataFrame, need: DataFrame) -> DataFrame:
+    """The rows of ``src`` whose ``copy`` may be one of ``need``: one bit per hash, in a broadcast map of a fixed size, so
+    that other texts do not cross the shuffle of the join that follows. A row too many is left to that join."""
+    at = F.pmod(F.xxhash64("copy"), F.lit(COPY_BITS)) + 1
+    bits = need.select(F.bitmap_bucket_number(at).alias("_part"), F.bitmap_bit_position(at).alias("_at"))
+    bits = bits.groupBy("_part").agg(F.bitmap_construct_agg("_at").alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    rows = src.withColumns({"_part": F.bitmap_bucket_number(at), "_at": F.bitmap_bit_position(at)})
+    return rows.join(F.broadcast(bits), "_part").where(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1).select(*src.columns)
+
+
 def sketched(texts: DataFrame) -> DataFrame:
-    """(node, text) plus the one-bit sketch of each text in the columns ``SKETCH``."""
+    """(node, text, bands) plus the one-bit sketch of each text in the columns ``SKETCH``."""
     def run(batches):
         import pyarrow as pa
 
@@ -220,10 +235,11 @@ def sketched(texts: DataFrame) -> DataFrame:
             n = len(off) - 1
             sig = signatures(*shingle_counts(raw, off), n, 64 * SKETCH_WORDS, SKETCH_SEED)
             bits = np.packbits((mix64(sig) & np.uint64(1)).astype(np.uint8), axis=1).view("<i8")
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(bits[:, i]) for i in range(SKETCH_WORDS)]],
-                                             names=["node", "text", *SKETCH])
+            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(bits[:, i]) for i in range(SKETCH_WORDS)]],
+                                             names=["node", "text", "bands", *SKETCH])
 
-    return texts.select("node", "text").mapInArrow(run, "node long, text string, " + ", ".join(f"{c} long" for c in SKETCH))
+    return texts.select("node", "text", "bands").mapInArrow(
+        run, "node long, text string, bands array<long>, " + ", ".join(f"{c} long" for c in SKETCH))
 
 
 def may_reach(left: str, right: str, threshold: float):
@@ -234,8 +250,8 @@ def may_reach(left: str, right: str, threshold: float):
     return differ <= F.lit(float(limit))
 
 
-def renamed(df: DataFrame, prefix: str, *keep) -> DataFrame:
-    return df.select(*keep, *[F.col(c).alias(prefix + c) for c in SKETCH])
+def renamed(df: DataFrame, prefix: str, *keep, columns=SKETCH) -> DataFrame:
+    return df.select(*keep, *[F.col(c).alias(prefix + c) for c in columns])
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -295,8 +311,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     score = members.groupBy("node").agg(F.sum("size").alias("score"))
     members = materialize(members.join(score, "node").select("bucket", "node", "size", "score"), "members")
     # one text per node that has bucket mates
-    need = materialize(score.join(nodes, "node").select("node", "copy"), "need")
-    texts = src.select("copy", "text").join(need, "copy").groupBy("node").agg(F.first("text").alias("text"))
+    need = materialize(score.join(nodes, "node").select("node", "copy", "bands"), "need")
+    texts = maybe_needed(src.select("copy", "text"), need).join(need, "copy")
+    texts = texts.groupBy("node").agg(F.first("text").alias("text"), F.first("bands").alias("bands"))
     texts = materialize(sketched(texts), "texts")
 
     tested = comp = None
@@ -314,18 +331,23 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         else:
             around = live.join(buckets.select("bucket", F.col("hub.comp").alias("main")), "bucket")
             around = materialize(around.select("bucket", "node", "comp", "main"), "live")
-            out = around.where("comp <> main")
-            n_out = out.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+            n_out = around.where("comp <> main").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
             share = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-            out = out.join(n_out, "bucket").withColumn("chosen", (F.col("n") <= F.lit(GROWTH ** turn)) | (share < F.lit(float(GROWTH) ** turn) / F.col("n")))
-            centres = out.where("chosen").select("bucket", F.col("node").alias("c"), F.col("comp").alias("cc"))
-            centres = centres.join(renamed(texts, "c_", F.col("node").alias("c")), "c").withColumnRenamed("bucket", "_bucket")
-            others = around.join(renamed(texts, "n_", "node"), "node")
+            chosen = (F.col("n") <= F.lit(GROWTH ** turn)) | (share < F.lit(float(GROWTH) ** turn) / F.col("n"))
+            around = around.join(n_out, "bucket").withColumn("chosen", (F.col("comp") != F.col("main")) & chosen)
+            centres = around.where("chosen").select("bucket", F.col("node").alias("c"), F.col("comp").alias("cc"))
+            known = [*SKETCH, "bands"]
+            centres = centres.join(renamed(texts, "c_", F.col("node").alias("c"), columns=known), "c").withColumnRenamed("bucket", "_bucket")
+            others = around.join(renamed(texts, "n_", "node", columns=known), "node")
             biggest = n_out.agg(F.max("n")).first()[0]
             if biggest is None:
                 break
             last = biggest <= GROWTH ** turn
-            meet = (F.col("bucket") == F.col("_bucket")) & (F.col("comp") != F.col("cc")) & may_reach("c_", "n_", threshold)
+            # a pair comes once: from the first bucket that its texts share, and of two centres from the smaller one (in the
+            # last round every member outside a bucket's hub's component is a centre, so no pair is left out)
+            once = ~(F.col("chosen") & (F.col("c") > F.col("node")))
+            first = F.get(F.array_intersect("c_bands", "n_bands"), F.lit(0)) == F.col("bucket")
+            meet = (F.col("bucket") == F.col("_bucket")) & (F.col("comp") != F.col("cc")) & once & may_reach("c_", "n_", threshold) & first
             pairs = others.join(centres, meet).select("c", "node")
         pairs = pairs.select(F.least("c", "node").alias("a"), F.greatest("c", "node").alias("b")).distinct()
         if tested is not None:

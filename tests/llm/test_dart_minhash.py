@@ -112,3 +112,39 @@ def test_columns_named_as_helpers_stay(spark):
     left = m.deduplicated(df)
     assert left.columns == df.columns
     assert sorted((r[0], r[2], r[3]) for r in left.collect()) == [(1, "x", 7), (3, "z", 7), (4, "w", 7)]
+
+
+def test_only_texts_that_may_be_needed_are_dealt(spark):
+    src = spark.range(20_000).selectExpr("xxhash64(id) AS copy", "'t' AS text").unionByName(
+        spark.range(1).selectExpr("xxhash64(id) AS copy", "'t' AS text"))
+    need = spark.range(0, 20_000, 40).selectExpr("xxhash64(id) AS copy")
+    got = m.maybe_needed(src, need)
+    assert got.columns == src.columns and got.join(need, "copy").count() == 501 and got.count() < 700
+    assert m.maybe_needed(src, need.limit(0)).count() == 0
+
+
+def test_a_group_of_copies_about_the_threshold(spark, monkeypatch):
+    """Many texts that share buckets and link seldom: rounds with few centres, pairs of several shared buckets."""
+    monkeypatch.setattr(m, "GROWTH", 2)
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        w = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 2, 3, 3, 4, 5])):
+            w[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(w)))
+    seen = []
+    write = m.materialize
+
+    def counted(df, tag="table"):
+        out = write(df, tag)
+        if tag == "pairs":
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            seen.append("array_intersect" in plan)
+        return out
+    monkeypatch.setattr(m, "materialize", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.class_id) for r in m.near_duplicates(df).collect())
+    assert got == sorted((r[0], c) for r, c in zip(rows, brute_classes(rows)))
+    assert len(seen) > 1 and all(seen[1:])
