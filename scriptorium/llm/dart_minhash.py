@@ -18,9 +18,11 @@ bucket mates overall (the hub) is compared with the others; links are verified o
 multisets and joined to components. Members outside the hub's component then become centres
 themselves, a number per bucket that grows eightfold every round until all are, and are
 compared with all members of other components: a pair in a bucket is left out only when its
-texts are already in one class, and a pair that shares several buckets comes from the first of them. Before texts are compared, one-bit sketches of 1,024 further darts are: texts of similarity s differ in a share
-(1 - s) / 2 of the bits, and a pair is left out when its share lies more than 4.5 standard deviations above
-that of the threshold (3e-6 of the pairs at the threshold). Nothing is capped.
+texts are already in one class, and a pair that shares several buckets comes from the first of them. After the hubs,
+one-bit sketches are compared before texts are; only texts in buckets of several components have them.
+Texts of similarity s differ in a share (1 - s) / 2 of the bits, and a pair is left out when its share lies more
+than 4.5 standard deviations above that of the threshold, first in 1,024 and then in 4,096 bits (3e-6 of the
+pairs at the threshold each). Nothing is capped.
 
 Partitioning. Nodes, buckets, pairs and components stay in DataFrames: minima and counts per key are
 partial aggregates, the joins that bring rows back to a hot bucket, text or class are plain
@@ -38,7 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from scriptorium.llm.common import (LOWER, MIX, connected_components, free_name, mix64, ready, span_hashes, table, utf8_batch,
                                     word_spans)
-from scriptorium.session import materialize
+from scriptorium.session import materialize, shuffle_partitions
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -47,8 +49,9 @@ ROWS = 5
 # centres per bucket and round: GROWTH, GROWTH ** 2, ...
 GROWTH = 8
 SEED = 0x51ED
-# one-bit sketches of SKETCH_WORDS * 64 further coordinates, compared before texts are
+# one-bit sketches of FINE_WORDS * 64 further coordinates, compared before texts are: the first SKETCH_WORDS, then all
 SKETCH_WORDS = 16
+FINE_WORDS = 64
 SKETCH_SEED = 0xB17
 SKETCH_SIGMAS = 4.5
 
@@ -148,11 +151,16 @@ def signatures(at, g, w, n_docs: int, k: int, seed: int = SEED) -> np.ndarray:
             limit[part] = throws * scale / total[part]
             t, c, rank, d = darts(at[sel], g[sel], w[sel], limit, k, seed)
             slot = t * k + c
-            order = np.lexsort((d, rank, slot))
-            slot, d = slot[order], d[order]
-            first = np.concatenate(([True], slot[1:] != slot[:-1])) if len(slot) else np.zeros(0, bool)
-            sig.reshape(-1)[slot[first]] = d[first]
-            full = np.bincount(slot[first] // k, minlength=n_docs)
+            # the earliest dart of every slot, of equal ranks the smallest
+            slot -= part[0] * k
+            low = np.full((part[-1] - part[0] + 1) * k, np.inf)
+            np.minimum.at(low, slot, rank)
+            at_low = rank == low[slot]
+            least = np.full(len(low), np.iinfo(np.uint64).max, dtype=np.uint64)
+            np.minimum.at(least, slot[at_low], d[at_low])
+            hit = np.flatnonzero(low < np.inf)
+            sig.reshape(-1)[hit + part[0] * k] = least[hit]
+            full = np.bincount((hit + part[0] * k) // k, minlength=n_docs)
             again.append(part[full[part] < k])
         todo, scale = np.concatenate(again), scale * 2
     return sig
@@ -226,32 +234,36 @@ def maybe_needed(src: DataFrame, need: DataFrame) -> DataFrame:
 
 
 def sketched(texts: DataFrame) -> DataFrame:
-    """(node, text, bands) plus the one-bit sketch of each text in the columns ``SKETCH``."""
+    """(node, bands) and the one-bit sketch of each text (node, bands, text): its first words in the columns ``SKETCH``,
+    all of them in ``fine``."""
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            raw, off = utf8_batch(b.column(1))
+            raw, off = utf8_batch(b.column(2))
             n = len(off) - 1
-            sig = signatures(*shingle_counts(raw, off), n, 64 * SKETCH_WORDS, SKETCH_SEED)
+            sig = signatures(*shingle_counts(raw, off), n, 64 * FINE_WORDS, SKETCH_SEED)
             bits = np.packbits((mix64(sig) & np.uint64(1)).astype(np.uint8), axis=1).view("<i8")
-            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(bits[:, i]) for i in range(SKETCH_WORDS)]],
-                                             names=["node", "text", "bands", *SKETCH])
+            fine = pa.ListArray.from_arrays(pa.array(np.arange(0, FINE_WORDS * n + 1, FINE_WORDS), pa.int32()), pa.array(bits.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(bits[:, i]) for i in range(SKETCH_WORDS)], fine],
+                                             names=["node", "bands", *SKETCH, "fine"])
 
-    return texts.select("node", "text", "bands").mapInArrow(
-        run, "node long, text string, bands array<long>, " + ", ".join(f"{c} long" for c in SKETCH))
+    return texts.select("node", "bands", "text").mapInArrow(
+        run, "node long, bands array<long>, " + ", ".join(f"{c} long" for c in SKETCH) + ", fine array<long>")
 
 
 def may_reach(left: str, right: str, threshold: float):
     """Condition on the sketch columns with these prefixes: the texts may be as similar as the threshold."""
-    n, p = 64 * SKETCH_WORDS, (1 - threshold) / 2
-    limit = n * p + SKETCH_SIGMAS * np.sqrt(n * p * (1 - p))
+    def limit(words):
+        n, p = 64 * words, (1 - threshold) / 2
+        return F.lit(float(n * p + SKETCH_SIGMAS * np.sqrt(n * p * (1 - p))))
     differ = sum((F.bit_count(F.col(left + c).bitwiseXOR(F.col(right + c))) for c in SKETCH), F.lit(0))
-    return differ <= F.lit(float(limit))
+    each = F.zip_with(left + "fine", right + "fine", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return (differ <= limit(SKETCH_WORDS)) & (F.aggregate(each, F.lit(0), lambda a, b: a + b) <= limit(FINE_WORDS))
 
 
-def renamed(df: DataFrame, prefix: str, *keep, columns=SKETCH) -> DataFrame:
-    return df.select(*keep, *[F.col(c).alias(prefix + c) for c in columns])
+def renamed(df: DataFrame, prefix: str, *keep) -> DataFrame:
+    return df.select(*keep, *[F.col(c).alias(prefix + c) for c in (*SKETCH, "fine", "bands")])
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -265,11 +277,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             ok = pa.array(sim >= threshold - 1e-12)
             yield pa.RecordBatch.from_arrays([pc.filter(b.column(0), ok), pc.filter(b.column(1), ok)], names=["src", "dst"])
 
-    # sketches first, so that texts only move for pairs that may link
-    sk = (pairs.join(renamed(texts, "a_", F.col("node").alias("a")), "a")
-          .join(renamed(texts, "b_", F.col("node").alias("b")).withColumnRenamed("b", "_b"),
-                (F.col("b") == F.col("_b")) & may_reach("a_", "b_", threshold)).select("a", "b"))
-    both = (sk.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b"))
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "src long, dst long")
 
@@ -314,9 +322,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     need = materialize(score.join(nodes, "node").select("node", "copy", "bands"), "need")
     texts = maybe_needed(src.select("copy", "text"), need).join(need, "copy")
     texts = texts.groupBy("node").agg(F.first("text").alias("text"), F.first("bands").alias("bands"))
-    texts = materialize(sketched(texts), "texts")
+    texts = materialize(texts, "texts")
 
-    tested = comp = None
+    tested = comp = sketches = None
     turn = 0
     while True:
         if comp is None:
@@ -332,17 +340,20 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             around = live.join(buckets.select("bucket", F.col("hub.comp").alias("main")), "bucket")
             around = materialize(around.select("bucket", "node", "comp", "main"), "live")
             n_out = around.where("comp <> main").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-            share = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-            chosen = (F.col("n") <= F.lit(GROWTH ** turn)) | (share < F.lit(float(GROWTH) ** turn) / F.col("n"))
-            around = around.join(n_out, "bucket").withColumn("chosen", (F.col("comp") != F.col("main")) & chosen)
-            centres = around.where("chosen").select("bucket", F.col("node").alias("c"), F.col("comp").alias("cc"))
-            known = [*SKETCH, "bands"]
-            centres = centres.join(renamed(texts, "c_", F.col("node").alias("c"), columns=known), "c").withColumnRenamed("bucket", "_bucket")
-            others = around.join(renamed(texts, "n_", "node", columns=known), "node")
             biggest = n_out.agg(F.max("n")).first()[0]
             if biggest is None:
                 break
             last = biggest <= GROWTH ** turn
+            if sketches is None:  # later rounds see some of these nodes, as components only grow
+                open_ = texts.join(around.select("node").distinct(), "node", "left_semi")
+                # few bytes, much work: not left to as many tasks as the bytes need
+                sketches = materialize(sketched(open_.repartition(shuffle_partitions(spark), "node")), "sketches")
+            share = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+            chosen = (F.col("n") <= F.lit(GROWTH ** turn)) | (share < F.lit(float(GROWTH) ** turn) / F.col("n"))
+            around = around.join(n_out, "bucket").withColumn("chosen", (F.col("comp") != F.col("main")) & chosen)
+            centres = around.where("chosen").select("bucket", F.col("node").alias("c"), F.col("comp").alias("cc"))
+            centres = centres.join(renamed(sketches, "c_", F.col("node").alias("c")), "c").withColumnRenamed("bucket", "_bucket")
+            others = around.join(renamed(sketches, "n_", "node"), "node")
             # a pair comes once: from the first bucket that its texts share, and of two centres from the smaller one (in the
             # last round every member outside a bucket's hub's component is a centre, so no pair is left out)
             once = ~(F.col("chosen") & (F.col("c") > F.col("node")))

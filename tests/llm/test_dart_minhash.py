@@ -148,3 +148,57 @@ def test_a_group_of_copies_about_the_threshold(spark, monkeypatch):
     got = sorted((r.doc_id, r.class_id) for r in m.near_duplicates(df).collect())
     assert got == sorted((r[0], c) for r, c in zip(rows, brute_classes(rows)))
     assert len(seen) > 1 and all(seen[1:])
+
+
+def test_pairs_clearly_under_the_threshold_are_not_paired(spark, monkeypatch):
+    """Texts about 0.745 alike, all of one group: of the pairs that share a bucket few pass the sketches (1,024 bits let most pass)."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(600)]
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for at in rng.sample(range(600), 9):
+            w[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(w)))
+    g = [grams(t) for _, t in rows]
+    close = sum(0.716 <= similarity(a, b) < 0.8 for i, a in enumerate(g) for b in g[:i])
+    write, turns = m.materialize, []
+
+    def counted(df, tag="table"):
+        out = write(df, tag)
+        if tag == "pairs":
+            turns.append(out.count())
+        return out
+    monkeypatch.setattr(m, "materialize", counted)
+    got = sorted((r.doc_id, r.class_id) for r in m.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted((r[0], c) for r, c in zip(rows, brute_classes(rows)))
+    assert close > 1200 and sum(turns[1:]) < close // 2
+
+
+def test_only_texts_left_open_by_the_hubs_are_sketched(spark, monkeypatch):
+    made, write = [], m.materialize
+
+    def counted(df, tag="table"):
+        out = write(df, tag)
+        if tag == "sketches":
+            made.append(out.count())
+        return out
+    monkeypatch.setattr(m, "materialize", counted)
+    text = " ".join(f"w{i}" for i in range(200))
+    df = spark.createDataFrame([(i, f"{text} x{i}") for i in range(30)], "doc_id long, text string")
+    assert {r.class_id for r in m.near_duplicates(df).collect()} == {0}
+    assert not made
+
+
+def test_the_earliest_dart_of_every_slot_as_by_sorting():
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(40)}" for _ in range(rng.randrange(1, 80))) for _ in range(30)] + [""]
+    at, g, w = m.shingle_counts(*batch(texts))
+    got, k, n = m.signatures(at, g, w, len(texts), 32), 32, len(texts)
+    total = np.bincount(at, weights=w, minlength=n)
+    limit = np.divide(8 * (k * np.log(k) + 2 * k), total, out=np.zeros(n), where=total > 0)
+    t, c, rank, d = m.darts(at, g, w, limit, k, m.SEED)
+    first = {}
+    for key, value in zip(zip(t.tolist(), c.tolist()), zip(rank.tolist(), d.tolist())):
+        first[key] = min(first.get(key, value), value)
+    assert {key: v[1] for key, v in first.items()} == {(i, j): int(got[i, j]) for i in range(n) for j in range(k) if total[i]}
