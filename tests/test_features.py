@@ -197,3 +197,66 @@ def test_digest_of_a_list(spark):
     for part in (df, df.where("ids IS NULL OR size(ids) <> 2")):
         same = part.select(list_md5(F.col("ids")).eqNullSafe(F.md5(F.array_join(F.col("ids").cast("array<string>"), ","))).alias("same"))
         assert all(r.same for r in same.collect())
+
+
+def test_fold_vocabularies_are_one_lookup():
+    """The numbers of all folds' tokens give each fold's own ids, in 16 bits as long as they are enough."""
+    from scriptorium.operators import encode as E
+
+    for n, short in ((30, True), (40_000, True), (70_000, False)):
+        tokens = [f"t{i}" for i in range(n)]
+        tables = [(tokens[: n - 5], list(range(5, n))), (tokens[:4:-1], list(range(5, n)))]
+        (held, numbers), own = E.joint_lookup(tables, 5)
+        assert sorted(held) == sorted(tokens) and len(set(numbers)) == n and E.is_short((held, numbers)) == short
+        of = dict(zip(held, numbers))
+        for v, table in enumerate(tables):
+            ids = dict(zip(*table))
+            assert [own[v, of[t]] for t in tokens] == [ids.get(t, E.UNK) for t in tokens]
+            assert own[v, :5].tolist() == [0, 1, 2, 3, 4]
+
+
+def test_folds_share_what_is_written(spark, monkeypatch):
+    """Documents are encoded and packed once for all folds, and tokens are not kept beside the ids."""
+    import os
+
+    from scriptorium import session
+
+    seen = []
+
+    def noted(df, tag="table", codec=None):
+        out = session.materialize(df, tag, codec)
+        seen.append((tag, out.count(), os.path.dirname(out.inputFiles()[0]).removeprefix("file://")))
+        return out
+    monkeypatch.setattr(N, "materialize", noted)
+    text = "One two three four. Five six. Seven eight nine ten eleven. Twelve one two. "
+    d = spark.createDataFrame([(i, text * (1 + i % 4)) for i in range(30)], "doc_id long, text string")
+    one = N.prepare_folds(d, key="doc_id", k=2, vocab_size=50, masked=False)
+    rows = {t: (n, at) for t, n, at in seen}
+    assert rows["encoded"][0] == 30
+    seen.clear()
+    many = N.prepare_folds(d, key="doc_id", k=5, vocab_size=50, masked=False)
+    again = {t: (n, at) for t, n, at in seen}
+    assert again["encoded"][0] == 30 and again["packed"][0] == rows["packed"][0]
+    assert not os.path.exists(again["tokenised"][1]) and os.path.exists(again["packed"][1])
+    examples = again["packed"][0]
+    assert one.count() == 2 * examples and many.count() == 5 * examples
+
+
+def test_folds_of_repeated_and_absent_ids(spark):
+    """Rows of one id go through the folds as they do through single runs."""
+    from scriptorium.operators.split import kfold_assign
+
+    text = "One two three four. Five six. Seven eight nine ten eleven. Twelve one two. "
+    rows = [(i, text * (1 + i)) for i in range(12)]
+    rows += [(3, text * 4), (None, text * 2), (None, text), (50, None), (51, "")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["fold"], r["role"], r["doc_id"], r["example_id"], tuple(r["input_ids"]))
+           for r in N.prepare_folds(d, key="doc_id", k=3, vocab_size=500, masked=False).collect()]
+    folded = kfold_assign(d, key="doc_id", k=3, fold_col="f").cache()
+    want = []
+    for f in range(3):
+        vocab = N.build_vocab(folded.where(f"f <> {f}"), "text", 500)
+        for role, part in (("train", f"f <> {f}"), ("validation", f"f = {f}")):
+            want += [(f, role, r["doc_id"], r["example_id"], tuple(r["input_ids"]))
+                     for r in N.nsp_examples(folded.where(part), vocab).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
